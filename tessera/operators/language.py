@@ -29,15 +29,15 @@ SCALE = 1_000_000
 
 
 def char_trigrams(col) -> Column:
-    """Trigrams of each lower-cased letter run, padded with one space on each side."""
-    c = F.col(col) if isinstance(col, str) else col
-    words = F.filter(F.split(F.lower(c), "[^\\p{L}]+"), lambda w: w != "")
-    return F.flatten(F.transform(words, _grams_of))
-
+    """Trigrams of each lower-cased letter run, padded with one space on each side.
 
-def _grams_of(w: Column) -> Column:
-    padded = F.concat(F.lit(" "), w, F.lit(" "))
-    return F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.substring(padded, i, 3))
+    One regex pass: non-letter runs become one space, the text is padded, and
+    every 3-char window whose middle char is a letter is taken (a lookahead
+    finds overlapping windows). Same multiset as padding each word separately.
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    padded = F.concat(F.lit(" "), F.regexp_replace(F.lower(c), "[^\\p{L}]+", " "), F.lit(" "))
+    return F.regexp_extract_all(padded, F.lit("(?=([\\p{L} ]\\p{L}[\\p{L} ]))"), 1)
 
 
 @dataclass

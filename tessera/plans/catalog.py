@@ -233,3 +233,48 @@ def q_id_collisions(spark, sf_dir):
 def q_clean_corpus(spark, sf_dir):
     return C.clean_corpus(articles(spark, sf_dir), _profile(spark, sf_dir))
 FLAGSHIP = "clean_corpus"
+
+
+# ---------------------------------------------------------------- D: ground-truth mapping
+from tessera.operators import match as M  # noqa: E402
+from tessera.sources.tables import eval_passages  # noqa: E402
+
+
+@query
+def q_drop_duplicate_rows(spark, sf_dir):
+    return M.drop_duplicate_rows(table(spark, sf_dir, "conversations"), required=("text",))
+
+
+@query
+def q_unwrap_singleton(spark, sf_dir):
+    """Passages wrapped as one-element list literals come back unchanged."""
+    b = table(spark, sf_dir, "benchmark")
+    wrapped = b.select("item_id", tx.to_list_literal(F.array("text")).alias("relevant_chunk"))
+    return M.unwrap_singleton(wrapped, "relevant_chunk")
+
+
+def _clean(spark, sf_dir):
+    """The cleaned corpus, checkpointed: it feeds several branches of the mapping plans."""
+    return C.clean_corpus(articles(spark, sf_dir), _profile(spark, sf_dir)).checkpoint()
+
+
+@query
+def q_best_match(spark, sf_dir):
+    return M.best_match(eval_passages(spark, sf_dir), _clean(spark, sf_dir), exact=True)
+
+
+@query
+def q_best_match_closed(spark, sf_dir):
+    return M.best_match(eval_passages(spark, sf_dir), _clean(spark, sf_dir), exact=False)
+
+
+@query
+def q_map_eval_set(spark, sf_dir):
+    return M.map_eval_set(_clean(spark, sf_dir), eval_passages(spark, sf_dir), exact=True)
+
+
+@query
+def q_highlight_matches(spark, sf_dir):
+    clean = _clean(spark, sf_dir)
+    mapped = M.map_eval_set(clean, eval_passages(spark, sf_dir), exact=False)
+    return M.highlight_matches(mapped, clean, min_words=2).select("example_id", "best_match_id", "highlighted")

@@ -167,3 +167,41 @@ SELECT count(*) AS n_rows, count(DISTINCT id) AS n_ids, count(*) - count(DISTINC
 FROM (SELECT {S.content_id('text')} AS id FROM documents)""")
 
 sql("clean_corpus", S.with_(S.ARTICLES, S.clean_corpus_ctes()) + "SELECT * FROM clean")
+
+# ---------------------------------------------------------------- D
+sql("drop_duplicate_rows", "SELECT DISTINCT * FROM conversations WHERE text IS NOT NULL")
+
+sql("unwrap_singleton", "SELECT item_id, text AS relevant_chunk FROM benchmark")
+
+
+def _norm_tokens(x: str) -> str:
+    n = f"trim(lower(regexp_replace(regexp_replace({x}, '[\\x{{80}}-\\x{{ff}}]', '', 'g'), '[^\\p{{L}}\\p{{N}}_]', ' ', 'g')))"
+    return f"list_sort(list_distinct(list_filter(string_split_regex({n}, ' +'), lambda t: t <> '')))"
+
+
+def _jl(n: str, l: str) -> str:
+    return f"(CASE WHEN {n} > 0 THEN {l} + {n} - 1 ELSE 0 END)"
+
+
+def _r(num: str, den: str) -> str:
+    return f"CAST(round_even(100.0 * (CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE)), 0) AS INTEGER)"
+
+
+_CLOSED = f"""pn AS (SELECT item_id AS pid, {_norm_tokens('text')} AS toks FROM benchmark),
+pst AS (SELECT pid, len(toks) AS np, coalesce(list_sum(list_transform(toks, lambda t: length(t))), 0) AS lp FROM pn),
+dn AS (SELECT row_id AS did, {_norm_tokens('content')} AS toks FROM clean),
+dst AS (SELECT did, len(toks) AS nd, coalesce(list_sum(list_transform(toks, lambda t: length(t))), 0) AS ld FROM dn),
+pt AS (SELECT pid, unnest(toks) AS tok FROM pn),
+dt AS (SELECT did, unnest(toks) AS tok FROM dn),
+sh AS (SELECT pid, did, count(*) AS ns, sum(length(tok)) AS ls FROM pt JOIN dt USING (tok) GROUP BY pid, did),
+pr AS (SELECT pid, did, {_jl('ns', 'ls')} AS s, {_jl('np - ns', 'lp - ls')} AS a, {_jl('nd - ns', 'ld - ls')} AS b
+       FROM sh JOIN pst USING (pid) JOIN dst USING (did)),
+sc AS (SELECT pid, did, greatest(CASE WHEN a = 0 THEN 100 ELSE {_r('2 * s', '2 * s + 1 + a')} END,
+                                 CASE WHEN b = 0 THEN 100 ELSE {_r('2 * s', '2 * s + 1 + b')} END) AS score FROM pr),
+win AS (SELECT pid, did, score FROM (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY score DESC, did) AS rn
+        FROM sc WHERE score > 0) WHERE rn = 1)"""
+
+sql("best_match_closed", S.with_(S.ARTICLES, S.clean_corpus_ctes(), _CLOSED) + """
+SELECT b.item_id AS example_id, CAST(coalesce(w.score, 0) AS INTEGER) AS best_match_score,
+       CAST(c.id AS BIGINT) AS best_match_id
+FROM benchmark b LEFT JOIN win w ON w.pid = b.item_id LEFT JOIN clean c ON c.row_id = w.did""")
