@@ -232,7 +232,7 @@ def q_id_collisions(spark, sf_dir):
 @query
 def q_clean_corpus(spark, sf_dir):
     return C.clean_corpus(articles(spark, sf_dir), _profile(spark, sf_dir))
-FLAGSHIP = "clean_corpus"
+
 
 
 # ---------------------------------------------------------------- D: ground-truth mapping
@@ -278,3 +278,293 @@ def q_highlight_matches(spark, sf_dir):
     clean = _clean(spark, sf_dir)
     mapped = M.map_eval_set(clean, eval_passages(spark, sf_dir), exact=False)
     return M.highlight_matches(mapped, clean, min_words=2).select("example_id", "best_match_id", "highlighted")
+
+
+# ---------------------------------------------------------------- E: chunks, vectors, collections
+from tessera.operators import chunk as E  # noqa: E402
+from tessera.operators import compare as G2  # noqa: E402
+from tessera.operators import evaluate as EV  # noqa: E402
+from tessera.operators import generate as GEN  # noqa: E402
+from tessera.operators import retrieve as R  # noqa: E402
+from tessera.operators.embed import embed, hashed_embedding, l2_normalize  # noqa: E402
+from tessera.plans import rag  # noqa: E402
+
+
+def _vec_digest(col):
+    """Scalar digest of a vector: non-zero dims, norm, position-weighted sum (all rounded)."""
+    v = F.col(col) if isinstance(col, str) else col
+    nnz = F.size(F.filter(v, lambda x: x != 0)).cast("long")
+    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
+    wsum = F.aggregate(F.transform(v, lambda x, i: x.cast("double") * (i + 1)), F.lit(0.0), lambda acc, x: acc + x)
+    return [nnz.alias("nnz"), F.round(norm, 6).alias("norm"), F.round(wsum, 6).alias("wsum")]
+
+
+@query
+def q_recursive_chunk(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return (d.repartition("doc_id").select("doc_id", F.posexplode(E.recursive_chunk("text", 1000, 0)).alias("chunk_no", "chunk"))
+            .select("doc_id", F.col("chunk_no").cast("long"), F.length("chunk").cast("long").alias("n_chars"), "chunk"))
+
+
+@query
+def q_create_documents(spark, sf_dir):
+    return E.create_documents(_clean(spark, sf_dir), 1000, 0).select(
+        "chunk_id", "origin_doc_id", F.col("chunk_no").cast("long"), "page_content", "url", "domain", "title",
+        "author", "date")
+
+
+@query
+def q_fixed_chunk(spark, sf_dir):
+    return E.fixed_chunk(_clean(spark, sf_dir), 1000, 0).select(
+        "chunk_id", "origin_doc_id", F.col("chunk_no").cast("long"), "page_content", "url", "domain", "title",
+        "author", "date")
+
+
+@query
+def q_fixed_chunk_overlap(spark, sf_dir):
+    return E.fixed_chunk(_clean(spark, sf_dir), 1024, 32).select(
+        "chunk_id", "origin_doc_id", F.col("chunk_no").cast("long"), F.length("page_content").cast("long").alias("n_chars"))
+
+
+@query
+def q_chunk_report(spark, sf_dir):
+    clean = _clean(spark, sf_dir)
+    return E.chunk_report(E.fixed_chunk(clean, 200, 0), clean)
+
+
+@query
+def q_embed(spark, sf_dir):
+    chunks = E.fixed_chunk(_clean(spark, sf_dir), 1000, 0)
+    return embed(chunks.select("chunk_id", "page_content"), "page_content").select("chunk_id", *_vec_digest("embedding"))
+
+
+@query
+def q_l2_normalize(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", *_vec_digest(l2_normalize("embedding")))
+
+
+@query
+def q_collection_build(spark, sf_dir):
+    from tessera.operators.embed import collection_build
+    store = scratch_path(spark, "store")
+    clean = _clean(spark, sf_dir)
+    names = [collection_build(E.fixed_chunk(clean, size, 0), store, "BAAI/bge-small-en", f"fixed{size}")
+             for size in (1000, 200)]
+    del names
+    return coll.collection_stats(spark, store)
+
+
+# ---------------------------------------------------------------- F: retrieval and generation
+def _index(spark, sf_dir, size=1000, clean=None):
+    clean = _clean(spark, sf_dir) if clean is None else clean
+    chunks, vectors = rag.corpus_index(clean, size)
+    return clean, chunks, vectors
+
+
+def _questions(spark, sf_dir):
+    return eval_passages(spark, sf_dir).select("example_id", "question")
+
+
+def _hits(spark, sf_dir, strategy, size=1000):
+    _, chunks, vectors = _index(spark, sf_dir, size)
+    rows = rag.retrieve(_questions(spark, sf_dir), vectors, chunks, strategy)
+    return rows.select("example_id", F.col("rank").cast("long"), "chunk_id", "origin_doc_id",
+                       F.round("score", 6).alias("score"))
+
+
+@query
+def q_similarity_search(spark, sf_dir):
+    return _hits(spark, sf_dir, "base")
+
+
+@query
+def q_search_with_scores(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    hits = R.search_with_scores(e.select("vec_id", "embedding"), e.select(F.col("vec_id").alias("chunk_id"), "embedding"),
+                                k=4, qid="vec_id", exclude_self=True)
+    return hits.select("vec_id", F.col("rank").cast("long"), F.col("chunk_id").alias("hit_id"),
+                       F.round("cosine", 6).alias("cosine"), F.round("l2_sq", 6).alias("l2_sq"))
+
+
+@query
+def q_retrieve_batch(spark, sf_dir):
+    _, chunks, vectors = _index(spark, sf_dir)
+    rows = rag.retrieve(_questions(spark, sf_dir), vectors, chunks, "base")
+    packed = rag.pack_contexts(rows)
+    return packed.select("example_id", F.size("contexts").cast("long").alias("n_contexts"),
+                         F.array_join("contexts_origin_doc_ids", ",").alias("origin_ids"),
+                         GEN.format_context("contexts").alias("context"))
+
+
+@query
+def q_compare_chunk_sizes(spark, sf_dir):
+    a = _hits(spark, sf_dir, "base", 1000).withColumn("evaluator", F.lit("Baseline"))
+    b = _hits(spark, sf_dir, "base", 200).withColumn("evaluator", F.lit("Baseline 200"))
+    return a.unionByName(b)
+
+
+@query
+def q_multi_query(spark, sf_dir):
+    return _hits(spark, sf_dir, "multi_query")
+
+
+@query
+def q_step_back(spark, sf_dir):
+    return _hits(spark, sf_dir, "step_back")
+
+
+@query
+def q_hyde(spark, sf_dir):
+    return _hits(spark, sf_dir, "hyde")
+
+
+@query
+def q_compress_contexts(spark, sf_dir):
+    _, chunks, vectors = _index(spark, sf_dir)
+    rows = rag.retrieve(_questions(spark, sf_dir), vectors, chunks, "compression")
+    return rows.select("example_id", F.col("rank").cast("long"), "chunk_id", "page_content")
+
+
+@query
+def q_render_prompt(spark, sf_dir):
+    q = _questions(spark, sf_dir)
+    b = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("example_id"), F.col("text").alias("context"))
+    j = q.join(b, "example_id")
+    return j.select("example_id",
+                    GEN.render_prompt(GEN.BASE_PROMPT, context="context", question="question").alias("base"),
+                    GEN.render_prompt(GEN.MULTI_QUERY_PROMPT, question="question").alias("multi_query"),
+                    GEN.render_prompt(GEN.STEP_BACK_PROMPT, question="question").alias("step_back"),
+                    GEN.render_prompt(GEN.STEP_BACK_ANSWER_PROMPT, context="context", question="question")
+                    .alias("step_back_answer"),
+                    GEN.render_prompt(GEN.HYDE_PROMPT, question="question").alias("hyde"))
+
+
+def _answers(spark, sf_dir, strategy="base", size=1000):
+    _, chunks, vectors = _index(spark, sf_dir, size)
+    return rag.rag_answers(_questions(spark, sf_dir), vectors, chunks, strategy)
+
+
+@query
+def q_generate_batch(spark, sf_dir):
+    return _answers(spark, sf_dir).select("example_id", "answer")
+
+
+@query
+def q_rag_answers(spark, sf_dir):
+    return _answers(spark, sf_dir, "step_back").select("example_id", "question", "context", "answer")
+
+
+# ---------------------------------------------------------------- G: evaluation
+def _dataset(spark, sf_dir, strategy="base", size=1000, clean=None, mapped=None):
+    clean, chunks, vectors = _index(spark, sf_dir, size, clean)
+    if mapped is None:
+        mapped = M.map_eval_set(clean, eval_passages(spark, sf_dir), exact=False)
+    answers = rag.rag_answers(_questions(spark, sf_dir), vectors, chunks, strategy)
+    return EV.build_eval_dataset(mapped, answers)
+
+
+def _results(spark, sf_dir, strategy="base", size=1000, clean=None, mapped=None):
+    return EV.score_dataset(_dataset(spark, sf_dir, strategy, size, clean, mapped))
+
+
+_RESULT_COLS = ["example_id", "answer_correctness", "answer_relevancy", "answer_similarity", "context_precision",
+                "context_entity_recall", "rr", "hit_at_2"]
+
+
+@query
+def q_build_eval_dataset(spark, sf_dir):
+    ds = _dataset(spark, sf_dir)
+    return ds.select("example_id", "question", "answer", "ground_truth", "best_match_id",
+                     F.size("contexts").cast("long").alias("n_contexts"),
+                     F.array_join("contexts_origin_doc_ids", ",").alias("origin_ids"), "question_complexity")
+
+
+@query
+def q_reciprocal_rank(spark, sf_dir):
+    ds = _dataset(spark, sf_dir)
+    return ds.select("example_id", EV.reciprocal_rank().alias("rr"), EV.hit_at_k(2).alias("hit_at_2"))
+
+
+@query
+def q_hit_at_k(spark, sf_dir):
+    ds = _dataset(spark, sf_dir, size=200)
+    return ds.select("example_id", *[EV.hit_at_k(k).alias(f"hit_at_{k}") for k in (1, 2, 4)])
+
+
+@query
+def q_judge_metrics(spark, sf_dir):
+    res = _results(spark, sf_dir)
+    return res.select(*_RESULT_COLS, "reasoning")
+
+
+RUNS = (("Baseline", "base", 1000), ("Experiment 1: Baseline 200", "base", 200),
+        ("Experiment 2: Multi-Query Retrieval", "multi_query", 1000), ("Experiment 3: Step Back", "step_back", 1000))
+
+
+def _runs(spark, sf_dir):
+    """Four evaluated runs over one cleaned corpus and one mapped evaluation set (both checkpointed)."""
+    clean = _clean(spark, sf_dir)
+    mapped = M.map_eval_set(clean, eval_passages(spark, sf_dir), exact=False).checkpoint()
+    runs = {name: _results(spark, sf_dir, strategy, size, clean, mapped) for name, strategy, size in RUNS}
+    return G2.combine_runs({k: v.select(*_RESULT_COLS) for k, v in runs.items()})
+
+
+@query
+def q_metric_summary(spark, sf_dir):
+    return G2.metric_summary(_results(spark, sf_dir).select(*_RESULT_COLS[1:]))
+
+
+@query
+def q_metric_summary_lineitem(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return G2.metric_summary(li.select("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
+
+
+@query
+def q_combine_runs(spark, sf_dir):
+    return _runs(spark, sf_dir)
+
+
+@query
+def q_comparative_stats(spark, sf_dir):
+    return G2.comparative_stats(_runs(spark, sf_dir), use_median=False)
+
+
+@query
+def q_comparative_stats_median(spark, sf_dir):
+    return G2.comparative_stats(_runs(spark, sf_dir), use_median=True)
+
+
+@query
+def q_melt_metrics(spark, sf_dir):
+    return G2.melt_metrics(_runs(spark, sf_dir))
+
+
+@query
+def q_box_stats(spark, sf_dir):
+    return G2.box_stats(G2.melt_metrics(_runs(spark, sf_dir)))
+
+
+@query
+def q_box_stats_lineitem(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return G2.box_stats(li, value="l_extendedprice", by=("l_returnflag",))
+
+
+@query
+def q_mean_pair(spark, sf_dir):
+    runs = _runs(spark, sf_dir)
+    return (G2.mean_pair(runs, "Answer Correctness", "Context Precision").withColumn("pair", F.lit("precision"))
+            .unionByName(G2.mean_pair(runs, "Answer Correctness", "Reciprocal Rank").withColumn("pair", F.lit("rr"))))
+
+
+@query
+def q_system_confidence(spark, sf_dir):
+    return G2.system_confidence(_runs(spark, sf_dir))
+
+
+@query
+def q_allocate_testset(spark, sf_dir):
+    return G2.allocate_testset(table(spark, sf_dir, "documents"), "doc_id", n=10)
+FLAGSHIP = "judge_metrics"

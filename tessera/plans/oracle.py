@@ -205,3 +205,203 @@ sql("best_match_closed", S.with_(S.ARTICLES, S.clean_corpus_ctes(), _CLOSED) + "
 SELECT b.item_id AS example_id, CAST(coalesce(w.score, 0) AS INTEGER) AS best_match_score,
        CAST(c.id AS BIGINT) AS best_match_id
 FROM benchmark b LEFT JOIN win w ON w.pid = b.item_id LEFT JOIN clean c ON c.row_id = w.did""")
+
+# ---------------------------------------------------------------- E
+from tessera.operators.compare import DEFAULT_DISTRIBUTION, quotas  # noqa: E402
+
+_BASE = [S.ARTICLES, S.clean_corpus_ctes()]
+_QS = "qs AS (SELECT item_id AS qid, split_part(text, chr(10), 1) AS question FROM benchmark)"
+_MAPPED = _CLOSED + """,
+mapped AS (SELECT b.item_id AS example_id, b.item_id AS question_id, split_part(b.text, chr(10), 1) AS question,
+                  b.text AS ground_truth, CAST(coalesce(w.score, 0) AS INTEGER) AS best_match_score,
+                  CAST(c.id AS BIGINT) AS best_match_id
+           FROM benchmark b LEFT JOIN win w ON w.pid = b.item_id LEFT JOIN clean c ON c.row_id = w.did)"""
+
+
+def _digest(v: str) -> str:
+    return (f"CAST(len(list_filter({v}, lambda x: x <> 0)) AS BIGINT) AS nnz, "
+            f"round(sqrt(list_sum(list_transform({v}, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 6) AS norm, "
+            f"round(list_sum(list_transform({v}, lambda x, i: CAST(x AS DOUBLE) * i)), 6) AS wsum")
+
+
+sql("fixed_chunk", S.with_(*_BASE, S.fixed_chunks_cte("ch", 1000)) + "SELECT * FROM ch")
+sql("fixed_chunk_overlap", S.with_(*_BASE, S.fixed_chunks_cte("ch", 1024, 32)) +
+    "SELECT chunk_id, origin_doc_id, chunk_no, CAST(length(page_content) AS BIGINT) AS n_chars FROM ch")
+sql("chunk_report", S.with_(*_BASE, S.fixed_chunks_cte("ch", 200)) + """
+SELECT (SELECT count(*) FROM ch) AS n_chunks, (SELECT count(*) FROM clean) AS n_articles,
+       round(100.0 * (SELECT count(*) FROM ch) / (SELECT count(*) FROM clean), 6) AS pct""")
+sql("embed", S.with_(*_BASE, S.fixed_chunks_cte("ch", 1000), S.embed_ctes("cv", "ch", "chunk_id", "page_content"))
+    + f"SELECT chunk_id, {_digest('emb')} FROM cv")
+sql("l2_normalize", f"""SELECT vec_id, {_digest("list_transform(embedding, lambda x: CASE WHEN n > 0 THEN CAST(x AS DOUBLE) / n ELSE CAST(x AS DOUBLE) END)")}
+FROM (SELECT *, sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) AS n FROM embeddings)""")
+sql("collection_build", S.with_(*_BASE, S.fixed_chunks_cte("c1", 1000), S.fixed_chunks_cte("c2", 200)) + """
+SELECT 'cleantech_baai_bge_small_en_fixed1000_dev' AS collection, (SELECT count(*) FROM c1) AS n_rows, false AS is_empty
+UNION ALL
+SELECT 'cleantech_baai_bge_small_en_fixed200_dev', (SELECT count(*) FROM c2), false""")
+
+
+# ---------------------------------------------------------------- F
+def _rows_sql(strategy: str, size: int = 1000, t: str = "r") -> list[str]:
+    return [*_BASE, _QS, S.fixed_chunks_cte(f"ch{size}", size),
+            S.embed_ctes(f"cv{size}", f"ch{size}", "chunk_id", "page_content"),
+            *S.rows_ctes(t, strategy, f"ch{size}", f"cv{size}")]
+
+
+def _hits_select(t: str = "r", extra: str = "") -> str:
+    return (f"SELECT qid AS example_id, CAST(rank AS BIGINT) AS rank, chunk_id, origin_doc_id, round(score, 6) AS score"
+            f"{extra} FROM {t}_rows")
+
+
+sql("similarity_search", S.with_(*_rows_sql("base")) + _hits_select())
+sql("multi_query", S.with_(*_rows_sql("multi_query")) + _hits_select())
+sql("step_back", S.with_(*_rows_sql("step_back")) + _hits_select())
+sql("hyde", S.with_(*_rows_sql("hyde")) + _hits_select())
+sql("compress_contexts", S.with_(*_rows_sql("compression")) +
+    "SELECT qid AS example_id, CAST(rank AS BIGINT) AS rank, chunk_id, page_content FROM r_rows")
+sql("compare_chunk_sizes", S.with_(*_rows_sql("base", 1000, "a"), S.fixed_chunks_cte("ch200", 200),
+                                   S.embed_ctes("cv200", "ch200", "chunk_id", "page_content"),
+                                   *S.rows_ctes("b", "base", "ch200", "cv200"))
+    + _hits_select("a", ", 'Baseline' AS evaluator") + "\nUNION ALL\n" + _hits_select("b", ", 'Baseline 200' AS evaluator"))
+sql("retrieve_batch", S.with_(*_rows_sql("base"), *S.answer_ctes("r")) + """
+SELECT qid AS example_id, CAST(len(contexts) AS BIGINT) AS n_contexts, array_to_string(oids, ',') AS origin_ids,
+       context FROM r_ans""")
+sql("search_with_scores", """
+SELECT vec_id, CAST(rank AS BIGINT) AS rank, hit_id, round(cosine, 6) AS cosine, round(l2_sq, 6) AS l2_sq FROM (
+  SELECT q.vec_id, c.vec_id AS hit_id,
+         list_dot_product(CAST(q.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])) AS cosine,
+         list_sum(list_transform(list_zip(CAST(q.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])),
+                                 lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS l2_sq,
+         row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_sum(list_transform(list_zip(CAST(q.embedding AS DOUBLE[]),
+                                 CAST(c.embedding AS DOUBLE[])), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), 9), c.vec_id) AS rank
+  FROM embeddings q, embeddings c WHERE q.vec_id <> c.vec_id) WHERE rank <= 4""")
+
+
+def _tmpl_sql(template: str, **cols: str) -> str:
+    import re as _re
+    parts = []
+    for p in _re.split(r"(\{[a-z_]+\})", template):
+        if p.startswith("{") and p[1:-1] in cols:
+            parts.append(f"coalesce({cols[p[1:-1]]}, '')")
+        elif p:
+            parts.append("'" + p.replace("'", "''") + "'")
+    return " || ".join(parts)
+
+
+from tessera.operators import generate as _G  # noqa: E402
+
+sql("render_prompt", f"""
+SELECT item_id AS example_id,
+  {_tmpl_sql(_G.BASE_PROMPT, context='text', question="split_part(text, chr(10), 1)")} AS base,
+  {_tmpl_sql(_G.MULTI_QUERY_PROMPT, question="split_part(text, chr(10), 1)")} AS multi_query,
+  {_tmpl_sql(_G.STEP_BACK_PROMPT, question="split_part(text, chr(10), 1)")} AS step_back,
+  {_tmpl_sql(_G.STEP_BACK_ANSWER_PROMPT, context='text', question="split_part(text, chr(10), 1)")} AS step_back_answer,
+  {_tmpl_sql(_G.HYDE_PROMPT, question="split_part(text, chr(10), 1)")} AS hyde
+FROM benchmark""")
+
+sql("generate_batch", S.with_(*_rows_sql("base"), *S.answer_ctes("r")) + "SELECT qid AS example_id, answer FROM r_ans")
+sql("rag_answers", S.with_(*_rows_sql("step_back"), *S.answer_ctes("r")) +
+    "SELECT qid AS example_id, question, context, answer FROM r_ans")
+
+
+# ---------------------------------------------------------------- G
+def _run_sql(t: str, strategy: str, size: int) -> list[str]:
+    return [S.fixed_chunks_cte(f"{t}_ch", size), S.embed_ctes(f"{t}_cv", f"{t}_ch", "chunk_id", "page_content"),
+            *S.rows_ctes(t, strategy, f"{t}_ch", f"{t}_cv"), *S.answer_ctes(t), *S.result_ctes(t)]
+
+
+_G_BASE = [*_BASE, _QS, _MAPPED]
+_RES_COLS = ("example_id, answer_correctness, answer_relevancy, answer_similarity, context_precision, "
+             "context_entity_recall, rr, hit_at_2")
+
+sql("build_eval_dataset", S.with_(*_G_BASE, *_run_sql("r", "base", 1000)) + """
+SELECT example_id, question, answer, ground_truth, best_match_id, CAST(len(contexts) AS BIGINT) AS n_contexts,
+       array_to_string(oids, ',') AS origin_ids, CAST(NULL AS VARCHAR) AS question_complexity FROM r_ds""")
+sql("reciprocal_rank", S.with_(*_G_BASE, *_run_sql("r", "base", 1000)) + "SELECT example_id, rr, hit_at_2 FROM r_res")
+sql("hit_at_k", S.with_(*_G_BASE, *_run_sql("r", "base", 200)) + """
+SELECT example_id, CASE WHEN p > 0 AND p <= 1 THEN 1.0 ELSE 0.0 END AS hit_at_1,
+       CASE WHEN p > 0 AND p <= 2 THEN 1.0 ELSE 0.0 END AS hit_at_2, CASE WHEN p > 0 AND p <= 4 THEN 1.0 ELSE 0.0 END AS hit_at_4
+FROM (SELECT example_id, CASE WHEN best_match_id IS NULL THEN 0 ELSE coalesce(list_position(oids, best_match_id), 0) END AS p
+      FROM r_ds)""")
+sql("judge_metrics", S.with_(*_G_BASE, *_run_sql("r", "base", 1000)) + f"SELECT {_RES_COLS}, reasoning FROM r_res")
+sql("metric_summary", S.with_(*_G_BASE, *_run_sql("r", "base", 1000)) + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{m}' AS metric, round(avg({m}), 6) AS mean, round(stddev_samp({m}), 6) AS std FROM r_res"
+    for m in _RES_COLS.split(", ")[1:]))
+sql("metric_summary_lineitem", "\nUNION ALL\n".join(
+    f"SELECT '{m}' AS metric, round(avg({m}), 6) AS mean, round(stddev_samp({m}), 6) AS std FROM lineitem"
+    for m in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")))
+
+_RUNS = (("Baseline", "base", 1000), ("Experiment 1: Baseline 200", "base", 200),
+         ("Experiment 2: Multi-Query Retrieval", "multi_query", 1000), ("Experiment 3: Step Back", "step_back", 1000))
+_DISPLAY = {"answer_correctness": "Answer Correctness", "answer_relevancy": "Answer Relevancy",
+            "answer_similarity": "Answer Similarity", "context_precision": "Context Precision",
+            "context_entity_recall": "Context Entity Recall", "rr": "Reciprocal Rank", "hit_at_2": "Hit@2"}
+_ALL_RUNS = [c for i, (_, st, sz) in enumerate(_RUNS) for c in _run_sql(f"e{i}", st, sz)]
+_COMBINED = "combined AS (" + "\nUNION ALL\n".join(
+    f"SELECT example_id, " + ", ".join(f'{k} AS "{v}"' for k, v in _DISPLAY.items()) + f", '{name}' AS evaluator FROM e{i}_res"
+    for i, (name, _, _) in enumerate(_RUNS)) + ")"
+_RUNS_WITH = S.with_(*_G_BASE, *_ALL_RUNS, _COMBINED)
+_ALL_DISPLAY = list(_DISPLAY.values())
+_JUDGE_DISPLAY = _ALL_DISPLAY[:5]
+
+
+def _melt(metrics) -> str:
+    return "\nUNION ALL\n".join(
+        f"""SELECT evaluator, '{m}' AS metric, CASE WHEN isnan("{m}") THEN NULL ELSE "{m}" END AS value FROM combined"""
+        for m in metrics)
+
+
+sql("combine_runs", _RUNS_WITH + "SELECT * FROM combined")
+sql("melt_metrics", _RUNS_WITH + _melt(_JUDGE_DISPLAY))
+
+
+def _cmp(center: str) -> str:
+    return _RUNS_WITH + f""", lg AS ({_melt(_ALL_DISPLAY)})
+SELECT evaluator, metric, round(v, 6) AS value, round(sd, 6) AS std, round(greatest(0.0, v - sd), 6) AS lower,
+       round(least(1.0, v + sd), 6) AS upper
+FROM (SELECT evaluator, metric, {center}(value) AS v, stddev_samp(value) AS sd FROM lg GROUP BY evaluator, metric)"""
+
+
+sql("comparative_stats", _cmp("avg"))
+sql("comparative_stats_median", _cmp("median"))
+
+
+def _box(src: str, by: list[str], value: str) -> str:
+    b = ", ".join(by)
+    return f"""base AS (SELECT {b}, CAST({value} AS DOUBLE) AS v FROM {src} WHERE {value} IS NOT NULL AND NOT isnan(CAST({value} AS DOUBLE))),
+q AS (SELECT {b}, count(*) AS n, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3
+      FROM base GROUP BY {b}),
+w AS (SELECT {", ".join("base." + x for x in by)}, min(CASE WHEN v >= q1 - 1.5 * (q3 - q1) AND v <= q3 + 1.5 * (q3 - q1) THEN v END) AS wlo,
+             max(CASE WHEN v >= q1 - 1.5 * (q3 - q1) AND v <= q3 + 1.5 * (q3 - q1) THEN v END) AS whi,
+             sum(CASE WHEN v >= q1 - 1.5 * (q3 - q1) AND v <= q3 + 1.5 * (q3 - q1) THEN 0 ELSE 1 END) AS nout
+      FROM base JOIN q USING ({b}) GROUP BY {", ".join("base." + x for x in by)})
+SELECT {b}, CAST(n AS BIGINT) AS n, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+       round(wlo, 6) AS whisker_lo, round(whi, 6) AS whisker_hi, CAST(nout AS BIGINT) AS n_outliers
+FROM q JOIN w USING ({b})"""
+
+
+sql("box_stats", _RUNS_WITH + f", lg AS ({_melt(_JUDGE_DISPLAY)}),\n" + _box("lg", ["evaluator", "metric"], "value"))
+sql("box_stats_lineitem", "WITH " + _box("lineitem", ["l_returnflag"], "l_extendedprice"))
+
+sql("mean_pair", _RUNS_WITH + """
+SELECT evaluator, round(avg("Answer Correctness"), 6) AS mean_x, round(avg("Context Precision"), 6) AS mean_y,
+       'precision' AS pair FROM combined GROUP BY evaluator
+UNION ALL
+SELECT evaluator, round(avg("Answer Correctness"), 6), round(avg("Reciprocal Rank"), 6), 'rr' FROM combined GROUP BY evaluator""")
+
+sql("system_confidence", _RUNS_WITH + f""", lg AS ({_melt(_ALL_DISPLAY)}),
+sd AS (SELECT evaluator, metric, stddev_samp(value) AS s FROM lg GROUP BY evaluator, metric),
+av AS (SELECT evaluator, avg(s) AS avg_std FROM sd GROUP BY evaluator),
+cm AS (SELECT evaluator, avg("Answer Correctness") AS cm FROM combined GROUP BY evaluator)
+SELECT evaluator, round(avg_std, 6) AS avg_std, round((SELECT max(avg_std) FROM av) + 1 - avg_std, 6) AS system_confidence,
+       round(cm, 6) AS correctness_mean FROM av JOIN cm USING (evaluator)""")
+
+_SLOTS = [k for k, c in quotas(10, DEFAULT_DISTRIBUTION) for _ in range(c)]
+sql("allocate_testset", f"""
+WITH first AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM (SELECT doc_id FROM documents ORDER BY doc_id LIMIT 5)),
+m AS (SELECT count(*) AS m FROM first),
+slots AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{k}')" for i, k in enumerate(_SLOTS))}) t(slot, kind)),
+s AS (SELECT slot, kind, CAST(('0x' || substr(sha256('42:' || CAST(slot AS VARCHAR)), 1, 8))::UBIGINT % m AS BIGINT) AS pos, m
+      FROM slots, m WHERE m > 0)
+SELECT CAST(s.slot AS INTEGER) AS slot, s.kind, f1.doc_id AS doc, f2.doc_id AS second_doc
+FROM s JOIN first f1 ON f1.pos = s.pos
+LEFT JOIN first f2 ON s.kind = 'multi_context' AND f2.pos = (s.pos + 1) % s.m""")
