@@ -30,3 +30,19 @@ def keep_first(df: DataFrame, key, order) -> DataFrame:
     o = F.col(order) if isinstance(order, str) else order
     return (df.groupBy(k.alias("__k")).agg(F.min_by(F.struct(*cols), o).alias("__r"))
             .select("__r.*"))
+
+
+def spread(df: DataFrame, key=None) -> DataFrame:
+    """Hash-redistribute ``df`` only when it has fewer partitions than the cluster has cores.
+
+    CPU-heavy per-row work (regexes, Arrow UDFs) needs parallelism; a large input
+    already arrives in many splits and is left alone (no extra shuffle), while a
+    small or single-split input is spread over all cores first.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    if key is None:
+        return df.repartition(cores)
+    return df.repartition(cores, F.col(key) if isinstance(key, str) else key)

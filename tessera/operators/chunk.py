@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.functions.plan import spread
 from tessera.schemas import METADATA_COLUMNS, require_columns
 
 # The splitter's separator list, tried in order (fixed values).
@@ -126,7 +127,7 @@ def create_documents(df: DataFrame, size: int, overlap: int = 0, none_as: str |
     notebook's variant). The article key (full content hash when present)
     spreads long texts over partitions before the Python splitter runs.
     """
-    src = df.repartition(F.col(key)) if key in df.columns else df
+    src = spread(df, key if key in df.columns else None)
     base = _documents(src, recursive_chunk("content", size, overlap), none_as)
     rows = base.select("*", F.posexplode("__p").alias("chunk_no", "page_content")).drop("__p")
     return rows.select(F.concat(F.col("__key"), F.lit("-"), F.col("chunk_no").cast("string"))

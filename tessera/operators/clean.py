@@ -13,9 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tessera.functions.plan import keep_first
+from tessera.functions.plan import keep_first, spread
 from tessera.functions.text import concat_content, content_id, content_key, strip_special, strip_tags
-from tessera.operators.language import LanguageProfile, detect_language
+from tessera.operators.language import LanguageProfile, detect_language, language_column
 from tessera.schemas import ARTICLE_COLUMNS, require_columns
 
 
@@ -77,30 +77,38 @@ def clean_corpus(articles: DataFrame, profile: LanguageProfile, keep_language: s
     ``articles`` has ``content`` as array<string>. With ``observe=True`` returns
     ``(df, observations)`` whose metrics (rows in, English rows, kept rows) fill
     once an action has run on ``df``; no extra job is started for them.
+
+    Plan: detection runs in place (broadcast profile), cleaning is a projection,
+    and the keep-first dedup is the only shuffle of corpus rows.
     """
     require_columns(articles, ARTICLE_COLUMNS)
     meta = ["title", "date", "author", "domain", "url"]
-    base = articles.select(key, F.col("content").alias("chunks"), *meta)
-
-    lang = detect_language(base.select(key, F.array_join("chunks", "\n").alias("raw")), key, "raw",
-                           profile, detector=detector)
-    hashes = base.select(key, F.sha2(clean_text(F.col("chunks")), 256).alias("h"))
+    base = spread(articles.select(key, F.col("content").alias("chunks"), *meta), key)
     obs = {}
     if observe:
         obs["input"] = Observation("input")
-        hashes = hashes.observe(obs["input"], F.count(F.lit(1)).alias("rows"))
-    english = hashes.join(lang.where(F.col("language") == keep_language), key)
+        base = base.observe(obs["input"], F.count(F.lit(1)).alias("rows"))
+
+    lang_col = None if detector is not None else language_column(profile, F.array_join("chunks", "\n"))
+    if lang_col is None:
+        # custom detector or a profile too large to broadcast: keys-only detection, joined back
+        lang = detect_language(base.select(key, F.array_join("chunks", "\n").alias("raw")), key, "raw",
+                               profile, detector=detector)
+        tagged = base.join(lang, key)
+    else:
+        tagged = base.withColumn("language", lang_col)
+    english = tagged.where(F.col("language") == keep_language).select(
+        key, clean_text(F.col("chunks")).alias("content"), "language", *meta)
     if observe:
         obs["language"] = Observation("language")
         english = english.observe(obs["language"], F.count(F.lit(1)).alias("rows"))
-    keep = english.groupBy("h").agg(F.min_by(F.struct(key, "language"), F.col(key)).alias("r")).select("r.*")
+    # keep-first dedup: one shuffle, map-side partial min_by collapses repeated content early
+    kept = dedup_keep_first(english, "content", key)
     if observe:
         obs["dedup"] = Observation("dedup")
-        keep = keep.observe(obs["dedup"], F.count(F.lit(1)).alias("rows"))
-
-    # Reference regroups by row id here; ids are unique after dedup, so that groupby
+        kept = kept.observe(obs["dedup"], F.count(F.lit(1)).alias("rows"))
+    # The reference regroups by row id here; ids are unique after dedup, so that groupby
     # is the identity on content (a one-element list joined with ' ') and is omitted.
-    cleaned = base.join(keep, key).select(
-        key, clean_text(F.col("chunks")).alias("content"), "language", *meta)
-    out = cleaned.withColumn("id", content_id("content")).withColumn("doc_key", content_key("content"))
+    out = kept.select(key, "content", "language", *meta).withColumn("id", content_id("content")) \
+        .withColumn("doc_key", content_key("content"))
     return (out, obs) if observe else out

@@ -1,4 +1,4 @@
-"""Language detection as a join (C1): character-trigram naive Bayes.
+"""Language detection (C1): character-trigram naive Bayes.
 
 Training counts trigrams per language (one aggregate). With add-one smoothing
 over the vocabulary ``V`` of all trained trigrams, the log-likelihood of a text
@@ -12,20 +12,60 @@ one constant ``k_l = ln(T_l + V)`` per language. Both are quantised to integer
 micro-units, so scores are exact integer sums: the same winner whatever the
 partitioning or summation order. Detection explodes trigrams and joins a wide
 profile (one column per language), then aggregates per text with map-side
-partial sums; the profile is checkpointed and broadcast only when its row count
-is below ``broadcast_rows`` (it is bounded by the trigram alphabet, not by the
-corpus). Ties go to the greater language code; a text with no known trigram
-gets NULL (the reference's "undetectable").
+partial sums. Two physical forms with identical integer results:
+
+* profile of at most ``BROADCAST_GRAMS`` trigrams (bounded by the trigram
+  alphabet, not by the corpus; checked by a count): it is broadcast and each
+  text is scored in place by an Arrow UDF (per-text trigram counts), so no
+  row is shuffled and no join is needed;
+* larger profiles: trigrams are exploded, joined to the wide profile and
+  summed per text with map-side partial aggregation.
+
+Ties go to the greater language code; a text with no known trigram gets NULL
+(the reference's "undetectable").
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.plan import spread
+
 SCALE = 1_000_000
+# A profile with at most this many trigrams is broadcast to the Python workers
+# (it is bounded by the trigram alphabet); larger ones use the relational path.
+BROADCAST_GRAMS = 2_000_000
+
+_NON_LETTERS = regex.compile(r"\P{L}+")
+
+
+def gram_keys(text: str) -> np.ndarray:
+    """int64 keys (21 bits per code point) of every padded-word trigram of one text.
+
+    Same multiset as ``char_trigrams``: non-letter runs become one space, the
+    text is padded, and every window whose middle code point is a letter counts.
+    """
+    s = " " + _NON_LETTERS.sub(" ", text.lower()) + " "
+    a = np.frombuffer(s.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+    if len(a) < 3:
+        return np.zeros(0, dtype=np.int64)
+    keys = (a[:-2] << 42) | (a[1:-1] << 21) | a[2:]
+    return keys[a[1:-1] != 32]
+
+
+def encode_gram(g: str) -> int:
+    a, b, c = (ord(x) for x in g)
+    return (a << 42) | (b << 21) | c
+
+
+def decode_gram(k: int) -> str:
+    return chr((k >> 42) & 0x1FFFFF) + chr((k >> 21) & 0x1FFFFF) + chr(k & 0x1FFFFF)
 
 
 def char_trigrams(col) -> Column:
@@ -47,10 +87,23 @@ class LanguageProfile:
     languages: list[str]
 
 
+def _doc_gram_counts(it):
+    """Per Arrow batch and language: distinct trigram keys and their counts (pre-aggregated)."""
+    for pdf in it:
+        by_lang: dict[str, list[np.ndarray]] = {}
+        for lang, text in zip(pdf["lang"], pdf["text"]):
+            by_lang.setdefault(lang, []).append(gram_keys(text or ""))
+        for lang, parts in by_lang.items():
+            keys, counts = np.unique(np.concatenate(parts), return_counts=True)
+            yield pd.DataFrame({"lang": lang, "gram": [decode_gram(int(k)) for k in keys],
+                                "c": counts.astype("int64")})
+
+
 def train_profile(df: DataFrame, text: str = "text", lang: str = "lang") -> LanguageProfile:
-    grams = df.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"),
-                                                    F.explode(char_trigrams(text)).alias("gram"))
-    counts = grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("c")).checkpoint()
+    """Trigram counts per language (per-document counts in Python, then one partial-aggregated sum)."""
+    labelled = spread(df.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text")))
+    per_doc = labelled.mapInPandas(_doc_gram_counts, "lang string, gram string, c long")
+    counts = per_doc.groupBy("lang", "gram").agg(F.sum("c").alias("c")).checkpoint()
     languages = sorted(r[0] for r in counts.select("lang").distinct().collect())
     vocab = counts.agg(F.countDistinct("gram").alias("V"))
     totals = counts.groupBy("lang").agg(F.sum("c").alias("T"))
@@ -80,6 +133,47 @@ def language_scores(df: DataFrame, key: str | list[str], text: str, profile: Lan
         (F.col(f"sw_{l}") - F.col("n_known") * F.col(f"k_{l}")).alias(f"score_{l}") for l in profile.languages])
 
 
+def _scorer(profile: LanguageProfile):
+    """Broadcast the (bounded) profile and return a pandas UDF: text -> best language."""
+    langs = profile.languages
+    rows = profile.weights.collect()  # size checked by the caller
+    keys = np.array([encode_gram(r["gram"]) for r in rows], dtype=np.int64)
+    w = np.array([[int(r[f"w_{l}"]) for l in langs] for r in rows], dtype=np.int64).reshape(len(rows), len(langs))
+    order = np.argsort(keys)
+    norms = profile.norms.first()
+    k = np.array([int(norms[f"k_{l}"]) for l in langs], dtype=np.int64)
+    bc = profile.weights.sparkSession.sparkContext.broadcast((keys[order], w[order], k, list(langs)))
+
+    @F.pandas_udf("string")
+    def best_language(texts: pd.Series) -> pd.Series:
+        pk, pw, kk, ls = bc.value
+        out = []
+        for t in texts:
+            if t is None or len(pk) == 0:
+                out.append(None)
+                continue
+            uk, cnt = np.unique(gram_keys(t), return_counts=True)
+            idx = np.minimum(np.searchsorted(pk, uk), len(pk) - 1)
+            hit = pk[idx] == uk
+            n = int(cnt[hit].sum())
+            if n == 0:
+                out.append(None)
+                continue
+            score = cnt[hit].astype(np.int64) @ pw[idx[hit]] - n * kk  # exact integer arithmetic
+            j = len(ls) - 1 - int(np.argmax(score[::-1]))  # ties go to the greater language code
+            out.append(ls[j])
+        return pd.Series(out, dtype=object)
+
+    return best_language
+
+
+def language_column(profile: LanguageProfile, text) -> Column | None:
+    """The detection as a column (no shuffle) when the profile is small enough to broadcast."""
+    if profile.weights.count() > BROADCAST_GRAMS:
+        return None
+    return _scorer(profile)(F.col(text) if isinstance(text, str) else text)
+
+
 def detect_language(df: DataFrame, key: str | list[str], text: str, profile: LanguageProfile,
                     out: str = "language", detector=None) -> DataFrame:
     """(key..., ``out``) for every row of ``df``: best language of ``text``, NULL if undetectable.
@@ -92,6 +186,9 @@ def detect_language(df: DataFrame, key: str | list[str], text: str, profile: Lan
     if detector is not None:
         udf = F.pandas_udf(detector, "string")
         return df.select(*keys, udf(F.col(text)).alias(out))
+    col = language_column(profile, text)
+    if col is not None:
+        return spread(df.select(*keys, text), keys[0]).select(*keys, col.alias(out))
     scores = language_scores(df, keys, text, profile)
     langs = profile.languages
     if len(langs) == 1:

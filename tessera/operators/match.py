@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions import fuzzy
+from tessera.functions.plan import spread
 from tessera.functions.text import fuzz_normalize, joined_length, parse_list_literal, token_set
 
 BUCKET = 64
@@ -68,7 +69,8 @@ def _sides(passages: DataFrame, pid: str, ptext: str, articles: DataFrame, order
     p = passages.select(F.col(pid).alias("pid"), token_set(fuzz_normalize(F.col(ptext))).alias("ptoks"))
     p = p.select("pid", "ptoks", F.size("ptoks").alias("np"),
                  F.aggregate("ptoks", F.lit(0), lambda acc, t: acc + F.length(t)).alias("lp"))
-    d = articles.select(F.col(order).alias("did"), token_set(fuzz_normalize(F.col(content))).alias("dtoks"))
+    d = spread(articles.select(F.col(order).alias("did"), F.col(content).alias("__c")), "did").select(
+        "did", token_set(fuzz_normalize(F.col("__c"))).alias("dtoks"))
     d = d.select("did", "dtoks", F.size("dtoks").alias("nd"),
                  F.aggregate("dtoks", F.lit(0), lambda acc, t: acc + F.length(t)).alias("ld"))
     return p, d
