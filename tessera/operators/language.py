@@ -117,6 +117,35 @@ def train_profile(df: DataFrame, text: str = "text", lang: str = "lang") -> Lang
     return LanguageProfile(wide.checkpoint(), norms.checkpoint(), languages)
 
 
+PROFILE_VERSION = "trigram-nb-1"
+
+
+def save_profile(profile: LanguageProfile, path: str) -> None:
+    profile.weights.write.mode("overwrite").parquet(f"{path}/weights")
+    profile.norms.write.mode("overwrite").parquet(f"{path}/norms")
+
+
+def load_profile(spark, path: str) -> LanguageProfile:
+    weights = spark.read.parquet(f"{path}/weights")
+    langs = sorted(c[2:] for c in weights.columns if c.startswith("w_"))
+    return LanguageProfile(weights, spark.read.parquet(f"{path}/norms"), langs)
+
+
+def trained_profile(df: DataFrame, cache_path: str | None, text: str = "text", lang: str = "lang") -> LanguageProfile:
+    """Load the profile persisted at ``cache_path`` if complete, else train, persist and load it.
+
+    The detector is a model, fitted once and reused like a shipped language
+    profile; the cache key should name the training table and PROFILE_VERSION.
+    """
+    spark = df.sparkSession
+    if cache_path is None:
+        return train_profile(df, text, lang)
+    from tessera.sources.io import _exists
+    if not _exists(spark, f"{cache_path}/norms"):
+        save_profile(train_profile(df, text, lang), cache_path)
+    return load_profile(spark, cache_path)
+
+
 def language_scores(df: DataFrame, key: str | list[str], text: str, profile: LanguageProfile,
                     broadcast_rows: int = 5_000_000) -> DataFrame:
     """Per key: N (known trigram occurrences) and one integer score column per language."""

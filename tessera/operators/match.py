@@ -154,7 +154,15 @@ def best_match(passages: DataFrame, articles: DataFrame, pid: str = "example_id"
 
 
 def _exact_winner(p: DataFrame, d: DataFrame, pairs: DataFrame, closed_best: DataFrame) -> DataFrame:
-    spark = pairs.sparkSession
+    cand = _candidates(p, d, pairs, closed_best)
+    exact3 = cand.mapInPandas(_lcs_scores, "pid long, did long, r3 int").where(F.col("r3") >= 0)
+    scored = (pairs.select("pid", "did", F.col("closed").alias("score"))
+              .unionByName(exact3.select("pid", "did", F.col("r3").alias("score"))))
+    return _winner(scored, "score")
+
+
+def _candidates(p: DataFrame, d: DataFrame, pairs: DataFrame, closed_best: DataFrame) -> DataFrame:
+    """Pairs whose exact third term may still beat the closed-form winner, with their token strings."""
     th = p.select("pid", "np", "lp").join(closed_best, "pid", "left").select(
         "pid", F.coalesce("score", F.lit(0)).alias("t"), F.col("did").alias("t_did"),
         joined_length(F.col("np"), F.col("lp")).alias("a_full"))
@@ -188,15 +196,10 @@ def _exact_winner(p: DataFrame, d: DataFrame, pairs: DataFrame, closed_best: Dat
     cand = (cand.join(p.select("pid", "ptoks"), "pid").join(d.select("did", "dtoks"), "did")
             .join(th.select("pid", "t", "t_did"), "pid"))
     need = F.when(F.col("t_did").isNull() | (F.col("did") < F.col("t_did")), F.col("t")).otherwise(F.col("t") + 1)
-    cand = cand.select(
+    return cand.select(
         "pid", "did", "s", need.alias("need"),
         F.array_join(F.array_except("ptoks", "dtoks"), " ").alias("astr"),
         F.array_join(F.array_except("dtoks", "ptoks"), " ").alias("bstr"))
-    exact3 = cand.mapInPandas(_lcs_scores, "pid long, did long, r3 int").where(F.col("r3") >= 0)
-    scored = (pairs.select("pid", "did", F.col("closed").alias("score"))
-              .unionByName(exact3.select("pid", "did", F.col("r3").alias("score"))))
-    del spark
-    return _winner(scored, "score")
 
 
 def to_ground_truth(df: DataFrame) -> DataFrame:

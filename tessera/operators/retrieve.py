@@ -1,7 +1,8 @@
 """Retrieval (F1-F8): exact top-k by inner product, plus the query strategies.
 
 Top-k plan: vectors stay where they are. The query matrix is broadcast when
-``n_queries * dim`` is within ``broadcast_floats`` (checked with a count); each
+it has at most ``broadcast_rows`` rows and ``broadcast_floats`` values (proved
+by fetching at most ``broadcast_rows + 1`` rows, never more); each
 vector partition scores all queries with one matrix product per block and
 keeps its local top-k per query, so at most ``k`` rows per query and partition
 reach the shuffle; a ``row_number <= k`` window (planned as WindowGroupLimit)
@@ -70,7 +71,8 @@ def _global_topk(local: DataFrame, k: int, metric: str) -> DataFrame:
 def similarity_search(queries: DataFrame, vectors: DataFrame, k: int = 4, qid: str = "question_id",
                       qvec: str = "embedding", cid: str = "chunk_id", cvec: str = "embedding",
                       metric: str = "ip", exclude_self: bool = False, broadcast_floats: int = 50_000_000,
-                      block_rows: int = 4096, grid: tuple[int, int] | None = None) -> DataFrame:
+                      broadcast_rows: int = 500_000, block_rows: int = 4096,
+                      grid: tuple[int, int] | None = None) -> DataFrame:
     """HIT rows (qid, rank, chunk_id, score, l2_sq): the top-k vectors per query (F1/F2).
 
     ``metric='ip'`` ranks by inner product (cosine for unit vectors), ``'l2'`` by
@@ -83,11 +85,13 @@ def similarity_search(queries: DataFrame, vectors: DataFrame, k: int = 4, qid: s
     kk = k + 1 if exclude_self else k
     schema = f"qid long, chunk_id {v.schema['cid'].dataType.simpleString()}, score double, l2_sq double"
 
-    n_q = q.count()
-    dim = len(q.select("qv").first()[0]) if n_q else 0
-    if grid is None and n_q * max(dim, 1) <= broadcast_floats:
-        qpdf = q.toPandas()  # bounded: n_q * dim floats, checked above
-        bq = spark.sparkContext.broadcast((qpdf["qid"].to_numpy(), _stack(qpdf["qv"])))
+    # One bounded probe proves the broadcast size: at most broadcast_rows + 1 rows are fetched;
+    # if the query side is larger (or rows * dim exceeds the float budget) the grid path runs.
+    qpdf = q.limit(broadcast_rows + 1).toPandas() if grid is None else None
+    qmat = _stack(qpdf["qv"]) if qpdf is not None else None
+    small = qpdf is not None and len(qpdf) <= broadcast_rows and qmat.size <= broadcast_floats
+    if small:
+        bq = spark.sparkContext.broadcast((qpdf["qid"].to_numpy(), qmat))
 
         def score_part(it):
             qids, qmat = bq.value
@@ -100,7 +104,11 @@ def similarity_search(queries: DataFrame, vectors: DataFrame, k: int = 4, qid: s
 
         local = v.mapInPandas(score_part, schema)
     else:
-        qb, cb = grid or (max(1, int(np.ceil(n_q * max(dim, 1) / broadcast_floats))), spark.sparkContext.defaultParallelism)
+        if grid is None:
+            n_q, dim = q.agg(F.count(F.lit(1)), F.max(F.size("qv"))).first()
+            grid = (max(1, int(np.ceil(n_q * max(dim or 1, 1) / broadcast_floats))),
+                    spark.sparkContext.defaultParallelism)
+        qb, cb = grid
         qx = q.select("*", F.pmod(F.hash("qid"), F.lit(qb)).alias("qb"),
                       F.explode(F.sequence(F.lit(0), F.lit(cb - 1))).alias("cb"))
         vx = v.select("*", F.pmod(F.hash("cid"), F.lit(cb)).alias("cb"),

@@ -31,8 +31,18 @@ def query(fn: Query) -> Query:
 
 
 def _profile(spark: SparkSession, sf_dir: str):
-    ensure_checkpoint_dir(spark)
-    return train_profile(table(spark, sf_dir, "documents"), "text", "lang")
+    """The language model fitted on the labelled ``documents`` table, persisted once per table version."""
+    import hashlib
+    import os
+
+    from tessera.operators.language import PROFILE_VERSION, trained_profile
+
+    base = ensure_checkpoint_dir(spark)
+    src = os.path.join(sf_dir, "documents.parquet")
+    stamp = f"{os.path.abspath(src)}|{os.path.getsize(src) if os.path.exists(src) else ''}|" \
+            f"{os.path.getmtime(src) if os.path.exists(src) else ''}|{PROFILE_VERSION}"
+    path = os.path.join(base, "models", "langprofile-" + hashlib.sha1(stamp.encode()).hexdigest()[:16])
+    return trained_profile(table(spark, sf_dir, "documents"), path, "text", "lang")
 
 
 # ---------------------------------------------------------------- A: sources, sinks
@@ -268,6 +278,18 @@ def q_best_match_closed(spark, sf_dir):
     return M.best_match(eval_passages(spark, sf_dir), _clean(spark, sf_dir), exact=False)
 
 
+@query
+def q_token_set_ratio(spark, sf_dir):
+    """D3: exact ratio of every passage against its closed-form best article (an id join, not all pairs)."""
+    clean = _clean(spark, sf_dir)
+    closed = M.best_match(eval_passages(spark, sf_dir), clean, exact=False)
+    arts = clean.select(F.col("id").alias("best_match_id"), "content")
+    pairs = closed.join(eval_passages(spark, sf_dir).select("example_id", "relevant_chunk"), "example_id") \
+        .join(arts, "best_match_id")
+    return pairs.select("example_id", "best_match_id", F.col("best_match_score").alias("closed_score"),
+                        M.token_set_ratio(F.col("relevant_chunk"), F.col("content")).alias("ratio"))
+
+
 @query
 def q_map_eval_set(spark, sf_dir):
     return M.map_eval_set(_clean(spark, sf_dir), eval_passages(spark, sf_dir), exact=True)
@@ -465,7 +487,8 @@ def _dataset(spark, sf_dir, strategy="base", size=1000, clean=None, mapped=None)
 
 
 def _results(spark, sf_dir, strategy="base", size=1000, clean=None, mapped=None):
-    return EV.score_dataset(_dataset(spark, sf_dir, strategy, size, clean, mapped))
+    # answers are materialised once (generation must not re-run for every metric join)
+    return EV.score_dataset(_dataset(spark, sf_dir, strategy, size, clean, mapped).checkpoint())
 
 
 _RESULT_COLS = ["example_id", "answer_correctness", "answer_relevancy", "answer_similarity", "context_precision",
