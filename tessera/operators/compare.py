@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.plan import attach_scalars
+from tessera.functions.quantile import exact_quantiles
 from tessera.schemas import ALL_METRICS, JUDGE_METRICS, METRIC_DISPLAY
 
 
@@ -62,8 +63,10 @@ def comparative_stats(df: DataFrame, use_median: bool = False, metrics=None, id_
     """
     metrics = list(metrics or [METRIC_DISPLAY[m] for m in ALL_METRICS])
     long = melt_metrics(df, metrics, id_col)
-    center = F.median("value") if use_median else F.avg("value")
-    st = long.groupBy(id_col, "metric").agg(center.alias("value"), F.stddev_samp("value").alias("std"))
+    st = long.groupBy(id_col, "metric").agg(F.avg("value").alias("value"), F.stddev_samp("value").alias("std"))
+    if use_median:  # exact median without gathering a group in one task
+        med = exact_quantiles(long, [id_col, "metric"], "value", [0.5]).select(id_col, "metric", F.col("q0").alias("med"))
+        st = st.join(med, [id_col, "metric"], "left").withColumn("value", F.col("med")).drop("med")
     return st.select(id_col, "metric", F.round("value", 6).alias("value"), F.round("std", 6).alias("std"),
                      F.round(F.greatest(F.lit(0.0), F.col("value") - F.col("std")), 6).alias("lower"),
                      F.round(F.least(F.lit(1.0), F.col("value") + F.col("std")), 6).alias("upper"))
@@ -72,14 +75,19 @@ def comparative_stats(df: DataFrame, use_median: bool = False, metrics=None, id_
 def box_stats(df: DataFrame, value: str = "value", by=("evaluator", "metric"), approx: bool = False) -> DataFrame:
     """Quartiles (linear interpolation), whiskers within 1.5 IQR, outlier count per group.
 
-    Two aggregates: percentiles per group, then a join back for the whisker ends.
+    Quartiles are exact (``exact_quantiles``: bucket narrowing, no group gathered
+    in one task) unless ``approx``; then one aggregate joins back for the whiskers.
     """
     by = list(by)
     v = F.col(value).cast("double")
     base = df.select(*by, v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    pct = F.percentile_approx("v", [0.25, 0.5, 0.75], 10000) if approx else F.percentile("v", [0.25, 0.5, 0.75])
-    q = base.groupBy(*by).agg(pct.alias("q"), F.count(F.lit(1)).alias("n"))
-    q = q.select(*by, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    if approx:
+        q = base.groupBy(*by).agg(F.percentile_approx("v", [0.25, 0.5, 0.75], 10000).alias("q"),
+                                  F.count(F.lit(1)).alias("n"))
+        q = q.select(*by, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    else:
+        q = exact_quantiles(base, by, "v", [0.25, 0.5, 0.75]).select(
+            *by, "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     q = q.withColumn("lo_fence", F.col("q1") - 1.5 * iqr).withColumn("hi_fence", F.col("q3") + 1.5 * iqr)
     j = base.join(q, by)

@@ -77,11 +77,11 @@ def _sides(passages: DataFrame, pid: str, ptext: str, articles: DataFrame, order
 
 
 def _pair_stats(p: DataFrame, d: DataFrame) -> DataFrame:
-    pt = p.select("pid", F.explode("ptoks").alias("tok"))
-    dt = d.select("did", F.explode("dtoks").alias("tok"))
-    shared = (pt.join(dt, "tok").groupBy("pid", "did")
-              .agg(F.count(F.lit(1)).alias("ns"), F.sum(F.length("tok")).alias("ls")))
-    pairs = (shared.join(p.select("pid", "np", "lp"), "pid").join(d.select("did", "nd", "ld"), "did"))
+    # token rows carry their side's totals, so the pair aggregate needs no join back to either side
+    pt = p.select("pid", "np", "lp", F.explode("ptoks").alias("tok"))
+    dt = d.select("did", "nd", "ld", F.explode("dtoks").alias("tok"))
+    pairs = (pt.join(dt, "tok").groupBy("pid", "did", "np", "lp", "nd", "ld")
+             .agg(F.count(F.lit(1)).alias("ns"), F.sum(F.length("tok")).alias("ls")))
     s = joined_length(F.col("ns"), F.col("ls"))
     a = joined_length(F.col("np") - F.col("ns"), F.col("lp") - F.col("ls"))
     b = joined_length(F.col("nd") - F.col("ns"), F.col("ld") - F.col("ls"))

@@ -61,3 +61,21 @@ def test_box_stats_matches_numpy(spark):
     q1, med, q3 = np.percentile(vals, [25, 50, 75])
     assert (r["q1"], r["median"], r["q3"]) == (round(q1, 6), round(med, 6), round(q3, 6))
     assert r["n_outliers"] == 1 and r["whisker_hi"] == 4.0
+
+
+def test_exact_quantiles_hot_group_small_budget(spark):
+    import numpy as np
+
+    from tessera.functions.quantile import exact_quantiles
+    rnd = np.random.default_rng(1)
+    hot = rnd.normal(size=3000).round(3)  # many duplicates
+    cold = rnd.exponential(size=7)
+    rows = [("hot", float(x)) for x in hot] + [("cold", float(x)) for x in cold] + [("one", 5.0), ("nan", float("nan"))]
+    df = spark.createDataFrame(rows, "g string, x double")
+    probs = [0.0, 0.25, 0.5, 0.75, 0.9, 1.0]
+    got = {r["g"]: r for r in exact_quantiles(df, ["g"], "x", probs, bins=8, max_collect=20).collect()}
+    for g, vals in (("hot", hot), ("cold", cold), ("one", np.array([5.0]))):
+        want = np.percentile(vals, [p * 100 for p in probs])
+        assert got[g]["n"] == len(vals)
+        assert np.allclose([got[g][f"q{i}"] for i in range(len(probs))], want, rtol=0, atol=1e-12)
+    assert "nan" not in got
