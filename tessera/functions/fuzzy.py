@@ -37,7 +37,7 @@ def lcs_len(a: str, b: str) -> int:
             continue
         u = v & m
         v = ((v + u) | (v - u)) & full
-    return len(a) - bin(v).count("1")
+    return len(a) - v.bit_count()
 
 
 def ratio_from(lcs: int, lensum: int) -> int:

@@ -193,7 +193,9 @@ def _scorer(profile: LanguageProfile):
             out.append(ls[j])
         return pd.Series(out, dtype=object)
 
-    return best_language
+    # Marked nondeterministic so Catalyst evaluates it once, where it is written: a deterministic
+    # UDF would be duplicated into a filter pushed below the repartition that spreads the work.
+    return best_language.asNondeterministic()
 
 
 def language_column(profile: LanguageProfile, text) -> Column | None:

@@ -120,8 +120,8 @@ def _lcs_scores(it):
             if not x or not y:
                 out.append(-1)
                 continue
-            cb = fuzzy.char_bound(x, y)
-            if fuzzy.ratio_from(base + cb, lensum) < need:
+            # the character-count bound is cheap but only prunes well for pairs without shared tokens
+            if s == 0 and fuzzy.ratio_from(fuzzy.char_bound(x, y), lensum) < need:
                 out.append(-1)
                 continue
             out.append(fuzzy.ratio_from(base + fuzzy.lcs_len(x, y), lensum))

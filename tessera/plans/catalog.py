@@ -478,17 +478,20 @@ def q_rag_answers(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- G: evaluation
-def _dataset(spark, sf_dir, strategy="base", size=1000, clean=None, mapped=None):
-    clean, chunks, vectors = _index(spark, sf_dir, size, clean)
+def _dataset(spark, sf_dir, strategy="base", size=1000, clean=None, mapped=None, index=None):
+    if index is None:
+        clean, chunks, vectors = _index(spark, sf_dir, size, clean)
+    else:
+        chunks, vectors = index
     if mapped is None:
         mapped = M.map_eval_set(clean, eval_passages(spark, sf_dir), exact=False)
     answers = rag.rag_answers(_questions(spark, sf_dir), vectors, chunks, strategy)
     return EV.build_eval_dataset(mapped, answers)
 
 
-def _results(spark, sf_dir, strategy="base", size=1000, clean=None, mapped=None):
+def _results(spark, sf_dir, strategy="base", size=1000, clean=None, mapped=None, index=None):
     # answers are materialised once (generation must not re-run for every metric join)
-    return EV.score_dataset(_dataset(spark, sf_dir, strategy, size, clean, mapped).checkpoint())
+    return EV.score_dataset(_dataset(spark, sf_dir, strategy, size, clean, mapped, index).checkpoint())
 
 
 _RESULT_COLS = ["example_id", "answer_correctness", "answer_relevancy", "answer_similarity", "context_precision",
@@ -529,7 +532,11 @@ def _runs(spark, sf_dir):
     """Four evaluated runs over one cleaned corpus and one mapped evaluation set (both checkpointed)."""
     clean = _clean(spark, sf_dir)
     mapped = M.map_eval_set(clean, eval_passages(spark, sf_dir), exact=False).checkpoint()
-    runs = {name: _results(spark, sf_dir, strategy, size, clean, mapped) for name, strategy, size in RUNS}
+    indexes = {}
+    for size in sorted({s for _, _, s in RUNS}):  # one vector collection per chunk size, shared by its runs
+        chunks, vectors = rag.corpus_index(clean, size)
+        indexes[size] = (chunks, vectors.checkpoint())
+    runs = {name: _results(spark, sf_dir, strategy, size, clean, mapped, indexes[size]) for name, strategy, size in RUNS}
     return G2.combine_runs({k: v.select(*_RESULT_COLS) for k, v in runs.items()})
 
 

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.plan import spread
 from tessera.operators import chunk as E
 from tessera.operators import generate as G
 from tessera.operators import retrieve as R
@@ -25,8 +26,8 @@ def corpus_index(clean: DataFrame, size: int, overlap: int = 0, splitter: str =
     """(chunks, vectors) of a cleaned corpus: fixed windows or the recursive splitter, then E4."""
     chunks = (E.fixed_chunk(clean, size, overlap) if splitter == "fixed"
               else E.create_documents(clean, size, overlap))
-    vectors = embed(chunks.select("chunk_id", "page_content"), "page_content", encoder=encoder).select(
-        "chunk_id", "embedding")
+    texts = spread(chunks.select("chunk_id", "page_content"), "chunk_id")
+    vectors = embed(texts, "page_content", encoder=encoder).select("chunk_id", "embedding")
     return chunks, vectors
 
 
