@@ -46,3 +46,16 @@ def spread(df: DataFrame, key=None) -> DataFrame:
     if key is None:
         return df.repartition(cores)
     return df.repartition(cores, F.col(key) if isinstance(key, str) else key)
+
+
+def write_through(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage by writing ``df`` as Parquet below the shared checkpoint folder and reading it back.
+
+    Preferred over ``checkpoint()`` for wide tables that later readers project
+    differently: the Parquet re-read prunes columns and pushes filters.
+    """
+    from tessera.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

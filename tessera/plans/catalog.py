@@ -264,8 +264,9 @@ def q_unwrap_singleton(spark, sf_dir):
 
 
 def _clean(spark, sf_dir):
-    """The cleaned corpus, checkpointed: it feeds several branches of the mapping plans."""
-    return C.clean_corpus(articles(spark, sf_dir), _profile(spark, sf_dir)).checkpoint()
+    """The cleaned corpus, written once: several branches read different columns of it."""
+    from tessera.functions.plan import write_through
+    return write_through(C.clean_corpus(articles(spark, sf_dir), _profile(spark, sf_dir)), "clean")
 
 
 @query
