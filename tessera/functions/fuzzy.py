@@ -77,3 +77,4 @@ def char_bound(a: str, b: str) -> int:
     for ch in b:
         cb[ch] = cb.get(ch, 0) + 1
     return sum(min(n, cb.get(ch, 0)) for ch, n in ca.items())
+

@@ -81,3 +81,4 @@ def test_no_cartesian_product_in_plan(spark):
     D = spark.createDataFrame([(1, "a c", 5)], "row_id long, content string, id long")
     plan = M.best_match(P, D, exact=False)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
+
