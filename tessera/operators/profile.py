@@ -62,14 +62,18 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     spark = df.sparkSession
     x = F.col(col).cast("double")
     vals = df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    stats = vals.agg(F.min("x").alias("mn"), F.max("x").alias("mx"))
+    raw_stats = vals.agg(F.min("x").alias("mn0"), F.max("x").alias("mx0"))
+    # a single-valued column gets the range [v - 0.5, v + 0.5], as numpy's bin edges do
+    stats = raw_stats.select(
+        F.when(F.col("mn0") == F.col("mx0"), F.col("mn0") - 0.5).otherwise(F.col("mn0")).alias("mn"),
+        F.when(F.col("mn0") == F.col("mx0"), F.col("mx0") + 0.5).otherwise(F.col("mx0")).alias("mx"))
     step = (F.col("mx") - F.col("mn")) / F.lit(float(bins))
 
     def edge(i):
         return F.when(i >= bins, F.col("mx")).otherwise(i.cast("double") * step + F.col("mn"))
 
     raw = F.floor((F.col("x") - F.col("mn")) / step).cast("int")
-    raw = F.when(F.col("mx") == F.col("mn"), F.lit(0)).otherwise(F.least(F.greatest(raw, F.lit(0)), F.lit(bins - 1)))
+    raw = F.least(F.greatest(raw, F.lit(0)), F.lit(bins - 1))
     with_raw = attach_scalars(vals, stats).withColumn("b0", raw)
     b = F.col("b0")
     fixed = (F.when((b > 0) & (F.col("x") < edge(b)), b - 1)

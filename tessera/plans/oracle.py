@@ -71,9 +71,10 @@ sql("words_per_chunk", S.with_(S.ARTICLES, _WORDS) + "SELECT * FROM words")
 
 def _hist_sql(src: str, col: str, bins: int) -> str:
     return f"""WITH v AS (SELECT CAST({col} AS DOUBLE) AS x FROM {src} WHERE {col} IS NOT NULL AND NOT isnan(CAST({col} AS DOUBLE))),
-st AS (SELECT min(x) AS mn, max(x) AS mx FROM v),
+st AS (SELECT CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS mn,
+              CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END AS mx FROM v),
 b0 AS (SELECT x, mn, mx, (mx - mn) / {float(bins)} AS step,
-              CASE WHEN mx = mn THEN 0 ELSE least(greatest(CAST(floor((x - mn) / ((mx - mn) / {float(bins)})) AS INTEGER), 0), {bins - 1}) END AS b
+              least(greatest(CAST(floor((x - mn) / ((mx - mn) / {float(bins)})) AS INTEGER), 0), {bins - 1}) AS b
        FROM v, st),
 b1 AS (SELECT CASE WHEN b > 0 AND x < (CASE WHEN b >= {bins} THEN mx ELSE CAST(b AS DOUBLE) * step + mn END) THEN b - 1
                    WHEN b < {bins - 1} AND x >= (CASE WHEN b + 1 >= {bins} THEN mx ELSE CAST(b + 1 AS DOUBLE) * step + mn END) THEN b + 1
