@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.plan import spread
@@ -53,12 +53,20 @@ def retrieve(questions: DataFrame, vectors: DataFrame, chunks: DataFrame, strate
             texts = G.generate_batch(p, "prompt", generator, out="text").select("qid", "text")
         hits = _hits_for(texts, vectors, k, encoder)
     elif strategy == "multi_query":
+        # Each generated variant goes through a multi-query retriever that expands it once more;
+        # the unique union covers the hits of every second-level query.
         if generator is None:
-            variants = q.select("qid", F.posexplode(G.default_variants("question")).alias("variant_no", "text"))
+            twice = F.flatten(F.transform(G.default_variants("question"), G.default_variants))
+            variants = q.select("qid", F.posexplode(twice).alias("variant_no", "text"))
         else:
             p = q.withColumn("prompt", G.render_prompt(G.MULTI_QUERY_PROMPT, question="question"))
-            gen = G.generate_batch(p, "prompt", generator, out="raw")
-            variants = gen.select("qid", F.posexplode(F.split("raw", "\n")).alias("variant_no", "text"))
+            first = G.generate_batch(p, "prompt", generator, out="raw").select(
+                "qid", F.explode(F.split("raw", "\n")).alias("v1"))
+            p2 = first.withColumn("prompt", G.render_prompt(G.MULTI_QUERY_PROMPT, question="v1"))
+            gen = G.generate_batch(p2, "prompt", generator, out="raw")
+            variants = gen.select("qid", F.explode(F.split("raw", "\n")).alias("text"))
+            variants = variants.select("qid", "text", F.row_number().over(
+                Window.partitionBy("qid").orderBy("text")).alias("variant_no") - 1)
         vq = variants.select((F.col("qid") * VARIANT_STRIDE + F.col("variant_no")).alias("vqid"), "qid",
                              "variant_no", "text")
         vh = _hits_for(vq.select(F.col("vqid").alias("qid"), "text"), vectors, k, encoder)

@@ -153,9 +153,11 @@ def rows_ctes(t: str, strategy: str, ch: str, cv: str, k: int = 4) -> list[str]:
         out += [embed_ctes(f"{t}_qv", "qs", "qid", "question"), topk_cte(f"{t}_hits", f"{t}_qv", cv, k)]
         hits = f"{t}_hits"
     elif strategy == "multi_query":
+        def variants(x: str) -> str:
+            return (f"list_concat([{x}, array_to_string(list_sort(list_distinct({tokens(x)})), ' ')], "
+                    f"{sentences(x)})")
         out.append(f"""{t}_var AS (SELECT qid * 1000000 + (generate_subscripts(v, 1) - 1) AS qid, unnest(v) AS text FROM (
-            SELECT qid, list_concat([question, array_to_string(list_sort(list_distinct({tokens('question')})), ' ')],
-                                    {sentences('question')}) AS v FROM qs))""")
+            SELECT qid, flatten(list_transform({variants('question')}, lambda vq: {variants('vq')})) AS v FROM qs))""")
         out += [embed_ctes(f"{t}_qv", f"{t}_var", "qid", "text"), topk_cte(f"{t}_vh", f"{t}_qv", cv, k)]
         out.append(f"""{t}_g AS (SELECT qid // 1000000 AS qid, chunk_id, min(rank) AS best_rank, max(score) AS best_score
             FROM {t}_vh GROUP BY qid // 1000000, chunk_id)""")
