@@ -16,7 +16,7 @@ from tessera.functions import text as tx
 from tessera.operators import clean as C
 from tessera.operators import profile as P
 from tessera.operators.language import detect_language, train_profile
-from tessera.session import ensure_checkpoint_dir, scratch_path
+from tessera.session import ensure_checkpoint_dir, scratch_path, ship_package
 from tessera.sources import collections as coll
 from tessera.sources import io
 from tessera.sources.tables import articles, table
@@ -26,8 +26,17 @@ REGISTRY: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    REGISTRY[fn.__name__.removeprefix("q_")] = fn
-    return fn
+    """Register ``fn``; the registered callable first ships the package to the executors."""
+    import functools
+
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        ensure_checkpoint_dir(spark)
+        return fn(spark, sf_dir)
+
+    REGISTRY[fn.__name__.removeprefix("q_")] = run
+    return run
 
 
 def _profile(spark: SparkSession, sf_dir: str):

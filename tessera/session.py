@@ -35,6 +35,7 @@ def local_session(cores: int | str = 8, app: str = "tessera", shuffle_partitions
     )
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -56,3 +57,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder, for written intermediates."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tessera`` importable on every executor (once per SparkContext) via ``addPyFile``.
+
+    Arrow UDFs and ``mapInPandas`` functions reference this package's modules;
+    on a cluster the executors receive it as a zip through Spark's file server.
+    """
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    import shutil
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    staging = tempfile.mkdtemp(prefix="tessera-pkg-")  # driver-side staging of the artifact only
+    archive = shutil.make_archive(os.path.join(staging, "tessera"), "zip", os.path.dirname(pkg_dir), "tessera")
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
