@@ -59,3 +59,23 @@ def write_through(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+_LOADED: dict = {}
+
+
+def worker_model(factory):
+    """Build ``factory()`` once per Python worker process and reuse it (models, clients).
+
+    ``factory`` is pickled into the task (cheap); the object it returns (weights,
+    sessions, connections) is created on first use inside each worker.
+    """
+    import hashlib
+
+    from pyspark import cloudpickle
+
+    # tasks unpickle their own copy of the factory: key by its pickled bytes, not by identity
+    key = hashlib.sha1(cloudpickle.dumps(factory)).hexdigest()
+    if key not in _LOADED:
+        _LOADED[key] = factory()
+    return _LOADED[key]

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.functions.plan import worker_model
 from tessera.functions.text import collection_name, word_tokens
 from tessera.sources.collections import collection_append
 
@@ -50,13 +51,17 @@ def hashed_embedding(col, dim: int = DIM) -> Column:
 
 
 def embed(df: DataFrame, text: str, out: str = "embedding", encoder: Callable | None = None,
-          dim: int = DIM, batch_rows: int = 256) -> DataFrame:
-    """Add ``out`` = vector of ``text`` (E4). ``encoder`` maps a list of texts to an (n, d) array."""
-    if encoder is None:
+          dim: int = DIM, batch_rows: int = 256, encoder_factory: Callable[[], Callable] | None = None) -> DataFrame:
+    """Add ``out`` = vector of ``text`` (E4). ``encoder`` maps a list of texts to an (n, d) array;
+    ``encoder_factory`` builds such an encoder once per Python worker (heavy models)."""
+    if encoder is None and encoder_factory is None:
         return df.withColumn(out, hashed_embedding(text, dim))
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.ArrayType(T.FloatType()))])
 
     def run(it):
+        nonlocal encoder
+        if encoder is None:
+            encoder = worker_model(encoder_factory)
         for pdf in it:
             for i in range(0, len(pdf), batch_rows):
                 part = pdf.iloc[i:i + batch_rows].copy()

@@ -116,18 +116,24 @@ def default_step_back(question) -> Column:
 
 def generate_batch(df: DataFrame, prompt: str, generator: Callable[[list[str]], list[str]] | None = None,
                    out: str = "answer", question: str = "question", context: str = "context",
-                   retries: int = 3, batch_rows: int = 64) -> DataFrame:
+                   retries: int = 3, batch_rows: int = 64,
+                   generator_factory: Callable[[], Callable] | None = None) -> DataFrame:
     """Add ``out`` = generated text for every row.
 
-    With ``generator``: called once per batch of prompts inside ``mapInPandas``;
+    With ``generator`` (or ``generator_factory``, built once per Python worker):
+    called once per batch of prompts inside ``mapInPandas``;
     a failing batch is retried ``retries`` times with backoff, then fails the task
     (Spark retries the task elsewhere). Without: the native extractive default.
     """
-    if generator is None:
+    if generator is None and generator_factory is None:
         return df.withColumn(out, extractive_answer(question, context))
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.StringType())])
 
     def run(it):
+        nonlocal generator
+        if generator is None:  # a client or model built once per Python worker
+            from tessera.functions.plan import worker_model
+            generator = worker_model(generator_factory)
         for pdf in it:
             for i in range(0, len(pdf), batch_rows):
                 part = pdf.iloc[i:i + batch_rows].copy()

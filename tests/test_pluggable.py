@@ -91,3 +91,35 @@ def test_judge_reasoning_with_stub_judge(spark):
                                                                "contexts array<string>")
     out = EV.judge_reasoning(df, judge=lambda ps: ["ok: " + str(len(p)) for p in ps]).first()["reasoning"]
     assert out.startswith("ok: ")
+
+
+def test_factories_build_once_per_worker(spark):
+    def enc_factory():
+        return lambda xs: np.array([[float(len(x))] for x in xs])
+
+    df = spark.createDataFrame([(1, "abc"), (2, "de")], "id long, text string")
+    got = {r["id"]: list(r["embedding"]) for r in embed(df, "text", encoder_factory=enc_factory).collect()}
+    assert got == {1: [3.0], 2: [2.0]}
+
+    def gen_factory():
+        return lambda prompts: [p[::-1] for p in prompts]
+
+    out = dict(G.generate_batch(df, "text", generator_factory=gen_factory, out="r").select("id", "r").collect())
+    assert out == {1: "cba", 2: "ed"}
+
+
+def test_worker_model_cached_across_copies():
+    import pickle
+
+    from pyspark import cloudpickle
+
+    from tessera.functions.plan import worker_model
+    calls = []
+
+    def factory():
+        calls.append(1)
+        return object()
+
+    a = worker_model(factory)
+    b = worker_model(pickle.loads(cloudpickle.dumps(factory)))
+    assert a is b and len(calls) == 1
