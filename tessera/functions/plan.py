@@ -64,18 +64,22 @@ def write_through(df: DataFrame, name: str) -> DataFrame:
 _LOADED: dict = {}
 
 
-def worker_model(factory):
-    """Build ``factory()`` once per Python worker process and reuse it (models, clients).
-
-    ``factory`` is pickled into the task (cheap); the object it returns (weights,
-    sessions, connections) is created on first use inside each worker.
-    """
+def model_key(factory) -> str:
+    """Driver-side key of a model factory (hash of its pickled form at plan time)."""
     import hashlib
 
     from pyspark import cloudpickle
 
-    # tasks unpickle their own copy of the factory: key by its pickled bytes, not by identity
-    key = hashlib.sha1(cloudpickle.dumps(factory)).hexdigest()
+    return hashlib.sha1(cloudpickle.dumps(factory)).hexdigest()
+
+
+def worker_model(factory, key: str):
+    """Build ``factory()`` once per Python worker process and reuse it (models, clients).
+
+    ``factory`` is pickled into each task (cheap); the object it returns (weights,
+    sessions, connections) is created on first use in each worker and cached
+    under ``key``, which the driver computes once with ``model_key``.
+    """
     if key not in _LOADED:
         _LOADED[key] = factory()
     return _LOADED[key]

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.plan import worker_model
+from tessera.functions.plan import model_key, worker_model
 from tessera.functions.text import collection_name, word_tokens
 from tessera.sources.collections import collection_append
 
@@ -57,11 +57,12 @@ def embed(df: DataFrame, text: str, out: str = "embedding", encoder: Callable |
     if encoder is None and encoder_factory is None:
         return df.withColumn(out, hashed_embedding(text, dim))
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.ArrayType(T.FloatType()))])
+    key = model_key(encoder_factory) if encoder is None else None
 
     def run(it):
         nonlocal encoder
         if encoder is None:
-            encoder = worker_model(encoder_factory)
+            encoder = worker_model(encoder_factory, key)
         for pdf in it:
             for i in range(0, len(pdf), batch_rows):
                 part = pdf.iloc[i:i + batch_rows].copy()

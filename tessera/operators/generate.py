@@ -128,12 +128,13 @@ def generate_batch(df: DataFrame, prompt: str, generator: Callable[[list[str]],
     if generator is None and generator_factory is None:
         return df.withColumn(out, extractive_answer(question, context))
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.StringType())])
+    from tessera.functions.plan import model_key, worker_model
+    key = model_key(generator_factory) if generator is None else None
 
     def run(it):
         nonlocal generator
         if generator is None:  # a client or model built once per Python worker
-            from tessera.functions.plan import worker_model
-            generator = worker_model(generator_factory)
+            generator = worker_model(generator_factory, key)
         for pdf in it:
             for i in range(0, len(pdf), batch_rows):
                 part = pdf.iloc[i:i + batch_rows].copy()

@@ -113,13 +113,14 @@ def test_worker_model_cached_across_copies():
 
     from pyspark import cloudpickle
 
-    from tessera.functions.plan import worker_model
+    from tessera.functions.plan import model_key, worker_model
     calls = []
 
     def factory():
         calls.append(1)
         return object()
 
-    a = worker_model(factory)
-    b = worker_model(pickle.loads(cloudpickle.dumps(factory)))
+    key = model_key(factory)
+    a = worker_model(factory, key)
+    b = worker_model(pickle.loads(cloudpickle.dumps(factory)), key)
     assert a is b and len(calls) == 1
