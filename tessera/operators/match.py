@@ -155,6 +155,10 @@ def best_match(passages: DataFrame, articles: DataFrame, pid: str = "example_id"
 
 def _exact_winner(p: DataFrame, d: DataFrame, pairs: DataFrame, closed_best: DataFrame) -> DataFrame:
     cand = _candidates(p, d, pairs, closed_best)
+    # candidates arrive grouped by passage (a low threshold means many of them): spread the
+    # CPU-heavy LCS evenly over (passage, doc) before the Python stage
+    slots = cand.sparkSession.sparkContext.defaultParallelism * 2
+    cand = cand.repartition(slots, "pid", "did")
     exact3 = cand.mapInPandas(_lcs_scores, "pid long, did long, r3 int").where(F.col("r3") >= 0)
     scored = (pairs.select("pid", "did", F.col("closed").alias("score"))
               .unionByName(exact3.select("pid", "did", F.col("r3").alias("score"))))
