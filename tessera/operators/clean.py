@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.plan import keep_first, spread
 from tessera.functions.text import concat_content, content_id, content_key, strip_special, strip_tags
-from tessera.operators.language import LanguageProfile, detect_language, language_column
+from tessera.operators.language import LanguageProfile, with_language
 from tessera.schemas import ARTICLE_COLUMNS, require_columns
 
 
@@ -27,8 +27,7 @@ def filter_language(df: DataFrame, key: str, text: str, profile: LanguageProfile
     rows); the native detector reads letters only, which are the same in both
     renderings, so one pass gives the same answer.
     """
-    lang = detect_language(df, key, text, profile, out=out, detector=detector)
-    return df.join(lang.where(F.col(out) == keep), key)
+    return with_language(df, key, text, profile, out=out, detector=detector).where(F.col(out) == keep)
 
 
 def clean_text(content_list) -> F.Column:
@@ -89,14 +88,8 @@ def clean_corpus(articles: DataFrame, profile: LanguageProfile, keep_language: s
         obs["input"] = Observation("input")
         base = base.observe(obs["input"], F.count(F.lit(1)).alias("rows"))
 
-    lang_col = None if detector is not None else language_column(profile, F.array_join("chunks", "\n"))
-    if lang_col is None:
-        # custom detector or a profile too large to broadcast: keys-only detection, joined back
-        lang = detect_language(base.select(key, F.array_join("chunks", "\n").alias("raw")), key, "raw",
-                               profile, detector=detector)
-        tagged = base.join(lang, key)
-    else:
-        tagged = base.withColumn("language", lang_col)
+    # in place with a broadcast profile; a custom detector or a huge profile joins keys back
+    tagged = with_language(base, key, F.array_join("chunks", "\n"), profile, detector=detector)
     english = tagged.where(F.col("language") == keep_language).select(
         key, clean_text(F.col("chunks")).alias("content"), "language", *meta)
     if observe:

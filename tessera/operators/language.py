@@ -228,3 +228,17 @@ def detect_language(df: DataFrame, key: str | list[str], text: str, profile: Lan
         best = F.greatest(*[F.struct(F.col(f"score_{l}").alias("s"), F.lit(l).alias("l")) for l in langs]).getField("l")
     picked = scores.select(*keys, F.when(F.col("n_known") > 0, best).alias(out))
     return df.select(*keys).join(picked, keys, "left")
+
+
+def with_language(df: DataFrame, key: str | list[str], text, profile: LanguageProfile, out: str = "language",
+                  detector=None) -> DataFrame:
+    """``df`` plus ``out``: in place (no shuffle beyond ``spread``) when the profile is broadcastable,
+    else keys-only detection joined back on ``key``."""
+    keys = [key] if isinstance(key, str) else list(key)
+    col = None if detector is not None else language_column(profile, text)
+    if col is not None:
+        return spread(df, keys[0]).withColumn(out, col)
+    text_col = F.col(text) if isinstance(text, str) else text
+    lang = detect_language(df.select(*keys, text_col.alias("__text")), keys, "__text", profile, out=out,
+                           detector=detector)
+    return df.join(lang, keys)

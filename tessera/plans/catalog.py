@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tessera.functions import text as tx
 from tessera.operators import clean as C
 from tessera.operators import profile as P
-from tessera.operators.language import detect_language, train_profile
+from tessera.operators.language import detect_language, with_language
 from tessera.session import ensure_checkpoint_dir, scratch_path, ship_package
 from tessera.sources import collections as coll
 from tessera.sources import io
@@ -183,17 +183,15 @@ def q_detect_language(spark, sf_dir):
 @query
 def q_language_anomalies(spark, sf_dir):
     prof = _profile(spark, sf_dir)
-    art = articles(spark, sf_dir)
-    lang = detect_language(art.select("row_id", F.array_join("content", "\n").alias("raw")), "row_id", "raw", prof)
-    return P.language_anomalies(art.join(lang, "row_id"), langs=("ru", "de")).select("row_id", "title", "language")
+    art = with_language(articles(spark, sf_dir), "row_id", F.array_join("content", "\n"), prof)
+    return P.language_anomalies(art, langs=("ru", "de")).select("row_id", "title", "language")
 
 
 @query
 def q_anomaly_chunks(spark, sf_dir):
     prof = _profile(spark, sf_dir)
-    art = articles(spark, sf_dir)
-    lang = detect_language(art.select("row_id", F.array_join("content", "\n").alias("raw")), "row_id", "raw", prof)
-    anomalies = P.language_anomalies(art.join(lang, "row_id"), langs=("ru", "de"))
+    art = with_language(articles(spark, sf_dir), "row_id", F.array_join("content", "\n"), prof)
+    anomalies = P.language_anomalies(art, langs=("ru", "de"))
     return P.anomaly_chunks(anomalies, prof)
 
 
