@@ -35,7 +35,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.plan import spread
+from tessera.functions.plan import bounded_broadcast, spread
 
 SCALE = 1_000_000
 # A profile with at most this many trigrams is broadcast to the Python workers
@@ -151,10 +151,7 @@ def language_scores(df: DataFrame, key: str | list[str], text: str, profile: Lan
     """Per key: N (known trigram occurrences) and one integer score column per language."""
     keys = [key] if isinstance(key, str) else list(key)
     feats = df.select(*keys, F.explode(char_trigrams(text)).alias("gram"))
-    weights = profile.weights
-    if weights.count() <= broadcast_rows:
-        weights = F.broadcast(weights)
-    joined = feats.join(weights, "gram")
+    joined = feats.join(bounded_broadcast(profile.weights, broadcast_rows), "gram")
     aggs = [F.count(F.lit(1)).alias("n_known")] + [F.sum(f"w_{l}").alias(f"sw_{l}") for l in profile.languages]
     summed = joined.groupBy(*keys).agg(*aggs)
     with_k = summed.crossJoin(F.broadcast(profile.norms))  # one row

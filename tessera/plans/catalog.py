@@ -316,7 +316,7 @@ from tessera.operators import compare as G2  # noqa: E402
 from tessera.operators import evaluate as EV  # noqa: E402
 from tessera.operators import generate as GEN  # noqa: E402
 from tessera.operators import retrieve as R  # noqa: E402
-from tessera.operators.embed import embed, hashed_embedding, l2_normalize  # noqa: E402
+from tessera.operators.embed import embed, l2_normalize  # noqa: E402
 from tessera.plans import rag  # noqa: E402
 
 
