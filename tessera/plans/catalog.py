@@ -27,8 +27,7 @@ from tessera.plans import rag
 from tessera.session import ensure_checkpoint_dir, scratch_path, ship_package
 from tessera.sources import collections as coll
 from tessera.sources import io
-from tessera.sources.tables import eval_passages
-from tessera.sources.tables import articles, table
+from tessera.sources.tables import articles, eval_passages, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
