@@ -51,3 +51,12 @@ def test_l2_ranking_equals_cosine_on_unit_vectors(spark):
     a = _ranked(R.similarity_search(Q, unit, k=3))
     b = _ranked(R.search_with_scores(Q, unit, k=3))
     assert a == b
+
+
+def test_oversized_query_side_falls_back_to_grid(spark):
+    q, c, Q, C = _data(spark, n_q=9)
+    want = _brute(q, c, 3)
+    # a 4-row broadcast budget: the bounded probe sees more rows and the block-grid cogroup runs
+    hits = R.similarity_search(Q, C, k=3, broadcast_rows=4)
+    assert "FlatMapCoGroupsInPandas" in hits._jdf.queryExecution().executedPlan().toString()
+    assert _ranked(hits) == want
