@@ -124,3 +124,13 @@ def test_worker_model_cached_across_copies():
     a = worker_model(factory, key)
     b = worker_model(pickle.loads(cloudpickle.dumps(factory)), key)
     assert a is b and len(calls) == 1
+
+
+def test_compress_contexts_with_extractor(spark):
+    from tessera.operators import retrieve as R
+    ctx = spark.createDataFrame([(1, 1, "Solar is cheap. Cats sleep.", "solar?"), (1, 2, "Nothing relevant.", "solar?")],
+                                "question_id long, rank int, page_content string, question string")
+    native = R.compress_contexts(ctx).orderBy("rank").collect()
+    assert [(r["rank"], r["page_content"]) for r in native] == [(1, "Solar is cheap.")]
+    upper = R.compress_contexts(ctx, extractor=lambda qs, cs: [c.upper() for c in cs]).orderBy("rank").collect()
+    assert [r["page_content"] for r in upper] == ["SOLAR IS CHEAP. CATS SLEEP.", "NOTHING RELEVANT."]
