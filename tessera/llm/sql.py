@@ -98,6 +98,6 @@ links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
 reach AS (SELECT n AS a, n AS b FROM w UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
 comp AS (SELECT r.a, min(w.doc_id) AS component_id FROM reach r JOIN w ON r.b = w.n GROUP BY r.a),
 deg AS (SELECT a, count(*) AS n_links FROM links GROUP BY a),
-class AS (SELECT n, CASE WHEN len(w) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY w) END AS class_id FROM w)
+classes AS (SELECT n, CASE WHEN len(w) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY w) END AS class_id FROM w)
 SELECT w.doc_id, k.class_id, CAST(coalesce(d.n_links, 0) AS BIGINT) AS n_links, c.component_id, w.doc_id = c.component_id AS kept
-FROM w JOIN comp c ON w.n = c.a JOIN class k ON k.n = w.n LEFT JOIN deg d ON d.a = w.n"""
+FROM w JOIN comp c ON w.n = c.a JOIN classes k ON k.n = w.n LEFT JOIN deg d ON d.a = w.n"""
