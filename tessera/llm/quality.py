@@ -61,8 +61,9 @@ def _input_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
-    """Weights (last one the constant) of a ridge logistic regression by Newton steps."""
-    x = np.column_stack([x, np.ones(len(x))])
+    """Weights (last one the constant) of a logistic regression by Newton steps; the ridge is on standardised inputs."""
+    mean, spread = x.mean(axis=0), np.where(x.std(axis=0) > 1e-9, x.std(axis=0), 1.0)
+    x = np.column_stack([(x - mean) / spread, np.ones(len(x))])
     w = np.zeros(x.shape[1])
     penalty = np.append(np.full(x.shape[1] - 1, ridge), 1e-6)
     for _ in range(rounds):
@@ -71,6 +72,8 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int =
         w += step / max(1.0, np.abs(step).max() / 5)
         if np.abs(step).max() < 1e-8:
             break
+    w[:-1] /= spread
+    w[-1] -= w[:-1] @ mean
     return w
 
 

@@ -91,9 +91,9 @@ sets AS (
   SELECT n, doc_id, w, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
          ELSE list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4]) END) AS s FROM w),
 grams AS (SELECT n, unnest(s) AS g FROM sets),
-overlaps AS (SELECT a.n AS a, b.n AS b, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.n < b.n GROUP BY a.n, b.n),
+counted AS (SELECT a.n AS a, b.n AS b, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.n < b.n GROUP BY a.n, b.n),
 pairs AS (
-  SELECT x.a, x.b FROM overlaps x JOIN sets p ON x.a = p.n JOIN sets q ON x.b = q.n WHERE x.c >= 0.8 * (len(p.s) + len(q.s) - x.c) - 1e-9),
+  SELECT x.a, x.b FROM counted x JOIN sets p ON x.a = p.n JOIN sets q ON x.b = q.n WHERE x.c >= 0.8 * (len(p.s) + len(q.s) - x.c) - 1e-9),
 links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
 reach AS (SELECT n AS a, n AS b FROM w UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
 comp AS (SELECT r.a, min(w.doc_id) AS component_id FROM reach r JOIN w ON r.b = w.n GROUP BY r.a),
