@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import batch as bt
+from tessera.llm.store import stored
 from tessera.llm.tokens import DEFAULT_VOCABULARY, encoder
 
 #: Lengths per bucket of the two-level suffix sums.
@@ -33,8 +34,8 @@ def length_histogram(lengths: DataFrame) -> DataFrame:
     document is cut to this length). Null lengths are left out; no rows give no rows. Suffix sums run per bucket of
     ``BUCKET`` lengths and then over the buckets, so no task holds all lengths.
     """
-    hist = (lengths.where("length IS NOT NULL").groupBy("length").agg(F.count("*").alias("docs"))
-            .withColumn("tokens", F.col("length") * F.col("docs")).withColumn("bucket", F.floor(F.col("length") / BUCKET)))
+    counts, _ = stored(lengths.where("length IS NOT NULL").groupBy("length").agg(F.count("*").alias("docs")), "length-histogram")
+    hist = counts.withColumn("tokens", F.col("length") * F.col("docs")).withColumn("bucket", F.floor(F.col("length") / BUCKET))
     after = Window.orderBy(F.desc("bucket"))
     buckets = (hist.groupBy("bucket").agg(F.sum("docs").alias("d"), F.sum("tokens").alias("t"))
                .withColumn("docs_after", F.sum("d").over(after) - F.col("d"))
