@@ -9,14 +9,15 @@ grow with the batch; one longer text is one slice, hashed window by window.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-SLICE = 1 << 21
-_WINDOW = 1 << 21
+SLICE = 1 << 20
+_WINDOW = 1 << 20
 _P = 0x9E3779B97F4A7C15 | 1
 _PINV = pow(_P, -1, 1 << 64)
 _rng = np.random.Generator(np.random.PCG64(7))
@@ -62,6 +63,16 @@ def as_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, off - off[0]
 
 
+def tidy(batches: Iterator) -> Iterator:
+    """Hand on what a task makes and, at its end, give freed memory of the worker back to the machine."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not glibc
+        pass
+
+
 def slices(offsets: np.ndarray, size: int = SLICE) -> Iterator[tuple[int, int]]:
     """Ranges [a, b) of texts that hold about ``size`` bytes together (at least one text each)."""
     a, n = 0, len(offsets) - 1

@@ -236,8 +236,8 @@ def build_indexes(benchmark: DataFrame, threshold: float, id_col: str = "item_id
     return out
 
 
-def _texts(b: pa.RecordBatch, column: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    data, off = bt.as_bytes(b.column(column))
+def _texts(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    data, off = bt.as_bytes(texts)
     for lo, hi in bt.slices(off):
         yield lo, *bt.words(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], bt.NO_WORD)
 
@@ -254,7 +254,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
     def scan(batches, index):
         for b in batches:
-            hits = [(lo + t, i, s, q, a) for lo, h, off in _texts(b, "text")
+            hits = [(lo + t, i, s, q, a) for lo, h, off in _texts(b.column("text"))
                     for t, i, s, q, a in index.value.find(h, off, overlap)]
             ids = b.column("id").take(pa.array([x[0] for x in hits], pa.int64()))
             yield pa.RecordBatch.from_arrays(
@@ -263,7 +263,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                 ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
 
     schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
-    parts = [lower.mapInArrow(lambda it, ix=ix: scan(it, ix), schema) for ix in build_indexes(benchmark, threshold, **benchmark_columns)]
+    parts = [lower.mapInArrow(lambda it, ix=ix: bt.tidy(scan(it, ix)), schema) for ix in build_indexes(benchmark, threshold, **benchmark_columns)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -273,16 +273,21 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", threshold: float = 0.5,
                   overlap: float = 0.5, **benchmark_columns) -> DataFrame:
     """The rows of ``docs`` (all columns, in place, no shuffle) whose text holds no benchmark item."""
-    def clean(batches, index):
-        for b in batches:
-            keep = np.ones(b.num_rows, dtype=bool)
-            for lo, h, off in _texts(b, "text"):
-                for t, *_ in index.value.find(h, off, overlap):
-                    keep[lo + t] = False
-            yield b.filter(pa.array(keep)).select(["row"])
-
     out = docs
     for ix in build_indexes(benchmark, threshold, **benchmark_columns):
-        packed = out.select(F.struct("*").alias("row"), F.lower(F.col(text_col).cast("string")).alias("text"))
-        out = packed.mapInArrow(lambda it, ix=ix: clean(it, ix), packed.select("row").schema).select("row.*")
+        out = out.where(~_holds_item(ix, overlap)(F.lower(F.col(text_col).cast("string"))))
     return out
+
+
+def _holds_item(index, overlap: float):
+    """A boolean column function of the lower-case text; only the text goes to Python."""
+    @F.arrow_udf("boolean")
+    def holds(text: pa.Array) -> pa.Array:
+        out = np.zeros(len(text), dtype=bool)
+        for lo, h, off in _texts(text):
+            for t, *_ in index.value.find(h, off, overlap):
+                out[lo + t] = True
+        pa.default_memory_pool().release_unused()
+        return pa.array(out)
+
+    return holds.asNondeterministic()  # evaluated once per row

@@ -161,7 +161,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = numbered(docs.select(F.struct("*").alias("row")), "njoin-rows")
     text = rows.select("node", F.lower(F.col("row")[text_col].cast("string")).alias("text"))
     least = least_matches(threshold, tolerance)
-    signed = stored(text.mapInArrow(lambda it: sign_batches(it, k),
+    signed = stored(text.mapInArrow(lambda it: bt.tidy(sign_batches(it, k)),
                                     "node long, k1 long, k2 long, n_sh long, sig binary, bands array<long>"), "njoin-sigs")[0]
     classes = signed.where("n_sh > 0").groupBy("k1", "k2").agg(F.min("node").alias("rep"), F.count("*").alias("weight"))
     ids = rows.select("node", F.col("row")[id_col].alias("id"))
@@ -177,18 +177,18 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     candidates = buckets.drop("band").join(shared, "key").join(reps.select("node", "sig"), "node")
     unit = ["key", "lo", "hi"]
     units = block_units(candidates, ["key"], F.ceil(F.col("m") / BUCKET_ROWS)).select(*unit, "b", "node", "sig")
-    edges = units.mapInArrow(lambda it: root_edges(it, unit, lambda t: _bayes(t, least)), "a long, b long")
+    edges = units.mapInArrow(lambda it: bt.tidy(root_edges(it, unit, lambda t: _bayes(t, least))), "a long, b long")
 
     clusters = stored(connected_components(edges).join(reps.select("node", "weight", "n_sh"), "node"), "njoin-clusters")[0]
     sizes = clusters.groupBy("component").agg(F.greatest(
         F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n_sh") / BLOCK_SHINGLES)).alias("blocks"))
     held = small(clusters.select("node", "component", "weight"))
     sets = (text.join(held, "node").join(reps.select("node", "sig"), "node")
-            .mapInArrow(lambda it: shingle_sets(it, k), "node long, component long, weight long, sig binary, sh binary")
+            .mapInArrow(lambda it: bt.tidy(shingle_sets(it, k)), "node long, component long, weight long, sig binary, sh binary")
             .join(sizes, "component"))
     unit2 = ["component", "lo", "hi"]
     verified = block_units(sets, ["component"], F.col("blocks")).select(*unit2, "b", "node", "weight", "sig", "sh")
-    found = stored(verified.mapInArrow(lambda it: linked_rows(it, unit2, lambda t: _exact(t, least, threshold)),
+    found = stored(verified.mapInArrow(lambda it: bt.tidy(linked_rows(it, unit2, lambda t: _exact(t, least, threshold))),
                                        "a long, b long, links long"), "njoin-links")[0]
     return {"rows": rows, "members": members,
             "links": found.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links")),

@@ -133,7 +133,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, host: Column, path: Colum
     """
     rows = numbered(docs.select(F.struct("*").alias("row"), host.cast("string").alias("host"), path.cast("string").alias("path")), "quality-rows")
     inputs, _ = stored(rows.select("node", F.col("row")[id_col].alias("id"), "host", "path", F.col("row")[text_col].cast("string").alias("text"))
-                       .mapInArrow(_input_batches, f"node long, id {dict(docs.dtypes)[id_col]}, host string, path string, x array<double>"), "quality-inputs")
+                       .mapInArrow(lambda it: bt.tidy(_input_batches(it)), f"node long, id {dict(docs.dtypes)[id_col]}, host string, path string, x array<double>"), "quality-inputs")
     known = (labels.where(F.col(label_id).isNotNull() & F.col(label_col).isin(0, 1))
              .select(F.col(label_id).alias("id"), F.col(label_col).cast("int").alias("y")))
     fit = inputs.join(known, "id").orderBy(F.xxhash64("id"), "id", "node").limit(MOST_LABELS).select("x", "y").toPandas()

@@ -150,7 +150,7 @@ def write_shards(docs: DataFrame, path: str | None = None, id_col: str = "doc_id
     spark = docs.sparkSession
     path = path or scratch_path(spark, "shards")
     rows = _split_rows(docs, text_col, id_col)
-    index, _ = stored(rows.mapInArrow(lambda it: _count_batches(it, vocabulary),
+    index, _ = stored(rows.mapInArrow(lambda it: bt.tidy(_count_batches(it, vocabulary)),
                                       "doc_id long, path string, start long, begin long, n_ids long"), "shards-index")
     splits = index.groupBy("path", "start").agg(F.ceil(F.max(F.col("begin") + F.col("n_ids")) / length).alias("sequences"))
     order = Window.orderBy("path", "start")
@@ -162,7 +162,7 @@ def write_shards(docs: DataFrame, path: str | None = None, id_col: str = "doc_id
     stride, shards = length * itemsize + 1, -(-n // per_shard)
     if n:
         packed = rows.drop("doc_id").join(F.broadcast(splits), ["path", "start"]).mapInArrow(
-            lambda it: _pack_batches(it, vocabulary, length, closing, n, key, width), "slot long, record binary")
+            lambda it: bt.tidy(_pack_batches(it, vocabulary, length, closing, n, key, width)), "slot long, record binary")
         shard = F.floor(F.col("slot") / per_shard).cast("int")
         (packed.withColumn("shard", shard).repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "slot")
          .select("shard", F.col("record").cast("string").alias("value")).write.partitionBy("shard").option("lineSep", "\n").text(path))
