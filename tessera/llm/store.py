@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,9 +14,25 @@ from tessera.session import scratch_path
 BROADCAST_ROWS = 200_000
 
 
+_WATCHING: list[list[str]] = []
+
+
+@contextmanager
+def watching() -> Iterator[list[str]]:
+    """Collects the paths of the tables that ``stored`` writes inside the block."""
+    paths: list[str] = []
+    _WATCHING.append(paths)
+    try:
+        yield paths
+    finally:
+        _WATCHING.pop()
+
+
 def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage ends here."""
     path = scratch_path(df.sparkSession, name)
+    for paths in _WATCHING[-1:]:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 

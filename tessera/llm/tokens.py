@@ -34,7 +34,7 @@ class Encoder:
         self.size = max(ranks.values()) + 1
         self.bytes_of = np.zeros(self.size, dtype=np.int64)
         self.bytes_of[list(ranks.values())] = list(map(len, ranks))
-        self.key, self.begin, self.count = np.empty(SLOTS, np.uint64), np.empty(SLOTS, np.int64), np.empty(SLOTS, np.int64)
+        self.key, self.begin, self.count = np.empty(SLOTS, np.uint64), np.empty(SLOTS, np.int32), np.empty(SLOTS, np.int32)
         self.ids = np.zeros(REMEMBERED, dtype=np.uint32)
         self._forget()
 
@@ -81,7 +81,7 @@ class Encoder:
         begins = np.concatenate([ends[:0], [0], ends[:-1]]) if len(ends) else ends
         h = bt.hash_spans(data, begins, ends) | np.uint64(1)
         slot = (h >> np.uint64(1)).astype(np.int64) & (SLOTS - 1)
-        ids, begin, count = self.ids, self.begin[slot], self.count[slot]
+        ids, begin, count = self.ids, self.begin[slot].astype(np.int64), self.count[slot].astype(np.int64)
         new = np.flatnonzero(self.key[slot] != h)
         if len(new):
             order = new[np.argsort(h[new], kind="stable")]
