@@ -8,8 +8,6 @@ SQL equivalent. Long texts are spread by repartitioning on the id first.
 
 from __future__ import annotations
 
-import re
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,65 +20,68 @@ from tessera.schemas import METADATA_COLUMNS, require_columns
 SEPARATORS = ["\n\n", "\n", " ", ""]
 
 
-def _split_keep(text: str, sep: str) -> list[str]:
-    if sep:
-        parts = re.split(f"({re.escape(sep)})", text)
-        out = [parts[0]] + [parts[i] + parts[i + 1] for i in range(1, len(parts) - 1, 2)]
-        if len(parts) % 2 == 0:
-            out += parts[-1:]
-    else:
-        out = list(text)
-    return [p for p in out if p != ""]
-
-
-def _merge(splits: list[str], size: int, overlap: int) -> list[str]:
-    docs: list[str] = []
-    current: list[str] = []
-    total = 0
-    for d in splits:
-        n = len(d)
-        if total + n > size:
-            if current:
-                doc = "".join(current).strip()
-                if doc:
-                    docs.append(doc)
-                while total > overlap or (total + n > size and total > 0):
-                    total -= len(current[0])
-                    current = current[1:]
-        current.append(d)
-        total += n
-    doc = "".join(current).strip()
-    if doc:
-        docs.append(doc)
-    return docs
+def _borders(text: str, lo: int, hi: int, sep: str) -> list[int]:
+    """Piece borders of text[lo:hi]: a piece starts at ``lo`` and at every separator."""
+    cuts, at = [lo], text.find(sep, lo, hi)
+    while at >= 0:
+        if at > cuts[-1]:
+            cuts.append(at)
+        at = text.find(sep, at + len(sep), hi)
+    cuts.append(hi)
+    return cuts
+
+
+def _pack(text: str, cuts: list[int], size: int, overlap: int):
+    """Chunks of consecutive pieces: as many as fit, the next chunk re-using at most ``overlap`` characters."""
+    lo = 0
+    for k in range(len(cuts) - 1):
+        if cuts[k + 1] - cuts[lo] > size and k > lo:
+            yield text[cuts[lo]:cuts[k]].strip()
+            while cuts[k] - cuts[lo] > overlap or (cuts[k + 1] - cuts[lo] > size and lo < k):
+                lo += 1
+    yield text[cuts[lo]:cuts[-1]].strip()
+
+
+def _windows(text: str, lo: int, hi: int, size: int, overlap: int):
+    """Chunks where every character is a piece: plain windows."""
+    while hi - lo > size:
+        yield text[lo:lo + size].strip()
+        lo += size - min(overlap, size - 1)
+    yield text[lo:hi].strip()
 
 
 def split_text(text: str, size: int, overlap: int = 0, separators=None) -> list[str]:
-    """Recursive character split: pieces <= size (one piece may exceed it when no separator is left)."""
-    seps = SEPARATORS if separators is None else separators
-    sep, rest = seps[-1], []
-    for i, s in enumerate(seps):
-        if s == "":
-            sep = s
-            break
-        if s in text:
-            sep, rest = s, seps[i + 1:]
-            break
-    good: list[str] = []
+    """Recursive character split: pieces <= size (one piece may exceed it when no separator is left).
+
+    Works on offsets of the one text: the first separator that a span holds cuts it, neighbouring pieces below
+    ``size`` are packed together, a larger piece is cut by the separators after that one.
+    """
+    seps = SEPARATORS if separators is None else list(separators)
     out: list[str] = []
-    for piece in _split_keep(text, sep):
-        if len(piece) < size:
-            good.append(piece)
-            continue
-        if good:
-            out.extend(_merge(good, size, overlap))
-            good = []
-        if not rest:
-            out.append(piece)
-        else:
-            out.extend(split_text(piece, size, overlap, rest))
-    if good:
-        out.extend(_merge(good, size, overlap))
+
+    def cut(lo: int, hi: int, level: int) -> None:
+        found = next((i for i in range(level, len(seps)) if not seps[i] or text.find(seps[i], lo, hi) >= 0), None)
+        if found is not None and not seps[found]:
+            out.extend(text[lo:hi] if size == 1 else filter(None, _windows(text, lo, hi, size, overlap)))
+            return
+        cuts = [lo, hi] if found is None else _borders(text, lo, hi, seps[found])
+        run = [cuts[0]]
+        for x, y in zip(cuts, cuts[1:]):
+            if y - x < size:
+                run.append(y)
+                continue
+            if len(run) > 1:
+                out.extend(filter(None, _pack(text, run, size, overlap)))
+            if found is None or found + 1 == len(seps):
+                out.append(text[x:y])
+            else:
+                cut(x, y, found + 1)
+            run = [y]
+        if len(run) > 1:
+            out.extend(filter(None, _pack(text, run, size, overlap)))
+
+    if text:
+        cut(0, len(text), 0)
     return out
 
 

@@ -1,26 +1,24 @@
 """Ground-truth mapping (D1-D7): fuzzy best match of each passage against the whole corpus.
 
-Plan for ``best_match`` (no cartesian product):
-
-1. Normalise both sides and explode distinct tokens. An equi-join on the token
-   (hot tokens: AQE skew splitting; the passage side is usually broadcast by
-   AQE) and a partial-aggregated ``groupBy(passage, doc)`` give, for every pair
-   sharing a token, ``s``, ``a`` and ``b``: the lengths of the shared, left-only
-   and right-only token strings.
-2. Two of the three ratio terms are closed forms of (s, a, b); the third is
-   bounded by ``2(s+1+min(a,b))/(2s+2+a+b)``. The closed-form winner per passage
-   is the threshold.
-3. Exact mode: only pairs whose bound can still beat the threshold (respecting
-   the first-in-order tie rule) get the exact LCS term, computed in an Arrow
-   UDF. Pairs sharing no token have score ``r(A, B)`` bounded by
-   ``2 min(a,b)/(a+b)``; they are found by an equi-join on document length
-   buckets restricted to the band where that bound reaches the threshold.
-4. ``max_by`` over (score, -row order) picks the first best document; passages
-   without a positive score get (0, NULL).
+Plan for ``best_match``: articles stay where they are, and no (passage, article) row is shuffled or written.
+
+1. The passages' sorted distinct tokens are broadcast (size proved by an aggregate first; a larger passage
+   table is cut into blocks of ``PASSAGE_BYTES`` that are matched one after another).
+2. First pass (``mapInPandas`` over article partitions): an inverted index from token to passages gives, per
+   article, the shared token count and length for all passages at once; two of the three ratio terms are
+   closed forms of them. Each partition returns only its best closed score and first order per passage.
+3. These reduce to one threshold per passage, which is broadcast with the passages. ``exact=False`` ends here.
+4. Second pass: the third term is bounded by ``2(s+1+min(a,b))/(2s+2+a+b)`` (without shared tokens by
+   ``2min(a,b)/(a+b)`` and a character count); only pairs whose bound can still win get the exact LCS, and a
+   partition returns its best pair per passage.
+
+Ties go to the article that comes first in ``order``. NULL passages and articles count as empty texts;
+passages without a positive score get (0, NULL).
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,9 +26,11 @@ from pyspark.sql import types as T
 
 from tessera.functions import fuzzy
 from tessera.functions.plan import spread
-from tessera.functions.text import fuzz_normalize, joined_length, parse_list_literal, token_set
+from tessera.functions.text import fuzz_normalize, parse_list_literal, token_set
+from tessera.session import ship_package
 
-BUCKET = 64
+#: Most bytes of passage tokens in one broadcast block.
+PASSAGE_BYTES = 32 << 20
 
 
 def drop_duplicate_rows(df: DataFrame, required=()) -> DataFrame:
@@ -43,13 +43,12 @@ def drop_duplicate_rows(df: DataFrame, required=()) -> DataFrame:
 def unwrap_singleton(df: DataFrame, col: str) -> DataFrame:
     """If every value parses as a list literal, replace it by its only element.
 
-    A list with more than one element fails the query, as the reference's
-    row-count assertion does; if any value is not a list the column is kept.
+    A list with more than one element fails the query; if any value is not a list the column is kept.
     """
     parsed = parse_list_literal(col)
     flags = df.agg(F.coalesce(F.bool_and(parsed.isNotNull()), F.lit(False)).alias("__all_lists"))
     out = df.crossJoin(F.broadcast(flags))
-    value = F.when(F.size(parsed) > 1, F.raise_error(F.lit("Expected the same number of rows after exploding")))\
+    value = F.when(F.size(parsed) > 1, F.raise_error(F.lit("unwrap_singleton: a list holds more than one element")))\
         .otherwise(F.try_element_at(parsed, F.lit(1)))
     return out.withColumn(col, F.when(F.col("__all_lists"), value).otherwise(F.col(col))).drop("__all_lists")
 
@@ -60,150 +59,134 @@ def token_set_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([fuzzy.token_set_ratio(x, y) for x, y in zip(a, b)], dtype="int32")
 
 
-def _ratio(num: Column, den: Column) -> Column:
+def _joined(n, total):
+    """Length of n tokens of ``total`` characters joined by spaces."""
+    return np.where(n > 0, total + n - 1, 0)
+
+
+def _ratios(num, den):
     """round_half_even(100 * num / den) with the reference's float evaluation order."""
-    return F.bround(F.lit(100.0) * (num.cast("double") / den.cast("double")), 0).cast("int")
-
-
-def _sides(passages: DataFrame, pid: str, ptext: str, articles: DataFrame, order: str, content: str):
-    p = passages.select(F.col(pid).alias("pid"), token_set(fuzz_normalize(F.col(ptext))).alias("ptoks"))
-    p = p.select("pid", "ptoks", F.size("ptoks").alias("np"),
-                 F.aggregate("ptoks", F.lit(0), lambda acc, t: acc + F.length(t)).alias("lp"))
-    d = spread(articles.select(F.col(order).alias("did"), F.col(content).alias("__c")), "did").select(
-        "did", token_set(fuzz_normalize(F.col("__c"))).alias("dtoks"))
-    d = d.select("did", "dtoks", F.size("dtoks").alias("nd"),
-                 F.aggregate("dtoks", F.lit(0), lambda acc, t: acc + F.length(t)).alias("ld"))
-    return p, d
-
-
-def _pair_stats(p: DataFrame, d: DataFrame) -> DataFrame:
-    # token rows carry their side's totals, so the pair aggregate needs no join back to either side
-    pt = p.select("pid", "np", "lp", F.explode("ptoks").alias("tok"))
-    dt = d.select("did", "nd", "ld", F.explode("dtoks").alias("tok"))
-    pairs = (pt.join(dt, "tok").groupBy("pid", "did", "np", "lp", "nd", "ld")
-             .agg(F.count(F.lit(1)).alias("ns"), F.sum(F.length("tok")).alias("ls")))
-    s = joined_length(F.col("ns"), F.col("ls"))
-    a = joined_length(F.col("np") - F.col("ns"), F.col("lp") - F.col("ls"))
-    b = joined_length(F.col("nd") - F.col("ns"), F.col("ld") - F.col("ls"))
-    pairs = pairs.select("pid", "did", s.alias("s"), a.alias("a"), b.alias("b"))
-    r1 = F.when(F.col("a") == 0, F.lit(100)).otherwise(_ratio(2 * F.col("s"), 2 * F.col("s") + 1 + F.col("a")))
-    r2 = F.when(F.col("b") == 0, F.lit(100)).otherwise(_ratio(2 * F.col("s"), 2 * F.col("s") + 1 + F.col("b")))
-    bound3 = F.when((F.col("a") == 0) | (F.col("b") == 0), F.lit(0)).otherwise(
-        _ratio(2 * (F.col("s") + 1 + F.least("a", "b")), 2 * F.col("s") + 2 + F.col("a") + F.col("b")))
-    return pairs.select("pid", "did", "s", "a", "b", F.greatest(r1, r2).alias("closed"), bound3.alias("bound"))
-
-
-def _winner(scored: DataFrame, score: str) -> DataFrame:
-    """Per pid: the highest positive score, first ``did`` on ties."""
-    pos = scored.where(F.col(score) > 0)
-    return pos.groupBy("pid").agg(
-        F.max_by(F.struct(F.col(score).alias("score"), F.col("did").alias("did")),
-                 F.struct(F.col(score), -F.col("did"))).alias("w")
-    ).select("pid", F.col("w.score").alias("score"), F.col("w.did").alias("did"))
-
-
-def _lcs_scores(it):
-    """mapInPandas body: exact third ratio for candidate pairs, skipping hopeless ones."""
-    for pdf in it:
-        out = []
-        for A, B, s, need in zip(pdf["astr"], pdf["bstr"], pdf["s"], pdf["need"]):
-            A = A or ""
-            B = B or ""
-            if s > 0:
-                x, y = (A, B)
-                base = s + 1
-                lensum = 2 * s + 2 + len(A) + len(B)
-            else:
-                x, y = A, B
-                base = 0
-                lensum = len(A) + len(B)
-            if not x or not y:
-                out.append(-1)
-                continue
-            # the character-count bound is cheap but only prunes well for pairs without shared tokens
-            if s == 0 and fuzzy.ratio_from(fuzzy.char_bound(x, y), lensum) < need:
-                out.append(-1)
-                continue
-            out.append(fuzzy.ratio_from(base + fuzzy.lcs_len(x, y), lensum))
-        yield pd.DataFrame({"pid": pdf["pid"], "did": pdf["did"], "r3": pd.Series(out, dtype="int32")})
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(den > 0, np.rint(100.0 * (num / den)), 0).astype(np.int64)
+
+
+class Passages:
+    """One block of passages with an inverted index from token to passages."""
+
+    def __init__(self, rows: list[tuple[int, list[str]]]):
+        self.pid = np.array([p for p, _ in rows], dtype=np.int64)
+        self.tokens = [list(t or []) for _, t in rows]
+        self.n = np.array([len(t) for t in self.tokens], dtype=np.int64)
+        self.length = np.array([sum(map(len, t)) for t in self.tokens], dtype=np.int64)
+        index: dict[str, list[int]] = {}
+        for i, t in enumerate(self.tokens):
+            for w in t:
+                index.setdefault(w, []).append(i)
+        self.index = {w: np.array(v, dtype=np.int64) for w, v in index.items()}
+
+    def shared(self, tokens: list[str]):
+        """(s, a, b, closed score) against one article's distinct tokens, for every passage."""
+        ns, ls = np.zeros(len(self.pid), dtype=np.int64), np.zeros(len(self.pid), dtype=np.int64)
+        for w in tokens:
+            at = self.index.get(w)
+            if at is not None:
+                ns[at] += 1
+                ls[at] += len(w)
+        nd, ld = len(tokens), sum(map(len, tokens))
+        s, a, b = _joined(ns, ls), _joined(self.n - ns, self.length - ls), _joined(nd - ns, ld - ls)
+        r1 = np.where(a == 0, 100, _ratios(2 * s, 2 * s + 1 + a))
+        r2 = np.where(b == 0, 100, _ratios(2 * s, 2 * s + 1 + b))
+        return s, a, b, np.where(ns > 0, np.maximum(r1, r2), 0)
+
+
+def _better(score, did, best, first):
+    """Where (score, did) beats (best, first): a higher score, or the same from an earlier article."""
+    return (score > best) | ((score == best) & (score > 0) & (did < first))
+
+
+def _emit(passages: Passages, best, first) -> pd.DataFrame:
+    at = np.flatnonzero(best > 0)
+    return pd.DataFrame({"pid": passages.pid[at], "score": best[at].astype("int32"), "did": first[at]})
+
+
+def _closed_pass(batches, shared):
+    passages, _, _ = shared.value
+    best, first = np.zeros(len(passages.pid), dtype=np.int64), np.full(len(passages.pid), np.iinfo(np.int64).max)
+    for pdf in batches:
+        for did, tokens in zip(pdf["did"], pdf["dtoks"]):
+            score = passages.shared([] if tokens is None else list(tokens))[3]
+            win = _better(score, did, best, first)
+            best[win], first[win] = score[win], did
+    yield _emit(passages, best, first)
+
+
+def _exact_pass(batches, shared):
+    passages, best, first = shared.value
+    best, first = best.copy(), first.copy()  # thresholds rise with what this partition finds
+    for pdf in batches:
+        for did, tokens in zip(pdf["did"], pdf["dtoks"]):
+            tokens = [] if tokens is None else list(tokens)
+            s, a, b, _ = passages.shared(tokens)
+            some = (a > 0) & (b > 0)
+            bound = np.where(s > 0, _ratios(2 * (s + 1 + np.minimum(a, b)), 2 * s + 2 + a + b), _ratios(2 * np.minimum(a, b), a + b))
+            own = set(tokens)
+            for i in np.flatnonzero(some & _better(bound, did, best, first)):
+                mine = set(passages.tokens[i])
+                left = " ".join(w for w in passages.tokens[i] if w not in own)
+                right = " ".join(w for w in tokens if w not in mine)
+                base, total = (s[i] + 1, 2 * s[i] + 2 + a[i] + b[i]) if s[i] > 0 else (0, a[i] + b[i])
+                # the character bound is cheap and prunes well only without shared tokens
+                if s[i] == 0 and not _better(fuzzy.ratio_from(fuzzy.char_bound(left, right), total), did, best[i], first[i]):
+                    continue
+                score = fuzzy.ratio_from(base + fuzzy.lcs_len(left, right), total)
+                if _better(score, did, best[i], first[i]):
+                    best[i], first[i] = score, did
+    yield _emit(passages, best, first)
+
+
+def _reduce(found: DataFrame) -> DataFrame:
+    """Per passage the highest score, first article on ties (one long per row: a hash aggregate)."""
+    return (found.groupBy("pid").agg(F.max(F.struct("score", (-F.col("did")).alias("neg"))).alias("w"))
+            .select("pid", F.col("w.score").alias("score"), (-F.col("w.neg")).alias("did")))
 
 
 def best_match(passages: DataFrame, articles: DataFrame, pid: str = "example_id", ptext: str = "relevant_chunk",
                order: str = "row_id", content: str = "content", id_col: str = "id",
-               exact: bool = True) -> DataFrame:
-    """(pid, best_match_score int, best_match_id long) for every passage.
+               exact: bool = True, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(pid, best_match_score int, best_match_id long, ``keys``...) for every passage.
 
-    ``order`` is the source order used for ties (first wins); ``id_col`` is the
-    returned id. ``exact=False`` keeps only the closed-form terms (no LCS), a
-    lower bound of the exact score that needs no Python.
+    ``order`` is the source order used for ties (first wins) and identifies the article; ``id_col`` is the
+    returned id, ``keys`` further article columns to return. ``exact=False`` keeps only the closed-form terms, a
+    lower bound of the exact score.
     """
-    p, d = _sides(passages, pid, ptext, articles, order, content)
-    # the pair table feeds four branches (threshold, candidates, anti-join, final max): write it once
-    pairs = _pair_stats(p, d).checkpoint()
-    closed_best = _winner(pairs, "closed")
-    if exact:
-        best = _exact_winner(p, d, pairs, closed_best)
-    else:
-        best = closed_best
-    ids = articles.select(F.col(order).alias("did"), F.col(id_col).cast("long").alias("best_match_id"))
+    spark = passages.sparkSession
+    ship_package(spark)
+    p = passages.select(F.col(pid).cast("long").alias("pid"), token_set(fuzz_normalize(F.coalesce(F.col(ptext), F.lit("")))).alias("toks"))
+    d = spread(articles.select(F.col(order).cast("long").alias("did"), F.col(content).alias("__c")), "did").select(
+        "did", token_set(fuzz_normalize(F.coalesce(F.col("__c"), F.lit("")))).alias("dtoks"))
+    size = F.aggregate("toks", F.lit(0).cast("long"), lambda acc, t: acc + F.octet_length(t) + 64)
+    n_bytes = p.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    blocks = max(1, -(-n_bytes // PASSAGE_BYTES))
+    best = None
+    for i in range(blocks):
+        part = p if blocks == 1 else p.where(F.pmod(F.xxhash64("pid"), F.lit(blocks)) == i)
+        held = Passages([(r.pid, r.toks) for r in part.where("pid IS NOT NULL").orderBy("pid").collect()])  # at most PASSAGE_BYTES
+        none = np.zeros(len(held.pid), dtype=np.int64), np.full(len(held.pid), np.iinfo(np.int64).max)
+        shared = spark.sparkContext.broadcast((held, *none))
+        found = _reduce(d.mapInPandas(lambda it, s=shared: _closed_pass(it, s), "pid long, score int, did long"))
+        if exact:
+            closed = {r.pid: (r.score, r.did) for r in found.collect()}  # one row per passage of the block
+            at = [closed.get(x, (0, none[1][0])) for x in held.pid.tolist()]
+            low = np.array([x[0] for x in at], dtype=np.int64), np.array([x[1] for x in at], dtype=np.int64)
+            shared2 = spark.sparkContext.broadcast((held, *low))
+            found = _reduce(d.mapInPandas(lambda it, s=shared2: _exact_pass(it, s), "pid long, score int, did long"))
+        best = found if best is None else best.unionByName(found)
+    ids = articles.select(F.col(order).alias("did"), F.col(id_col).cast("long").alias("best_match_id"), *keys)
     res = (passages.select(F.col(pid).alias("pid")).join(best, "pid", "left")
            .join(ids, "did", "left"))
     return res.select(F.col("pid").alias(pid),
                       F.coalesce(F.col("score"), F.lit(0)).cast("int").alias("best_match_score"),
-                      F.col("best_match_id"))
-
-
-def _exact_winner(p: DataFrame, d: DataFrame, pairs: DataFrame, closed_best: DataFrame) -> DataFrame:
-    cand = _candidates(p, d, pairs, closed_best)
-    # candidates arrive grouped by passage (a low threshold means many of them): spread the
-    # CPU-heavy LCS evenly over (passage, doc) before the Python stage
-    slots = cand.sparkSession.sparkContext.defaultParallelism * 2
-    cand = cand.repartition(slots, "pid", "did")
-    exact3 = cand.mapInPandas(_lcs_scores, "pid long, did long, r3 int").where(F.col("r3") >= 0)
-    scored = (pairs.select("pid", "did", F.col("closed").alias("score"))
-              .unionByName(exact3.select("pid", "did", F.col("r3").alias("score"))))
-    return _winner(scored, "score")
-
-
-def _candidates(p: DataFrame, d: DataFrame, pairs: DataFrame, closed_best: DataFrame) -> DataFrame:
-    """Pairs whose exact third term may still beat the closed-form winner, with their token strings."""
-    th = p.select("pid", "np", "lp").join(closed_best, "pid", "left").select(
-        "pid", F.coalesce("score", F.lit(0)).alias("t"), F.col("did").alias("t_did"),
-        joined_length(F.col("np"), F.col("lp")).alias("a_full"))
-
-    def can_beat(bound: Column) -> Column:
-        return (bound > F.col("t")) | ((bound == F.col("t")) & (F.col("t_did").isNull() | (F.col("did") < F.col("t_did"))))
-
-    # (1) token-sharing pairs whose third term might beat the threshold
-    c1 = (pairs.join(th, "pid").where(can_beat(F.col("bound")) & (F.col("bound") > F.col("closed")))
-          .select("pid", "did", "s"))
-    # (2) pairs without a shared token, in the length band where 2min(a,b)/(a+b) can reach the threshold
-    beta = (F.col("t").cast("double") - 0.5) / 100.0
-    lo = F.when(beta <= 0, F.lit(0.0)).otherwise(F.col("a_full") * beta / (2 - beta))
-    hi = F.when(beta <= 0, F.lit(float(1 << 40))).otherwise(F.col("a_full") * (2 - beta) / beta)
-    dlen = d.select("did", joined_length(F.col("nd"), F.col("ld")).alias("b_full"))
-    max_b = dlen.agg(F.max("b_full").alias("max_b"))
-    band = (th.where(F.col("a_full") > 0).crossJoin(F.broadcast(max_b))
-            .select("pid", "t", "t_did", "a_full", lo.alias("lo"), F.least(hi, F.col("max_b").cast("double")).alias("hi")))
-    band = band.where(F.col("lo") <= F.col("hi")).select(
-        "pid", "t", "t_did", "a_full", "lo", "hi",
-        F.explode(F.sequence(F.floor(F.col("lo") / BUCKET).cast("long"),
-                             F.floor(F.col("hi") / BUCKET).cast("long"))).alias("bk"))
-    docs_b = dlen.where(F.col("b_full") > 0).withColumn("bk", F.floor(F.col("b_full") / BUCKET).cast("long"))
-    c2 = (band.join(docs_b, "bk")
-          .where((F.col("b_full") >= F.col("lo")) & (F.col("b_full") <= F.col("hi")))
-          .join(pairs.select("pid", "did"), ["pid", "did"], "left_anti"))
-    c2 = c2.where(can_beat(_ratio(2 * F.least("a_full", "b_full"), F.col("a_full") + F.col("b_full"))))
-    cand = c1.unionByName(c2.select("pid", "did", F.lit(0).cast("long").alias("s")))
-
-    # token strings for the candidates: A = passage-only tokens, B = document-only tokens
-    cand = (cand.join(p.select("pid", "ptoks"), "pid").join(d.select("did", "dtoks"), "did")
-            .join(th.select("pid", "t", "t_did"), "pid"))
-    need = F.when(F.col("t_did").isNull() | (F.col("did") < F.col("t_did")), F.col("t")).otherwise(F.col("t") + 1)
-    return cand.select(
-        "pid", "did", "s", need.alias("need"),
-        F.array_join(F.array_except("ptoks", "dtoks"), " ").alias("astr"),
-        F.array_join(F.array_except("dtoks", "ptoks"), " ").alias("bstr"))
+                      "best_match_id", *keys)
 
 
 def to_ground_truth(df: DataFrame) -> DataFrame:
@@ -218,7 +201,10 @@ def to_ground_truth(df: DataFrame) -> DataFrame:
 def map_eval_set(articles: DataFrame, eval_df: DataFrame, exact: bool = True) -> DataFrame:
     """EVAL_MAPPED: distinct rows, unwrapped passages, best match, renamed ground truth."""
     df = unwrap_singleton(drop_duplicate_rows(eval_df), "relevant_chunk")
-    best = best_match(df, articles, pid="example_id", ptext="relevant_chunk", exact=exact)
+    keys = ("doc_key",) if "doc_key" in articles.columns else ()
+    best = best_match(df, articles, pid="example_id", ptext="relevant_chunk", exact=exact, keys=keys)
+    for k in keys:
+        best = best.withColumnRenamed(k, f"best_match_{k.removeprefix('doc_')}")
     return to_ground_truth(df.join(best, "example_id", "left"))
 
 
@@ -227,15 +213,18 @@ def highlight_matches(eval_df: DataFrame, articles: DataFrame, min_words: int =
     """Best-match article text with runs of >= ``min_words`` passage words wrapped in <mark>.
 
     The pattern is a column (one per passage): its words, quoted, as an
-    alternation; a run is ``word (\\s+ word){min_words-1,}``, case-insensitive.
+    alternation; a run is ``word (\\s+ word){min_words-1,}``, case-insensitive. With a full content key on
+    both sides (``best_match_key``, ``doc_key``) the article is found by it, never by the short id.
     """
+    by_key = "best_match_key" in eval_df.columns and "doc_key" in articles.columns
     words = F.filter(F.split(F.col(text), "(?U)[\\s\\x1c-\\x1f]+"), lambda w: w != "")
     quoted = F.transform(words, lambda w: F.concat(F.lit("\\Q"), F.replace(w, F.lit("\\E"), F.lit("\\E\\\\E\\Q")),
                                                     F.lit("\\E")))
     alt = F.concat(F.lit("\\b(?:"), F.array_join(quoted, "|"), F.lit(")\\b"))
     pattern = F.concat(F.lit("(?iU)"), alt, F.lit("(?:\\s+"), alt, F.lit(f"){{{max(min_words - 1, 0)},}}"))
-    arts = articles.select(F.col(id_col).alias("best_match_id"), F.col(content).alias("__content"))
-    joined = eval_df.join(arts, "best_match_id", "left")
+    on, source = ("best_match_key", "doc_key") if by_key else ("best_match_id", id_col)
+    arts = articles.select(F.col(source).alias(on), F.col(content).alias("__content"))
+    joined = eval_df.join(arts, on, "left")
     marked = F.when(F.col("__content").isNull(), F.lit("No match found")).when(
         F.size(words) == 0, F.col("__content")).otherwise(
         F.regexp_replace(F.col("__content"), pattern, F.lit("<mark>$0</mark>")))

@@ -80,10 +80,12 @@ def similarity_search(queries: DataFrame, vectors: DataFrame, k: int = 4, qid: s
     (self-search on one table).
     """
     spark = queries.sparkSession
-    q = queries.select(F.col(qid).alias("qid"), F.col(qvec).alias("qv"))
-    v = vectors.select(F.col(cid).alias("cid"), F.col(cvec).alias("cv"))
+    # a NULL vector (a NULL text) finds nothing and is found by nothing
+    q = queries.select(F.col(qid).alias("qid"), F.col(qvec).alias("qv")).where(F.col("qv").isNotNull())
+    v = vectors.select(F.col(cid).alias("cid"), F.col(cvec).alias("cv")).where(F.col("cv").isNotNull())
     kk = k + 1 if exclude_self else k
-    schema = f"qid long, chunk_id {v.schema['cid'].dataType.simpleString()}, score double, l2_sq double"
+    schema = (f"qid {q.schema['qid'].dataType.simpleString()}, chunk_id {v.schema['cid'].dataType.simpleString()}, "
+              "score double, l2_sq double")
 
     # One bounded probe proves the broadcast size: at most broadcast_rows + 1 rows are fetched;
     # if the query side is larger (or rows * dim exceeds the float budget) the grid path runs.
@@ -146,13 +148,16 @@ def retrieve_batch(hits: DataFrame, chunks: DataFrame, qid: str = "question_id")
                          F.transform("r", lambda x: x["origin_doc_id"]).alias("contexts_origin_doc_ids"))
 
 
-def multi_query(variant_hits: DataFrame, qid: str = "question_id") -> DataFrame:
+def multi_query(variant_hits: DataFrame, chunks: DataFrame, qid: str = "question_id") -> DataFrame:
     """Unique union of the hits of all variants of a question, in a defined order.
 
-    ``variant_hits``: (qid, variant_no, rank, chunk_id, score). Unique on the
-    chunk; order (best rank over variants, best score, chunk_id).
+    ``variant_hits``: (qid, rank, chunk_id, score). Unique on the chunk's text and metadata: equal chunks of one
+    article count once (the least chunk id stands for them). Order (best rank over variants, best score, chunk_id).
     """
-    g = variant_hits.groupBy(qid, "chunk_id").agg(F.min("rank").alias("best_rank"), F.max("score").alias("best_score"))
+    meta = [c for c in ("page_content", "origin_doc_id", "url", "domain", "title", "author", "date") if c in chunks.columns]
+    per_chunk = variant_hits.groupBy(qid, "chunk_id").agg(F.min("rank").alias("r"), F.max("score").alias("s"))
+    g = (per_chunk.join(chunks.select("chunk_id", *meta), "chunk_id").groupBy(qid, *meta)
+         .agg(F.min("chunk_id").alias("chunk_id"), F.min("r").alias("best_rank"), F.max("s").alias("best_score")))
     w = Window.partitionBy(qid).orderBy(F.col("best_rank"), F.round("best_score", ROUND).desc(), F.col("chunk_id"))
     return g.select(qid, "chunk_id", F.row_number().over(w).alias("rank"), F.col("best_score").alias("score"))
 

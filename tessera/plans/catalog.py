@@ -532,11 +532,12 @@ def q_judge_metrics(spark, sf_dir):
 
 
 RUNS = (("Baseline", "base", 1000), ("Experiment 1: Baseline 200", "base", 200),
-        ("Experiment 2: Multi-Query Retrieval", "multi_query", 1000), ("Experiment 3: Step Back", "step_back", 1000))
+        ("Experiment 2: Multi-Query Retrieval", "multi_query", 1000), ("Experiment 3: Step Back", "step_back", 1000),
+        ("Experiment 4: HyDE", "hyde", 1000), ("Experiment 5: Contextual Compression", "compression", 1000))
 
 
 def _runs(spark, sf_dir):
-    """Four evaluated runs over one cleaned corpus and one mapped evaluation set (both checkpointed)."""
+    """Six evaluated runs over one cleaned corpus and one mapped evaluation set (both checkpointed)."""
     clean = _clean(spark, sf_dir)
     mapped = M.map_eval_set(clean, eval_passages(spark, sf_dir), exact=False).checkpoint()
     indexes = {}

@@ -211,11 +211,11 @@ FROM benchmark b LEFT JOIN win w ON w.pid = b.item_id LEFT JOIN clean c ON c.row
 from tessera.operators.compare import DEFAULT_DISTRIBUTION, quotas  # noqa: E402
 
 _BASE = [S.ARTICLES, S.clean_corpus_ctes()]
-_QS = "qs AS (SELECT item_id AS qid, split_part(text, chr(10), 1) AS question FROM benchmark)"
+_QS = "qs AS (SELECT item_id AS qid, text AS question FROM benchmark)"
 _MAPPED = _CLOSED + """,
-mapped AS (SELECT b.item_id AS example_id, b.item_id AS question_id, split_part(b.text, chr(10), 1) AS question,
+mapped AS (SELECT b.item_id AS example_id, b.item_id AS question_id, b.text AS question,
                   b.text AS ground_truth, CAST(coalesce(w.score, 0) AS INTEGER) AS best_match_score,
-                  CAST(c.id AS BIGINT) AS best_match_id
+                  CAST(c.id AS BIGINT) AS best_match_id, c.doc_key AS best_match_key
            FROM benchmark b LEFT JOIN win w ON w.pid = b.item_id LEFT JOIN clean c ON c.row_id = w.did)"""
 
 
@@ -292,11 +292,11 @@ from tessera.operators import generate as _G  # noqa: E402
 
 sql("render_prompt", f"""
 SELECT item_id AS example_id,
-  {_tmpl_sql(_G.BASE_PROMPT, context='text', question="split_part(text, chr(10), 1)")} AS base,
-  {_tmpl_sql(_G.MULTI_QUERY_PROMPT, question="split_part(text, chr(10), 1)")} AS multi_query,
-  {_tmpl_sql(_G.STEP_BACK_PROMPT, question="split_part(text, chr(10), 1)")} AS step_back,
-  {_tmpl_sql(_G.STEP_BACK_ANSWER_PROMPT, context='text', question="split_part(text, chr(10), 1)")} AS step_back_answer,
-  {_tmpl_sql(_G.HYDE_PROMPT, question="split_part(text, chr(10), 1)")} AS hyde
+  {_tmpl_sql(_G.BASE_PROMPT, context='text', question="text")} AS base,
+  {_tmpl_sql(_G.MULTI_QUERY_PROMPT, question="text")} AS multi_query,
+  {_tmpl_sql(_G.STEP_BACK_PROMPT, question="text")} AS step_back,
+  {_tmpl_sql(_G.STEP_BACK_ANSWER_PROMPT, context='text', question="text")} AS step_back_answer,
+  {_tmpl_sql(_G.HYDE_PROMPT, question="text")} AS hyde
 FROM benchmark""")
 
 sql("generate_batch", S.with_(*_rows_sql("base"), *S.answer_ctes("r")) + "SELECT qid AS example_id, answer FROM r_ans")
@@ -332,7 +332,8 @@ sql("metric_summary_lineitem", "\nUNION ALL\n".join(
     for m in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")))
 
 _RUNS = (("Baseline", "base", 1000), ("Experiment 1: Baseline 200", "base", 200),
-         ("Experiment 2: Multi-Query Retrieval", "multi_query", 1000), ("Experiment 3: Step Back", "step_back", 1000))
+         ("Experiment 2: Multi-Query Retrieval", "multi_query", 1000), ("Experiment 3: Step Back", "step_back", 1000),
+         ("Experiment 4: HyDE", "hyde", 1000), ("Experiment 5: Contextual Compression", "compression", 1000))
 _DISPLAY = {"answer_correctness": "Answer Correctness", "answer_relevancy": "Answer Relevancy",
             "answer_similarity": "Answer Similarity", "context_precision": "Context Precision",
             "context_entity_recall": "Context Entity Recall", "rr": "Reciprocal Rank", "hit_at_2": "Hit@2"}

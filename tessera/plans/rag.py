@@ -18,7 +18,6 @@ from tessera.operators import retrieve as R
 from tessera.operators.embed import embed
 
 STRATEGIES = ("base", "multi_query", "step_back", "hyde", "compression")
-VARIANT_STRIDE = 1_000_000  # query id = example id * stride + variant number
 
 
 def corpus_index(clean: DataFrame, size: int, overlap: int = 0, splitter: str = "fixed",
@@ -46,8 +45,11 @@ def retrieve(questions: DataFrame, vectors: DataFrame, chunks: DataFrame, strate
     if strategy in ("base", "compression"):
         hits = _hits_for(q.select("qid", F.col("question").alias("text")), vectors, k, encoder)
     elif strategy == "hyde":
-        if generator is None:
-            texts = q.select("qid", F.col("question").alias("text"))
+        if generator is None:  # the hypothetical document: the extractive answer over the question's own hits
+            first = _hits_for(q.select("qid", F.col("question").alias("text")), vectors, k, encoder)
+            found = pack_contexts(R.attach_chunks(first, chunks).withColumnRenamed("qid", key), key)
+            p = q.join(found.withColumnRenamed(key, "qid"), "qid", "left").withColumn("context", G.format_context("contexts"))
+            texts = p.select("qid", F.coalesce(G.extractive_answer("question", "context"), "question").alias("text"))
         else:
             p = q.withColumn("prompt", G.render_prompt(G.HYDE_PROMPT, question="question"))
             texts = G.generate_batch(p, "prompt", generator, out="text").select("qid", "text")
@@ -67,11 +69,11 @@ def retrieve(questions: DataFrame, vectors: DataFrame, chunks: DataFrame, strate
             variants = gen.select("qid", F.explode(F.split("raw", "\n")).alias("text"))
             variants = variants.select("qid", "text", F.row_number().over(
                 Window.partitionBy("qid").orderBy("text")).alias("variant_no") - 1)
-        vq = variants.select((F.col("qid") * VARIANT_STRIDE + F.col("variant_no")).alias("vqid"), "qid",
-                             "variant_no", "text")
-        vh = _hits_for(vq.select(F.col("vqid").alias("qid"), "text"), vectors, k, encoder)
-        vh = vh.select((F.col("qid") / VARIANT_STRIDE).cast("long").alias("qid"), "rank", "chunk_id", "score")
-        hits = R.multi_query(vh, qid="qid")
+        # the key of a variant is text, so no id is too large and no variant number overflows into the next question
+        vq = variants.select(F.concat_ws(":", "qid", "variant_no").alias("qid"), "text")
+        vh = _hits_for(vq, vectors, k, encoder)
+        vh = vh.select(F.substring_index("qid", ":", 1).cast("long").alias("qid"), "rank", "chunk_id", "score")
+        hits = R.multi_query(vh, chunks, qid="qid")
     else:  # step_back
         normal = _hits_for(q.select("qid", F.col("question").alias("text")), vectors, k, encoder)
         if generator is None:

@@ -149,18 +149,25 @@ def step_back_text(x: str) -> str:
 def rows_ctes(t: str, strategy: str, ch: str, cv: str, k: int = 4) -> list[str]:
     """CTE ``{t}_rows`` = (qid, rank, chunk_id, origin_doc_id, page_content, score) for one strategy."""
     out: list[str] = []
-    if strategy in ("base", "hyde", "compression"):
+    if strategy == "hyde":  # the extractive answer over the question's own hits is searched
+        b = f"{t}_b"
+        out += [*rows_ctes(b, "base", ch, cv, k), *answer_ctes(b),
+                f"{t}_hq AS (SELECT qid, coalesce(answer, question) AS text FROM {b}_ans)",
+                embed_ctes(f"{t}_qv", f"{t}_hq", "qid", "text"), topk_cte(f"{t}_hits", f"{t}_qv", cv, k)]
+        hits = f"{t}_hits"
+    elif strategy in ("base", "compression"):
         out += [embed_ctes(f"{t}_qv", "qs", "qid", "question"), topk_cte(f"{t}_hits", f"{t}_qv", cv, k)]
         hits = f"{t}_hits"
     elif strategy == "multi_query":
         def variants(x: str) -> str:
             return (f"list_concat([{x}, array_to_string(list_sort(list_distinct({tokens(x)})), ' ')], "
                     f"{sentences(x)})")
-        out.append(f"""{t}_var AS (SELECT qid * 1000000 + (generate_subscripts(v, 1) - 1) AS qid, unnest(v) AS text FROM (
+        out.append(f"""{t}_var AS (SELECT CAST(qid AS VARCHAR) || ':' || CAST(generate_subscripts(v, 1) - 1 AS VARCHAR) AS qid, unnest(v) AS text FROM (
             SELECT qid, flatten(list_transform({variants('question')}, lambda vq: {variants('vq')})) AS v FROM qs))""")
         out += [embed_ctes(f"{t}_qv", f"{t}_var", "qid", "text"), topk_cte(f"{t}_vh", f"{t}_qv", cv, k)]
-        out.append(f"""{t}_g AS (SELECT qid // 1000000 AS qid, chunk_id, min(rank) AS best_rank, max(score) AS best_score
-            FROM {t}_vh GROUP BY qid // 1000000, chunk_id)""")
+        out.append(f"""{t}_g AS (SELECT CAST(split_part(v.qid, ':', 1) AS BIGINT) AS qid, min(chunk_id) AS chunk_id,
+            min(rank) AS best_rank, max(score) AS best_score FROM {t}_vh v JOIN {ch} c USING (chunk_id)
+            GROUP BY split_part(v.qid, ':', 1), page_content, origin_doc_id, url, domain, title, author, date)""")
         out.append(f"""{t}_hits AS (SELECT qid, chunk_id, best_score AS score,
             row_number() OVER (PARTITION BY qid ORDER BY best_rank, round(best_score, 9) DESC, chunk_id) AS rank FROM {t}_g)""")
         hits = f"{t}_hits"

@@ -41,12 +41,12 @@ def articles_from_documents(d: DataFrame) -> DataFrame:
 
 
 def eval_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """EVAL_RAW rows from ``benchmark``: one question per passage (its first line)."""
+    """EVAL_RAW rows from ``benchmark``: the whole text of an item is its question and its passage."""
     b = table(spark, sf_dir, "benchmark")
     return b.select(
         F.col("item_id").alias("example_id"),
         F.col("item_id").alias("question_id"),
-        F.element_at(F.split(F.col("text"), "\n", -1), 1).alias("question"),
+        F.col("text").alias("question"),
         F.col("text").alias("relevant_chunk"),
         F.lit(None).cast("string").alias("article_url"),
     )
