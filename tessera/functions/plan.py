@@ -28,20 +28,24 @@ def keep_first(df: DataFrame, key, order) -> DataFrame:
     cols = df.columns
     k = F.col(key) if isinstance(key, str) else key
     o = F.col(order) if isinstance(order, str) else order
+    o = F.struct(o.isNull(), o)  # a NULL order comes last; min_by alone would lose such a row's content
     return (df.groupBy(k.alias("__k")).agg(F.min_by(F.struct(*cols), o).alias("__r"))
             .select("__r.*"))
 
 
 def spread(df: DataFrame, key=None) -> DataFrame:
-    """Hash-redistribute ``df`` only when it has fewer partitions than the cluster has cores.
+    """Hash-redistribute ``df`` only when its files give fewer splits than the cluster has cores.
 
     CPU-heavy per-row work (regexes, Arrow UDFs) needs parallelism; a large input
     already arrives in many splits and is left alone (no extra shuffle), while a
-    small or single-split input is spread over all cores first.
+    small input is spread over all cores first. The decision reads the optimizer's size
+    estimate; nothing runs.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= cores * split:
         return df
     if key is None:
         return df.repartition(cores)

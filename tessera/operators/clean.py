@@ -2,10 +2,10 @@
 
 ``clean_corpus`` follows the reference's step order: detect -> parse -> keep
 English -> strip tags -> strip special characters -> keep-first dedup ->
-regroup -> concatenate -> content id. The plan shuffles the corpus rows once:
-language scores, dedup keys and the keep-set are computed on narrow
-(row_id, hash, language) rows, and the cleaned rows are joined to the keep-set
-at the end (broadcast by AQE when the keep-set is small).
+regroup -> concatenate -> content id. Detection and cleaning are projections;
+the cleaned rows are written once, the keep-first dedup is a hash aggregate on
+(content hash, row number) longs joined back by row number, and the regroup by
+article id is the second shuffle of rows.
 """
 
 from __future__ import annotations
@@ -13,9 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tessera.functions.plan import keep_first, spread
-from tessera.functions.text import concat_content, content_id, content_key, strip_special, strip_tags
-from tessera.operators.language import LanguageProfile, with_language
+from tessera.functions.plan import keep_first, spread, write_through
+from tessera.functions.text import concat_content, content_id, content_key, strip_special, strip_tags, to_list_literal
+from tessera.operators.language import LanguageProfile, detector_column, with_language
 from tessera.schemas import ARTICLE_COLUMNS, require_columns
 
 
@@ -23,11 +23,21 @@ def filter_language(df: DataFrame, key: str, text: str, profile: LanguageProfile
                     out: str = "language", detector=None) -> DataFrame:
     """Rows whose detected language is ``keep``, with the language column.
 
-    The reference detects twice (raw literal, then ``str(list)`` for non-English
-    rows); the native detector reads letters only, which are the same in both
-    renderings, so one pass gives the same answer.
+    Rows that the first pass does not find to be ``keep`` are detected again, as the pipeline's second pass over
+    the parsed list does. The native detector reads letters only and gives the same answer twice, so it runs once;
+    a user ``detector`` that changes its mind gets its second chance.
     """
-    return with_language(df, key, text, profile, out=out, detector=detector).where(F.col(out) == keep)
+    first = with_language(df, key, text, profile, out=out, detector=detector)
+    return second_pass(first, F.col(text), keep, out, detector).where(F.col(out) == keep)
+
+
+def second_pass(df: DataFrame, text, keep: str, out: str, detector) -> DataFrame:
+    """Detect rows again whose language is not ``keep`` (user detectors only)."""
+    if detector is None:
+        return df
+    again = detector_column(detector, F.when(~F.col(out).eqNullSafe(F.lit(keep)), text))
+    return df.withColumn("__again", again).withColumn(
+        out, F.when(F.col(out).eqNullSafe(F.lit(keep)), F.col(out)).otherwise(F.col("__again"))).drop("__again")
 
 
 def clean_text(content_list) -> F.Column:
@@ -77,31 +87,36 @@ def clean_corpus(articles: DataFrame, profile: LanguageProfile, keep_language: s
     ``(df, observations)`` whose metrics (rows in, English rows, kept rows) fill
     once an action has run on ``df``; no extra job is started for them.
 
-    Plan: detection runs in place (broadcast profile), cleaning is a projection,
-    and the keep-first dedup is the only shuffle of corpus rows.
+    Rows with a NULL id are dropped; rows that share an id are merged. With a user ``detector`` rows that it does
+    not call ``keep_language`` are shown to it a second time.
     """
     require_columns(articles, ARTICLE_COLUMNS)
     meta = ["title", "date", "author", "domain", "url"]
     base = spread(articles.select(key, F.col("content").alias("chunks"), *meta), key)
+    as_text = F.array_join("chunks", "\n") if detector is None else to_list_literal("chunks")
     obs = {}
     if observe:
         obs["input"] = Observation("input")
         base = base.observe(obs["input"], F.count(F.lit(1)).alias("rows"))
 
-    # in place with a broadcast profile; a custom detector or a huge profile joins keys back
-    tagged = with_language(base, key, F.array_join("chunks", "\n"), profile, detector=detector)
+    tagged = second_pass(with_language(base, key, as_text, profile, detector=detector), as_text, keep_language, "language", detector)
     english = tagged.where(F.col("language") == keep_language).select(
         key, clean_text(F.col("chunks")).alias("content"), "language", *meta)
     if observe:
         obs["language"] = Observation("language")
         english = english.observe(obs["language"], F.count(F.lit(1)).alias("rows"))
-    # keep-first dedup: one shuffle, map-side partial min_by collapses repeated content early
-    kept = dedup_keep_first(english, "content", key)
+    # keep-first dedup on narrow rows: (content hash, order) longs; rows with a NULL id go, as the regroup drops them
+    rows = write_through(english.where(F.col(key).isNotNull()).withColumn("__row", F.monotonically_increasing_id()), "cleaned")
+    first = rows.groupBy(F.xxhash64("content").alias("h1"), F.xxhash64(F.lit(1), "content").alias("h2")).agg(F.min(key).alias(key))
+    rows = rows.withColumn("h1", F.xxhash64("content")).withColumn("h2", F.xxhash64(F.lit(1), "content"))
+    winners = rows.join(first, ["h1", "h2", key], "left_semi").groupBy("h1", "h2").agg(F.min("__row").alias("__row"))
+    kept = rows.drop("h1", "h2").join(winners.select("__row"), "__row", "left_semi")
     if observe:
         obs["dedup"] = Observation("dedup")
         kept = kept.observe(obs["dedup"], F.count(F.lit(1)).alias("rows"))
-    # The reference regroups by row id here; ids are unique after dedup, so that groupby
-    # is the identity on content (a one-element list joined with ' ') and is omitted.
-    out = kept.select(key, "content", "language", *meta).withColumn("id", content_id("content")) \
+    # rows that share an id become one article: contents joined in row order, first non-NULL of the rest
+    grouped = regroup_articles(kept, key=key, pos="__row", chunk="content", first_of=("language", *meta))
+    out = grouped.withColumn("content", concat_content("content", " ")).select(key, "content", "language", *meta) \
+        .withColumn("id", content_id("content")) \
         .withColumn("doc_key", content_key("content"))
     return (out, obs) if observe else out

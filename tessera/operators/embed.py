@@ -50,6 +50,23 @@ def hashed_embedding(col, dim: int = DIM) -> Column:
     return _bincount_udf(dim)(bucket_ids(col, dim))
 
 
+def hashed_embeddings(texts: Column, dim: int = DIM) -> Column:
+    """Column: the default vectors of an array of texts (array<array<float>>), one Arrow stage."""
+    @F.pandas_udf(T.ArrayType(T.ArrayType(T.FloatType())))
+    def _vecs(rows: pd.Series) -> pd.Series:
+        out = []
+        for row in rows:
+            vecs = []
+            for b in [] if row is None else row:
+                v = np.bincount(np.asarray(b, dtype=np.int64), minlength=dim).astype(np.float64)
+                n = np.sqrt(np.dot(v, v))
+                vecs.append((v / n if n > 0 else v).astype(np.float32))
+            out.append(vecs)
+        return pd.Series(out)
+
+    return _vecs(F.transform(texts, lambda t: bucket_ids(t, dim)))
+
+
 def embed(df: DataFrame, text: str, out: str = "embedding", encoder: Callable | None = None,
           dim: int = DIM, batch_rows: int = 256, encoder_factory: Callable[[], Callable] | None = None) -> DataFrame:
     """Add ``out`` = vector of ``text`` (E4). ``encoder`` maps a list of texts to an (n, d) array;

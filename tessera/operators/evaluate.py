@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import entities, word_tokens
-from tessera.operators.embed import DIM, hashed_embedding
+from tessera.operators.embed import DIM, hashed_embedding, hashed_embeddings
 from tessera.operators.generate import render_prompt, sentences
 from tessera.schemas import EVAL_DATASET_COLUMNS, require_columns
 from tessera.sources.io import materialize_or_load, table_fingerprint
@@ -70,8 +70,13 @@ def answer_relevancy(df: DataFrame, key: str = "example_id", regenerated: DataFr
     ``regenerated``: (key, gen_question) rows from a generator; default: the
     answer's sentences. No regenerated question -> 0 (non-committal).
     """
-    if regenerated is None:
-        regenerated = df.select(key, F.explode(sentences("answer")).alias("gen_question"))
+    if regenerated is None:  # within the row: no join, one vector stage for all sentences
+        qv = hashed_embedding("question", dim)
+        sims = F.transform(F.col("__gen"), lambda g: cosine(F.col("__qv"), g))
+        total = F.aggregate(sims, F.lit(0.0), lambda acc, x: acc + x)
+        return (df.withColumn("__qv", qv).withColumn("__gen", hashed_embeddings(sentences("answer"), dim))
+                .withColumn("answer_relevancy", F.round(F.when(F.size("__gen") > 0, total / F.size("__gen")).otherwise(0.0), 6))
+                .drop("__qv", "__gen"))
     q = df.select(key, hashed_embedding("question", dim).alias("qv"))
     g = regenerated.select(key, hashed_embedding("gen_question", dim).alias("gv"))
     rel = g.join(q, key).groupBy(key).agg(F.avg(cosine(F.col("qv"), F.col("gv"))).alias("rel"))
@@ -93,20 +98,21 @@ def answer_correctness(df: DataFrame, weight: float = 0.75, verdicts: DataFrame
     sentences supported by the ground truth are TP, the others FP; ground-truth
     sentences not supported by the answer are FN.
     """
+    def combined(f1):
+        return F.round(F.lit(weight) * f1 + F.lit(1 - weight) * F.col("answer_similarity"), 6)
+
+    def f1_of(tp, fp, fn):
+        den = tp + 0.5 * (fp + fn)
+        return F.when(den > 0, tp / den).otherwise(F.lit(0.0))
+
     if verdicts is None:
         gt_t, an_t = word_tokens("ground_truth"), word_tokens("answer")
         tp = F.size(F.filter(sentences("answer"), lambda s: supported(s, gt_t)))
         fp = F.size(sentences("answer")) - tp
         fn = F.size(F.filter(sentences("ground_truth"), lambda s: ~supported(s, an_t)))
-        counts = df.select(key, tp.alias("tp"), fp.alias("fp"), fn.alias("fn"))
-    else:
-        counts = verdicts.select(key, "tp", "fp", "fn")
-    den = F.col("tp") + 0.5 * (F.col("fp") + F.col("fn"))
-    f1 = F.when(den > 0, F.col("tp") / den).otherwise(F.lit(0.0))
-    scored = counts.select(key, f1.alias("f1"))
-    return df.join(scored, key, "left").withColumn(
-        "answer_correctness", F.round(F.lit(weight) * F.col("f1") + F.lit(1 - weight) * F.col("answer_similarity"), 6)
-    ).drop("f1")
+        return df.withColumn("answer_correctness", combined(f1_of(tp, fp, fn)))
+    scored = verdicts.select(key, f1_of(F.col("tp"), F.col("fp"), F.col("fn")).alias("f1"))
+    return df.join(scored, key, "left").withColumn("answer_correctness", combined(F.col("f1"))).drop("f1")
 
 
 def context_precision_long(verdicts: DataFrame, key: str = "example_id") -> DataFrame:
@@ -123,10 +129,17 @@ def context_precision_long(verdicts: DataFrame, key: str = "example_id") -> Data
 
 def context_precision(df: DataFrame, key: str = "example_id", verdicts: DataFrame | None = None) -> DataFrame:
     """Context precision per example; default verdict: the context comes from the best-match article."""
-    if verdicts is None:
-        verdicts = df.select(key, "best_match_id", F.posexplode("contexts_origin_doc_ids").alias("pos", "oid")) \
-            .select(key, (F.col("pos") + 1).alias("rank"),
-                    F.when(F.col("oid") == F.col("best_match_id"), 1).otherwise(0).alias("verdict"))
+    if verdicts is None:  # within the row: running hits over the ranked contexts
+        state = F.struct(F.lit(0.0).alias("hits"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("n"))
+
+        def step(acc, oid):
+            v = F.when(oid == F.col("best_match_id"), 1.0).otherwise(0.0)
+            return F.struct((acc["hits"] + v).alias("hits"),
+                            (acc["sum"] + v * (acc["hits"] + v) / (acc["n"] + 1)).alias("sum"), (acc["n"] + 1).alias("n"))
+
+        value = F.aggregate("contexts_origin_doc_ids", state, step,
+                            lambda acc: F.when(acc["hits"] > 0, acc["sum"] / acc["hits"]).otherwise(0.0))
+        return df.withColumn("context_precision", F.round(F.coalesce(value, F.lit(0.0)), 6))
     cp = context_precision_long(verdicts, key)
     return df.join(cp, key, "left").withColumn(
         "context_precision", F.round(F.coalesce("context_precision", F.lit(0.0)), 6))
@@ -181,7 +194,8 @@ def run_evaluation(spark, eval_df: DataFrame, build_answers: Callable[[DataFrame
     path = f"{cache_dir.rstrip('/')}/{key}"
 
     def build():
-        ds = build_eval_dataset(eval_df, build_answers(eval_df))
-        return score_dataset(ds)
+        # answers are written once: scoring reads them several times and must not generate again
+        answers = materialize_or_load(spark, f"{path}-answers", lambda: build_answers(eval_df), refresh=refresh)
+        return score_dataset(build_eval_dataset(eval_df, answers))
 
     return materialize_or_load(spark, path, build, refresh=refresh)

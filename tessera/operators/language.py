@@ -35,7 +35,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.plan import bounded_broadcast, spread
+from tessera.functions.plan import bounded_broadcast, spread, write_through
 
 SCALE = 1_000_000
 # A profile with at most this many trigrams is broadcast to the Python workers
@@ -206,36 +206,41 @@ def detect_language(df: DataFrame, key: str | list[str], text: str, profile: Lan
                     out: str = "language", detector=None) -> DataFrame:
     """(key..., ``out``) for every row of ``df``: best language of ``text``, NULL if undetectable.
 
-    Only keys and small score rows are shuffled; callers join the result where
-    they need it. ``detector``: optional ``Callable[[pd.Series], pd.Series]``
+    NULL and repeated keys keep their rows. ``detector``: optional ``Callable[[pd.Series], pd.Series]``
     (e.g. a library model) applied as an Arrow pandas UDF instead of the profile.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    if detector is not None:
-        udf = F.pandas_udf(detector, "string")
-        return df.select(*keys, udf(F.col(text)).alias(out))
-    col = language_column(profile, text)
-    if col is not None:
-        return spread(df.select(*keys, text), keys[0]).select(*keys, col.alias(out))
-    scores = language_scores(df, keys, text, profile)
+    return with_language(df.select(*keys, text), keys, text, profile, out=out, detector=detector).select(*keys, out)
+
+
+def _relational(df: DataFrame, text: Column, profile: LanguageProfile, out: str) -> DataFrame:
+    """Detection by joins: rows are told apart by their own number, so NULL and repeated keys keep their rows."""
+    rows = write_through(df.select(F.struct("*").alias("row"), text.alias("text"),
+                                   F.monotonically_increasing_id().alias("rid")), "language-rows")
+    scores = language_scores(rows.select("rid", "text"), "rid", "text", profile)
     langs = profile.languages
     if len(langs) == 1:
         best = F.lit(langs[0])
     else:
         best = F.greatest(*[F.struct(F.col(f"score_{l}").alias("s"), F.lit(l).alias("l")) for l in langs]).getField("l")
-    picked = scores.select(*keys, F.when(F.col("n_known") > 0, best).alias(out))
-    return df.select(*keys).join(picked, keys, "left")
+    picked = scores.select("rid", F.when(F.col("n_known") > 0, best).alias("found"))
+    return rows.join(picked, "rid", "left").select("row.*", F.col("found").alias(out))
 
 
 def with_language(df: DataFrame, key: str | list[str], text, profile: LanguageProfile, out: str = "language",
                   detector=None) -> DataFrame:
-    """``df`` plus ``out``: in place (no shuffle beyond ``spread``) when the profile is broadcastable,
-    else keys-only detection joined back on ``key``."""
+    """``df`` plus ``out``, every row once whatever its key (NULL and repeated keys too).
+
+    A ``detector`` and a broadcastable profile work in place; a larger profile by joins on a row number.
+    """
     keys = [key] if isinstance(key, str) else list(key)
-    col = None if detector is not None else language_column(profile, text)
+    text_col = F.col(text) if isinstance(text, str) else text
+    col = detector_column(detector, text_col) if detector is not None else language_column(profile, text_col)
     if col is not None:
         return spread(df, keys[0]).withColumn(out, col)
-    text_col = F.col(text) if isinstance(text, str) else text
-    lang = detect_language(df.select(*keys, text_col.alias("__text")), keys, "__text", profile, out=out,
-                           detector=detector)
-    return df.join(lang, keys)
+    return _relational(df, text_col, profile, out)
+
+
+def detector_column(detector, text: Column) -> Column:
+    """A user's ``Callable[[pd.Series], pd.Series]`` as a column; each use is one call per row."""
+    return F.pandas_udf(detector, "string").asNondeterministic()(text)

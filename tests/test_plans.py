@@ -47,4 +47,5 @@ def test_detection_udf_evaluated_once(spark, sf_small):
     from tessera.sources.tables import articles
     prof = train_profile(table(spark, sf_small, "documents"))
     plan = _plan(C.clean_corpus(articles(spark, sf_small), prof))
-    assert plan.count("ArrowEvalPython") == 1, plan
+    # detection runs while the cleaned rows are written, once; what is left of the plan reads them
+    assert plan.count("ArrowEvalPython") == 0 and "cleaned" in plan, plan
