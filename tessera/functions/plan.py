@@ -19,20 +19,6 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
-def keep_first(df: DataFrame, key, order) -> DataFrame:
-    """One row per ``key``: the row with the smallest ``order`` (struct of all columns).
-
-    A hash aggregate with map-side partial ``min_by``: a hot key collapses to one
-    row per partition before the shuffle.
-    """
-    cols = df.columns
-    k = F.col(key) if isinstance(key, str) else key
-    o = F.col(order) if isinstance(order, str) else order
-    o = F.struct(o.isNull(), o)  # a NULL order comes last; min_by alone would lose such a row's content
-    return (df.groupBy(k.alias("__k")).agg(F.min_by(F.struct(*cols), o).alias("__r"))
-            .select("__r.*"))
-
-
 def spread(df: DataFrame, key=None) -> DataFrame:
     """Hash-redistribute ``df`` only when its files give fewer splits than the cluster has cores.
 

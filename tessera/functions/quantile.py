@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 def exact_quantiles(df: DataFrame, by: list[str], value: str, probs: list[float], bins: int = 4096,
                     max_collect: int = 50_000, max_passes: int = 16) -> DataFrame:
-    """(by..., n, q0..q{m-1}) per group; NULL/NaN values are ignored."""
+    """(by..., n, q0..q{m-1}) per group; NULL/NaN values are ignored, infinite ones count."""
     if not by:
         out = exact_quantiles(df.withColumn("__g", F.lit(0)), ["__g"], value, probs, bins, max_collect, max_passes)
         return out.drop("__g")
@@ -49,8 +49,14 @@ def exact_quantiles(df: DataFrame, by: list[str], value: str, probs: list[float]
                   .select(*by, "r", F.element_at("vs", (F.col("r") - F.col("below") + 1).cast("int")).alias("val")))
         resolved = small.select(*by, "r", "lo", "hi", "below", "c").join(picked, by + ["r"])
         # (2) many candidates: histogram, keep the bucket holding the rank
+        # an infinite end gets a bucket of its own; a range too wide for a double is halved first
+        inf = float("inf")
         width = F.col("hi") - F.col("lo")
-        bucket = F.least(F.floor((F.col("v") - F.col("lo")) / width * F.lit(float(bins))).cast("int"), F.lit(bins - 1))
+        share = F.when(F.abs(width) < inf, (F.col("v") - F.col("lo")) / width).otherwise(
+            (F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2))
+        bucket = F.when((F.col("lo") == -inf) | (F.col("hi") == inf),
+                        F.when(F.col("v") == -inf, 0).when(F.col("v") == inf, bins - 1).otherwise(1)).otherwise(
+            F.least(F.floor(share * F.lit(float(bins))).cast("int"), F.lit(bins - 1)))
         hist = (base.join(large, by).where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
                 .select(*by, "r", "below", bucket.alias("b"), "v")
                 .groupBy(*by, "r", "below", "b").agg(F.count(F.lit(1)).alias("cb"), F.min("v").alias("bmin"),
@@ -70,6 +76,8 @@ def exact_quantiles(df: DataFrame, by: list[str], value: str, probs: list[float]
     vals = done.select(*by, "r", "val")
     q = (targets.join(vals.withColumnRenamed("r", "r0").withColumnRenamed("val", "x0"), by + ["r0"])
          .join(vals.withColumnRenamed("r", "r1").withColumnRenamed("val", "x1"), by + ["r1"]))
-    q = q.select(*by, "n", "pi", (F.col("x0") + (F.col("x1") - F.col("x0")) * (F.col("k") - F.col("r0"))).alias("x"))
+    between = F.col("x0") + (F.col("x1") - F.col("x0")) * (F.col("k") - F.col("r0"))
+    q = q.select(*by, "n", "pi", F.when((F.col("k") == F.col("r0")) | (F.col("x0") == F.col("x1")), F.col("x0"))
+                 .otherwise(between).alias("x"))
     return q.groupBy(*by, "n").pivot("pi", list(range(len(probs)))).agg(F.first("x")).select(
         *by, "n", *[F.col(f"`{i}`").alias(f"q{i}") for i in range(len(probs))])

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tessera.functions.plan import keep_first, spread, write_through
+from tessera.functions.plan import spread, write_through
 from tessera.functions.text import concat_content, content_id, content_key, strip_special, strip_tags, to_list_literal
 from tessera.operators.language import LanguageProfile, detector_column, with_language
 from tessera.schemas import ARTICLE_COLUMNS, require_columns
@@ -45,20 +45,42 @@ def clean_text(content_list) -> F.Column:
     return strip_special(strip_tags(concat_content(content_list, " ")))
 
 
+def _content_hash(col):
+    """Two independent 64-bit hashes: equal texts by content, as fixed-width keys of a hash aggregate."""
+    return F.xxhash64(col).alias("__h1"), F.xxhash64(F.lit(1), col).alias("__h2")
+
+
 def dedup_keep_first(df: DataFrame, col: str, order: str) -> DataFrame:
-    """Drop rows whose ``col`` repeats, keeping the first in ``order``."""
-    return keep_first(df, F.sha2(F.col(col), 256), order)
+    """Drop rows whose ``col`` repeats, keeping the first in ``order``.
+
+    Only (hash, order, row number) is aggregated; the rows follow by a semi-join. NULL contents are one group, a NULL
+    order comes last, and rows that tie are settled by the row number.
+    """
+    rows = write_through(df.withColumn("__row", F.monotonically_increasing_id()), "keep-first")
+    narrow = rows.select(*_content_hash(F.col(col)), F.col(order).alias("__o"), "__row")
+    keys = ["__h1", "__h2"]
+    first = narrow.groupBy(*keys).agg(F.min("__o").alias("__first"))
+    winners = (narrow.join(first, keys).where(F.col("__o").eqNullSafe(F.col("__first")))
+               .groupBy(*keys).agg(F.min("__row").alias("__row")))
+    return rows.join(winners.select("__row"), "__row", "left_semi").drop("__row")
 
 
 def dedup_chunks(articles: DataFrame, key: str = "row_id", content: str = "content") -> DataFrame:
     """Chunk-level keep-first dedup across the corpus, order (row, position).
 
-    Output: (key, chunk_no, chunk) for the first occurrence of every distinct chunk.
+    Output: (key, chunk_no, chunk) for the first occurrence of every distinct chunk. NULL keys come last.
     """
     chunks = articles.select(key, F.posexplode(content).alias("chunk_no", "chunk"))
-    first = (chunks.groupBy(F.sha2(F.col("chunk"), 256).alias("__h"))
-             .agg(F.min(F.struct(key, "chunk_no", "chunk")).alias("r")))
-    return first.select("r.*")
+    rows = write_through(chunks.withColumn("__row", F.monotonically_increasing_id()), "chunks")
+    keys = ["__h1", "__h2"]
+    # a chunk repeated inside one article collapses first, then one article per content
+    places = rows.groupBy(*_content_hash(F.col("chunk")), key).agg(F.min("chunk_no").alias("chunk_no"))
+    first = places.groupBy(*keys).agg(F.min(key).alias("__first"))
+    best = places.join(first, keys).where(F.col(key).eqNullSafe(F.col("__first"))).select(*keys, "__first", "chunk_no")
+    at = rows.select(*_content_hash(F.col("chunk")), F.col(key).alias("__k"), F.col("chunk_no").alias("__n"), "__row")
+    same = [at[k] == best[k] for k in keys] + [at["__k"].eqNullSafe(best["__first"]), at["__n"] == best["chunk_no"]]
+    winners = at.join(best, same, "left_semi").groupBy(*keys).agg(F.min("__row").alias("__row"))
+    return rows.join(winners.select("__row"), "__row", "left_semi").select(key, "chunk_no", "chunk")
 
 
 def regroup_articles(chunks: DataFrame, key: str = "row_id", pos: str = "chunk_no", chunk: str = "chunk",

@@ -1,15 +1,14 @@
 """Retrieval (F1-F8): exact top-k by inner product, plus the query strategies.
 
-Top-k plan: vectors stay where they are. The query matrix is broadcast when
-it has at most ``broadcast_rows`` rows and ``broadcast_floats`` values (proved
-by fetching at most ``broadcast_rows + 1`` rows, never more); each
-vector partition scores all queries with one matrix product per block and
-keeps its local top-k per query, so at most ``k`` rows per query and partition
-reach the shuffle; a ``row_number <= k`` window (planned as WindowGroupLimit)
-picks the global top-k. Beyond the budget, queries and vectors are hashed into
-a grid of blocks and cogrouped per (query block, vector block), with the same
-local top-k; nothing passes through the driver. Ties are broken by ``chunk_id``
-after rounding scores to 9 decimals, so the order is engine-independent.
+Top-k plan: vectors stay where they are. The query side is written once, its rows
+and values are counted by an aggregate, and only within ``broadcast_rows`` and
+``broadcast_floats`` is it fetched and broadcast; each vector partition scores the
+queries block by block and keeps the top-k of each vector block, and a
+``row_number <= k`` window (planned as WindowGroupLimit) picks the global top-k.
+Beyond the budget, queries and vectors are hashed into a grid of cells of at most
+about ``cell_floats`` values and cogrouped per (query cell, vector cell), with the
+same local top-k; nothing passes through the driver. Ties are broken by
+``chunk_id`` after rounding scores to 9 decimals, so the order is engine-independent.
 """
 
 from __future__ import annotations
@@ -19,37 +18,35 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.plan import write_through
+from tessera.session import ship_package
+
 ROUND = 9
+#: Most values of a broadcast query matrix, of a grid cell, and of one block of scores (8 bytes each).
+BROADCAST_FLOATS, CELL_FLOATS, SCORE_BLOCK = 16 << 20, 8 << 20, 4 << 20
 
 
 def _local_topk(qids, qmat, cids, cmat, k, metric):
-    """Top-k rows (qid, chunk_id, score, l2_sq) of one vector block against a query block."""
-    if len(cids) == 0 or len(qids) == 0:
-        return None
-    dots = qmat @ cmat.T                                     # (q, c)
+    """Top-k rows (qid, chunk_id, score, l2_sq) of one vector block, one frame per block of queries."""
+    if len(cids) == 0:
+        return
+    step = max(1, SCORE_BLOCK // len(cids))
+    for lo in range(0, len(qids), step):
+        yield _block_topk(qids[lo:lo + step], qmat[lo:lo + step], cids, cmat, k, metric)
+
+
+def _block_topk(qids, qmat, cids, cmat, k, metric):
+    dots = qmat @ cmat.T                                     # (q, c), at most SCORE_BLOCK values
     if metric == "l2":
-        qn = np.einsum("ij,ij->i", qmat, qmat)[:, None]
-        cn = np.einsum("ij,ij->i", cmat, cmat)[None, :]
-        l2 = qn + cn - 2.0 * dots
+        l2 = np.einsum("ij,ij->i", qmat, qmat)[:, None] + np.einsum("ij,ij->i", cmat, cmat)[None, :] - 2.0 * dots
         key = np.round(l2, ROUND)
     else:
-        l2 = None
         key = -np.round(dots, ROUND)
-    kk = min(k, len(cids))
-    rows_q, rows_c = [], []
-    for qi in range(len(qids)):
-        kq = key[qi]
-        part = np.argpartition(kq, kk - 1)[:kk] if kk < len(cids) else np.arange(len(cids))
-        # include every chunk tied with the k-th key, so the global tie-break sees them all
-        cut = kq[part].max()
-        part = np.nonzero(kq <= cut)[0]
-        rows_q.append(np.full(len(part), qi))
-        rows_c.append(part)
-    qi = np.concatenate(rows_q)
-    ci = np.concatenate(rows_c)
-    out = pd.DataFrame({"qid": np.asarray(qids)[qi], "chunk_id": np.asarray(cids)[ci],
-                        "score": dots[qi, ci]})
-    out["l2_sq"] = l2[qi, ci] if l2 is not None else np.nan
+    # every vector tied with a query's k-th key stays, so the global tie-break sees them all
+    cut = np.partition(key, k - 1, axis=1)[:, k - 1:k] if k < len(cids) else np.full((len(qids), 1), np.inf)
+    qi, ci = np.nonzero(key <= cut)
+    out = pd.DataFrame({"qid": np.asarray(qids)[qi], "chunk_id": np.asarray(cids)[ci], "score": dots[qi, ci]})
+    out["l2_sq"] = l2[qi, ci] if metric == "l2" else np.nan
     return out
 
 
@@ -70,56 +67,60 @@ def _global_topk(local: DataFrame, k: int, metric: str) -> DataFrame:
 
 def similarity_search(queries: DataFrame, vectors: DataFrame, k: int = 4, qid: str = "question_id",
                       qvec: str = "embedding", cid: str = "chunk_id", cvec: str = "embedding",
-                      metric: str = "ip", exclude_self: bool = False, broadcast_floats: int = 50_000_000,
-                      broadcast_rows: int = 500_000, block_rows: int = 4096,
+                      metric: str = "ip", exclude_self: bool = False, broadcast_floats: int = BROADCAST_FLOATS,
+                      broadcast_rows: int = 500_000, block_rows: int = 4096, cell_floats: int = CELL_FLOATS,
                       grid: tuple[int, int] | None = None) -> DataFrame:
     """HIT rows (qid, rank, chunk_id, score, l2_sq): the top-k vectors per query (F1/F2).
 
     ``metric='ip'`` ranks by inner product (cosine for unit vectors), ``'l2'`` by
     squared distance ascending. ``exclude_self`` drops chunk_id == qid pairs
-    (self-search on one table).
+    (self-search on one table). A NULL vector finds nothing and is found by nothing.
+    A worker holds the queries (``broadcast_floats``) or a pair of cells (``cell_floats`` each) and one
+    score block of ``SCORE_BLOCK`` values at a time.
     """
     spark = queries.sparkSession
-    # a NULL vector (a NULL text) finds nothing and is found by nothing
+    ship_package(spark)
     q = queries.select(F.col(qid).alias("qid"), F.col(qvec).alias("qv")).where(F.col("qv").isNotNull())
     v = vectors.select(F.col(cid).alias("cid"), F.col(cvec).alias("cv")).where(F.col("cv").isNotNull())
     kk = k + 1 if exclude_self else k
     schema = (f"qid {q.schema['qid'].dataType.simpleString()}, chunk_id {v.schema['cid'].dataType.simpleString()}, "
               "score double, l2_sq double")
 
-    # One bounded probe proves the broadcast size: at most broadcast_rows + 1 rows are fetched;
-    # if the query side is larger (or rows * dim exceeds the float budget) the grid path runs.
-    qpdf = q.limit(broadcast_rows + 1).toPandas() if grid is None else None
-    qmat = _stack(qpdf["qv"]) if qpdf is not None else None
-    small = qpdf is not None and len(qpdf) <= broadcast_rows and qmat.size <= broadcast_floats
+    if grid is None:
+        # the query side is computed once; its size is an aggregate, and only a side within the budget is fetched
+        q = write_through(q, "queries")
+        n_q, dim = q.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("qv")), F.lit(1))).first()
+        small = n_q <= broadcast_rows and n_q * dim <= broadcast_floats
+    else:
+        small = False
     if small:
-        bq = spark.sparkContext.broadcast((qpdf["qid"].to_numpy(), qmat))
+        qpdf = q.toPandas()
+        bq = spark.sparkContext.broadcast((qpdf["qid"].to_numpy(), _stack(qpdf["qv"])))
 
         def score_part(it):
             qids, qmat = bq.value
             for pdf in it:
                 for i in range(0, len(pdf), block_rows):
                     blk = pdf.iloc[i:i + block_rows]
-                    res = _local_topk(qids, qmat, blk["cid"].to_numpy(), _stack(blk["cv"]), kk, metric)
-                    if res is not None:
-                        yield res
+                    yield from _local_topk(qids, qmat, blk["cid"].to_numpy(), _stack(blk["cv"]), kk, metric)
 
         local = v.mapInPandas(score_part, schema)
     else:
-        if grid is None:
-            n_q, dim = q.agg(F.count(F.lit(1)), F.max(F.size("qv"))).first()
-            grid = (max(1, int(np.ceil(n_q * max(dim or 1, 1) / broadcast_floats))),
-                    spark.sparkContext.defaultParallelism)
+        if grid is None:  # cells of a fixed number of values, however many vectors there are
+            n_v = v.count()
+            grid = max(1, -(-n_q * dim // cell_floats)), max(1, -(-n_v * dim // cell_floats))
         qb, cb = grid
-        qx = q.select("*", F.pmod(F.hash("qid"), F.lit(qb)).alias("qb"),
+        qx = q.select("*", F.pmod(F.xxhash64("qid"), F.lit(qb)).alias("qb"),
                       F.explode(F.sequence(F.lit(0), F.lit(cb - 1))).alias("cb"))
-        vx = v.select("*", F.pmod(F.hash("cid"), F.lit(cb)).alias("cb"),
+        vx = v.select("*", F.pmod(F.xxhash64("cid"), F.lit(cb)).alias("cb"),
                       F.explode(F.sequence(F.lit(0), F.lit(qb - 1))).alias("qb"))
 
         def score_cell(qpdf, vpdf):
-            res = _local_topk(qpdf["qid"].to_numpy(), _stack(qpdf["qv"]), vpdf["cid"].to_numpy(),
-                              _stack(vpdf["cv"]), kk, metric)
-            return res if res is not None else pd.DataFrame({"qid": [], "chunk_id": [], "score": [], "l2_sq": []})
+            cids, cmat = vpdf["cid"].to_numpy(), _stack(vpdf["cv"])
+            qids, qmat = qpdf["qid"].to_numpy(), _stack(qpdf["qv"])
+            found = [hit for i in range(0, len(cids), block_rows)
+                     for hit in _local_topk(qids, qmat, cids[i:i + block_rows], cmat[i:i + block_rows], kk, metric)]
+            return pd.concat(found) if found else pd.DataFrame({"qid": [], "chunk_id": [], "score": [], "l2_sq": []})
 
         local = qx.groupBy("qb", "cb").cogroup(vx.groupBy("qb", "cb")).applyInPandas(score_cell, schema)
     if exclude_self:

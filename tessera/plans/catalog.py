@@ -24,10 +24,11 @@ from tessera.operators import profile as P
 from tessera.operators.embed import embed, l2_normalize
 from tessera.operators.language import detect_language, with_language
 from tessera.plans import rag
+from tessera.schemas import ARTICLE_COLUMNS, require_columns
 from tessera.session import ensure_checkpoint_dir, scratch_path, ship_package
 from tessera.sources import collections as coll
 from tessera.sources import io
-from tessera.sources.tables import articles, eval_passages, table
+from tessera.sources.tables import articles, eval_passages, table, table_stamp
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -50,16 +51,10 @@ def query(fn: Query) -> Query:
 
 def _profile(spark: SparkSession, sf_dir: str):
     """The language model fitted on the labelled ``documents`` table, persisted once per table version."""
-    import hashlib
-    import os
-
     from tessera.operators.language import PROFILE_VERSION, trained_profile
 
-    base = ensure_checkpoint_dir(spark)
-    src = os.path.join(sf_dir, "documents.parquet")
-    stamp = f"{os.path.abspath(src)}|{os.path.getsize(src) if os.path.exists(src) else ''}|" \
-            f"{os.path.getmtime(src) if os.path.exists(src) else ''}|{PROFILE_VERSION}"
-    path = os.path.join(base, "models", "langprofile-" + hashlib.sha1(stamp.encode()).hexdigest()[:16])
+    stamp = table_stamp(spark, sf_dir, "documents")
+    path = f"{ensure_checkpoint_dir(spark)}/models/langprofile-{PROFILE_VERSION}-{stamp[:16]}"
     return trained_profile(table(spark, sf_dir, "documents"), path, "text", "lang")
 
 
@@ -78,6 +73,22 @@ def q_read_articles(spark, sf_dir):
                        F.array_join(parsed, "\n").alias("text"))
 
 
+@query
+def q_require_columns(spark, sf_dir):
+    """A3: the articles pass the column guard unchanged."""
+    return require_columns(articles(spark, sf_dir), ARTICLE_COLUMNS).select("row_id", "title", "domain", "url")
+
+
+@query
+def q_materialize_or_load(spark, sf_dir):
+    """A4: totals per customer written once; the second call reads them and builds nothing."""
+    path = scratch_path(spark, "totals")
+    totals = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    io.materialize_or_load(spark, path, lambda: totals)
+    return io.materialize_or_load(spark, path, lambda: totals.limit(0))
+
+
 @query
 def q_table_fingerprint(spark, sf_dir):
     return io.table_fingerprint(table(spark, sf_dir, "orders"), name="Experiment 1: Baseline 200")
@@ -103,6 +114,30 @@ def q_collection_stats(spark, sf_dir):
     return coll.collection_stats(spark, store)
 
 
+@query
+def q_collection_append(spark, sf_dir):
+    """A filled collection is kept (skip), extended (append) or rewritten (replace)."""
+    store = scratch_path(spark, "store")
+    vecs = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("chunk_id"), "embedding")
+    for name, mode in (("kept", "skip"), ("extended", "append"), ("rewritten", "replace")):
+        coll.collection_append(vecs, store, name)
+        coll.collection_append(vecs, store, name, mode=mode)
+    return coll.collection_stats(spark, store)
+
+
+@query
+def q_collection_drop(spark, sf_dir):
+    """One collection per source; dropping the collection of the least source leaves the others."""
+    store = scratch_path(spark, "store")
+    d = table(spark, sf_dir, "documents").where(F.col("source").isNotNull())
+    (d.select(F.col("doc_id").cast("string").alias("chunk_id"), F.col("source").alias("collection"))
+     .write.mode("append").partitionBy("collection").parquet(store))
+    least = d.agg(F.min("source")).first()[0]
+    if least is not None:
+        coll.collection_drop(spark, store, least)
+    return coll.collection_stats(spark, store)
+
+
 @query
 def q_collection_name(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("source").distinct()
@@ -309,6 +344,13 @@ def q_map_eval_set(spark, sf_dir):
     return M.map_eval_set(_clean(spark, sf_dir), eval_passages(spark, sf_dir), exact=True)
 
 
+@query
+def q_map_eval_set_closed(spark, sf_dir):
+    """D5+D6 with the closed-form score only, which SQL can state."""
+    return M.map_eval_set(_clean(spark, sf_dir), eval_passages(spark, sf_dir), exact=False).select(
+        "example_id", "question_id", "question", "ground_truth", "best_match_score", "best_match_id", "best_match_key")
+
+
 @query
 def q_highlight_matches(spark, sf_dir):
     clean = _clean(spark, sf_dir)
@@ -484,6 +526,15 @@ def q_rag_answers(spark, sf_dir):
     return _answers(spark, sf_dir, "step_back").select("example_id", "question", "context", "answer")
 
 
+@query
+def q_spot_check(spark, sf_dir):
+    """answers to the questions of the least and the greatest passage id."""
+    q = _questions(spark, sf_dir)
+    ends = q.agg(F.min_by("question", "example_id"), F.max_by("question", "example_id")).first()
+    _, chunks, vectors = _index(spark, sf_dir)
+    return rag.spot_check(q, [t for t in ends if t is not None], vectors, chunks).select("example_id", "question", "answer")
+
+
 # ---------------------------------------------------------------- G: evaluation
 def _dataset(spark, sf_dir, strategy="base", size=1000, clean=None, mapped=None, index=None):
     if index is None:
@@ -531,6 +582,20 @@ def q_judge_metrics(spark, sf_dir):
     return res.select(*_RESULT_COLS, "reasoning")
 
 
+@query
+def q_run_evaluation(spark, sf_dir):
+    """The cached evaluation run; the second call reads the stored result."""
+    clean, chunks, vectors = _index(spark, sf_dir)
+    mapped = M.map_eval_set(clean, eval_passages(spark, sf_dir), exact=False).checkpoint()
+    cache = scratch_path(spark, "evaluations")
+
+    def answers(eval_df):
+        return rag.rag_answers(eval_df.select("example_id", "question"), vectors, chunks)
+
+    EV.run_evaluation(spark, mapped, answers, cache, "Experiment 1: Baseline", "base")
+    return EV.run_evaluation(spark, mapped, answers, cache, "Experiment 1: Baseline", "base").select(*_RESULT_COLS, "reasoning")
+
+
 RUNS = (("Baseline", "base", 1000), ("Experiment 1: Baseline 200", "base", 200),
         ("Experiment 2: Multi-Query Retrieval", "multi_query", 1000), ("Experiment 3: Step Back", "step_back", 1000),
         ("Experiment 4: HyDE", "hyde", 1000), ("Experiment 5: Contextual Compression", "compression", 1000))

@@ -36,6 +36,21 @@ sql("collection_stats", """
 SELECT 'label_' || CAST(label AS VARCHAR) AS collection, count(*) AS n_rows, count(*) = 0 AS is_empty
 FROM embeddings GROUP BY label""")
 
+sql("require_columns", """
+SELECT doc_id AS row_id, string_split(text, chr(10))[1] AS title, source AS domain,
+       'https://' || source || '.example/a/' || CAST(doc_id AS VARCHAR) AS url FROM documents""")
+
+sql("materialize_or_load", """
+SELECT o_custkey, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY o_custkey""")
+
+sql("collection_append", """
+SELECT c AS collection, CASE WHEN c = 'extended' THEN 2 ELSE 1 END * (SELECT count(*) FROM embeddings) AS n_rows, false AS is_empty
+FROM (VALUES ('kept'), ('extended'), ('rewritten')) t(c)""")
+
+sql("collection_drop", """
+SELECT source AS collection, count(*) AS n_rows, false AS is_empty FROM documents
+WHERE source > (SELECT min(source) FROM documents) GROUP BY source""")
+
 sql("collection_name", """
 SELECT source, translate(lower('cleantech-BAAI/bge-small-en-RecursiveCharacterTextSplitter ' || source || '_dev'),
                          ' /:-', '____') AS collection
@@ -219,6 +234,9 @@ mapped AS (SELECT b.item_id AS example_id, b.item_id AS question_id, b.text AS q
            FROM benchmark b LEFT JOIN win w ON w.pid = b.item_id LEFT JOIN clean c ON c.row_id = w.did)"""
 
 
+sql("map_eval_set_closed", S.with_(*_BASE, _MAPPED) + "SELECT * FROM mapped")
+
+
 def _digest(v: str) -> str:
     return (f"CAST(len(list_filter({v}, lambda x: x <> 0)) AS BIGINT) AS nnz, "
             f"round(sqrt(list_sum(list_transform({v}, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 6) AS norm, "
@@ -303,6 +321,10 @@ sql("generate_batch", S.with_(*_rows_sql("base"), *S.answer_ctes("r")) + "SELECT
 sql("rag_answers", S.with_(*_rows_sql("step_back"), *S.answer_ctes("r")) +
     "SELECT qid AS example_id, question, context, answer FROM r_ans")
 
+sql("spot_check", S.with_(*_rows_sql("base"), *S.answer_ctes("r")) + """
+SELECT qid AS example_id, question, answer FROM r_ans
+WHERE question IN (SELECT arg_min(text, item_id) FROM benchmark UNION ALL SELECT arg_max(text, item_id) FROM benchmark)""")
+
 
 # ---------------------------------------------------------------- G
 def _run_sql(t: str, strategy: str, size: int) -> list[str]:
@@ -324,6 +346,7 @@ SELECT example_id, CASE WHEN p > 0 AND p <= 1 THEN 1.0 ELSE 0.0 END AS hit_at_1,
 FROM (SELECT example_id, CASE WHEN best_match_id IS NULL THEN 0 ELSE coalesce(list_position(oids, best_match_id), 0) END AS p
       FROM r_ds)""")
 sql("judge_metrics", S.with_(*_G_BASE, *_run_sql("r", "base", 1000)) + f"SELECT {_RES_COLS}, reasoning FROM r_res")
+sql("run_evaluation", ORACLE["judge_metrics"])
 sql("metric_summary", S.with_(*_G_BASE, *_run_sql("r", "base", 1000)) + "\n" + "\nUNION ALL\n".join(
     f"SELECT '{m}' AS metric, round(avg({m}), 6) AS mean, round(stddev_samp({m}), 6) AS std FROM r_res"
     for m in _RES_COLS.split(", ")[1:]))

@@ -56,11 +56,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared checkpoint folder, for written intermediates."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh path below the shared checkpoint folder, for written intermediates.
+
+    They lie in one folder per application, which the driver's JVM deletes when it ends.
+    """
+    sc = spark.sparkContext
+    root = os.path.join(ensure_checkpoint_dir(spark), f"tables-{sc.applicationId}")
+    if root not in _SCRATCH:
+        folder = sc._jvm.org.apache.hadoop.fs.Path(root)
+        fs = folder.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(folder)
+        fs.deleteOnExit(folder)
+        _SCRATCH.add(root)
+    return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+_SCRATCH: set[str] = set()
 _SHIPPED: set[int] = set()
 
 

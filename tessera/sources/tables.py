@@ -7,6 +7,7 @@ list is the text split on newlines, the title is the first line, the domain is
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def table_stamp(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Digest of a table's path and its files' names, sizes and times, read through Hadoop's file system."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(os.path.join(sf_dir, f"{name}.parquet"))
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    path = fs.makeQualified(path)
+    files = sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(path))
+    return hashlib.sha1(repr((path.toString(), files)).encode()).hexdigest()
+
+
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ARTICLE rows (row_id, title, date, author, content array, domain, url) plus the given label."""
     d = table(spark, sf_dir, "documents")

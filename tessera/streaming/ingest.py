@@ -3,8 +3,9 @@
 The reference inserts chunk batches of at most 41,666 rows into a collection.
 Here new Parquet files in ``source_dir`` are read as micro-batches
 (``maxFilesPerTrigger``), embedded, and appended to the collection with
-``foreachBatch``; the query checkpoint (below the shared checkpoint folder)
-makes a restarted or retried job resume without duplicating batches.
+``foreachBatch``. The query checkpoint (below the shared checkpoint folder) lets a
+restarted job resume; a batch that is run again adds nothing, as chunk ids that the
+collection already holds are left out.
 """
 
 from __future__ import annotations
@@ -15,19 +16,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tessera.operators.embed import embed
-from tessera.sources.collections import MAX_BATCH, collection_append
+from tessera.sources.collections import MAX_BATCH, collection_append, collection_is_empty, read_collection
 
 
 def ingest_chunks(spark: SparkSession, source_dir: str, schema: T.StructType, store: str, name: str,
                   checkpoint: str, encoder: Callable | None = None, files_per_batch: int = 1,
                   text: str = "page_content", available_now: bool = True):
-    """Start the stream; returns the ``StreamingQuery`` (``availableNow`` drains what exists, then stops)."""
+    """Start the stream (rows have a ``chunk_id``); returns the ``StreamingQuery`` (``availableNow`` drains what exists, then stops)."""
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
               .parquet(source_dir))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         del batch_id
-        collection_append(embed(batch, text, encoder=encoder), store, name, mode="append", batch_size=MAX_BATCH)
+        new = batch
+        if not collection_is_empty(spark, store, name):
+            held = read_collection(spark, store, name).select("chunk_id")
+            new = batch.join(held, "chunk_id", "left_anti")
+        collection_append(embed(new, text, encoder=encoder), store, name, mode="append", batch_size=MAX_BATCH)
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")

@@ -37,7 +37,7 @@ def duck():
 
 def test_entry_smoke(spark):
     df = entry.entry(spark)
-    assert df.count() >= 0 and df.columns
+    assert df.count() > 0 and df.columns
 
 
 @pytest.mark.parametrize("key", KEYS)
@@ -46,7 +46,7 @@ def test_query_matches_oracle(spark, duck, key):
     srows = [tuple(r) for r in df.collect()]
     sql = entry.oracle_sql().get(key)
     if sql is None:
-        assert len(srows) >= 0
+        assert srows  # its own test holds it against brute force
         return
     cur = duck.execute(sql)
     dcols = [d[0] for d in cur.description]
