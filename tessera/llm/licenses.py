@@ -2,8 +2,9 @@
 
 A text is cut into sentences, each is normalised (lower case, letters and digits) and mapped to its number among the
 known licence sentences; the ordered numbers of a text are matched against ordered rules. A rule applies when its
-numbers stand next to each other, in order, among the recognised sentences. Texts are read twice: with each line
-break as a sentence end (statements on a line of their own) and with line breaks as spaces (wrapped licence texts).
+numbers stand next to each other, in order, among the recognised sentences. Texts are read three times: with each line
+break as a sentence end (statements on a line of their own), with lines without letters and digits as sentence ends
+(wrapped licence texts below a heading or copyright line) and with all line breaks as spaces (blank lines in a sentence).
 Texts without any word that all known sentences share are skipped before the cutting.
 """
 
@@ -83,6 +84,7 @@ RULES: list[tuple[str, list[str]]] = [
 #: Every known sentence holds one of these (checked by a test).
 HINT = "licen|free software|warrant|redistribut|copyright|permission|public domain|released under"
 SENTENCE_END = r"[.!?:;]+([ \t\n\f\r]+|\z)|\n+"
+PARAGRAPH_END = r"[.!?:;]+([ \t\n\f\r]+|\z)|\n[^a-z0-9\n]*\n"
 WRAP = r"[ \t\f\r]*\n[ \t\f\r]*"
 
 
@@ -106,8 +108,8 @@ def known_sentences(rules=RULES) -> tuple[list[str], list[tuple[str, str]]]:
     return known, patterns
 
 
-def _numbers(lowered: Column, known: list[str]) -> Column:
-    sentences = F.split(lowered, SENTENCE_END)
+def _numbers(lowered: Column, known: list[str], end: str = SENTENCE_END) -> Column:
+    sentences = F.split(lowered, end)
     table = F.array(*(F.lit(s) for s in known))
     found = F.transform(sentences, lambda s: F.array_position(table, F.trim(F.regexp_replace(s, "[^a-z0-9]+", " "))))
     return F.array_join(F.transform(F.filter(found, lambda n: n > 0), lambda n: n.cast("string")), ",")
@@ -116,21 +118,20 @@ def _numbers(lowered: Column, known: list[str]) -> Column:
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules=RULES) -> DataFrame:
     """One row per input row: doc_id, sentence_ids, n_sentences, licenses.
 
-    ``sentence_ids`` are the numbers of the known sentences in order (lines as sentences; if that finds none, with
-    lines joined), ``licenses`` the sorted licences whose rules apply, both as comma-separated text. Null and empty texts have
+    ``sentence_ids`` are the numbers of the known sentences in order (lines as sentences; if that finds none,
+    paragraphs, then with all lines joined), ``licenses`` the sorted licences whose rules apply, both as comma-separated text. Null and empty texts have
     empty text and 0. Repeated rows and null ids stay; other columns are ignored.
     """
     known, patterns = known_sentences(rules)
     low = F.lower(F.col(text_col).cast("string"))
     hit = F.coalesce(low.rlike(HINT), F.lit(False))
-    by_line, joined = _numbers(low, known), _numbers(F.regexp_replace(low, WRAP, " "), known)
-    seen = docs.select(F.col(id_col).alias("doc_id"), F.when(hit, by_line).otherwise("").alias("a"),
-                       F.when(hit, joined).otherwise("").alias("b"))
+    readings = {"a": _numbers(low, known), "b": _numbers(low, known, PARAGRAPH_END), "c": _numbers(F.regexp_replace(low, WRAP, " "), known)}
+    seen = docs.select(F.col(id_col).alias("doc_id"), *(F.when(hit, r).otherwise("").alias(k) for k, r in readings.items()))
     table = F.array(*(F.struct(F.lit(n).alias("name"), F.lit(p).alias("ids")) for n, p in patterns))
-    a, b = F.concat(F.lit(","), "a", F.lit(",")), F.concat(F.lit(","), "b", F.lit(","))
-    rule = F.filter(table, lambda x: F.contains(a, x["ids"]) | F.contains(b, x["ids"]))
+    a, b, c = (F.concat(F.lit(","), k, F.lit(",")) for k in readings)
+    rule = F.filter(table, lambda x: F.contains(a, x["ids"]) | F.contains(b, x["ids"]) | F.contains(c, x["ids"]))
     names = F.array_join(F.array_sort(F.array_distinct(F.transform(rule, lambda x: x["name"]))), ",")
-    ids = F.when(F.col("a") != "", F.col("a")).otherwise(F.col("b"))
+    ids = F.when(F.col("a") != "", F.col("a")).when(F.col("b") != "", F.col("b")).otherwise(F.col("c"))
     return seen.select("doc_id", ids.alias("sentence_ids"),
                        F.when(ids == "", 0).otherwise(F.size(F.split(ids, ","))).cast("long").alias("n_sentences"),
                        F.when(ids == "", "").otherwise(names).alias("licenses"))

@@ -118,6 +118,33 @@ def test_licences(spark):
     assert sorted(map(str, con.execute(sql.LICENSES).df().licenses)) == sorted(x for _, x in got)
 
 
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+
+
+def licenses_of(spark, texts):
+    return [r.licenses for r in scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()]
+
+
+def test_licence_files_with_heading_and_copyright_line(spark):
+    files = [f"MIT License\n\nCopyright (c) 2020 Jane Doe\n\n{MIT}", f"ISC License\n \nCopyright (c) 2020, Jane Doe\n\t\n{ISC}",
+             f"Copyright (C) 2020  Jane Doe\n\n{GPL}", f"Copyright (C) 2020  Jane Doe\r\n\r\n{GPL}".replace("\n", "\r\n"),
+             "\n".join(f" * {x}" for x in f"Copyright (C) 2020  Jane Doe\n\n{GPL}".split("\n")), MIT.replace("\n", "\n\n")]
+    assert licenses_of(spark, files) == ["MIT", "ISC", "GPL-3.0-or-later", "GPL-3.0-or-later", "GPL-3.0-or-later", "MIT"]
+
+
 def test_every_known_sentence_has_a_hint():
     import re
     known, patterns = known_sentences()
