@@ -83,6 +83,8 @@ RULES: list[tuple[str, list[str]]] = [
 ]
 #: Every known sentence holds one of these (checked by a test).
 HINT = "licen|free software|warrant|redistribut|copyright|permission|public domain|released under"
+#: The same hints for texts that are not normalised yet: any run of other characters may stand between two words.
+RAW_HINT = HINT.replace(" ", "[^a-z0-9]+")
 SENTENCE_END = r"[.!?:;]+([ \t\n\f\r]+|\z)|\n+"
 PARAGRAPH_END = r"[.!?:;]+([ \t\n\f\r]+|\z)|\n[^a-z0-9\n]*\n"
 WRAP = r"[ \t\f\r]*\n[ \t\f\r]*"
@@ -124,7 +126,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     known, patterns = known_sentences(rules)
     low = F.lower(F.col(text_col).cast("string"))
-    hit = F.coalesce(low.rlike(HINT), F.lit(False))
+    hit = F.coalesce(low.rlike(RAW_HINT), F.lit(False))
     readings = {"a": _numbers(low, known), "b": _numbers(low, known, PARAGRAPH_END), "c": _numbers(F.regexp_replace(low, WRAP, " "), known)}
     seen = docs.select(F.col(id_col).alias("doc_id"), *(F.when(hit, r).otherwise("").alias(k) for k, r in readings.items()))
     table = F.array(*(F.struct(F.lit(n).alias("name"), F.lit(p).alias("ids")) for n, p in patterns))

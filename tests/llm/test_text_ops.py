@@ -145,6 +145,14 @@ def test_licence_files_with_heading_and_copyright_line(spark):
     assert licenses_of(spark, files) == ["MIT", "ISC", "GPL-3.0-or-later", "GPL-3.0-or-later", "GPL-3.0-or-later", "MIT"]
 
 
+def test_licence_notices_across_breaks_and_blanks(spark):
+    texts = ["Released\nunder CC0 1.0.", "released  under CC0 1.0.", "This is free and unencumbered software released into the public\ndomain.",
+             "This is free and unencumbered software released into the public \t domain."]
+    assert licenses_of(spark, texts) == ["CC0-1.0", "CC0-1.0", "Unlicense", "Unlicense"]
+    known, _ = known_sentences()
+    assert set(licenses_of(spark, [k.replace(" ", "\r\n ") for k in known if k.startswith("released under")])) == {"MIT", "Apache-2.0", "CC0-1.0"}
+
+
 def test_every_known_sentence_has_a_hint():
     import re
     known, patterns = known_sentences()
