@@ -2,7 +2,8 @@
 
 A text is cut into sentences, each is normalised (lower case, letters and digits) and mapped to its number among the
 known licence sentences; the ordered numbers of a text are matched against ordered rules. A rule applies when its
-numbers stand next to each other, in order, among the recognised sentences. Texts are read three times: with each line
+numbers stand next to each other, in order, among the recognised sentences; rules are tried from the longest down, and a
+match covers its sentences for the shorter ones. Texts are read three times: with each line
 break as a sentence end (statements on a line of their own), with lines without letters and digits as sentence ends
 (wrapped licence texts below a heading or copyright line) and with all line breaks as spaces (blank lines in a sentence).
 Texts without any word that all known sentences share are skipped before the cutting.
@@ -11,6 +12,8 @@ Texts without any word that all known sentences share are skipped before the cut
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,6 +90,9 @@ HINT = "licen|free software|warrant|redistribut|copyright|permission|public doma
 RAW_HINT = HINT.replace(" ", "[^a-z0-9]+")
 SENTENCE_END = r"[.!?:;]+([ \t\n\f\r]+|\z)|\n+"
 PARAGRAPH_END = r"[.!?:;]+([ \t\n\f\r]+|\z)|\n[^a-z0-9\n]*\n"
+#: The holder's own name in the third BSD clause (full stops and line breaks included) becomes the one of the known sentence.
+HOLDER = r"(?s)\bneither[^a-z0-9]+the[^a-z0-9]+name[^a-z0-9]+of[^a-z0-9].{1,1000}?[^a-z0-9]nor[^a-z0-9]+the[^a-z0-9]+names[^a-z0-9]+of\b"
+NO_HOLDER = "neither the name of the copyright holder nor the names of"
 WRAP = r"[ \t\f\r]*\n[ \t\f\r]*"
 
 
@@ -117,6 +123,11 @@ def _numbers(lowered: Column, known: list[str], end: str = SENTENCE_END) -> Colu
     return F.array_join(F.transform(F.filter(found, lambda n: n > 0), lambda n: n.cast("string")), ",")
 
 
+def _spaced(ids: str) -> str:
+    """',1,2,' as ',1,,2,': neighbours share no comma, so a replaced match leaves the next one whole."""
+    return "," + ids.strip(",").replace(",", ",,") + ","
+
+
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules=RULES) -> DataFrame:
     """One row per input row: doc_id, sentence_ids, n_sentences, licenses.
 
@@ -127,13 +138,22 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     known, patterns = known_sentences(rules)
     low = F.lower(F.col(text_col).cast("string"))
     hit = F.coalesce(low.rlike(RAW_HINT), F.lit(False))
+    low = F.regexp_replace(low, HOLDER, NO_HOLDER)
     readings = {"a": _numbers(low, known), "b": _numbers(low, known, PARAGRAPH_END), "c": _numbers(F.regexp_replace(low, WRAP, " "), known)}
     seen = docs.select(F.col(id_col).alias("doc_id"), *(F.when(hit, r).otherwise("").alias(k) for k, r in readings.items()))
-    table = F.array(*(F.struct(F.lit(n).alias("name"), F.lit(p).alias("ids")) for n, p in patterns))
-    a, b, c = (F.concat(F.lit(","), k, F.lit(",")) for k in readings)
-    rule = F.filter(table, lambda x: F.contains(a, x["ids"]) | F.contains(b, x["ids"]) | F.contains(c, x["ids"]))
-    names = F.array_join(F.array_sort(F.array_distinct(F.transform(rule, lambda x: x["name"]))), ",")
+    names: dict[str, list[str]] = {}
+    for name, ids in sorted(patterns, key=lambda x: -x[1].count(",")):  # the longest sequence first
+        names.setdefault(_spaced(ids), []).append(name)
+    table = F.array(*(F.struct(F.lit(p).alias("ids"), F.array(*map(F.lit, n)).alias("names")) for p, n in names.items()))
+    whole = {k: F.concat(F.lit(","), F.replace(F.col(k), F.lit(","), F.lit(",,")), F.lit(",")) for k in readings}
+    part = {k: reduce(or_, (F.contains(whole[j], whole[k]) & ((F.col(j) != F.col(k)) | F.lit(j > k)) for j in readings if j != k)) for k in readings}
+    # a reading that is part of another sees the same sentences, and would show the shorter rule of a longer match again
+    texts = F.concat_ws("|", *(F.when(~part[k], whole[k]) for k in readings))
+    none = F.struct(texts.alias("rest"), F.array().cast("array<string>").alias("names"))
+    found = F.aggregate(table, none, lambda done, x: F.when(F.contains(done["rest"], x["ids"]), F.struct(
+        F.replace(done["rest"], x["ids"], F.lit(",0,")).alias("rest"), F.concat(done["names"], x["names"]).alias("names"))).otherwise(done),
+        lambda done: F.array_join(F.array_sort(F.array_distinct(done["names"])), ","))
     ids = F.when(F.col("a") != "", F.col("a")).when(F.col("b") != "", F.col("b")).otherwise(F.col("c"))
     return seen.select("doc_id", ids.alias("sentence_ids"),
                        F.when(ids == "", 0).otherwise(F.size(F.split(ids, ","))).cast("long").alias("n_sentences"),
-                       F.when(ids == "", "").otherwise(names).alias("licenses"))
+                       F.when(ids == "", "").otherwise(found).alias("licenses"))

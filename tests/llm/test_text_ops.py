@@ -153,6 +153,37 @@ def test_licence_notices_across_breaks_and_blanks(spark):
     assert set(licenses_of(spark, [k.replace(" ", "\r\n ") for k in known if k.startswith("released under")])) == {"MIT", "Apache-2.0", "CC0-1.0"}
 
 
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+THIRD = """
+3. Neither the name of {} nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_longest_licence_rule_covers_the_shorter(spark):
+    head = "Copyright (c) 2020, Jane Doe\nAll rights reserved.\n\n"
+    joined = " ".join(BSD.split())
+    texts = [head + BSD + THIRD.format("the copyright holder"), head + BSD + THIRD.format("Example University"),
+             head + BSD + THIRD.format("Example,\n   Inc. of N. Y."), head + BSD, head + BSD + THIRD.format("X") + "\nOther part:\n\n" + BSD,
+             "\n".join(x.strip() for x in joined.replace(". ", ".\n").replace(": ", ":\n").split("\n")) + THIRD.format("X"),
+             "Released under the MIT License.\n" + BSD + THIRD.format("X") + BSD + THIRD.format("Y")]
+    assert licenses_of(spark, texts) == ["BSD-3-Clause", "BSD-3-Clause", "BSD-3-Clause", "BSD-2-Clause", "BSD-2-Clause,BSD-3-Clause",
+                                         "BSD-3-Clause", "BSD-3-Clause,MIT"]
+    two = [("X", ["One licence line"]), ("Y", ["One licence line"]), ("Z", ["One licence line", "Two licence lines"])]
+    docs = spark.createDataFrame([(1, "One licence line. One licence line."), (2, "One licence line. Two licence lines.")], "doc_id long, text string")
+    assert [r.licenses for r in scan_licenses(docs, rules=two).collect()] == ["X,Y", "Z"]
+
+
 def test_every_known_sentence_has_a_hint():
     import re
     known, patterns = known_sentences()
