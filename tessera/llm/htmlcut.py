@@ -25,7 +25,9 @@ from tessera.llm.quality import fit_logistic
 
 #: Most pages that the block classifier is fitted on (taken by a hash of the id).
 MOST_PAGES = 2_000
-NEIGHBOUR, SIBLING, CONTAINER, FORBIDDEN = 1.2, 0.6, 4.0, 12.0
+NEIGHBOUR, SIBLING, CONTAINER, FORBIDDEN = 1.2, 0.6, 1.6, 12.0
+#: Container evidence counts up to ``SURE`` times ``CONTAINER``, little more than the classifier's 3, so edges can overrule it.
+SURE, STRONG, LOWEST, HIDDEN = 2, 4, -4, -100
 
 RAW = {"script", "style", "noscript", "template", "iframe", "textarea", "svg", "math", "object", "canvas", "head", "title"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -34,7 +36,7 @@ BLOCK = {"address", "article", "aside", "blockquote", "body", "button", "caption
          "legend", "li", "main", "menu", "nav", "ol", "option", "p", "pre", "section", "select", "summary", "table", "tbody",
          "td", "tfoot", "th", "thead", "tr", "ul"}
 CLOSES_P = BLOCK - {"button", "option", "select", "caption", "legend"}
-NEVER = {"nav", "footer", "aside", "form", "button", "select", "menu", "dialog", "option"}
+NEVER = {"nav", "footer", "aside", "button", "select", "menu", "dialog", "option"}
 CONTENT = {"article", "main"}
 # Words of class, id and role attributes that mark boilerplate and content.
 BAD_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "adsense", "sponsor", "sponsored", "promo", "promotion", "banner",
@@ -43,44 +45,67 @@ BAD_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "adsense", "spon
              "share", "sharing", "social", "related", "recommended", "popup", "modal", "overlay", "footer", "masthead", "widget",
              "pagination", "pager", "copyright", "legal", "toolbar", "search", "complementary", "contentinfo"}
 GOOD_WORDS = {"article", "content", "post", "entry", "story", "main", "body", "text"}
-WRAPPER_WORDS = {"with", "has", "no", "without", "layout", "wrapper", "container", "page", "site"}
+# Boilerplate whatever stands beside them; a wrapper word makes only the others mean nothing, a negating word both.
+STRONG_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "adsense", "sponsor", "sponsored", "comment", "comments", "reply", "replies",
+                "disqus", "cookie", "cookies", "consent", "gdpr"}
+WRAPPER_WORDS = {"layout", "wrapper", "container", "page", "site"}
+NEGATING_WORDS = {"with", "has", "no", "without"}
+TOPIC = ("category-", "tag-")  # class words that name what a page is about
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
                    r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|[^<]+|<", re.S)
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I | re.S)
 
 
-def _own_evidence(tag: str, attributes: str) -> tuple[int, bool]:
-    """(-1, 0 or 1, whether it holds for everything inside) of one element."""
-    if tag in NEVER:
-        return -1, True
-    good = bad = False
+def _word_evidence(value: str) -> int:
+    """Good words less bad words of one attribute, strong ones ``STRONG`` times."""
+    good, weak, strong = set(), set(), set()
+    for name in re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower().split():
+        words = set(re.split(r"[^a-z0-9]+", name))
+        if name.startswith(TOPIC) or words & NEGATING_WORDS:
+            continue
+        good |= words & GOOD_WORDS
+        strong |= words & STRONG_WORDS
+        if not words & WRAPPER_WORDS:
+            weak |= words & BAD_WORDS - STRONG_WORDS
+    return len(good) - len(weak) - STRONG * len(strong)
+
+
+def _own_evidence(tag: str, attributes: str) -> int:
+    """What one element says: > 0 content, < 0 boilerplate, ``HIDDEN`` for what is not shown."""
+    words = 0
     if attributes and attributes.strip(" /"):
         for name, value in ATTRIBUTE.findall(attributes):
-            name, value = name.lower(), value.strip("\"'").lower()
-            if name == "hidden" or (name == "aria-hidden" and value == "true"):
-                return -1, True
+            name, value = name.lower(), value.strip("\"'")
+            if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
+                return HIDDEN
             if name == "style":
-                if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                    return -1, True
-            else:
-                words = set(re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", value)))
-                bad |= bool(words & BAD_WORDS) and not words & WRAPPER_WORDS
-                good |= bool(words & GOOD_WORDS)
-    if bad and tag not in ("body", "html", "main"):
-        return -1, True
-    if tag in CONTENT or good:
-        return 1, False
-    return 0, False
+                if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value.lower()):
+                    return HIDDEN
+            elif name in ("class", "id", "role"):
+                words += _word_evidence(value)
+    if tag in ("body", "html", "main"):
+        words = max(words, 0)
+    words += SURE * (tag in CONTENT) - STRONG * (tag in NEVER) - (tag == "form")
+    return min(max(words, LOWEST), SURE)
+
+
+def _inside(outer: int, own: int) -> int:
+    """Evidence in an element: its own, added to that around it where one of them is negative or both are positive.
+
+    Boilerplate in content starts anew from its own evidence; content in boilerplate makes up for it as far as it goes.
+    """
+    if outer == HIDDEN or own == HIDDEN:
+        return HIDDEN
+    return min(max(own if own < 0 < outer else outer + own, LOWEST), SURE)
 
 
 def blocks_of(page: str) -> list[tuple]:
     """Text blocks in page order: (text, tag, evidence, words in links, parent, depth chain as a tuple of element numbers)."""
     out: list[tuple] = []
-    stack = [("html", 0, False, 0)]  # tag, evidence, fixed for everything inside, number
+    stack = [("html", 0)]  # tag, evidence
     chain, open_count, number = [0], {"html": 1}, 0
     parts: list[str] = []
     linked, links, in_header = 0, 0, 0
-    own = stack[0]
 
     def flush():
         nonlocal parts, linked
@@ -88,8 +113,8 @@ def blocks_of(page: str) -> list[tuple]:
         if text:
             block = next((s for s in reversed(stack) if s[0] in BLOCK), stack[0])
             evidence = stack[-1][1]
-            if in_header and evidence >= 0:
-                evidence = evidence if block[0] in ("h1", "h2") and any(s[0] in CONTENT for s in stack) else -1
+            if in_header and evidence >= 0 and not (block[0] in ("h1", "h2") and any(s[0] in CONTENT for s in stack)):
+                evidence = -SURE
             out.append((text, block[0], evidence, linked, tuple(chain)))
         parts, linked = [], 0
 
@@ -144,12 +169,7 @@ def blocks_of(page: str) -> list[tuple]:
         if tag in VOID or m.group(3).endswith("/"):
             continue
         number += 1
-        if stack[-1][2]:
-            own = (tag, stack[-1][1], True, number)
-        else:
-            evidence, fixed = _own_evidence(tag, m.group(3))
-            own = (tag, evidence or stack[-1][1], fixed, number)
-        stack.append(own)
+        stack.append((tag, _inside(stack[-1][1], _own_evidence(tag, m.group(3)))))
         chain.append(number)
         open_count[tag] = open_count.get(tag, 0) + 1
         links += tag == "a"
@@ -280,7 +300,7 @@ def main_text(page: str | None, weights: np.ndarray = PRIOR_WEIGHTS) -> str:
     if not blocks:
         return ""
     odds = np.clip(block_inputs(blocks) @ weights[:-1] + weights[-1], -3, 3)
-    cost = [float(o) + CONTAINER * b[2] if b[2] >= 0 else -FORBIDDEN for o, b in zip(odds, blocks)]
+    cost = [float(o) + CONTAINER * max(b[2], -SURE) if b[2] != HIDDEN else -FORBIDDEN for o, b in zip(odds, blocks)]
     return "\n".join(b[0] for b, keep in zip(blocks, min_cut(cost, smoothness(blocks))) if keep)
 
 
@@ -288,7 +308,7 @@ def fit_blocks(pages: DataFrame, id_col: str, html_col: str) -> np.ndarray:
     """Classifier weights from blocks whose containers leave no doubt, on at most ``MOST_PAGES`` pages."""
     def examples(batches: Iterator[pa.RecordBatch]):
         for b in batches:
-            found = [x for p in b.column("html").to_pylist() for x in blocks_of(p or "") if x[2]]
+            found = [x for p in b.column("html").to_pylist() for x in blocks_of(p or "") if abs(x[2]) >= SURE]
             x = block_inputs(found)
             yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), pa.array([v[2] > 0 for v in found], pa.bool_())], ["x", "y"])
 

@@ -158,6 +158,21 @@ def test_main_text_of_a_page():
     assert "Home" not in main_text(plain)
 
 
+def test_container_evidence_is_bounded():
+    prose = "This is a long paragraph of the article, with many words in it; " * 6 + "it ends here."
+    body = f"<p>{prose}</p>" * 3
+    nav = "<nav><a href=1>Home</a></nav>"
+    for before, after in (("<article class='post-12 type-post category-legal tag-search'>", "</article>"), ("<div id='content' class='social related'>", "</div>"),
+                          ("<form><div>", "</div></form>"), ("<form><article>", "</article></form>"), ("<div class='elementor-widget'><article class=post>", "</article></div>"),
+                          ("<article class='no-comments'>", "</article>")):
+        assert main_text(nav + before + body + after).split("\n") == [prose] * 3, before
+    for name in ("comments-wrapper", "ad-container", "cookie-container", "commentsWrapper", "comment-content"):
+        page = f"<article>{body}<div class='{name}'><p>{prose}</p><p>Buy this now, it is cheap.</p></div>{body}</article>"
+        assert main_text(page).split("\n") == [prose] * 6, name
+    assert main_text(f"{body}<div hidden><article>{body}</article></div>").split("\n") == [prose] * 3
+    assert main_text(f"<article>{body}</article><section class=comments><article><p>{prose}</p></article></section>").split("\n") == [prose] * 3
+
+
 def test_pages_equal_their_articles(spark):
     import html
     import re
