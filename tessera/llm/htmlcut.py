@@ -29,7 +29,7 @@ NEIGHBOUR, SIBLING, CONTAINER, FORBIDDEN = 1.2, 0.6, 1.6, 12.0
 #: Container evidence counts up to ``SURE`` times ``CONTAINER``, little more than the classifier's 3, so edges can overrule it.
 SURE, STRONG, LOWEST, HIDDEN = 2, 4, -4, -100
 
-RAW = {"script", "style", "noscript", "template", "iframe", "textarea", "svg", "math", "object", "canvas", "head", "title"}
+RAW = {"script", "style", "noscript", "template", "iframe", "textarea", "head", "title"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 BLOCK = {"address", "article", "aside", "blockquote", "body", "button", "caption", "center", "dd", "details", "dialog", "div", "dl",
          "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "html",
@@ -52,7 +52,7 @@ WRAPPER_WORDS = {"layout", "wrapper", "container", "page", "site"}
 NEGATING_WORDS = {"with", "has", "no", "without"}
 TOPIC = ("category-", "tag-")  # class words that name what a page is about
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
-                   r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|[^<]+|<", re.S)
+                   r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*')|=)*+)(?:>|\Z)|[^<]+|<", re.S)
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I | re.S)
 
 
@@ -153,7 +153,7 @@ def blocks_of(page: str) -> list[tuple]:
         if tag in RAW:
             if tag != "head" and not m.group(3).endswith("/"):
                 stop = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-                at = stop.end() if stop else end
+                at = stop.end() if stop else end if tag in ("script", "style") else at
             elif tag == "head":
                 stop = re.compile(r"</head\s*>|<body\b", re.I).search(page, at)
                 at = (stop.end() if stop and stop.group()[1] == "/" else stop.start()) if stop else at

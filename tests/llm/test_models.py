@@ -173,6 +173,21 @@ def test_container_evidence_is_bounded():
     assert main_text(f"<article>{body}</article><section class=comments><article><p>{prose}</p></article></section>").split("\n") == [prose] * 3
 
 
+def test_no_text_is_dropped_with_markup():
+    def words(inner):
+        return " ".join(main_text(f"<article><p>Here is {inner} and so on, it goes on.</p><p>The end of it, at last.</p></article>").split())
+
+    assert words("<math><mi>x</mi><mo>=</mo><mn>2</mn></math>") == "Here is x=2 and so on, it goes on. The end of it, at last."
+    for tag in ("svg", "math", "object", "canvas"):
+        assert words(f"<{tag}>inner</{tag}>") == words(f"<{tag}>inner") == "Here is inner and so on, it goes on. The end of it, at last."
+    for tag in ("noscript", "template", "iframe", "title"):
+        assert words(f"<{tag}>") == "Here is and so on, it goes on. The end of it, at last." == words(f"<{tag}>inner</{tag}>")
+    for tag in ("script", "style"):
+        assert words(f"<{tag}>inner") == "Here is" and words(f"<{tag}>inner</{tag}>") == "Here is and so on, it goes on. The end of it, at last."
+    assert main_text("<article><p title=it's>Hello world. Don't go.</p><p title = 'a > b' lang=\"x>y\" id=z'>More of it.</p></article>") == "Hello world. Don't go.\nMore of it."
+    assert main_text("<article><p title=\"open>Hello world, here.</p></article>") == "Hello world, here."
+
+
 def test_pages_equal_their_articles(spark):
     import html
     import re
