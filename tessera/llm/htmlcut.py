@@ -315,14 +315,14 @@ def fit_blocks(pages: DataFrame, id_col: str, html_col: str) -> np.ndarray:
     ids = (pages.select(F.col(id_col).alias("id")).where("id IS NOT NULL").distinct()
            .orderBy(F.xxhash64("id"), "id").limit(MOST_PAGES).toPandas())
     chosen = F.broadcast(pages.sparkSession.createDataFrame(ids, pages.select(F.col(id_col).alias("id")).schema))
-    sample = pages.select(F.col(id_col).alias("id"), F.col(html_col).cast("string").alias("html")).join(chosen, "id").select("html")
+    sample = pages.select(F.col(id_col).alias("id"), F.col(html_col).cast("string").alias("html")).join(chosen, "id")
+    sample = sample.groupBy("id").agg(F.min("html").alias("html")).select("html")  # one row per chosen page
     # equal inputs are summed before they come to the driver; the weights depend on the counts alone
     got = (sample.mapInArrow(examples, "x array<double>, y boolean").groupBy("x", "y").count().toPandas())
     if got.y.nunique() < 2:
         return PRIOR_WEIGHTS
     got = got.assign(k=[tuple(v) for v in got.x]).sort_values(["k", "y"])
-    n = got["count"].to_numpy()
-    return fit_logistic(np.repeat(np.stack(got.x.to_numpy()), n, axis=0), np.repeat(got.y.to_numpy(dtype=float), n), ridge=5.0)
+    return fit_logistic(np.stack(got.x.to_numpy()), got.y.to_numpy(dtype=float), ridge=5.0, times=got["count"].to_numpy())
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -60,15 +60,21 @@ def _input_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays([*rest, pa.array(list(x), pa.list_(pa.float64()))], ["node", "id", "host", "path", "x"])
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
-    """Weights (last one the constant) of a logistic regression by Newton steps; the ridge is on standardised inputs."""
-    mean, spread = x.mean(axis=0), np.where(x.std(axis=0) > 1e-9, x.std(axis=0), 1.0)
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30, times: np.ndarray | None = None) -> np.ndarray:
+    """Weights (last one the constant) of a logistic regression by Newton steps; the ridge is on standardised inputs.
+
+    Each row counts as often as ``times`` says (once without it).
+    """
+    t = np.ones(len(x)) if times is None else np.asarray(times, dtype=float)
+    mean = (t @ x) / t.sum()
+    spread = np.sqrt((t @ (x - mean) ** 2) / t.sum())
+    spread = np.where(spread > 1e-9, spread, 1.0)
     x = np.column_stack([(x - mean) / spread, np.ones(len(x))])
     w = np.zeros(x.shape[1])
     penalty = np.append(np.full(x.shape[1] - 1, ridge), 1e-6)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(penalty), x.T @ (y - p) - penalty * w)
+        step = np.linalg.solve((x * (t * (p * (1 - p) + 1e-9))[:, None]).T @ x + np.diag(penalty), x.T @ (t * (y - p)) - penalty * w)
         w += step / max(1.0, np.abs(step).max() / 5)
         if np.abs(step).max() < 1e-8:
             break

@@ -90,6 +90,13 @@ def test_logistic_fit_finds_the_gradient_zero():
     assert np.abs(x.T @ (y - z)).max() < 1e-3 and abs((y - z).sum()) < 1e-3
 
 
+def test_logistic_fit_with_counts_equals_repeated_rows():
+    rng = np.random.default_rng(3)
+    x, n = rng.standard_normal((200, 3)), rng.integers(1, 9, 200)
+    y = (rng.random(200) < 0.4).astype(float)
+    assert np.abs(fit_logistic(x, y, ridge=5.0, times=n) - fit_logistic(np.repeat(x, n, axis=0), np.repeat(y, n), ridge=5.0)).max() < 1e-9
+
+
 def test_toxicity_on_held_out_labels(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
