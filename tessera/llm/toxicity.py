@@ -9,17 +9,21 @@ text in one Arrow pass. Inputs of a score come from the text alone.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import batch as bt
+from tessera.llm.store import drop_table, small, stored
 
-#: Most labelled rows that the label model and the classifier are fitted on (taken by a hash of the id).
+#: Most labelled rows that the classifier is fitted on (taken by a hash of the id); voters and label model count all labelled rows.
 MOST_LABELS = 20_000
+#: Distinct vote patterns that the label model takes to the driver; of more, each round is a pass over their stored counts.
+MOST_PATTERNS = 100_000
 BUCKETS, PREFIXES = 1 << 18, (3, 4, 5, 6, 7, 8)
 FEATURES, MINED_VOTERS, LEAST_TEXTS = 2048, 48, 4
 
@@ -97,42 +101,100 @@ def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(seen[1][p]), pa.array(seen[0][p])], ["bucket", "toxic", "clean"])
 
 
-def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, dict]:
-    """Posterior of the toxic class per row from binary ``votes`` and the labels ``gold`` (0, 1; -1 for none).
+def posteriors(votes: np.ndarray, gold: np.ndarray, model: dict) -> np.ndarray:
+    """Probability of the toxic class per row; a model without rates knows the labels and the prior alone."""
+    prior = model["prior"]
+    if "rates" not in model:
+        return np.where(gold >= 0, np.where(gold == 1, 0.95, 0.05), prior)
+    rates, acc = model["rates"], model["label_accuracy"]
+    ratio = model["share"] * np.log(rates[1] / rates[0])
+    silent = model["share"] * np.log((1 - rates[1]) / (1 - rates[0]))
+    z = np.log(prior / (1 - prior)) + votes @ (ratio - silent) + silent.sum()
+    z += np.where(gold >= 0, np.where(gold == 1, 1, -1) * np.log(acc / (1 - acc)), 0)
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def vote_sums(votes: np.ndarray, gold: np.ndarray, times: np.ndarray, model: dict) -> np.ndarray:
+    """What a round needs of rows that occur ``times`` often, as one vector of sums.
+
+    Per class: rows, firings and co-firings weighted by the posterior; then the labelled rows and how far labels agree.
+    """
+    post = posteriors(votes, gold, model)
+    out = []
+    for q in (times * (1 - post), times * post):
+        out += [[q.sum()], q @ votes, ((votes * q[:, None]).T @ votes).ravel()]
+    right = np.where(gold >= 0, np.where(gold == 1, post, 1 - post), 0)
+    return np.concatenate([*out, [times[gold >= 0].sum(), times @ right]])
+
 
-    EM over class prior and firing rates; the label is a voter with its own accuracy. A voter's log likelihood ratio is divided
-    by one plus the sum of its positive correlations with other voters given the class.
+def fit_label_model(sums: Callable[[dict], np.ndarray], v: int, toxic: float, labelled: float, rounds: int = 50) -> dict:
+    """EM over class prior and firing rates; the label is a voter with its own accuracy. ``sums`` gives ``vote_sums`` over all rows.
+
+    A voter's log likelihood ratio is divided by one plus the sum of its positive correlations with other voters given the class.
     """
-    n, v = votes.shape
-    prior = np.clip((gold == 1).sum() / max((gold >= 0).sum(), 1), 0.01, 0.5)
-    post = np.where(gold >= 0, np.where(gold == 1, 0.95, 0.05), prior)
-    share, rates = np.ones(v), np.zeros((2, v))
-    acc = 0.95
+    model = {"prior": np.clip(toxic / max(labelled, 1), 0.01, 0.5)}
+    share, last = np.ones(v), None
     for r in range(rounds):
-        for c, q in ((0, 1 - post), (1, post)):
-            rates[c] = (q @ votes + 0.5 * (0.02 if c == 0 else 0.1)) / (q.sum() + 0.5)
-        rates = np.clip(rates, 1e-4, 1 - 1e-4)
+        got = sums(model)
+        n, labelled, right = got[0] + got[1 + v + v * v], got[-2], got[-1]
+        rates, excess = np.zeros((2, v)), np.zeros((v, v))
+        for c in (0, 1):
+            total, fired, both = np.split(got[c * (1 + v + v * v):][:1 + v + v * v], [1, 1 + v])
+            total, both = total[0], both.reshape(v, v)
+            rate = rates[c] = np.clip((fired + 0.5 * (0.02 if c == 0 else 0.1)) / (total + 0.5), 1e-4, 1 - 1e-4)
+            cov = both - np.outer(rate, fired) - np.outer(fired, rate) + total * np.outer(rate, rate)
+            sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
+            excess = np.maximum(excess, cov / sd[:, None] / sd[None])
         if r % 10 == 0:  # dependence given the class
-            excess = np.zeros((v, v))
-            for c, q in ((0, 1 - post), (1, post)):
-                d = (votes - rates[c]) * np.sqrt(q)[:, None]
-                cov = d.T @ d
-                sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
-                excess = np.maximum(excess, cov / sd[:, None] / sd[None])
             np.fill_diagonal(excess, 0)
             share = 1 / (1 + np.clip(excess - 0.1, 0, 1).sum(axis=1))
-        prior = np.clip(post.mean(), 1e-3, 0.9)
-        right = np.where(gold >= 0, np.where(gold == 1, post, 1 - post), 0).sum()
-        acc = np.clip((right + 9.5) / ((gold >= 0).sum() + 10), 0.6, 0.995)
-        ratio = share * (np.log(rates[1] / rates[0]))
-        silent = share * (np.log((1 - rates[1]) / (1 - rates[0])))
-        z = np.log(prior / (1 - prior)) + votes @ ratio + (1 - votes) @ silent
-        z += np.where(gold >= 0, np.where(gold == 1, 1, -1) * np.log(acc / (1 - acc)), 0)
-        after = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        if np.abs(after - post).max() < 1e-6 and r > 20:
+        prior = np.clip(got[1 + v + v * v] / max(n, 1e-9), 1e-3, 0.9)
+        acc = np.clip((right + 9.5) / (labelled + 10), 0.6, 0.995)
+        model = {"prior": prior, "rates": rates, "share": share, "label_accuracy": acc}
+        now = np.concatenate([share * np.log(rates[1] / rates[0]), share * np.log((1 - rates[1]) / (1 - rates[0])), [np.log(prior / (1 - prior)), np.log(acc / (1 - acc))]])
+        if last is not None and np.abs(now - last).sum() < 4e-6 and r > 20:  # no posterior moves by 1e-6
             break
-        post = after
-    return post, {"prior": prior, "rates": rates, "share": share, "label_accuracy": acc}
+        last = now
+    return model
+
+
+def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, dict]:
+    """Posterior of the toxic class per row from binary ``votes`` and the labels ``gold`` (0, 1; -1 for none), and the model."""
+    once = np.ones(len(votes))
+    model = fit_label_model(lambda m: vote_sums(votes, gold, once, m), votes.shape[1], (gold == 1).sum(), (gold >= 0).sum(), rounds)
+    return posteriors(votes, gold, model), model
+
+
+def unpacked(pattern: np.ndarray, v: int) -> np.ndarray:
+    """Votes (0.0, 1.0) of the bits of each pattern."""
+    return (pattern[:, None] >> np.arange(v) & 1).astype(float)
+
+
+def corpus_label_model(patterns: DataFrame, v: int) -> dict:
+    """The label model of all rows of (pattern, gold), from the count of each distinct pair."""
+    spark = patterns.sparkSession
+    counts, path = stored(patterns.groupBy("pattern", "gold").agg(F.count("*").alias("times")), "vote-patterns")
+    rows, toxic, labelled = counts.agg(F.count("*"), F.sum(F.when(F.col("gold") == 1, F.col("times")).otherwise(0)),
+                                       F.sum(F.when(F.col("gold") >= 0, F.col("times")).otherwise(0))).first()
+
+    def columns(frame):
+        return unpacked(frame.pattern.to_numpy(), v), frame.gold.to_numpy(), frame.times.to_numpy(dtype=float)
+
+    if rows <= MOST_PATTERNS:
+        held = columns(counts.toPandas().sort_values(["pattern", "gold"]))
+        model = fit_label_model(lambda m: vote_sums(*held, m), v, toxic, labelled)
+    else:
+        def sums(m):
+            def part(batches):
+                total = sum((vote_sums(*columns(b.to_pandas()), m) for b in batches), np.zeros(2 * (1 + v + v * v) + 2))
+                yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], ["sums"])
+
+            each = counts.mapInArrow(part, "sums array<double>").select(F.posexplode("sums")).groupBy("pos").agg(F.sum("col").alias("s"))
+            return each.orderBy("pos").toPandas().s.to_numpy()
+
+        model = fit_label_model(sums, v, toxic, labelled)
+    drop_table(spark, path)
+    return model
 
 
 def fit_sparse(rows: np.ndarray, cols: np.ndarray, n: int, k: int, dense: np.ndarray, y: np.ndarray, ridge: float = 2.0,
@@ -155,14 +217,19 @@ def fit_sparse(rows: np.ndarray, cols: np.ndarray, n: int, k: int, dense: np.nda
     return w, u, float(c)
 
 
+def best_of_each_side(toxic: pd.DataFrame, clean: pd.DataFrame, most: int = FEATURES) -> pd.DataFrame:
+    """The best ``most`` marks (bucket, z), half of each side while it has so many; both tables are sorted, best first."""
+    a = max(most // 2, most - len(clean))
+    return pd.concat([toxic[:a], clean[:most - min(a, len(toxic))]], ignore_index=True)
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id: str, label_col: str) -> dict:
     """The linear classifier: a weight per bucket, the dense weights and the constant; and the label model's figures."""
     spark = docs.sparkSession
-    known = (labels.where(F.col(label_id).isNotNull() & F.col(label_col).isin(0, 1)).where(~held_out(F.col(label_id)))
-             .select(F.col(label_id).alias("id"), F.col(label_col).cast("int").alias("y"))
-             .orderBy(F.xxhash64("id"), "id", "y").limit(MOST_LABELS))
-    chosen = F.broadcast(spark.createDataFrame(known.toPandas(), known.schema))  # bounded by MOST_LABELS
-    sample = docs.select(F.col(id_col).alias("id"), F.lower(F.col(text_col).cast("string")).alias("text")).join(chosen, "id").select("id", "text", "y")
+    known = small(labels.where(F.col(label_id).isNotNull() & F.col(label_col).isin(0, 1)).where(~held_out(F.col(label_id)))
+                  .select(F.col(label_id).alias("id"), F.col(label_col).cast("int").alias("y")))
+    texts = docs.select(F.col(id_col).alias("id"), F.lower(F.col(text_col).cast("string")).alias("text"))
+    sample = texts.join(known, "id").select("id", "text", "y")  # all labelled rows
     counts = sample.select("text", "y").mapInArrow(_bucket_counts, "bucket long, toxic long, clean long").groupBy("bucket").agg(
         F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
     pos, neg = sample.agg(F.coalesce(F.sum("y"), F.lit(0)), F.coalesce(F.sum(1 - F.col("y")), F.lit(0))).first()
@@ -171,39 +238,59 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
         return empty | {"dense": np.array([3.0] * len(LISTS) + [0.0] * 5), "constant": -3.0}
     odds = F.log((F.col("a") + 0.1) / (pos + 0.2)) - F.log((F.col("b") + 0.1) / (neg + 0.2))
     z = odds * F.sqrt(F.col("a") + F.col("b"))
-    top = (counts.where(F.col("a") + F.col("b") >= LEAST_TEXTS).select("bucket", z.alias("z"))
-           .orderBy(F.desc(F.abs("z")), "bucket").limit(FEATURES).toPandas())
+    marks = counts.where(F.col("a") + F.col("b") >= LEAST_TEXTS).select("bucket", z.alias("z"))
+    top = best_of_each_side(*(marks.where(F.col("z") * side > 0).orderBy(F.desc(F.col("z") * side), "bucket").limit(FEATURES).toPandas() for side in (1, -1)))
     buckets, z = top.bucket.to_numpy(), top.z.to_numpy()
     order = np.argsort(buckets)
     buckets, z = buckets[order], z[order]
 
+    mined = np.argsort(-z, kind="stable")[:MINED_VOTERS]
+    mined = mined[z[mined] > 0]
+    v = len(LISTS) + 2 + len(mined)
+    place = np.full(len(buckets), -1)
+    place[mined] = np.arange(len(mined)) + len(LISTS) + 2
+
+    def found_in(pair):
+        """(text, place among the buckets) of the pairs whose bucket is one of them, by text."""
+        if not len(buckets):
+            return pair[:0], pair[:0]
+        at = np.minimum(np.searchsorted(buckets, pair % BUCKETS), len(buckets) - 1)
+        ok = buckets[at] == pair % BUCKETS
+        return pair[ok] // BUCKETS, at[ok]
+
+    def patterns_of(batches):
+        for b, lo, hi, (pair, hits, words) in _slices(batches):
+            bits = dense_inputs(hits, words)[:, :len(LISTS) + 2].astype(np.int64) @ (1 << np.arange(len(LISTS) + 2))
+            owner, at = found_in(pair)
+            fires = place[at] >= 0
+            np.bitwise_or.at(bits, owner[fires], 1 << place[at[fires]])
+            yield pa.RecordBatch.from_arrays([b.column("id").slice(lo, hi - lo), pa.array(bits)], ["id", "pattern"])
+
     def rows_of(batches):
         for b, lo, hi, (pair, hits, words) in _slices(batches):
-            at = np.minimum(np.searchsorted(buckets, pair % BUCKETS), max(len(buckets) - 1, 0))
-            ok = buckets[at] == pair % BUCKETS if len(buckets) else np.zeros(0, bool)
-            owner, at = pair[ok] // BUCKETS, at[ok] if len(buckets) else pair[:0]
+            owner, at = found_in(pair)
             cut = np.searchsorted(owner, np.arange(hi - lo + 1))
             yield pa.RecordBatch.from_arrays(
                 [b.column("id").slice(lo, hi - lo), b.column("y").slice(lo, hi - lo),
                  pa.array([at[cut[i]:cut[i + 1]] for i in range(hi - lo)], pa.list_(pa.int64())),
                  pa.array(list(dense_inputs(hits, words).astype(float)), pa.list_(pa.float64()))], ["id", "y", "at", "dense"])
 
-    # bounded by MOST_LABELS rows (a document with several labels or rows gives several examples)
-    got = sample.mapInArrow(rows_of, f"id {dict(sample.dtypes)['id']}, y int, at array<long>, dense array<double>").toPandas()
+    kind = dict(texts.dtypes)["id"]
+    voted = texts.mapInArrow(patterns_of, f"id {kind}, pattern long").join(known, "id")  # rows without a label: see README
+    model = corpus_label_model(voted.select("pattern", F.col("y").alias("gold")), v)
+    chosen = F.broadcast(known.orderBy(F.xxhash64("id"), "id", "y").limit(MOST_LABELS))
+    # a document with several labels or rows gives several examples
+    got = texts.join(chosen, "id").select("id", "text", "y").mapInArrow(rows_of, f"id {kind}, y int, at array<long>, dense array<double>").toPandas()
     got = got.sort_values(["id", "y"], kind="stable").reset_index(drop=True)
     n = len(got)
     rows = np.repeat(np.arange(n), [len(x) for x in got["at"]])
     cols = np.concatenate([np.asarray(x, dtype=np.int64) for x in got["at"]]) if n else np.zeros(0, np.int64)
     dense, y = np.stack(got.dense.to_numpy()), got.y.to_numpy()
-    mined = np.argsort(-z)[:MINED_VOTERS]
-    mined = mined[z[mined] > 0]
-    votes = np.zeros((n, len(LISTS) + 2 + len(mined)))
+    votes = np.zeros((n, v))
     votes[:, :len(LISTS) + 2] = dense[:, :len(LISTS) + 2]
-    place = np.full(len(buckets), -1)
-    place[mined] = np.arange(len(mined)) + len(LISTS) + 2
     fires = place[cols] >= 0
     votes[rows[fires], place[cols[fires]]] = 1
-    target, model = label_model(votes, y)
+    target = posteriors(votes, y, model)
     w, u, c = fit_sparse(rows, cols, n, len(buckets), dense, target)
     weights = np.zeros(BUCKETS)
     weights[buckets] = w

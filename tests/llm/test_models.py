@@ -132,6 +132,34 @@ def test_label_model_recovers_accuracies():
     assert np.abs(model["rates"][1][:4] - rates[1]).max() < 0.12 and model["share"][0] < 0.7 and model["share"][3] > 0.8
 
 
+def test_label_model_counts_all_labelled_rows(spark, monkeypatch):
+    """Voter statistics come from every labelled document, whatever the fit is limited to, and from counts as from rows."""
+    from tessera.llm import toxicity
+    seen = []
+    monkeypatch.setattr(toxicity, "corpus_label_model", lambda p, v, fit=toxicity.corpus_label_model: seen.append(
+        (p.count(), p.where("gold >= 0").count(), m := fit(p, v))) or m)
+    docs, labels = table(spark, "documents"), table(spark, "labels").where("doc_id % 3 = 0")
+    known = labels.join(docs.select("doc_id"), "doc_id").where(~toxicity.held_out(F.col("doc_id"))).count()
+    monkeypatch.setattr(toxicity, "MOST_LABELS", 60)
+    toxicity_scores(docs, labels)
+    monkeypatch.setattr(toxicity, "MOST_PATTERNS", 0)  # the rounds as passes over the stored counts
+    toxicity_scores(docs, labels)
+    (n, gold, a), (_, _, b) = seen
+    assert n == gold == known > 60
+    assert all(np.allclose(a[k], b[k], atol=1e-8) for k in a)
+
+
+def test_features_of_both_sides():
+    import pandas as pd
+
+    from tessera.llm.toxicity import best_of_each_side
+    toxic = pd.DataFrame({"bucket": range(6), "z": [9.0, 8, 7, 6, 5, 4]})
+    clean = pd.DataFrame({"bucket": range(10, 20), "z": -np.arange(20.0, 10, -1)})
+    assert list(best_of_each_side(toxic, clean, 8).bucket) == [0, 1, 2, 3, 10, 11, 12, 13]
+    assert list(best_of_each_side(toxic[:2], clean, 8).bucket) == [0, 1, 10, 11, 12, 13, 14, 15]
+    assert list(best_of_each_side(toxic, clean[:1], 6).bucket) == [0, 1, 2, 3, 4, 10]
+
+
 def test_min_cut_is_minimal():
     rng = random.Random(4)
 
