@@ -279,9 +279,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
     voted = texts.mapInArrow(patterns_of, f"id {kind}, pattern long").join(known, "id")  # rows without a label: see README
     model = corpus_label_model(voted.select("pattern", F.col("y").alias("gold")), v)
     chosen = F.broadcast(known.orderBy(F.xxhash64("id"), "id", "y").limit(MOST_LABELS))
-    # a document with several labels or rows gives several examples
-    got = texts.join(chosen, "id").select("id", "text", "y").mapInArrow(rows_of, f"id {kind}, y int, at array<long>, dense array<double>").toPandas()
-    got = got.sort_values(["id", "y"], kind="stable").reset_index(drop=True)
+    # a document with several labels or rows gives several examples, MOST_LABELS in all
+    examples = texts.join(chosen, "id").select("id", "text", "y").mapInArrow(rows_of, f"id {kind}, y int, at array<long>, dense array<double>")
+    got = examples.orderBy(F.xxhash64("id"), "id", "y", "at", "dense").limit(MOST_LABELS).toPandas()
     n = len(got)
     rows = np.repeat(np.arange(n), [len(x) for x in got["at"]])
     cols = np.concatenate([np.asarray(x, dtype=np.int64) for x in got["at"]]) if n else np.zeros(0, np.int64)

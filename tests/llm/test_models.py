@@ -149,6 +149,19 @@ def test_label_model_counts_all_labelled_rows(spark, monkeypatch):
     assert all(np.allclose(a[k], b[k], atol=1e-8) for k in a)
 
 
+def test_toxicity_fit_takes_a_bounded_number_of_rows(spark, monkeypatch):
+    """A labelled id that many rows share does not bring them all to the driver."""
+    from tessera.llm import toxicity
+    seen = []
+    monkeypatch.setattr(toxicity, "MOST_LABELS", 60)
+    monkeypatch.setattr(toxicity, "fit_sparse", lambda rows, cols, n, *a, fit=toxicity.fit_sparse: seen.append(n) or fit(rows, cols, n, *a))
+    docs = spark.createDataFrame([(i, "you pathetic idiot") for i in range(5)] + [(9, "nice words here")] * 300, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 9)) for i in (0, 1, 2, 3, 4, 9)], "doc_id long, toxic int")
+    known = [r.doc_id for r in labels.where(~toxicity.held_out(F.col("doc_id"))).collect()]
+    assert 9 in known and len(known) > 1
+    assert toxicity_scores(docs, labels).count() == 305 and seen == [60]
+
+
 def test_features_of_both_sides():
     import pandas as pd
 
