@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import sql
 from tessera.llm.decontam import find_leaks
+from tessera.llm.exactdup import exact_duplicates
 from tessera.llm.htmlcut import extract_pages
 from tessera.llm.lengths import length_histogram, token_lengths
 from tessera.llm.licenses import scan_licenses
@@ -24,7 +25,7 @@ from tessera.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {"op2_embedding_near_dedup": sql.EMBEDDINGS, "op4_mixing": sql.MIXING, "op8_license_scan": sql.LICENSES,
-                          "op10_ngram_jaccard_join": sql.NGRAMS}
+                          "op10_ngram_jaccard_join": sql.NGRAMS, "op11_exact_dedup": sql.EXACT}
 
 
 def query(fn):
@@ -93,3 +94,8 @@ def op9_token_counts(spark, sf_dir):
 @query
 def op10_ngram_jaccard_join(spark, sf_dir):
     return link_report(ngram_jaccard_join(table(spark, sf_dir, "documents"))).drop("node")
+
+
+@query
+def op11_exact_dedup(spark, sf_dir):
+    return exact_duplicates(table(spark, sf_dir, "documents"))

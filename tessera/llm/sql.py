@@ -101,3 +101,8 @@ deg AS (SELECT a, count(*) AS n_links FROM links GROUP BY a),
 classes AS (SELECT n, CASE WHEN len(w) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY w) END AS class_id FROM w)
 SELECT w.doc_id, k.class_id, CAST(coalesce(d.n_links, 0) AS BIGINT) AS n_links, c.component_id, w.doc_id = c.component_id AS kept
 FROM w JOIN comp c ON w.n = c.a JOIN classes k ON k.n = w.n LEFT JOIN deg d ON d.a = w.n"""
+
+EXACT = """
+WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS t FROM documents),
+g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
+SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n.t) AS text_sha256 FROM n JOIN g ON n.t = g.t"""
