@@ -16,6 +16,7 @@ from tessera.llm.lengths import length_histogram, token_lengths
 from tessera.llm.licenses import scan_licenses
 from tessera.llm.mixing import mix_plan
 from tessera.llm.ngramjoin import link_report, ngram_jaccard_join
+from tessera.llm.phrases import collocations
 from tessera.llm.quality import quality_scores
 from tessera.llm.shards import write_shards
 from tessera.llm.toxicity import toxicity_scores
@@ -25,7 +26,8 @@ from tessera.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {"op2_embedding_near_dedup": sql.EMBEDDINGS, "op4_mixing": sql.MIXING, "op8_license_scan": sql.LICENSES,
-                          "op10_ngram_jaccard_join": sql.NGRAMS, "op11_exact_dedup": sql.EXACT}
+                          "op10_ngram_jaccard_join": sql.NGRAMS, "op11_exact_dedup": sql.EXACT,
+                          "op13_phrase_mining": sql.COLLOCATIONS}
 
 
 def query(fn):
@@ -99,3 +101,8 @@ def op10_ngram_jaccard_join(spark, sf_dir):
 @query
 def op11_exact_dedup(spark, sf_dir):
     return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_phrase_mining(spark, sf_dir):
+    return collocations(table(spark, sf_dir, "documents"))

@@ -106,3 +106,27 @@ EXACT = """
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS t FROM documents),
 g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
 SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n.t) AS text_sha256 FROM n JOIN g ON n.t = g.t"""
+
+COLLOCATIONS = """
+WITH low AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM low),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+total AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM w GROUP BY lang),
+runs AS (
+  SELECT lang, unnest(flatten(list_transform(range(1, 6), lambda m: list_transform(range(1, len(w) - m + 2), lambda i: w[i:i + m - 1])))) AS p
+  FROM w),
+f AS (SELECT lang, p, count(*) AS f FROM runs GROUP BY lang, p HAVING count(*) >= 100),
+cuts AS (
+  SELECT c.lang, c.p, c.f AS a, k, l.f AS l, r.f AS r, t.n, CAST(1000 * CAST(c.f AS HUGEINT) * t.n // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, len(p))) AS k FROM f WHERE len(p) > 1) c JOIN total t USING (lang)
+  JOIN f l ON l.lang = c.lang AND l.p = c.p[1:k] JOIN f r ON r.lang = c.lang AND r.p = c.p[k + 1:]),
+best AS (SELECT DISTINCT ON (lang, p) * FROM cuts ORDER BY lang, p, score, k),
+held AS (
+  SELECT lang, p[1:len(p) - 1] AS p, f FROM f WHERE len(p) > 2 UNION ALL SELECT lang, p[2:] AS p, f FROM f WHERE len(p) > 2),
+kept AS (
+  SELECT * FROM best b WHERE NOT EXISTS (SELECT 1 FROM held h WHERE h.lang = b.lang AND h.p = b.p AND 100 * h.f >= 100 * b.a)),
+ranked AS (
+  SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, CAST(n AS BIGINT) AS n, score,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000"""
