@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import sql
 from tessera.llm.decontam import find_leaks
+from tessera.llm.divergence import source_divergence
 from tessera.llm.exactdup import exact_duplicates
 from tessera.llm.htmlcut import extract_pages
 from tessera.llm.lengths import length_histogram, token_lengths
@@ -27,7 +28,7 @@ from tessera.sources.tables import table
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {"op2_embedding_near_dedup": sql.EMBEDDINGS, "op4_mixing": sql.MIXING, "op8_license_scan": sql.LICENSES,
                           "op10_ngram_jaccard_join": sql.NGRAMS, "op11_exact_dedup": sql.EXACT,
-                          "op13_phrase_mining": sql.COLLOCATIONS}
+                          "op12_source_divergence": sql.DIVERGENCE, "op13_phrase_mining": sql.COLLOCATIONS}
 
 
 def query(fn):
@@ -103,6 +104,11 @@ def op11_exact_dedup(spark, sf_dir):
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_source_divergence(spark, sf_dir):
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_phrase_mining(spark, sf_dir):
     return collocations(table(spark, sf_dir, "documents"))

@@ -130,3 +130,32 @@ ranked AS (
   SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, CAST(n AS BIGINT) AS n, score,
          row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank FROM kept)
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000"""
+
+DIVERGENCE = """
+WITH d AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+t AS (SELECT doc, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT doc) >= 3),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT DISTINCT lang, source FROM d),
+cells AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n FROM g JOIN kept k USING (lang) LEFT JOIN c USING (lang, source, term)),
+shares AS (
+  SELECT *, 1 + CAST(CAST(n + 1 AS HUGEINT) * 1000000000 // (sum(n) OVER s + count(*) OVER s) AS BIGINT) AS p
+  FROM cells WINDOW s AS (PARTITION BY lang, source)),
+whole AS (SELECT lang, term, CAST(sum(n) AS BIGINT) AS n FROM cells GROUP BY lang, term),
+lang_shares AS (
+  SELECT lang, term, 1 + CAST(CAST(n + 1 AS HUGEINT) * 1000000000 // (sum(n) OVER l + count(*) OVER l) AS BIGINT) AS q
+  FROM whole WINDOW l AS (PARTITION BY lang)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // b.p) AS BIGINT) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+every AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL SELECT s.lang, s.source, 'term', s.term, (p - q) * (p - q) // q
+  FROM shares s JOIN lang_shares l ON s.lang = l.lang AND s.term = l.term WHERE s.n > 0 AND p > q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM every)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200"""
