@@ -107,10 +107,7 @@ def q_collection_stats(spark, sf_dir):
     emb = table(spark, sf_dir, "embeddings")
     for_store = emb.select(F.concat(F.lit("label_"), F.col("label").cast("string")).alias("name"),
                            F.col("vec_id").cast("string").alias("chunk_id"), "embedding")
-    # one write job, partitioned by collection name (the batched append of every collection)
-    (for_store.withColumnRenamed("name", "collection")
-     .write.mode("append").option("maxRecordsPerFile", coll.MAX_BATCH)
-     .partitionBy("collection").parquet(store))
+    coll.collections_append(for_store, store, by="name")  # one write and one commit for every collection
     return coll.collection_stats(spark, store)
 
 
@@ -130,8 +127,7 @@ def q_collection_drop(spark, sf_dir):
     """One collection per source; dropping the collection of the least source leaves the others."""
     store = scratch_path(spark, "store")
     d = table(spark, sf_dir, "documents").where(F.col("source").isNotNull())
-    (d.select(F.col("doc_id").cast("string").alias("chunk_id"), F.col("source").alias("collection"))
-     .write.mode("append").partitionBy("collection").parquet(store))
+    coll.collections_append(d.select(F.col("doc_id").cast("string").alias("chunk_id"), F.col("source").alias("collection")), store)
     least = d.agg(F.min("source")).first()[0]
     if least is not None:
         coll.collection_drop(spark, store, least)
