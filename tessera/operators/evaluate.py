@@ -19,19 +19,19 @@ from tessera.schemas import EVAL_DATASET_COLUMNS, require_columns
 from tessera.sources.io import materialize_or_load, table_fingerprint
 
 
-def build_eval_dataset(eval_df: DataFrame, answers: DataFrame, key: str = "example_id") -> DataFrame:
+def build_eval_dataset(eval_df: DataFrame, answers: DataFrame, key: str = "example_id", extra: tuple[str, ...] = ()) -> DataFrame:
     """Evaluation dataset: mapped rows + answer, contexts, origin ids (G1).
 
     Joined on the example key (questions repeat, so never on question text);
-    ``question_complexity`` is NULL when absent.
+    ``question_complexity`` is NULL when absent. ``extra`` columns of the answers (a run's name) are kept.
     """
     require_columns(eval_df, EVAL_DATASET_COLUMNS)
     if "question_complexity" not in eval_df.columns:
         eval_df = eval_df.withColumn("question_complexity", F.lit(None).cast("string"))
-    a = answers.select(key, "answer", "contexts", "contexts_origin_doc_ids")
+    a = answers.select(key, "answer", "contexts", "contexts_origin_doc_ids", *extra)
     return eval_df.join(a, key, "left").select(
         key, "question", "answer", "contexts", "ground_truth", "contexts_origin_doc_ids", "best_match_id",
-        "question_complexity")
+        "question_complexity", *extra)
 
 
 def first_position(ids: str = "contexts_origin_doc_ids", truth: str = "best_match_id") -> Column:

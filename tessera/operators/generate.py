@@ -12,7 +12,7 @@ deterministic. The defaults are deterministic native expressions:
 * query variants (multi-query): the question, its sorted distinct tokens, and
   each of its sentences;
 * step-back question: the question without capitalised words and numbers;
-* hypothetical document (HyDE): the question itself.
+* hypothetical document (HyDE): the extractive answer over the question's own hits (``plans/rag.py``).
 """
 
 from __future__ import annotations

@@ -89,8 +89,13 @@ def similarity_search(queries: DataFrame, vectors: DataFrame, k: int = 4, qid: s
     if grid is None:
         # the query side is computed once; its size is an aggregate, and only a side within the budget is fetched
         q = write_through(q, "queries")
-        n_q, dim = q.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("qv")), F.lit(1))).first()
+        n_q, dim = q.agg(F.count(F.lit(1)), F.max(F.size("qv"))).first()
+        if n_q == 0:
+            return spark.createDataFrame([], f"`{qid}` {q.schema['qid'].dataType.simpleString()}, rank int, " + schema.partition(", ")[2])
         small = n_q <= broadcast_rows and n_q * dim <= broadcast_floats
+        # a vector that cannot be compared is an error of the data: name it
+        wrong = F.concat(F.lit("vector of "), F.col("cid").cast("string"), F.lit(f" has not {dim} values"))
+        v = v.withColumn("cv", F.when(F.size("cv") == dim, F.col("cv")).otherwise(F.raise_error(wrong)))
     else:
         small = False
     if small:
@@ -174,15 +179,23 @@ def step_back(normal_hits: DataFrame, stepped_hits: DataFrame, chunks: DataFrame
                         F.col("f.score").alias("score"))
 
 
+#: Asks a generator for the useful part of a context; the word by which it says that there is none.
+COMPRESS_PROMPT = ("Copy, word for word, the parts of the context that help to answer the question. "
+                   "Reply NO_OUTPUT if none does.\nQuestion: {question}\nContext:\n{context}\nParts:")
+NO_OUTPUT = "NO_OUTPUT"
+
+
 def compress_contexts(ctx: DataFrame, question: str = "question", context: str = "page_content",
-                      qid: str = "question_id", min_overlap: int = 1, extractor=None) -> DataFrame:
-    """Keep only the sentences of each context that share >= ``min_overlap`` tokens with the
-    question; drop contexts left empty; re-rank densely (F8).
+                      qid: str = "question_id", min_overlap: int = 1, extractor=None, generator=None,
+                      options: dict | None = None) -> DataFrame:
+    """Shorten each context to what serves the question, drop contexts left empty, re-rank densely (F8).
 
-    ``extractor``: optional ``Callable[[list[str], list[str]], list[str]]`` (question, context)
-    -> compressed text, run per Arrow batch instead of the native rule.
+    ``generator``: a language model that is asked for the useful parts of each context (``COMPRESS_PROMPT``).
+    ``extractor``: ``Callable[[list[str], list[str]], list[str]]`` (question, context) -> compressed text, run per
+    Arrow batch. Neither: the sentences that share >= ``min_overlap`` tokens with the question.
     """
     from tessera.functions.text import word_tokens
+    from tessera.operators.generate import generate_batch, render_prompt
 
     if extractor is not None:
         schema = ctx.schema
@@ -194,6 +207,11 @@ def compress_contexts(ctx: DataFrame, question: str = "question", context: str =
                 yield pdf
 
         out = ctx.mapInPandas(run, schema).where(F.length(F.trim(F.col(context))) > 0)
+    elif generator is not None:
+        asked = ctx.withColumn("__prompt", render_prompt(COMPRESS_PROMPT, question=question, context=context))
+        said = generate_batch(asked, "__prompt", generator, out="__parts", **(options or {}))
+        out = (said.withColumn(context, F.trim(F.coalesce("__parts", F.lit("")))).drop("__prompt", "__parts")
+               .where((F.length(F.col(context)) > 0) & (F.col(context) != NO_OUTPUT)))
     else:
         sents = F.regexp_extract_all(F.col(context), F.lit("[^.!?]+[.!?]*"), 0)
         qt = word_tokens(question)

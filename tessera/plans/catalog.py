@@ -21,7 +21,8 @@ from tessera.operators import match as M
 from tessera.operators import retrieve as R
 from tessera.operators import clean as C
 from tessera.operators import profile as P
-from tessera.operators.embed import embed, l2_normalize
+from tessera.operators.cells import build_cells, cell_search, probes_for_recall
+from tessera.operators.embed import collection_build, embed, l2_normalize
 from tessera.operators.language import detect_language, with_language
 from tessera.plans import rag
 from tessera.schemas import ARTICLE_COLUMNS, require_columns
@@ -413,7 +414,6 @@ def q_l2_normalize(spark, sf_dir):
 
 @query
 def q_collection_build(spark, sf_dir):
-    from tessera.operators.embed import collection_build
     store = scratch_path(spark, "store")
     clean = _clean(spark, sf_dir)
     names = [collection_build(E.fixed_chunk(clean, size, 0), store, "BAAI/bge-small-en", f"fixed{size}")
@@ -424,9 +424,17 @@ def q_collection_build(spark, sf_dir):
 
 # ---------------------------------------------------------------- F: retrieval and generation
 def _index(spark, sf_dir, size=1000, clean=None):
-    clean = _clean(spark, sf_dir) if clean is None else clean
-    chunks, vectors = rag.corpus_index(clean, size)
-    return clean, chunks, vectors
+    """(chunks, vectors) read from the stored collection of this chunk size, which the first call builds.
+
+    The store belongs to one version of the documents table; like the reference's, it is filled only if it is empty.
+    """
+    stamp = table_stamp(spark, sf_dir, "documents")
+    store = f"{ensure_checkpoint_dir(spark)}/collections-{stamp[:16]}"
+    model, splitter = "hashed words", f"fixed{size}"
+    name = spark.range(1).select(tx.collection_name(F.lit(model), F.lit(splitter), F.lit("dev"))).first()[0]
+    if coll.collection_is_empty(spark, store, name):
+        collection_build(E.fixed_chunk(_clean(spark, sf_dir) if clean is None else clean, size, 0), store, model, splitter)
+    return rag.stored_index(spark, store, name)
 
 
 def _questions(spark, sf_dir):
@@ -434,7 +442,7 @@ def _questions(spark, sf_dir):
 
 
 def _hits(spark, sf_dir, strategy, size=1000):
-    _, chunks, vectors = _index(spark, sf_dir, size)
+    chunks, vectors = _index(spark, sf_dir, size)
     rows = rag.retrieve(_questions(spark, sf_dir), vectors, chunks, strategy)
     return rows.select("example_id", F.col("rank").cast("long"), "chunk_id", "origin_doc_id",
                        F.round("score", 6).alias("score"))
@@ -454,9 +462,37 @@ def q_search_with_scores(spark, sf_dir):
                        F.round("cosine", 6).alias("cosine"), F.round("l2_sq", 6).alias("l2_sq"))
 
 
+def _cell_store(spark, sf_dir):
+    """The table's vectors in 32 cells, built once per version of the table."""
+    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("chunk_id"), "embedding")
+    store = f"{ensure_checkpoint_dir(spark)}/cells-{table_stamp(spark, sf_dir, 'embeddings')[:16]}"
+    if not coll.collection_exists(spark, store, "vectors#cells"):
+        build_cells(e, store, "vectors", cells=32)
+    return store, e.withColumnRenamed("chunk_id", "vec_id")
+
+
+def _cell_hits(spark, sf_dir, **how):
+    store, e = _cell_store(spark, sf_dir)
+    hits = cell_search(e, store, "vectors", k=4, qid="vec_id", exclude_self=True, **how)
+    return hits.select("vec_id", F.col("rank").cast("long"), F.col("chunk_id").alias("hit_id"), F.round("score", 6).alias("score"))
+
+
+@query
+def q_cell_search(spark, sf_dir):
+    """F1 exact over cells: every vector against all others, cells left out only by the triangle bound."""
+    return _cell_hits(spark, sf_dir)
+
+
+@query
+def q_cell_search_probed(spark, sf_dir):
+    """F1 approximate: every vector against its nearest cells, as many as 95 % of a sample's true hits need."""
+    store, e = _cell_store(spark, sf_dir)
+    return _cell_hits(spark, sf_dir, probes=probes_for_recall(e, store, "vectors", 0.95, qid="vec_id", exclude_self=True))
+
+
 @query
 def q_retrieve_batch(spark, sf_dir):
-    _, chunks, vectors = _index(spark, sf_dir)
+    chunks, vectors = _index(spark, sf_dir)
     rows = rag.retrieve(_questions(spark, sf_dir), vectors, chunks, "base")
     packed = rag.pack_contexts(rows)
     return packed.select("example_id", F.size("contexts").cast("long").alias("n_contexts"),
@@ -488,7 +524,7 @@ def q_hyde(spark, sf_dir):
 
 @query
 def q_compress_contexts(spark, sf_dir):
-    _, chunks, vectors = _index(spark, sf_dir)
+    chunks, vectors = _index(spark, sf_dir)
     rows = rag.retrieve(_questions(spark, sf_dir), vectors, chunks, "compression")
     return rows.select("example_id", F.col("rank").cast("long"), "chunk_id", "page_content")
 
@@ -508,7 +544,7 @@ def q_render_prompt(spark, sf_dir):
 
 
 def _answers(spark, sf_dir, strategy="base", size=1000):
-    _, chunks, vectors = _index(spark, sf_dir, size)
+    chunks, vectors = _index(spark, sf_dir, size)
     return rag.rag_answers(_questions(spark, sf_dir), vectors, chunks, strategy)
 
 
@@ -527,25 +563,25 @@ def q_spot_check(spark, sf_dir):
     """answers to the questions of the least and the greatest passage id."""
     q = _questions(spark, sf_dir)
     ends = q.agg(F.min_by("question", "example_id"), F.max_by("question", "example_id")).first()
-    _, chunks, vectors = _index(spark, sf_dir)
+    chunks, vectors = _index(spark, sf_dir)
     return rag.spot_check(q, [t for t in ends if t is not None], vectors, chunks).select("example_id", "question", "answer")
 
 
 # ---------------------------------------------------------------- G: evaluation
-def _dataset(spark, sf_dir, strategy="base", size=1000, clean=None, mapped=None, index=None):
-    if index is None:
-        clean, chunks, vectors = _index(spark, sf_dir, size, clean)
-    else:
-        chunks, vectors = index
-    if mapped is None:
-        mapped = M.map_eval_set(clean, eval_passages(spark, sf_dir), exact=False)
-    answers = rag.rag_answers(_questions(spark, sf_dir), vectors, chunks, strategy)
-    return EV.build_eval_dataset(mapped, answers)
-
-
-def _results(spark, sf_dir, strategy="base", size=1000, clean=None, mapped=None, index=None):
+def _mapped(spark, sf_dir, clean=None):
+    clean = _clean(spark, sf_dir) if clean is None else clean
+    return M.map_eval_set(clean, eval_passages(spark, sf_dir), exact=False)
+
+
+def _dataset(spark, sf_dir, strategy="base", size=1000):
+    clean = _clean(spark, sf_dir)
+    chunks, vectors = _index(spark, sf_dir, size, clean)
+    return EV.build_eval_dataset(_mapped(spark, sf_dir, clean), rag.rag_answers(_questions(spark, sf_dir), vectors, chunks, strategy))
+
+
+def _results(spark, sf_dir, strategy="base", size=1000):
     # answers are materialised once (generation must not re-run for every metric join)
-    return EV.score_dataset(_dataset(spark, sf_dir, strategy, size, clean, mapped, index).checkpoint())
+    return EV.score_dataset(_dataset(spark, sf_dir, strategy, size).checkpoint())
 
 
 _RESULT_COLS = ["example_id", "answer_correctness", "answer_relevancy", "answer_similarity", "context_precision",
@@ -581,8 +617,8 @@ def q_judge_metrics(spark, sf_dir):
 @query
 def q_run_evaluation(spark, sf_dir):
     """The cached evaluation run; the second call reads the stored result."""
-    clean, chunks, vectors = _index(spark, sf_dir)
-    mapped = M.map_eval_set(clean, eval_passages(spark, sf_dir), exact=False).checkpoint()
+    chunks, vectors = _index(spark, sf_dir)
+    mapped = _mapped(spark, sf_dir).checkpoint()
     cache = scratch_path(spark, "evaluations")
 
     def answers(eval_df):
@@ -598,15 +634,21 @@ RUNS = (("Baseline", "base", 1000), ("Experiment 1: Baseline 200", "base", 200),
 
 
 def _runs(spark, sf_dir):
-    """Six evaluated runs over one cleaned corpus and one mapped evaluation set (both checkpointed)."""
+    """Six evaluated runs: one mapped evaluation set, one search per collection for all its strategies, one scoring plan."""
     clean = _clean(spark, sf_dir)
-    mapped = M.map_eval_set(clean, eval_passages(spark, sf_dir), exact=False).checkpoint()
-    indexes = {}
-    for size in sorted({s for _, _, s in RUNS}):  # one vector collection per chunk size, shared by its runs
-        chunks, vectors = rag.corpus_index(clean, size)
-        indexes[size] = (chunks, vectors.checkpoint())
-    runs = {name: _results(spark, sf_dir, strategy, size, clean, mapped, indexes[size]) for name, strategy, size in RUNS}
-    return G2.combine_runs({k: v.select(*_RESULT_COLS) for k, v in runs.items()})
+    mapped = _mapped(spark, sf_dir, clean)
+    answers = None
+    for size in sorted({s for _, _, s in RUNS}):
+        names = {strategy: name for name, strategy, s in RUNS if s == size}
+        chunks, vectors = _index(spark, sf_dir, size, clean)
+        found = rag.rag_runs(_questions(spark, sf_dir), vectors, chunks, tuple(names))
+        named = F.create_map(*(F.lit(x) for pair in names.items() for x in pair))
+        found = found.withColumn("evaluator", named[F.col("strategy")])
+        answers = found if answers is None else answers.unionByName(found)
+    dataset = EV.build_eval_dataset(mapped, answers, extra=("evaluator",)).checkpoint()
+    scored = EV.score_dataset(dataset).select("evaluator", *_RESULT_COLS)
+    scored = scored.checkpoint()
+    return G2.combine_runs({name: scored.where(F.col("evaluator") == name).drop("evaluator") for name, _, _ in RUNS})
 
 
 @query

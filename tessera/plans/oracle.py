@@ -294,6 +294,12 @@ SELECT vec_id, CAST(rank AS BIGINT) AS rank, hit_id, round(cosine, 6) AS cosine,
                                  CAST(c.embedding AS DOUBLE[])), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), 9), c.vec_id) AS rank
   FROM embeddings q, embeddings c WHERE q.vec_id <> c.vec_id) WHERE rank <= 4""")
 
+sql("cell_search", """
+SELECT vec_id, CAST(rank AS BIGINT) AS rank, hit_id, round(score, 6) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(score, 9) DESC, hit_id) AS rank FROM (
+    SELECT q.vec_id, c.vec_id AS hit_id, list_dot_product(CAST(q.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])) AS score
+    FROM embeddings q, embeddings c WHERE q.vec_id <> c.vec_id)) WHERE rank <= 4""")
+
 
 def _tmpl_sql(template: str, **cols: str) -> str:
     import re as _re
