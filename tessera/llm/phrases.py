@@ -24,59 +24,29 @@ from pyspark.sql import functions as F
 
 from tessera.llm import batch as bt
 from tessera.llm.store import BROADCAST_ROWS, small, stored
+from tessera.llm.words import SLICE, Words, runs
 
 MOST_WORDS = 5
 #: Bits of the bitmaps of frequent words and pairs: 8 MB each, whatever the corpus.
 BITS = 1 << 26
 #: Leaves of a group: a task holds at most twice as many rows of six longs.
 GROUP_LEAVES = 500_000
-SLICE = 4 << 20
 KEYS = [f"k{i}" for i in range(1, MOST_WORDS + 1)]
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
 _PIECE_END = np.zeros(256, dtype=bool)
 _PIECE_END[[*b".,;:!?", 10, 11, 12, 13]] = True
 _BETWEEN = _PIECE_END.copy()
 _BETWEEN[[9, 32]] = True
 
 
-class _Words:
-    """The words of a slice of texts: spans, keys, and whether a word and the next stand in one piece."""
+class _Pieces(Words):
+    """The words of a slice of texts, and whether a word and the next stand in one piece."""
 
     def __init__(self, data: np.ndarray, off: np.ndarray, salts: np.ndarray, seed: int):
-        self.low = _LOWER[data]
-        self.s, self.e, per_text = bt.spans(data, off, _BETWEEN)
-        bytes_of_seed = np.random.Generator(np.random.PCG64(seed)).permutation(256).astype(np.uint8)
-        self.text = np.repeat(np.arange(len(off) - 1), np.diff(per_text))
-        self.key = bt.mix(bt.hash_spans(bytes_of_seed[self.low], self.s, self.e) ^ salts[self.text])
+        super().__init__(data, off, _BETWEEN, salts, seed)
         ends = np.cumsum(_PIECE_END[data], dtype=np.int32)[self.s]
         self.joined = (ends[1:] == ends[:-1]) & (self.text[1:] == self.text[:-1])
 
-    def texts(self, at: np.ndarray) -> pa.Array:
-        """The words at these places as strings."""
-        at_bytes, size = _bytes_of(self.s[at], self.e[at])
-        offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
-        return pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(self.low[at_bytes])).cast(pa.string())
-
-    def unlike(self, other: np.ndarray) -> np.ndarray:
-        """Places of the words whose bytes are not those of the word at ``other`` (equal keys of unequal words)."""
-        size = self.e - self.s
-        same = size == size[other]
-        at = np.flatnonzero(same)
-        mine, n = _bytes_of(self.s[at], self.e[at])
-        theirs, _ = _bytes_of(self.s[other[at]], self.e[other[at]])
-        wrong = self.low[mine] != self.low[theirs]
-        if wrong.any():
-            same[at[np.unique(np.repeat(np.arange(len(at)), n)[wrong])]] = False
-        return np.flatnonzero(~same)
-
-
-def _bytes_of(s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the bytes of all spans one after the other, and the spans' sizes."""
-    size = e - s
-    return np.arange(size.sum()) + np.repeat(s - (np.cumsum(size) - size), size), size
-
 
 def _slices(batches, seed: int):
     """(names of the languages, each text's language, words) of all slices of all batches."""
@@ -88,7 +58,7 @@ def _slices(batches, seed: int):
         data, off = bt.as_bytes(b.column(1))
         for lo, hi in bt.slices(off, SLICE):
             part = codes[lo:hi]
-            yield names.dictionary, part, _Words(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], salt[part], seed)
+            yield names.dictionary, part, _Pieces(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], salt[part], seed)
 
 
 def _signed(keys: np.ndarray) -> pa.Array:
@@ -114,12 +84,7 @@ def _counted_words(seed: int):
             if not len(w.key):
                 continue
             order = np.argsort(w.key, kind="stable")
-            key = w.key[order]
-            new = np.ones(len(order), dtype=bool)
-            new[1:] = key[1:] != key[:-1]
-            at = np.flatnonzero(new)
-            first = np.empty(len(order), dtype=np.int64)
-            first[order] = np.repeat(order[at], np.diff(np.concatenate([at, [len(order)]])))
+            at, first = runs(order, w.key)
             count = np.bincount(first, minlength=len(order))
             odd = w.unlike(first)
             np.subtract.at(count, first[odd], 1)
@@ -158,7 +123,7 @@ def _bitmap(keys: DataFrame, value: Column) -> np.ndarray:
     return out
 
 
-def _good_pairs(w: _Words, words: np.ndarray) -> np.ndarray:
+def _good_pairs(w: _Pieces, words: np.ndarray) -> np.ndarray:
     ok = _has(words, w.key)
     return w.joined & ok[1:] & ok[:-1]
 

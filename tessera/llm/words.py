@@ -9,6 +9,7 @@ from tessera.llm import batch as bt
 
 #: Bytes of a slice of whole texts; a longer text is a slice of its own.
 SLICE = 4 << 20
+_COMPARED = 1 << 16
 #: ASCII capitals as small letters, every other byte as it is.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -43,12 +44,14 @@ class Words:
         """Places of the words whose bytes are not those of the word at ``other``."""
         size = self.e - self.s
         same = size == size[other]
-        at = np.flatnonzero(same)
-        mine, n = bytes_of(self.s[at], self.e[at])
-        theirs, _ = bytes_of(self.s[other[at]], self.e[other[at]])
-        wrong = self.low[mine] != self.low[theirs]
-        if wrong.any():
-            same[at[np.unique(np.repeat(np.arange(len(at)), n)[wrong])]] = False
+        every = np.flatnonzero(same & (other != np.arange(len(other))))
+        for lo in range(0, len(every), _COMPARED):
+            at = every[lo:lo + _COMPARED]
+            mine, n = bytes_of(self.s[at], self.e[at])
+            theirs, _ = bytes_of(self.s[other[at]], self.e[other[at]])
+            wrong = self.low[mine] != self.low[theirs]
+            if wrong.any():
+                same[at[np.unique(np.repeat(np.arange(len(at)), n)[wrong])]] = False
         return np.flatnonzero(~same)
 
 
