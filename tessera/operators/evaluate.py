@@ -158,13 +158,14 @@ JUDGE_TEMPLATE = ("Given the question and the reference contexts, grade the pred
                   "reasoning.\nQuestion: {question}\nReference: {reference}\nPrediction: {prediction}\n")
 
 
-def judge_reasoning(df: DataFrame, judge: Callable[[list[str]], list[str]] | None = None) -> DataFrame:
+def judge_reasoning(df: DataFrame, judge: Callable[[list[str]], list[str]] | None = None,
+                    options: dict | None = None) -> DataFrame:
     """Add ``reasoning`` (G9): a judge's text rationale; default: a native overlap statement."""
     if judge is not None:
         from tessera.operators.generate import generate_batch
         prompted = df.withColumn("__prompt", render_prompt(
             JUDGE_TEMPLATE, question="question", reference=F.array_join("contexts", "\n\n"), prediction="answer"))
-        return generate_batch(prompted, "__prompt", judge, out="reasoning").drop("__prompt")
+        return generate_batch(prompted, "__prompt", judge, out="reasoning", **(options or {})).drop("__prompt")
     qt = F.array_distinct(word_tokens("question"))
     ct = F.array_distinct(word_tokens(F.array_join("contexts", " ")))
     at = F.array_distinct(word_tokens("answer"))
@@ -185,10 +186,11 @@ def score_dataset(ds: DataFrame, k: int = 2, key: str = "example_id") -> DataFra
 
 
 def run_evaluation(spark, eval_df: DataFrame, build_answers: Callable[[DataFrame], DataFrame], cache_dir: str,
-                   name: str, strategy: str = "", refresh: bool = False) -> DataFrame:
+                   name: str, strategy: str = "", refresh: bool = False, judge: Callable | None = None, **how) -> DataFrame:
     """Cached evaluation (G10): key = run name (``Experiment N:`` dropped) + strategy + table fingerprint.
 
-    On a miss: answers -> dataset -> metrics, written once under ``cache_dir``.
+    On a miss: answers -> dataset -> metrics, written once under ``cache_dir``. ``judge`` gives the verdicts of G5-G9
+    (``how``: rounds and generation options); without one the native rules do. Name the judge in ``strategy``.
     """
     key = table_fingerprint(eval_df, name=name, extra=strategy).first()["cache_key"]
     path = f"{cache_dir.rstrip('/')}/{key}"
@@ -196,6 +198,10 @@ def run_evaluation(spark, eval_df: DataFrame, build_answers: Callable[[DataFrame
     def build():
         # answers are written once: scoring reads them several times and must not generate again
         answers = materialize_or_load(spark, f"{path}-answers", lambda: build_answers(eval_df), refresh=refresh)
-        return score_dataset(build_eval_dataset(eval_df, answers))
+        dataset = build_eval_dataset(eval_df, answers)
+        if judge is None:
+            return score_dataset(dataset)
+        from tessera.operators.judge import score_with_judge
+        return score_with_judge(dataset, judge, **how)
 
     return materialize_or_load(spark, path, build, refresh=refresh)

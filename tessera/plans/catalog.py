@@ -23,6 +23,7 @@ from tessera.operators import clean as C
 from tessera.operators import profile as P
 from tessera.operators.cells import build_cells, cell_search, probes_for_recall
 from tessera.operators.embed import collection_build, embed, l2_normalize
+from tessera.operators.testset import generate_testset
 from tessera.operators.language import detect_language, with_language
 from tessera.plans import rag
 from tessera.schemas import ARTICLE_COLUMNS, require_columns
@@ -708,3 +709,11 @@ def q_system_confidence(spark, sf_dir):
 @query
 def q_allocate_testset(spark, sf_dir):
     return G2.allocate_testset(table(spark, sf_dir, "documents"), "doc_id", n=10)
+
+
+@query
+def q_testset_questions(spark, sf_dir):
+    """The questions of the allocated slots by the default chain, refused slots refilled from other documents."""
+    made = generate_testset(table(spark, sf_dir, "documents"), "doc_id", "text", n=40, n_docs=20)
+    return made.select("slot", "kind", "doc", "second_doc", "question", "ground_truth", F.size("contexts").cast("long").alias("n_contexts"),
+                       F.col("round").cast("long").alias("round"))

@@ -436,3 +436,25 @@ s AS (SELECT slot, kind, CAST(('0x' || substr(sha256('42:' || CAST(slot AS VARCH
 SELECT CAST(s.slot AS INTEGER) AS slot, s.kind, f1.doc_id AS doc, f2.doc_id AS second_doc
 FROM s JOIN first f1 ON f1.pos = s.pos
 LEFT JOIN first f2 ON s.kind = 'multi_context' AND f2.pos = (s.pos + 1) % s.m""")
+
+_KINDS40 = [k for k, c in quotas(40, DEFAULT_DISTRIBUTION) for _ in range(c)]
+_SENTENCES = "list_filter(list_transform(regexp_extract_all({t}, '[^.!?]+[.!?]*'), lambda s: trim(s, ' ')), lambda s: s <> '')"
+sql("testset_questions", f"""
+WITH first AS (
+  SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS pos, {_SENTENCES.format(t="text")}[1] AS s
+  FROM (SELECT doc_id, text FROM documents WHERE length(trim(coalesce(text, ''), ' ')) > 0 ORDER BY doc_id LIMIT 20)),
+topics AS (SELECT *, array_to_string(string_split(s, ' ')[1:8], ' ') AS topic FROM first),
+m AS (SELECT count(*) AS m FROM first),
+slots AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{k}')" for i, k in enumerate(_KINDS40))}) t(slot, kind)),
+tries AS (
+  SELECT slot, kind, r AS round, m, CAST(('0x' || substr(sha256('42:' || CAST(slot AS VARCHAR) || CASE WHEN r = 0 THEN '' ELSE ':' || r END), 1, 8))::UBIGINT
+         % m AS BIGINT) AS pos FROM slots, m, range(8) x(r) WHERE m > 0),
+made AS (
+  SELECT t.slot, t.kind, t.round, a.doc_id AS doc, b.doc_id AS second_doc, a.topic AS one, b.topic AS two, a.s AS s1, b.s AS s2
+  FROM tries t JOIN topics a ON a.pos = t.pos LEFT JOIN topics b ON t.kind = 'multi_context' AND b.pos = (t.pos + 1) % t.m),
+good AS (SELECT * FROM made WHERE length(one) >= 10 AND (kind <> 'multi_context' OR length(two) >= 10)),
+best AS (SELECT * FROM good QUALIFY row_number() OVER (PARTITION BY slot ORDER BY round) = 1)
+SELECT CAST(slot AS INTEGER) AS slot, kind, doc, second_doc, CASE kind WHEN 'reasoning' THEN 'Why does the text say: ' || one || '?'
+       WHEN 'multi_context' THEN 'What connects: ' || one || ' / ' || two || '?' ELSE 'What does the text say about: ' || one || '?' END AS question,
+       s1 || CASE WHEN s2 IS NULL THEN '' ELSE ' ' || s2 END AS ground_truth,
+       CAST(CASE WHEN kind = 'multi_context' THEN 2 ELSE 1 END AS BIGINT) AS n_contexts, CAST(round AS BIGINT) AS round FROM best""")
