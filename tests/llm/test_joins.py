@@ -104,9 +104,11 @@ def test_pruning_keeps_pairs_at_the_threshold():
         assert lost < 1e-5
 
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("broadcast_rows", [200_000, 5, 1])
+def test_components_of_chains_and_stars(spark, broadcast_rows):
+    """Also with so few rows to broadcast that only the heaviest nodes' minima are."""
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(7, 7), (None, 3), (300, 299)]
-    got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long"), broadcast_rows=broadcast_rows).collect()}
     assert {got[i] for i in range(41)} == {0} and {got[100 + i] for i in range(60)} == {100}
     assert got[300] == got[299] == 299 and len(got) == 41 + 60 + 2
 
