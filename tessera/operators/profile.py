@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,34 +10,66 @@ from tessera.functions.plan import attach_scalars
 from tessera.functions.text import word_count
 
 
-def _distinct_key(field: T.StructField):
+def _hashes(c: Column) -> tuple[Column, Column]:
+    """128 bits that stand for a value where values are told apart; NULL for NULL."""
+    return F.when(c.isNotNull(), F.xxhash64(c)), F.when(c.isNotNull(), F.xxhash64(F.lit(1), c))
+
+
+def _hashable(field: T.StructField) -> Column:
     c = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, T.StringType):
-        return F.sha2(c, 256)  # 32-byte key instead of the whole text in the distinct shuffle
-    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-        return F.sha2(F.to_json(c), 256)
-    return c
+    return F.to_json(c) if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)) else c
 
 
 def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
-    """Per column: non-null count, null count and %, distinct count (nulls excluded) and % of rows (B1)."""
-    aggs = [F.count(F.lit(1)).alias("__n")]
+    """Per column: non-null count, null count and %, distinct count (nulls excluded) and % of rows (B1).
+
+    One pass over the rows. Exact distinct counts come from one aggregate by (column, 128-bit hash): each task adds up
+    its own values first, and no text is shuffled. ``approx`` keeps a sketch per column instead (``profile_sketch``).
+    """
+    if approx:
+        return merged_profile(profile_sketch(df))
+    fields = df.schema.fields
+    values = F.array(*(F.struct(F.lit(i).alias("i"), *(h.alias(n) for h, n in zip(_hashes(_hashable(f)), ("h1", "h2"))))
+                       for i, f in enumerate(fields)))
+    per_value = df.select(F.inline(values)).groupBy("i", "h1", "h2").agg(F.count(F.lit(1)).alias("n"))
+    known = F.col("h1").isNotNull()
+    per_column = per_value.groupBy("i").agg(F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).alias("total_count"),
+                                            F.count(F.when(known, 1)).alias("unique_count"))
+    names = df.sparkSession.createDataFrame([(i, f.name) for i, f in enumerate(fields)], "i int, column string")
+    # an empty table has no values: its columns are still listed
+    found = names.join(F.broadcast(per_column), "i", "left").na.fill(0, ["rows", "total_count", "unique_count"])
+    return _shares(found.withColumn("nan_count", F.col("rows") - F.col("total_count")))
+
+
+def _shares(found: DataFrame) -> DataFrame:
+    def pct(c):
+        return F.when(F.col("rows") > 0, F.round(F.lit(100.0) * F.col(c) / F.col("rows"), 6))
+
+    return found.select("column", "total_count", "nan_count", pct("nan_count").alias("nan_pct"),
+                        "unique_count", pct("unique_count").alias("unique_pct"))
+
+
+def profile_sketch(df: DataFrame, lg_k: int = 14) -> DataFrame:
+    """(column, rows, total_count, sketch): counts and a HyperLogLog sketch of each column's values.
+
+    A few kilobytes per column, however many rows; sketches of parts of a table (days, files) can be stored and merged
+    later with ``merged_profile`` without reading the rows again.
+    """
+    aggs = [F.count(F.lit(1)).alias("rows")]
     for i, f in enumerate(df.schema.fields):
-        key = _distinct_key(f)
-        aggs.append(F.count(F.col(f"`{f.name}`")).alias(f"c{i}"))
-        aggs.append((F.approx_count_distinct(key) if approx else F.countDistinct(key)).alias(f"u{i}"))
-    wide = df.agg(*aggs)
-    n = F.col("__n")
-    rows = F.array(*[
-        F.struct(F.lit(f.name).alias("column"),
-                 F.col(f"c{i}").alias("total_count"),
-                 (n - F.col(f"c{i}")).alias("nan_count"),
-                 F.col(f"u{i}").alias("unique_count"))
-        for i, f in enumerate(df.schema.fields)])
-    long = wide.select(n, F.inline(rows))
-    pct = lambda c: F.when(n > 0, F.round(F.lit(100.0) * c / n, 6))
-    return long.select("column", "total_count", "nan_count", pct(F.col("nan_count")).alias("nan_pct"),
-                       "unique_count", pct(F.col("unique_count")).alias("unique_pct"))
+        value = _hashable(f)
+        known = F.when(value.isNotNull(), F.xxhash64(value))
+        aggs += [F.count(known).alias(f"c{i}"), F.hll_sketch_agg(known, lg_k).alias(f"s{i}")]
+    each = F.array(*(F.struct(F.lit(f.name).alias("column"), F.col(f"c{i}").alias("total_count"), F.col(f"s{i}").alias("sketch"))
+                     for i, f in enumerate(df.schema.fields)))
+    return df.agg(*aggs).select("rows", F.inline(each)).select("column", "rows", "total_count", "sketch")
+
+
+def merged_profile(sketches: DataFrame) -> DataFrame:
+    """The profile of all rows that any number of ``profile_sketch`` tables have seen; distinct counts are estimates."""
+    merged = sketches.groupBy("column").agg(F.sum("rows").alias("rows"), F.sum("total_count").alias("total_count"),
+                                            F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("unique_count"))
+    return _shares(merged.withColumn("nan_count", F.col("rows") - F.col("total_count")))
 
 
 def chunks_per_article(articles: DataFrame, key: str = "row_id", content: str = "content") -> DataFrame:
@@ -51,9 +83,11 @@ def words_per_chunk(articles: DataFrame, key: str = "row_id", content: str = "co
             .select(key, "chunk_no", word_count("chunk").alias("n_words")))
 
 
-def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
+def histogram(df: DataFrame, col: str, bins: int, limits: tuple[float, float] | None = None) -> DataFrame:
     """Equal-width histogram over [min, max], last bin closed; empty bins included.
 
+    ``limits`` shows the bins that reach into this range, as an axis limit does: bins and counts stay the same.
+
     Edges are ``min + i*step`` with the last edge exactly ``max`` (as linspace
     builds them); a value goes to bin i when edge_i <= x < edge_{i+1}. One
     aggregate for the range, a broadcast of that single row, a partial-aggregated
@@ -82,6 +116,8 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     counts = with_raw.select(fixed.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
     grid = attach_scalars(spark.range(bins).select(F.col("id").cast("int").alias("bin")), stats)
     grid = grid.select("bin", edge(F.col("bin")).alias("lo"), edge(F.col("bin") + 1).alias("hi"))
+    if limits is not None:
+        grid = grid.where((F.col("hi") >= limits[0]) & (F.col("lo") <= limits[1]))
     return (grid.join(F.broadcast(counts), "bin", "left")
             .select("bin", "lo", "hi", F.coalesce("count", F.lit(0)).cast("long").alias("count")))
 
@@ -101,7 +137,7 @@ def repeated_values(df: DataFrame, col: str, limit: int | None = None) -> DataFr
 
 def _dup_count(chunk):
     # rows - distinct, where NULL (an empty list exploded) counts as one more distinct value
-    return (F.count(F.lit(1)) - F.countDistinct(chunk)
+    return (F.count(F.lit(1)) - F.countDistinct(*_hashes(chunk))
             - F.max(F.when(chunk.isNull(), 1).otherwise(0)))
 
 
@@ -137,17 +173,26 @@ def language_anomalies(df: DataFrame, language: str = "language", langs=("ru", "
     return df.where(F.col(language).isin(list(langs)))
 
 
+def anomaly_chunk_rows(anomalies: DataFrame, profile, key: str = "row_id", content: str = "content", keep: str = "en") -> DataFrame:
+    """(key, chunk_no, chunk, chunk_language): every chunk of anomalous articles whose own language is not ``keep``."""
+    lang = _chunk_languages(anomalies, profile, key, content)
+    return lang.where(F.col("chunk_language").isNull() | (F.col("chunk_language") != keep)).select(key, "chunk_no", "chunk", "chunk_language")
+
+
+def _chunk_languages(anomalies: DataFrame, profile, key: str, content: str) -> DataFrame:
+    from tessera.operators.language import with_language
+
+    chunks = anomalies.select(key, F.posexplode(content).alias("chunk_no", "chunk"))
+    return with_language(chunks, [key, "chunk_no"], "chunk", profile, out="chunk_language")
+
+
 def anomaly_chunks(anomalies: DataFrame, profile, key: str = "row_id", content: str = "content",
                    keep: str = "en") -> DataFrame:
     """Inside anomalous articles: chunks whose own language is not ``keep``, with the share.
 
-    Returns one row: exploded chunks, anomalous chunks, and the percentage.
+    Returns one row: exploded chunks, anomalous chunks, and the percentage; ``anomaly_chunk_rows`` lists them.
     """
-    from tessera.operators.language import detect_language
-
-    chunks = anomalies.select(key, F.posexplode(content).alias("chunk_no", "chunk"))
-    lang = detect_language(chunks, [key, "chunk_no"], "chunk", profile, out="chunk_language")
-    flagged = lang.select(F.when(F.col("chunk_language").isNull() | (F.col("chunk_language") != keep), 1)
-                          .otherwise(0).alias("bad"))
+    flagged = _chunk_languages(anomalies, profile, key, content).select(
+        F.when(F.col("chunk_language").isNull() | (F.col("chunk_language") != keep), 1).otherwise(0).alias("bad"))
     return flagged.agg(F.count(F.lit(1)).alias("n_chunks"), F.sum("bad").cast("long").alias("n_anomalous"),
                        F.round(F.lit(100.0) * F.sum("bad") / F.count(F.lit(1)), 6).alias("anomalous_pct"))

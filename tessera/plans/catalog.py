@@ -190,6 +190,12 @@ def q_histogram_words(spark, sf_dir):
     return P.histogram(P.words_per_chunk(articles(spark, sf_dir)), "n_words", 150)
 
 
+@query
+def q_histogram_words_view(spark, sf_dir):
+    """B5 with limits: of the 150 bins those that reach into 0 to 500 words."""
+    return P.histogram(P.words_per_chunk(articles(spark, sf_dir)), "n_words", 150, limits=(0, 500))
+
+
 @query
 def q_value_counts(spark, sf_dir):
     return P.value_counts(table(spark, sf_dir, "documents"), "source")
@@ -237,6 +243,15 @@ def q_anomaly_chunks(spark, sf_dir):
     return P.anomaly_chunks(anomalies, prof)
 
 
+@query
+def q_anomaly_chunk_rows(spark, sf_dir):
+    """The chunks themselves."""
+    prof = _profile(spark, sf_dir)
+    art = with_language(articles(spark, sf_dir), "row_id", F.array_join("content", "\n"), prof)
+    rows = P.anomaly_chunk_rows(P.language_anomalies(art, langs=("ru", "de")), prof)
+    return rows.select("row_id", F.col("chunk_no").cast("long"), "chunk", "chunk_language")
+
+
 # ---------------------------------------------------------------- C: cleaning
 @query
 def q_filter_language(spark, sf_dir):

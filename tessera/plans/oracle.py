@@ -107,6 +107,8 @@ sql("histogram_price", _hist_sql("lineitem", "l_extendedprice", 150))
 sql("histogram_words", S.with_(S.ARTICLES, _WORDS).replace("WITH ", "WITH ", 1)
     + "SELECT * FROM (" + _hist_sql("words", "n_words", 150) + ")")
 
+sql("histogram_words_view", S.with_(S.ARTICLES, _WORDS) + "SELECT * FROM (" + _hist_sql("words", "n_words", 150) + ") WHERE hi >= 0 AND lo <= 500")
+
 sql("value_counts", """
 SELECT source AS value, count(*) AS count FROM documents WHERE source IS NOT NULL GROUP BY source""")
 
@@ -144,11 +146,15 @@ _ART_LANG = S.detect_ctes("al", "(SELECT row_id, array_to_string(content, chr(10
 sql("language_anomalies", S.with_(S.ARTICLES, _LP, _ART_LANG) + """
 SELECT a.row_id, a.title, l.language FROM articles a JOIN al l USING (row_id) WHERE l.language IN ('ru', 'de')""")
 
-sql("anomaly_chunks", S.with_(
+_ANOMALIES = (
     S.ARTICLES, _LP, _ART_LANG,
     """anom AS (SELECT a.row_id, a.content FROM articles a JOIN al l USING (row_id) WHERE l.language IN ('ru', 'de'))""",
     """achunks AS (SELECT row_id * 100000 + (i - 1) AS ck, content[i] AS chunk FROM anom, range(1, len(content) + 1) t(i))""",
-    S.detect_ctes("cl", "achunks", "ck", "chunk")) + """
+    S.detect_ctes("cl", "achunks", "ck", "chunk"))
+sql("anomaly_chunk_rows", S.with_(*_ANOMALIES) + """
+SELECT cl.ck // 100000 AS row_id, cl.ck % 100000 AS chunk_no, a.chunk, cl.language AS chunk_language FROM cl JOIN achunks a USING (ck)
+WHERE cl.language IS NULL OR cl.language <> 'en'""")
+sql("anomaly_chunks", S.with_(*_ANOMALIES) + """
 SELECT count(*) AS n_chunks, CAST(sum(CASE WHEN language IS NULL OR language <> 'en' THEN 1 ELSE 0 END) AS BIGINT) AS n_anomalous,
        round(100.0 * sum(CASE WHEN language IS NULL OR language <> 'en' THEN 1 ELSE 0 END) / count(*), 6) AS anomalous_pct
 FROM cl""")
