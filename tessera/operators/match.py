@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions import fuzzy
-from tessera.functions.plan import spread
+from tessera.functions.plan import spread, write_through
 from tessera.functions.text import fuzz_normalize, parse_list_literal, token_set
 from tessera.session import ship_package
 
@@ -155,13 +155,16 @@ def best_match(passages: DataFrame, articles: DataFrame, pid: str = "example_id"
                exact: bool = True, keys: tuple[str, ...] = ()) -> DataFrame:
     """(pid, best_match_score int, best_match_id long, ``keys``...) for every passage.
 
+    Passage ids may be of any type, null or repeated: passages are numbered inside and each has its row in the result.
     ``order`` is the source order used for ties (first wins) and identifies the article; ``id_col`` is the
     returned id, ``keys`` further article columns to return. ``exact=False`` keeps only the closed-form terms, a
     lower bound of the exact score.
     """
     spark = passages.sparkSession
     ship_package(spark)
-    p = passages.select(F.col(pid).cast("long").alias("pid"), token_set(fuzz_normalize(F.coalesce(F.col(ptext), F.lit("")))).alias("toks"))
+    asked = write_through(passages.select(F.col(pid).alias("key"), F.col(ptext).alias("text"))
+                          .withColumn("pid", F.monotonically_increasing_id()), "passages")
+    p = asked.select("pid", token_set(fuzz_normalize(F.coalesce("text", F.lit("")))).alias("toks"))
     d = spread(articles.select(F.col(order).cast("long").alias("did"), F.col(content).alias("__c")), "did").select(
         "did", token_set(fuzz_normalize(F.coalesce(F.col("__c"), F.lit("")))).alias("dtoks"))
     size = F.aggregate("toks", F.lit(0).cast("long"), lambda acc, t: acc + F.octet_length(t) + 64)
@@ -170,7 +173,7 @@ def best_match(passages: DataFrame, articles: DataFrame, pid: str = "example_id"
     best = None
     for i in range(blocks):
         part = p if blocks == 1 else p.where(F.pmod(F.xxhash64("pid"), F.lit(blocks)) == i)
-        held = Passages([(r.pid, r.toks) for r in part.where("pid IS NOT NULL").orderBy("pid").collect()])  # at most PASSAGE_BYTES
+        held = Passages([(r.pid, r.toks) for r in part.orderBy("pid").collect()])  # at most PASSAGE_BYTES
         none = np.zeros(len(held.pid), dtype=np.int64), np.full(len(held.pid), np.iinfo(np.int64).max)
         shared = spark.sparkContext.broadcast((held, *none))
         found = _reduce(d.mapInPandas(lambda it, s=shared: _closed_pass(it, s), "pid long, score int, did long"))
@@ -182,9 +185,8 @@ def best_match(passages: DataFrame, articles: DataFrame, pid: str = "example_id"
             found = _reduce(d.mapInPandas(lambda it, s=shared2: _exact_pass(it, s), "pid long, score int, did long"))
         best = found if best is None else best.unionByName(found)
     ids = articles.select(F.col(order).alias("did"), F.col(id_col).cast("long").alias("best_match_id"), *keys)
-    res = (passages.select(F.col(pid).alias("pid")).join(best, "pid", "left")
-           .join(ids, "did", "left"))
-    return res.select(F.col("pid").alias(pid),
+    res = asked.select("pid", "key").join(best, "pid", "left").join(ids, "did", "left")
+    return res.select(F.col("key").alias(pid),
                       F.coalesce(F.col("score"), F.lit(0)).cast("int").alias("best_match_score"),
                       "best_match_id", *keys)
 
