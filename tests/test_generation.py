@@ -8,7 +8,6 @@ import types
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import evaluate as EV
 from tessera.operators import generate as G
 from tessera.operators import judge as J
 from tessera.operators.testset import generate_testset
