@@ -10,6 +10,9 @@ reader resumes anywhere by arithmetic. Shards are written by Spark's own committ
 
 from __future__ import annotations
 
+import json
+import os
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +23,7 @@ from pyspark.sql import functions as F
 from tessera.llm import batch as bt
 from tessera.llm.store import stored
 from tessera.llm.tokens import DEFAULT_VOCABULARY, encoder
-from tessera.session import scratch_path
+from tessera.session import ensure_checkpoint_dir
 
 ROUNDS = 6
 #: Most input splits (a path and a few longs each) whose sequence numbers are broadcast.
@@ -67,7 +70,7 @@ def _split_rows(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
     if docs._jdf.queryExecution().analyzed().nodeName() != "LogicalRelation":
         docs = stored(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")), "shards-in")[0]
         id_col, text_col = "doc_id", "text"
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
 
 
@@ -144,14 +147,19 @@ def write_shards(docs: DataFrame, path: str | None = None, id_col: str = "doc_id
     """Write all texts as shards and return path, length, per_shard, key, stride, sequences and ``index``.
 
     ``index`` has one row per input row: doc_id, n_ids (closing id included), sequence and position of its first id,
-    n_sequences it touches, and slot, shard and byte_offset of the first. Null and empty texts are one closing id.
-    Repeated rows are written each time; an empty table writes nothing (sequences 0). Other columns are ignored.
+    n_sequences it touches, and slot, shard, byte_offset and file path of the first. Null and empty texts are one closing
+    id. Ids may be of any type. Repeated rows are written each time; an empty table writes no shard (sequences 0). Other
+    columns are ignored.
+
+    Shards stay when the session ends. Without ``path`` they lie in a new folder below the shared checkpoint folder.
+    Beside them is a manifest, from which ``open_shards`` lets a later session read them.
     """
     spark = docs.sparkSession
-    path = path or scratch_path(spark, "shards")
+    path = path or os.path.join(ensure_checkpoint_dir(spark), f"shards-{uuid.uuid4().hex[:12]}")
     rows = _split_rows(docs, text_col, id_col)
+    kind = rows.schema["doc_id"].dataType.simpleString()
     index, _ = stored(rows.mapInArrow(lambda it: bt.tidy(_count_batches(it, vocabulary)),
-                                      "doc_id long, path string, start long, begin long, n_ids long"), "shards-index")
+                                      f"doc_id {kind}, path string, start long, begin long, n_ids long"), "shards-index")
     splits = index.groupBy("path", "start").agg(F.ceil(F.max(F.col("begin") + F.col("n_ids")) / length).alias("sequences"))
     order = Window.orderBy("path", "start")
     splits, _ = stored(splits.withColumn("first", F.sum("sequences").over(order) - F.col("sequences")), "shards-splits")
@@ -175,11 +183,20 @@ def write_shards(docs: DataFrame, path: str | None = None, id_col: str = "doc_id
     placed = (index.join(F.broadcast(splits), ["path", "start"])
               .select("doc_id", "n_ids", seq.alias("sequence"), (F.col("begin") % length).alias("position"),
                       (F.floor((F.col("begin") + F.col("n_ids") - 1) / length) - F.floor(F.col("begin") / length) + 1).alias("n_sequences")))
-    placed = placed.mapInArrow(place, "doc_id long, n_ids long, sequence long, position long, n_sequences long, slot long")
+    placed = placed.mapInArrow(place, f"doc_id {kind}, n_ids long, sequence long, position long, n_sequences long, slot long")
     out = placed.withColumn("shard", F.floor(F.col("slot") / per_shard)).withColumn(
-        "byte_offset", (F.col("slot") % per_shard) * stride + F.col("position") * itemsize)
-    return {"path": path, "length": length, "per_shard": per_shard, "key": key, "stride": stride, "sequences": n, "index": out,
-            "width": width}
+        "byte_offset", (F.col("slot") % per_shard) * stride + F.col("position") * itemsize).withColumn(
+        "path", F.concat(F.lit(f"{path}/shard="), F.col("shard").cast("string")))
+    manifest = {"path": path, "length": length, "per_shard": per_shard, "key": key, "stride": stride, "sequences": n, "width": width,
+                "vocabulary": vocabulary, "closing": closing}
+    # written last: shards with a manifest are whole
+    spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1).write.text(f"{path}-manifest")
+    return {**manifest, "index": out}
+
+
+def open_shards(spark: SparkSession, path: str) -> dict:
+    """What ``write_shards`` returned but the index, read from the manifest beside the shards: for ``read_slots``."""
+    return json.loads(spark.read.text(f"{path}-manifest").first()["value"])
 
 
 def read_slots(spark: SparkSession, shards: dict, first: int = 0, count: int | None = None) -> DataFrame:

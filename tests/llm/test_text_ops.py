@@ -282,6 +282,20 @@ def test_shards_round_trip(spark, tmp_path, stored_as_file):
         assert int.from_bytes(f.read(2), "little") == flat[r.sequence * 64 + r.position]
 
 
+def test_shards_stay_and_are_read_by_path_in_another_session(spark):
+    """Text ids, no path given: the shards lie outside the folder that goes with the application."""
+    rows = [("b", "one two three " * 50), ("a", None), (None, "four " * 90), ("a", "five")]
+    s = shards.write_shards(spark.createDataFrame(rows, "name string, text string"), id_col="name", length=16, per_shard=4)
+    assert f"tables-{spark.sparkContext.applicationId}" not in s["path"]
+    index = s["index"].collect()
+    assert sorted(str(r.doc_id) for r in index) == ["None", "a", "a", "b"]
+    assert all(r.path == f"{s['path']}/shard={r.shard}" for r in index)
+    other = spark.newSession()
+    found = shards.open_shards(other, s["path"])
+    assert found == {k: v for k, v in s.items() if k != "index"}
+    assert sorted(map(tuple, shards.read_slots(other, found).collect())) == sorted(map(tuple, shards.read_slots(spark, s).collect()))
+
+
 def test_shards_of_nothing(spark):
     s = shards.write_shards(spark.createDataFrame([], "doc_id long, text string"))
     assert s["sequences"] == 0 and s["index"].count() == 0 and shards.read_slots(spark, s).count() == 0
