@@ -6,7 +6,10 @@ numbers stand next to each other, in order, among the recognised sentences; rule
 match covers its sentences for the shorter ones. Texts are read three times: with each line
 break as a sentence end (statements on a line of their own), with lines without letters and digits as sentence ends
 (wrapped licence texts below a heading or copyright line) and with all line breaks as spaces (blank lines in a sentence).
-Texts without any word that all known sentences share are skipped before the cutting.
+The holder's own name in the third BSD clause (of any length) is put before the clause as sentences of its own, so
+nothing between "neither the name of" and a far "nor the names of" is lost.
+``SPDX-License-Identifier`` lines count with one identifier; expressions of several (``AND``, ``OR``, ``WITH``) are no
+known sentence. Texts without any word that all known sentences share are skipped before the cutting.
 """
 
 from __future__ import annotations
@@ -52,6 +55,18 @@ RULES: list[tuple[str, list[str]]] = [
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
         "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later "
         "version"]),
+    ("LGPL-2.1-or-later", [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+        "License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later "
+        "version"]),
+    ("LGPL-3.0-or-later", [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
+        "version"]),
+    ("AGPL-3.0-or-later", [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
+        "version"]),
     ("LGPL-3.0", ["This work is licensed under the GNU Lesser General Public License, version 3"]),
     ("AGPL-3.0", ["This work is licensed under the GNU Affero General Public License, version 3"]),
     ("BSD-2-Clause", [
@@ -73,8 +88,10 @@ RULES: list[tuple[str, list[str]]] = [
     ("ISC", [
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
         "provided that the above copyright notice and this permission notice appear in all copies"]),
-    ("MPL-2.0", [
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v"]),
+    ("MPL-2.0", ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"]),
+    ("MPL-1.1", [
+        "The contents of this file are subject to the Mozilla Public License Version 1.1 (the \"License\")",
+        "you may not use this file except in compliance with the License"]),
     ("Unlicense", ["This is free and unencumbered software released into the public domain"]),
     ("CC0-1.0", ["Released under CC0 1.0"]),
     ("CC-BY-4.0", ["Licensed under CC BY 4.0"]),
@@ -84,20 +101,36 @@ RULES: list[tuple[str, list[str]]] = [
     ("CC-BY-SA-4.0", ["This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"]),
     ("CC-BY-NC-4.0", ["This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"]),
 ]
+# Public short identifiers that a source file's licence line may name.
+SPDX = ["0BSD", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC-BY-4.0",
+        "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC0-1.0", "EPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only",
+        "GPL-3.0-or-later", "ISC", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "MIT", "MPL-1.1",
+        "MPL-2.0", "Unlicense", "Zlib"]
+#: The older spelling ``GPL-2.0`` of an identifier ``GPL-2.0-only`` is the same licence; rules name it without the ending.
+RULES += [(name.removesuffix("-only"), [f"SPDX-License-Identifier {spelt}"])
+          for name in SPDX for spelt in dict.fromkeys([name, name.removesuffix("-only")])]
 #: Every known sentence holds one of these (checked by a test).
 HINT = "licen|free software|warrant|redistribut|copyright|permission|public domain|released under"
 #: The same hints for texts that are not normalised yet: any run of other characters may stand between two words.
 RAW_HINT = HINT.replace(" ", "[^a-z0-9]+")
 SENTENCE_END = r"[.!?:;]+([ \t\n\f\r]+|\z)|\n+"
 PARAGRAPH_END = r"[.!?:;]+([ \t\n\f\r]+|\z)|\n[^a-z0-9\n]*\n"
-#: The holder's own name in the third BSD clause (full stops and line breaks included) becomes the one of the known sentence.
-HOLDER = r"(?s)\bneither[^a-z0-9]+the[^a-z0-9]+name[^a-z0-9]+of[^a-z0-9].{1,1000}?[^a-z0-9]nor[^a-z0-9]+the[^a-z0-9]+names[^a-z0-9]+of\b"
-NO_HOLDER = "neither the name of the copyright holder nor the names of"
+#: What is written otherwise before the cutting, so that no full stop or colon stands in a name, and "+" is not lost.
+SPELLINGS = [(r"\bv\.[ \t\n\f\r]+([0-9])", "v {0}"),
+             (r"\b(spdx-license-identifier):?[ \t]+([a-z0-9.-]*[0-9])\+", "{0} {1}-or-later"),
+             (r"\b(spdx-license-identifier):[ \t]+", "{0} ")]
+#: The holder's own name in the third BSD clause (full stops and line breaks included) makes room for the known sentence's.
+HOLDER_START = r"\bneither[^a-z0-9]+the[^a-z0-9]+name[^a-z0-9]+of[^a-z0-9]"
+HOLDER_END = r"[^a-z0-9]nor[^a-z0-9]+the[^a-z0-9]+names[^a-z0-9]+of\b"
+NAMED = ". {0}. neither the name of the copyright holder nor the names of"
 WRAP = r"[ \t\f\r]*\n[ \t\f\r]*"
 
 
 def _cut(text: str) -> list[str]:
-    parts = re.split(r"[.!?:;]+(?:[ \t\n\f\r]+|\Z)|\n+", text.lower())
+    text = text.lower()
+    for pattern, spelt in SPELLINGS:
+        text = re.sub(pattern, spelt.format(r"\1", r"\2"), text)
+    parts = re.split(r"[.!?:;]+(?:[ \t\n\f\r]+|\Z)|\n+", text)
     return [p for p in (re.sub(r"[^a-z0-9]+", " ", x).strip() for x in parts) if p]
 
 
@@ -123,6 +156,12 @@ def _numbers(lowered: Column, known: list[str], end: str = SENTENCE_END) -> Colu
     return F.array_join(F.transform(F.filter(found, lambda n: n > 0), lambda n: n.cast("string")), ",")
 
 
+def _without_holders(lowered: Column) -> Column:
+    """The text cut before each start of the clause; each piece is read once, so a start without an end costs nothing more."""
+    pieces = F.split(lowered, f"(?={HOLDER_START})")
+    return F.array_join(F.transform(pieces, lambda x: F.regexp_replace(x, rf"(?s)\A{HOLDER_START}(.+?){HOLDER_END}", NAMED.format("$1"))), "")
+
+
 def _spaced(ids: str) -> str:
     """',1,2,' as ',1,,2,': neighbours share no comma, so a replaced match leaves the next one whole."""
     return "," + ids.strip(",").replace(",", ",,") + ","
@@ -133,12 +172,14 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     ``sentence_ids`` are the numbers of the known sentences in order (lines as sentences; if that finds none,
     paragraphs, then with all lines joined), ``licenses`` the sorted licences whose rules apply, both as comma-separated text. Null and empty texts have
-    empty text and 0. Repeated rows and null ids stay; other columns are ignored.
+    empty text and 0. Texts of any length are read whole. Repeated rows and null ids stay; other columns are ignored.
     """
     known, patterns = known_sentences(rules)
     low = F.lower(F.col(text_col).cast("string"))
     hit = F.coalesce(low.rlike(RAW_HINT), F.lit(False))
-    low = F.regexp_replace(low, HOLDER, NO_HOLDER)
+    for pattern, spelt in SPELLINGS:
+        low = F.regexp_replace(low, pattern, spelt.format("$1", "$2"))
+    low = _without_holders(low)
     readings = {"a": _numbers(low, known), "b": _numbers(low, known, PARAGRAPH_END), "c": _numbers(F.regexp_replace(low, WRAP, " "), known)}
     seen = docs.select(F.col(id_col).alias("doc_id"), *(F.when(hit, r).otherwise("").alias(k) for k, r in readings.items()))
     names: dict[str, list[str]] = {}

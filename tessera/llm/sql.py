@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm.licenses import HINT, RULES, SENTENCE_END, WRAP, known_sentences
+from tessera.llm import licenses as lic
 from tessera.llm.mixing import OFFSETS
 
 
@@ -45,25 +45,42 @@ plan AS (
 """
 
 
-def licenses_sql() -> str:
-    known, patterns = known_sentences(RULES)
+def licenses_sql(docs: str = "documents") -> str:
+    """The same three readings and the same covering from the longest rule down, one replaced text per rule."""
+    known, patterns = lic.known_sentences(lic.RULES)
     table = "[" + ", ".join(map(_quoted, known)) + "]"
-    rules = "[" + ", ".join(f"{{'name': {_quoted(n)}, 'ids': {_quoted(p)}}}" for n, p in patterns) + "]"
+    rules: dict[str, list[str]] = {}
+    for name, ids in sorted(patterns, key=lambda x: -x[1].count(",")):
+        rules.setdefault("," + ids.strip(",").replace(",", ",,") + ",", []).append(name)
 
-    def numbers(text: str) -> str:
-        return (f"array_to_string(list_filter(list_transform(regexp_split_to_array({text}, {_quoted(SENTENCE_END)}), "
+    def numbers(text: str, end: str = lic.SENTENCE_END) -> str:
+        return (f"array_to_string(list_filter(list_transform(regexp_split_to_array({text}, {_quoted(end)}), "
                 f"lambda s: coalesce(list_position({table}, trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g'))), 0)), lambda n: n > 0), ',')")
 
+    low = "lower(text)"
+    for pattern, spelt in lic.SPELLINGS:
+        low = f"regexp_replace({low}, {_quoted(pattern)}, {_quoted(spelt.format(chr(92) + '1', chr(92) + '2'))}, 'g')"
+    mark = "chr(57344)"  # a character of private use stands before each start of the clause
+    named = (f"array_to_string(list_transform(string_split(regexp_replace(t, '({lic.HOLDER_START})', {mark} || '\\1', 'g'), {mark}), "
+             f"lambda s: regexp_replace(s, '(?s)\\A{lic.HOLDER_START}(.+?){lic.HOLDER_END}', '{lic.NAMED.format(chr(92) + '1')}')), '')")
+    keys = "abc"
+    texts = [numbers("named"), numbers("named", lic.PARAGRAPH_END), numbers(f"regexp_replace(named, '{lic.WRAP}', ' ', 'g')")]
+    seen = [f"CASE WHEN hit THEN {x} ELSE '' END AS {k}" for k, x in zip(keys, texts)]
+    part = {k: " OR ".join(f"(contains(w{j}, w{k}) AND ({j} <> {k} OR {str(j > k).lower()}))" for j in keys if j != k) for k in keys}
+    steps = "".join(f",\nr{n + 1} AS (SELECT * REPLACE (replace(rest, '{ids}', ',0,') AS rest, CASE WHEN contains(rest, '{ids}') "
+                    f"THEN list_concat(names, [{', '.join(map(_quoted, names))}]) ELSE names END AS names) FROM r{n})"
+                    for n, (ids, names) in enumerate(rules.items()))
     return f"""
-WITH low AS (SELECT doc_id, lower(text) AS t FROM documents),
-seen AS (
-  SELECT doc_id, CASE WHEN regexp_matches(t, '{HINT}') THEN {numbers('t')} ELSE '' END AS a,
-         CASE WHEN regexp_matches(t, '{HINT}') THEN {numbers(f"regexp_replace(t, '{WRAP}', ' ', 'g')")} ELSE '' END AS b FROM low),
-ids AS (SELECT doc_id, ',' || a || ',' AS a, ',' || b || ',' AS b, CASE WHEN a <> '' THEN a ELSE b END AS ids FROM seen)
+WITH low AS (SELECT doc_id, regexp_matches(lower(text), '{lic.RAW_HINT}') AS hit, {low} AS t FROM {docs}),
+named AS (SELECT *, {named} AS named FROM low),
+seen AS (SELECT doc_id, {', '.join(seen)} FROM named),
+whole AS (SELECT *, {', '.join(f"',' || replace({k}, ',', ',,') || ',' AS w{k}" for k in keys)} FROM seen),
+r0 AS (
+  SELECT doc_id, coalesce({', '.join(f"nullif({k}, '')" for k in keys)}, '') AS ids, CAST([] AS VARCHAR[]) AS names,
+         concat_ws('|', {', '.join(f"CASE WHEN NOT ({part[k]}) THEN w{k} END" for k in keys)}) AS rest FROM whole){steps}
 SELECT doc_id, ids AS sentence_ids, CAST(CASE WHEN ids = '' THEN 0 ELSE len(string_split(ids, ',')) END AS BIGINT) AS n_sentences,
-       CASE WHEN ids = '' THEN '' ELSE array_to_string(list_sort(list_distinct(list_transform(
-         list_filter({rules}, lambda x: contains(a, x.ids) OR contains(b, x.ids)), lambda x: x.name))), ',') END AS licenses
-FROM ids"""
+       CASE WHEN ids = '' THEN '' ELSE array_to_string(list_sort(list_distinct(names)), ',') END AS licenses
+FROM r{len(rules)}"""
 
 
 MIXING = mixing_sql() + "SELECT k AS doc_id, size, source_size, target, copies, copies * size AS taken FROM plan"

@@ -299,3 +299,44 @@ def test_shards_stay_and_are_read_by_path_in_another_session(spark):
 def test_shards_of_nothing(spark):
     s = shards.write_shards(spark.createDataFrame([], "doc_id long, text string"))
     assert s["sequences"] == 0 and s["index"].count() == 0 and shards.read_slots(spark, s).count() == 0
+
+
+def test_licences_equal_their_sql_on_every_branch(spark):
+    """All readings, covering, holders' names of any length, spellings, identifiers and hints over other characters."""
+    head = "Copyright (c) 2020, Jane Doe\nAll rights reserved.\n\n"
+    mpl = ("This Source Code Form is subject to the terms of the Mozilla Public License, v. {}. If a copy of the MPL was not\n"
+           "distributed with this file, You can obtain one at the address below.")
+    lgpl = ("This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\n"
+            "License as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.")
+    cases = {
+        head + BSD + THIRD.format("X" * 5000): "BSD-3-Clause",
+        head + BSD + THIRD.format("Example,\n   Inc. of N. Y."): "BSD-3-Clause",
+        head + BSD + THIRD.format("X") + BSD: "BSD-2-Clause,BSD-3-Clause",
+        BSD + THIRD.format("X") + BSD + THIRD.format("Y"): "BSD-3-Clause",
+        "Neither the name of the game.\nReleased under the MIT License.\n" + "word. " * 500 + "Nor the names of its players.": "MIT",
+        "Neither the name of " * 3 + "it.\nReleased under CC0 1.0": "CC0-1.0",
+        mpl.format("2.0"): "MPL-2.0", mpl.format("3.0"): "", mpl.format("2.0").replace("v. ", "v.\n"): "MPL-2.0",
+        'The contents of this file are subject to the Mozilla Public License Version 1.1 (the "License"); you may not use this file '
+        "except in compliance with the License.": "MPL-1.1",
+        lgpl: "LGPL-2.1-or-later",
+        lgpl.replace("library", "program").replace("Lesser", "Affero").replace("software;", "software:").replace("n; either", "n, either")
+        .replace("2.1", "3"): "AGPL-3.0-or-later",
+        "// SPDX-License-Identifier: MIT\nint main;": "MIT", "/* SPDX-License-Identifier: GPL-2.0 */": "GPL-2.0",
+        "# SPDX-License-Identifier: GPL-2.0+": "GPL-2.0-or-later", "SPDX-License-Identifier: LGPL-2.1-only": "LGPL-2.1",
+        "SPDX-License-Identifier: MIT OR Apache-2.0": "",
+        "Released\n\n  under * CC0 1.0.": "CC0-1.0", "free--software; public\ndomain": "", GPL: "GPL-3.0-or-later",
+        MIT: "MIT", MIT.replace("\n", "\n\n"): "MIT", "\n".join(f" * {x}" for x in GPL.split("\n")): "GPL-3.0-or-later",
+        "": "", "no hint": "", "Licensed under CC BY 4.0! Licensed under CC BY 4.0!": "CC-BY-4.0"}
+    rows = [(i, t) for i, t in enumerate(cases)] + [(None, None), (3, "Released under the MIT License")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, licenses string")
+    got = [tuple(r) for r in scan_licenses(docs).collect()]
+    assert [r[3] for r in got] == [*cases.values(), "", "MIT"]
+    con = duckdb.connect()
+    con.register("documents", docs.select("doc_id", "text").toArrow())
+    key = lambda r: tuple(map(str, r))
+    assert sorted(con.execute(sql.LICENSES).fetchall(), key=key) == sorted(got, key=key)
+
+
+def test_unended_holder_clauses_are_read_once(spark):
+    text = "neither the name of " * 20000 + "\nReleased under the MIT License"
+    assert licenses_of(spark, [text]) == ["MIT"]
