@@ -70,6 +70,12 @@ def _word_evidence(value: str) -> int:
     return len(good) - len(weak) - STRONG * len(strong)
 
 
+def _is_slug(name: str) -> bool:
+    """Whether the id of an article names what it is about: not only boilerplate words beside a number, as ``comment-12``."""
+    words = re.split(r"[^a-z0-9]+", name.lower())
+    return not any(map(str.isdigit, words)) or any(not w.isdigit() and w not in BAD_WORDS | {"div", ""} for w in words)
+
+
 def _own_evidence(tag: str, attributes: str) -> int:
     """What one element says: > 0 content, < 0 boilerplate, ``HIDDEN`` for what is not shown."""
     words = 0
@@ -81,7 +87,7 @@ def _own_evidence(tag: str, attributes: str) -> int:
             if name == "style":
                 if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value.lower()):
                     return HIDDEN
-            elif name in ("class", "id", "role"):
+            elif name in ("class", "id", "role") and not (name == "id" and tag in CONTENT and _is_slug(value)):
                 words += _word_evidence(value)
     if tag in ("body", "html", "main"):
         words = max(words, 0)
@@ -100,34 +106,37 @@ def _inside(outer: int, own: int) -> int:
 
 
 def blocks_of(page: str) -> list[tuple]:
-    """Text blocks in page order: (text, tag, evidence, words in links, parent, depth chain as a tuple of element numbers)."""
+    """Text blocks in page order: (text, tag, evidence, words in links, number of the parent element, steps in the tree
+    from the block before). Time and memory are linear in the page however deep its elements are nested."""
     out: list[tuple] = []
-    stack = [("html", 0)]  # tag, evidence
-    chain, open_count, number = [0], {"html": 1}, 0
+    stack = [("html", 0, 0, "html", False)]  # tag, evidence, number, innermost block tag, inside content
+    open_count, number = {"html": 1}, 0
     parts: list[str] = []
     linked, links, in_header = 0, 0, 0
+    before, lowest = 1, 1  # depth of the last block, and the least depth since
+    unended: set[str] = set()  # elements without an end tag in the rest of the page
 
     def flush():
-        nonlocal parts, linked
+        nonlocal parts, linked, before, lowest
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            block = next((s for s in reversed(stack) if s[0] in BLOCK), stack[0])
-            evidence = stack[-1][1]
-            if in_header and evidence >= 0 and not (block[0] in ("h1", "h2") and any(s[0] in CONTENT for s in stack)):
+            _, evidence, _, block, in_content = stack[-1]
+            if in_header and evidence >= 0 and not (block in ("h1", "h2") and in_content):
                 evidence = -SURE
-            out.append((text, block[0], evidence, linked, tuple(chain)))
+            out.append((text, block, evidence, linked, stack[-2][2] if len(stack) > 1 else -1, before + len(stack) - 2 * lowest))
+            before = lowest = len(stack)
         parts, linked = [], 0
 
     def close(tag):
-        nonlocal links, in_header
+        nonlocal links, in_header, lowest
         while len(stack) > 1:
             top = stack.pop()
-            chain.pop()
             open_count[top[0]] -= 1
             links -= top[0] == "a"
             in_header -= top[0] == "header"
             if top[0] == tag:
                 break
+        lowest = min(lowest, len(stack))
 
     at, end = 0, len(page)
     while at < end:
@@ -152,10 +161,14 @@ def blocks_of(page: str) -> list[tuple]:
             continue
         if tag in RAW:
             if tag != "head" and not m.group(3).endswith("/"):
-                stop = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+                stop = None if tag in unended else re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+                if not stop:
+                    unended.add(tag)
                 at = stop.end() if stop else end if tag in ("script", "style") else at
             elif tag == "head":
-                stop = re.compile(r"</head\s*>|<body\b", re.I).search(page, at)
+                stop = None if tag in unended else re.compile(r"</head\s*>|<body\b", re.I).search(page, at)
+                if not stop:
+                    unended.add(tag)
                 at = (stop.end() if stop and stop.group()[1] == "/" else stop.start()) if stop else at
             continue
         if tag in BLOCK:
@@ -169,8 +182,9 @@ def blocks_of(page: str) -> list[tuple]:
         if tag in VOID or m.group(3).endswith("/"):
             continue
         number += 1
-        stack.append((tag, _inside(stack[-1][1], _own_evidence(tag, m.group(3)))))
-        chain.append(number)
+        _, evidence, _, block, in_content = stack[-1]
+        stack.append((tag, _inside(evidence, _own_evidence(tag, m.group(3))), number, tag if tag in BLOCK else block,
+                      in_content or tag in CONTENT))
         open_count[tag] = open_count.get(tag, 0) + 1
         links += tag == "a"
         in_header += tag == "header"
@@ -180,14 +194,14 @@ def blocks_of(page: str) -> list[tuple]:
 
 def block_inputs(blocks: list[tuple]) -> np.ndarray:
     """Inputs of the block classifier: what the block's own text and links look like."""
-    rows = []
-    for text, tag, _, linked, _ in blocks:
+    rows = np.empty((len(blocks), 9))
+    for i, (text, tag, _, linked, *_) in enumerate(blocks):
         n = text.count(" ") + 1
         stops = sum(map(text.count, ".,;:?!"))
-        rows.append((min(n, 60) / 20, min(linked / n, 1.0), min(stops / n, 1.0), float(text[-1] in ".!?:\"'”»"), min(len(text) / n, 20) / 10,
-                     float(tag == "p"), float(tag[0] == "h" and tag[1:].isdigit()), float(tag in ("li", "td", "th")),
-                     float("©" in text or "|" in text)))
-    return np.array(rows, dtype=float).reshape(-1, 9)
+        rows[i] = (min(n, 60) / 20, min(linked / n, 1.0), min(stops / n, 1.0), float(text[-1] in ".!?:\"'”»"), min(len(text) / n, 20) / 10,
+                   float(tag == "p"), float(tag[0] == "h" and tag[1:].isdigit()), float(tag in ("li", "td", "th")),
+                   float("©" in text or "|" in text))
+    return rows
 
 
 #: Weights (the last one the constant) where a table gives no examples of both kinds.
@@ -197,14 +211,9 @@ PRIOR_WEIGHTS = np.array([1.5, -4.0, 1.0, 0.8, 0.0, 0.8, 0.5, -1.0, -1.0, -1.2])
 def smoothness(blocks: list[tuple]) -> list[tuple[int, int, float]]:
     """Edges (i, j, capacity): next in page order, and next with the same parent element."""
     edges, last = [], {}
-    for j, block in enumerate(blocks):
-        chain = block[4]
+    for j, (*_, parent, apart) in enumerate(blocks):
         if j:
-            before = blocks[j - 1][4]
-            common = next((k for k, (a, b) in enumerate(zip(before, chain)) if a != b), min(len(before), len(chain)))
-            apart = len(before) + len(chain) - 2 * common
             edges.append((j - 1, j, NEIGHBOUR / (1 + apart)))
-        parent = chain[-2] if len(chain) > 1 else -1
         if parent in last and last[parent] != j - 1:
             edges.append((last[parent], j, SIBLING))
         last[parent] = j
@@ -213,14 +222,22 @@ def smoothness(blocks: list[tuple]) -> list[tuple[int, int, float]]:
 
 def min_cut(cost: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
     """Source side (content) of the minimum cut: cost > 0 is a capacity from the source, < 0 one to the sink."""
-    n = len(cost)
-    cost, near = list(cost), [[] for _ in range(n)]
+    n, cost = len(cost), list(cost)
+    pull = [0.0] * n
+    for i, j, c in edges:
+        pull[i] += c
+        pull[j] += c
+    side: list[bool | None] = [v > 0 if abs(v) > p else None for v, p in zip(cost, pull)]  # the cost exceeds all edges
+    near: dict[int, list] = {i: [] for i in range(n) if side[i] is None}
     for i, j, c in edges:
-        near[i].append((j, c))
-        near[j].append((i, c))
-    side: list[bool | None] = [None] * n
-    pull = [sum(c for _, c in x) for x in near]
-    todo = deque(range(n))
+        for a, b in ((i, j), (j, i)):
+            if side[a] is not None and side[b] is None:  # a settled end is a capacity to its terminal
+                cost[b] += c if side[a] else -c
+                pull[b] -= c
+        if side[i] is None and side[j] is None:
+            near[i].append((j, c))
+            near[j].append((i, c))
+    todo = deque(near)
     while todo:  # settle blocks whose cost exceeds their open edges
         i = todo.popleft()
         if side[i] is None and abs(cost[i]) > pull[i]:
@@ -237,7 +254,7 @@ def min_cut(cost: list[float], edges: list[tuple[int, int, float]]) -> list[bool
     return [bool(s) for s in side]
 
 
-def _max_flow(left: list[int], cost: list[float], near: list[list], side: list) -> list[bool]:
+def _max_flow(left: list[int], cost: list[float], near: dict[int, list], side: list) -> list[bool]:
     """Dinic's algorithm on the open blocks; True for those that the source still reaches."""
     at = {v: k for k, v in enumerate(left)}
     s, t = len(left), len(left) + 1
@@ -328,6 +345,8 @@ def fit_blocks(pages: DataFrame, id_col: str, html_col: str) -> np.ndarray:
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per input row: page_id, url, text, n_chars (code points). One Arrow pass over the whole pages.
 
+    Text in elements that a page hides (``hidden``, ``aria-hidden``, ``display: none``) is not shown, so it is no main text.
+    The id of an article or main element names its subject unless it holds boilerplate words and a number only.
     Null and empty pages have an empty text. Repeated rows and null ids stay; other columns are ignored. A table whose pages
     show no examples of both kinds of blocks is read with ``PRIOR_WEIGHTS``.
     """

@@ -2,13 +2,15 @@
 
 import itertools
 import random
+import time
 import zlib
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm.htmlcut import extract_pages, main_text, min_cut
+from tessera.llm.htmlcut import PRIOR_WEIGHTS, block_inputs, blocks_of, extract_pages, main_text, min_cut
 from tessera.llm.quality import INPUTS, fit_logistic, keep_good, quality_scores, site_posteriors, text_inputs
 from tessera.llm.toxicity import label_model, toxicity_scores
 
@@ -280,3 +282,97 @@ def test_pipeline_against_plain_python(spark, sf_small):
     assert set(rows[4]) <= set(rows[3]) and seen[4].count() > 0
     final = cp.STAGES[-1][1](spark, seen[4], sf_small)
     assert final.count() == seen[4].count()
+
+
+class PlainBlocks(HTMLParser):
+    """Blocks of a well-formed page with each block's whole chain of elements."""
+
+    def __init__(self):
+        super().__init__()
+        self.chain, self.n, self.parts, self.blocks = [("html", 0)], 0, [], []
+
+    def end_block(self):
+        text = " ".join("".join(self.parts).split())
+        if text:
+            self.blocks.append((text, [k for _, k in self.chain]))
+        self.parts = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag != "b":
+            self.end_block()
+        self.n += 1
+        self.chain.append((tag, self.n))
+
+    def handle_endtag(self, tag):
+        if tag != "b":
+            self.end_block()
+        self.chain.pop()
+
+    def handle_data(self, data):
+        self.parts.append(data)
+
+
+def test_blocks_equal_plain_chains_on_random_trees():
+    rng = random.Random(8)
+
+    def tree(depth):
+        out = []
+        for _ in range(rng.randint(0, 4)):
+            kind = rng.choice(["div", "section", "b", "text"]) if depth else "text"
+            out.append(rng.choice(["a b", "c &amp; d. ", " "]) if kind == "text" else f"<{kind}>{tree(depth - 1)}</{kind}>")
+        return "".join(out)
+
+    seen = 0
+    for _ in range(200):
+        page = tree(6)
+        plain = PlainBlocks()
+        plain.feed(page)
+        plain.close()
+        plain.end_block()
+        got = blocks_of(page)
+        assert [b[0] for b in got] == [t for t, _ in plain.blocks]
+        before = [0]
+        for (*_, parent, apart), (_, chain) in zip(got, plain.blocks):
+            common = next((k for k, (a, b) in enumerate(zip(before, chain)) if a != b), min(len(before), len(chain)))
+            assert apart == len(before) + len(chain) - 2 * common and parent == (chain[-2] if len(chain) > 1 else -1)
+            before = chain
+        seen += len(got)
+    assert seen > 500
+
+
+def test_the_cut_turns_blocks_that_their_cost_alone_gets_wrong():
+    """Pages without any telling class or element: short answers between long paragraphs, a sentence among links."""
+    rng, wrong_alone, wrong_cut, n = random.Random(3), 0, 0, 0
+    for _ in range(40):
+        body = []
+        for _ in range(8):
+            body.append("A paragraph of the story, long enough to be told from links, with a comma or two. " * rng.randint(1, 3))
+            if rng.random() < 0.5:
+                body.append(rng.choice(["Yes", "No", "Maybe so", "Not yet"]))
+        body.append("And so it ended, as all had known that it would from the first day on.")
+        page = ("<div>" + "".join(f"<div><a href=x>{w}</a></div>" for w in ("Home", "News", "About us")) + "</div><div>"
+                + "".join(f"<p>{x}</p>" for x in body) + "</div><div><span>Call us | 555</span></div>")
+        want = {" ".join(x.split()) for x in body}
+        blocks = blocks_of(page)
+        alone = [x > 0 for x in np.clip(block_inputs(blocks) @ PRIOR_WEIGHTS[:-1] + PRIOR_WEIGHTS[-1], -3, 3)]
+        kept = main_text(page).split("\n")
+        wrong_alone += sum((b[0] in want) != a for b, a in zip(blocks, alone))
+        wrong_cut += sum((b[0] in want) != (b[0] in kept) for b in blocks)
+        n += len(blocks)
+    assert wrong_alone > 0.1 * n and wrong_cut == 0
+
+
+def test_an_articles_id_names_its_subject():
+    text = "<p>A long paragraph, with many words in it, that says something to the reader.</p>" * 12
+    for i in ("comments-on-policy", "cookie-recipes", "reply-to-critics", "ads"):
+        assert main_text(f"<article id='{i}'>{text}</article>").count("\n") == 11
+    for attributes in ("id='comment-12'", "id='div-comment-12'", "class='comment'", "id='reply-to-critics' class='comment'"):
+        assert main_text(f"<article>{text}<section class=comments><article {attributes}>{text}</article></section></article>").count("\n") == 11
+
+
+def test_deep_pages_take_linear_time():
+    start = time.time()
+    for page, blocks in (("<div>word here. " * 100_000, 100_000), ("<noscript>word " * 100_000, 1),
+                         ("<div>" + "<b>x " * 20_000 + "<i>y<div>z</div></i>" * 20_000, 40_000)):
+        assert len(blocks_of(page)) == blocks and isinstance(main_text(page), str)
+    assert time.time() - start < 60
