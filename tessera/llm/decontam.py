@@ -12,8 +12,10 @@ occurrence of a segment lies whole in some passage. A passage is a query of its
 * segments of the blocks that are left are scored exactly with all terms.
 
 All steps work on whole slices of texts at once with numpy. Hits are verified: at least ``overlap`` of the
-word ``GRAM``-grams of the item's question and of its answer must be in the text. Words are compared in
-lower case without ASCII punctuation.
+word ``GRAM``-grams of the item's question and of its answer must be in the text; an item of one sentence has no
+answer of its own. Words are compared in lower case without punctuation and symbols; a character of a script that
+is written without blanks is a word, so ``GRAM``-grams are character n-grams there. Items of fewer than ``MIN_WORDS``
+words are common phrases rather than test items and are not searched.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import batch as bt
@@ -32,6 +34,18 @@ SEGMENT, GRAM, POSTING_BLOCK = 64, 3, 4
 K1, B = 1.2, 0.75
 #: Most bytes of item words in one index; a larger benchmark is scanned in several indexes, one after another.
 INDEX_BYTES = 32 << 20
+#: Least words of an item that is searched.
+MIN_WORDS = 5
+#: Punctuation, symbols and blanks beyond ASCII, and the scripts written without blanks.
+OTHER_BREAKS = r"[\p{P}\p{S}\p{Z}&&[^\x00-\x7F]]+"
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+
+
+def _lower(col: str | Column) -> Column:
+    """Lower case; what breaks words beyond ASCII becomes blanks, unspaced characters stand alone."""
+    low = F.lower((F.col(col) if isinstance(col, str) else col).cast("string"))
+    broken = F.when(low.rlike(OTHER_BREAKS), F.regexp_replace(low, OTHER_BREAKS, " ")).otherwise(low)
+    return F.when(low.rlike(UNSPACED), F.regexp_replace(broken, UNSPACED, " $0 ")).otherwise(broken)
 
 
 def _item_batches(batches: Iterator[pa.RecordBatch], has_answer: bool) -> Iterator[pa.RecordBatch]:
@@ -54,9 +68,9 @@ def _item_batches(batches: Iterator[pa.RecordBatch], has_answer: bool) -> Iterat
 class Index:
     """Postings of one part of the benchmark as sorted arrays; broadcast to the tasks."""
 
-    def __init__(self, items: list[tuple], df: dict[int, int], n_items: int, mean_words: float, threshold: float):
+    def __init__(self, items: list[tuple], id_type: pa.DataType, df: dict[int, int], n_items: int, mean_words: float, threshold: float):
         self.threshold = threshold
-        self.ids = np.array([i for i, _, _ in items], dtype=np.int64)
+        self.ids = pa.array([i for i, _, _ in items], id_type)
         self.q = [np.array(q, dtype=np.int64).view(np.uint64) for _, q, _ in items]
         self.a = [np.array(a, dtype=np.int64).view(np.uint64) for _, _, a in items]
         seg_item, seg_terms = [], []
@@ -214,14 +228,17 @@ class Index:
 
 
 def build_indexes(benchmark: DataFrame, threshold: float, id_col: str = "item_id", text_col: str = "text",
-                  answer_col: str | None = None) -> list:
-    """Broadcast indexes that hold every item (rows with a null id or without words are left out)."""
+                  answer_col: str | None = None, min_words: int = MIN_WORDS) -> list:
+    """Broadcast indexes that hold every item of ``min_words`` words or more (rows with a null id are left out).
+
+    Ids may be of any type that can be ordered.
+    """
     spark = benchmark.sparkSession
     items = benchmark.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("item_id"), F.lower(F.col(text_col).cast("string")).alias("question"),
-        F.lower((F.col(answer_col) if answer_col else F.lit(None)).cast("string")).alias("answer"))
+        F.col(id_col).alias("item_id"), _lower(text_col).alias("question"), _lower(answer_col or F.lit(None)).alias("answer"))
     hashed = items.mapInArrow(lambda it: _item_batches(it, answer_col is not None),
-                              "item_id long, q array<long>, a array<long>").where("size(q) + size(a) > 0")
+                              f"item_id {dict(items.dtypes)['item_id']}, q array<long>, a array<long>"
+                              ).where(F.size("q") + F.size("a") >= max(min_words, 1))
     words = F.concat("q", "a")
     n, total = hashed.agg(F.count("*"), F.coalesce(F.sum(F.size(words)), F.lit(0))).first()
     parts = max(1, -(-8 * total // INDEX_BYTES))
@@ -230,9 +247,10 @@ def build_indexes(benchmark: DataFrame, threshold: float, id_col: str = "item_id
     out = []
     for p in range(parts):  # each part is bounded by INDEX_BYTES; parts are scanned one after another
         mine = hashed.where(F.pmod(F.xxhash64("item_id", "q"), F.lit(parts)) == p)
-        rows = sorted({(r.item_id, tuple(r.q), tuple(r.a)) for r in mine.toLocalIterator()})
+        got = mine.toArrow()
+        rows = sorted({(i, tuple(q), tuple(a)) for i, q, a in zip(*(got.column(c).to_pylist() for c in ("item_id", "q", "a")))})
         seen = df.join(mine.select(F.explode(words).alias("w")).distinct(), "w", "left_semi")
-        out.append(spark.sparkContext.broadcast(Index(rows, {r.w: r.df for r in seen.toLocalIterator()}, n, total / max(n, 1), threshold)))
+        out.append(spark.sparkContext.broadcast(Index(rows, got.schema.field("item_id").type, {r.w: r.df for r in seen.toLocalIterator()}, n, total / max(n, 1), threshold)))
     return out
 
 
@@ -247,10 +265,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     """(doc_id, item_id, score, question_overlap, answer_overlap) for every text that holds an item.
 
     Texts never move: one Arrow pass per index over (id, text). Null and empty texts hold nothing; a repeated
-    row is reported for each of its rows; rows with a null id are reported with that null. Items that several
+    row is reported for each of its rows; rows with a null id are reported with that null. Ids keep their types. Items that several
     rows repeat word for word under one id count once. An empty benchmark gives no rows.
     """
-    lower = docs.select(F.col(id_col).cast("long").alias("id"), F.lower(F.col(text_col).cast("string")).alias("text"))
+    lower = docs.select(F.col(id_col).alias("id"), _lower(text_col).alias("text"))
 
     def scan(batches, index):
         for b in batches:
@@ -258,11 +276,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                     for t, i, s, q, a in index.value.find(h, off, overlap)]
             ids = b.column("id").take(pa.array([x[0] for x in hits], pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([int(index.value.ids[x[1]]) for x in hits], pa.int64())]
+                [ids, index.value.ids.take(pa.array([x[1] for x in hits], pa.int64()))]
                 + [pa.array([float(x[c]) for x in hits], pa.float64()) for c in (2, 3, 4)],
                 ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
 
-    schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
+    schema = f"doc_id {dict(lower.dtypes)['id']}, item_id {dict(benchmark.dtypes)[benchmark_columns.get('id_col', 'item_id')]}, "
+    schema += "score double, question_overlap double, answer_overlap double"
     parts = [lower.mapInArrow(lambda it, ix=ix: bt.tidy(scan(it, ix)), schema) for ix in build_indexes(benchmark, threshold, **benchmark_columns)]
     out = parts[0]
     for p in parts[1:]:
@@ -275,7 +294,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     """The rows of ``docs`` (all columns, in place, no shuffle) whose text holds no benchmark item."""
     out = docs
     for ix in build_indexes(benchmark, threshold, **benchmark_columns):
-        out = out.where(~_holds_item(ix, overlap)(F.lower(F.col(text_col).cast("string"))))
+        out = out.where(~_holds_item(ix, overlap)(_lower(text_col)))
     return out
 
 

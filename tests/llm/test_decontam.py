@@ -116,3 +116,31 @@ def test_edges(spark):
     none = b.limit(0)
     assert find_leaks(docs, none).count() == 0 and decontaminate(docs, none).count() == 6
     assert find_leaks(docs.limit(0), b).count() == 0 and decontaminate(docs.limit(0), b).count() == 0
+
+
+def test_ids_of_any_type(spark):
+    text = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    docs = spark.createDataFrame([("d-1", text), ("d-2", "nothing here"), (None, text)], "name string, text string")
+    b = spark.createDataFrame([("set/1", text), ("set/2", "other words that no text of these would ever hold")], "item_id string, text string")
+    got = find_leaks(docs, b, id_col="name")
+    assert dict(got.dtypes)["doc_id"] == dict(got.dtypes)["item_id"] == "string"
+    assert sorted((str(r.doc_id), r.item_id) for r in got.collect()) == [("None", "set/1"), ("d-1", "set/1")]
+    assert find_leaks(docs, b.limit(0), id_col="name").count() == 0
+    assert [r.name for r in decontaminate(docs, b).collect()] == ["d-2"]
+
+
+def test_short_items_are_no_test_items(spark):
+    docs = spark.createDataFrame([(1, "The end of the day"), (2, "one two three four five")], "doc_id long, text string")
+    b = spark.createDataFrame([(1, "The"), (2, "the end"), (3, "one two three four five")], "item_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in find_leaks(docs, b).collect()] == [(2, 3)]
+    assert {(r.doc_id, r.item_id) for r in find_leaks(docs, b, min_words=1).collect()} == {(1, 1), (1, 2), (2, 3)}
+
+
+def test_unspaced_scripts_and_typographic_marks(spark):
+    item = "\u5730\u7403\u7ed5\u7740\u592a\u9633\u8f6c\u52a8\u4e00\u5468\u9700\u8981\u591a\u957f\u65f6\u95f4"
+    quoted = "Which word did she call \u201cthe longest\u201d \u2014 and why\u2026"
+    plain = 'which word did she call "the longest" - and why'
+    other = "\u4eca\u5929\u5929\u6c14\u5f88\u597d\u6211\u4eec\u53bb\u516c\u56ed\u6563\u6b65"
+    docs = spark.createDataFrame([(1, other + item + "\u3002" + other), (2, other), (3, "x " * 30 + plain + " y" * 30)], "doc_id long, text string")
+    b = spark.createDataFrame([(1, item), (2, quoted)], "item_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in find_leaks(docs, b).collect()) == [(1, 1), (3, 2)]
