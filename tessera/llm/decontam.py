@@ -36,16 +36,18 @@ K1, B = 1.2, 0.75
 INDEX_BYTES = 32 << 20
 #: Least words of an item that is searched.
 MIN_WORDS = 5
-#: Punctuation, symbols and blanks beyond ASCII, and the scripts written without blanks.
-OTHER_BREAKS = r"[\p{P}\p{S}\p{Z}&&[^\x00-\x7F]]+"
-UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+#: Punctuation, symbols and blanks beyond ASCII (the range stands first: it settles most characters).
+OTHER_BREAKS = r"[[\x{80}-\x{10FFFF}]&&[\p{P}\p{S}\p{Z}]]+"
+#: Blocks of the scripts written without blanks: Thai and Lao, Myanmar, Khmer, Kana, Han with its extensions.
+UNSPACED = (r"[[\x{E00}-\x{10FFFF}]&&[\x{E00}-\x{EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{4DBF}"
+            r"\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]]")
 
 
 def _lower(col: str | Column) -> Column:
-    """Lower case; what breaks words beyond ASCII becomes blanks, unspaced characters stand alone."""
+    """Lower case; what breaks words beyond ASCII becomes blanks, unspaced characters stand alone. ASCII texts stay."""
     low = F.lower((F.col(col) if isinstance(col, str) else col).cast("string"))
-    broken = F.when(low.rlike(OTHER_BREAKS), F.regexp_replace(low, OTHER_BREAKS, " ")).otherwise(low)
-    return F.when(low.rlike(UNSPACED), F.regexp_replace(broken, UNSPACED, " $0 ")).otherwise(broken)
+    other = F.regexp_replace(F.regexp_replace(low, OTHER_BREAKS, " "), UNSPACED, " $0 ")
+    return F.when(F.length(low) == F.octet_length(low), low).otherwise(other)
 
 
 def _item_batches(batches: Iterator[pa.RecordBatch], has_answer: bool) -> Iterator[pa.RecordBatch]:
