@@ -103,6 +103,9 @@ def fixed_chunk_col(col, size: int, overlap: int = 0) -> Column:
     step = size - overlap
     if step <= 0:
         raise ValueError("overlap must be smaller than size")
+    if overlap == 0:  # one pass over the text; a window by substring() would count the characters before it again
+        return F.transform(F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(f"(?s).{{1,{size}}}"), 0),
+                           lambda t, i: F.struct(i.alias("chunk_no"), t.alias("text")))
     n = F.length(c)
     last = F.greatest(n - overlap - 1, F.lit(0))
     starts = F.when(n > 0, F.sequence(F.lit(0), last, F.lit(step))).otherwise(F.array().cast("array<int>"))

@@ -2,17 +2,20 @@
 
 The default encoder is a hashed bag of words: token -> bucket
 ``int(sha256(token)[:8], 16) % dim``, term counts, L2-normalised, float32.
-Buckets are computed JVM-side; the count vector is one ``np.bincount`` per row
-in an Arrow UDF. A user encoder (``Callable[[list[str]], np.ndarray]``) runs
+Texts are cut into tokens JVM-side; an Arrow UDF hashes each distinct token of a
+slice of rows once and counts the whole slice with one ``np.bincount``. A user encoder (``Callable[[list[str]], np.ndarray]``) runs
 through ``mapInPandas`` once per Arrow batch, loaded once per Python worker.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +25,8 @@ from tessera.functions.text import collection_name, word_tokens
 from tessera.sources.collections import collection_append
 
 DIM = 64
+#: Rows whose tokens are hashed and counted at a time.
+SLICE_ROWS = 1024
 
 
 def bucket_ids(col, dim: int = DIM) -> Column:
@@ -30,24 +35,39 @@ def bucket_ids(col, dim: int = DIM) -> Column:
                                               F.lit(dim)).cast("int"))
 
 
-def _bincount_udf(dim: int):
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def _vec(buckets: pd.Series) -> pd.Series:
-        out = []
-        for b in buckets:
-            if b is None:
-                out.append(None)
-                continue
-            v = np.bincount(np.asarray(b, dtype=np.int64), minlength=dim).astype(np.float64)
-            n = np.sqrt(np.dot(v, v))
-            out.append((v / n if n > 0 else v).astype(np.float32))
-        return pd.Series(out)
+def _token_buckets(tokens: pa.Array, dim: int) -> np.ndarray:
+    """Bucket of each token, as ``bucket_ids`` has it; a token that repeats is hashed once."""
+    coded = tokens.dictionary_encode()
+    of = np.array([int.from_bytes(hashlib.sha256(t.encode()).digest()[:4], "big") % dim for t in coded.dictionary.to_pylist()],
+                  dtype=np.int64)
+    return of[coded.indices.to_numpy()]
+
+
+def _count_vectors(rows: pa.Array, dim: int) -> np.ndarray:
+    """Unit-length bucket counts (n, dim) of n token lists; a list without tokens gives zeros."""
+    n_of = pc.fill_null(pc.list_value_length(rows), 0).to_numpy()
+    at = np.repeat(np.arange(len(rows)) * dim, n_of)
+    tokens = rows.flatten()
+    if len(tokens):
+        at += _token_buckets(tokens, dim)
+    v = np.bincount(at, minlength=len(rows) * dim).reshape(-1, dim).astype(np.float64)
+    norm = np.sqrt((v * v).sum(axis=1, keepdims=True))  # counts: exact in any order
+    return np.divide(v, norm, out=v, where=norm > 0).astype(np.float32)
+
+
+def _count_udf(dim: int):
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    def _vec(rows: pa.Array) -> pa.Array:
+        parts = [_count_vectors(rows.slice(lo, SLICE_ROWS), dim).ravel() for lo in range(0, len(rows), SLICE_ROWS)]
+        values = np.concatenate(parts) if parts else np.zeros(0, dtype=np.float32)
+        ends = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * dim, type=pa.int32())
+        return pa.ListArray.from_arrays(ends, pa.array(values), mask=rows.is_null())
     return _vec
 
 
 def hashed_embedding(col, dim: int = DIM) -> Column:
     """Column: default unit-length hashed bag-of-words vector (array<float>)."""
-    return _bincount_udf(dim)(bucket_ids(col, dim))
+    return _count_udf(dim)(word_tokens(col))
 
 
 def hashed_embeddings(texts: Column, dim: int = DIM) -> Column:
