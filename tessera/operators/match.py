@@ -4,9 +4,10 @@ Plan for ``best_match``: articles stay where they are, and no (passage, article)
 
 1. The passages' sorted distinct tokens are broadcast (size proved by an aggregate first; a larger passage
    table is cut into blocks of ``PASSAGE_BYTES`` that are matched one after another).
-2. First pass (``mapInPandas`` over article partitions): an inverted index from token to passages gives, per
-   article, the shared token count and length for all passages at once; two of the three ratio terms are
-   closed forms of them. Each partition returns only its best closed score and first order per passage.
+2. First pass (``mapInArrow`` over article partitions): an inverted index from token to passages gives, for a slice
+   of articles, the shared token counts and lengths with all passages at once; two of the three ratio terms are
+   closed forms of them. Tokens stay in Arrow columns, and a slice has at most ``SLICE_HITS`` shared tokens, so a
+   worker's memory does not follow the number of articles. Each partition returns only its best closed score and first order per passage.
 3. These reduce to one threshold per passage, which is broadcast with the passages. ``exact=False`` ends here.
 4. Second pass: the third term is bounded by ``2(s+1+min(a,b))/(2s+2+a+b)`` (without shared tokens by
    ``2min(a,b)/(a+b)`` and a character count); only pairs whose bound can still win get the exact LCS, and a
@@ -20,6 +21,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +34,8 @@ from tessera.session import ship_package
 
 #: Most bytes of passage tokens in one broadcast block.
 PASSAGE_BYTES = 32 << 20
+#: Most tokens that a slice of articles can share with the passages, and most articles in it.
+SLICE_HITS, SLICE_ARTICLES = 1 << 20, 1024
 
 
 def drop_duplicate_rows(df: DataFrame, required=()) -> DataFrame:
@@ -82,17 +87,34 @@ class Passages:
         for i, t in enumerate(self.tokens):
             for w in t:
                 index.setdefault(w, []).append(i)
-        self.index = {w: np.array(v, dtype=np.int64) for w, v in index.items()}
-
-    def shared(self, tokens: list[str]):
-        """(s, a, b, closed score) against one article's distinct tokens, for every passage."""
-        ns, ls = np.zeros(len(self.pid), dtype=np.int64), np.zeros(len(self.pid), dtype=np.int64)
-        for w in tokens:
-            at = self.index.get(w)
-            if at is not None:
-                ns[at] += 1
-                ls[at] += len(w)
-        nd, ld = len(tokens), sum(map(len, tokens))
+        # passages of the j-th word: flat[start[j]:start[j + 1]]
+        self.words = pa.array(list(index), type=pa.string())
+        self.start = np.cumsum([0, *map(len, index.values())])
+        self.flat = np.array([i for v in index.values() for i in v], dtype=np.int64)
+
+    def slices(self, batches):
+        """(article orders, token lists) of slices that share at most ``SLICE_HITS`` tokens with the passages."""
+        step = max(1, min(SLICE_ARTICLES, SLICE_HITS // max(1, len(self.flat))))
+        for batch in batches:
+            for lo in range(0, batch.num_rows, step):
+                part = batch.slice(lo, step)
+                yield pc.fill_null(part.column("did"), np.iinfo(np.int64).max).to_numpy(), part.column("dtoks")
+
+    def shared(self, lists: pa.Array):
+        """(s, a, b, closed score) of each article's distinct tokens with every passage: (articles, passages) arrays."""
+        shape = len(lists), len(self.pid)
+        tokens = lists.flatten()
+        n_of = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+        row, size = np.repeat(np.arange(len(lists)), n_of), pc.utf8_length(tokens).to_numpy().astype(np.int64)
+        nd, ld = n_of.astype(np.int64)[:, None], np.bincount(row, weights=size, minlength=len(lists)).astype(np.int64)[:, None]
+        word = pc.fill_null(pc.index_in(tokens, value_set=self.words), -1).to_numpy()
+        known = word >= 0
+        row, size, word = row[known], size[known], word[known]
+        many = self.start[word + 1] - self.start[word]
+        at = np.repeat(self.start[word] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        cell = np.repeat(row, many) * shape[1] + self.flat[at]
+        ns = np.bincount(cell, minlength=shape[0] * shape[1]).reshape(shape)
+        ls = np.bincount(cell, weights=np.repeat(size, many), minlength=shape[0] * shape[1]).astype(np.int64).reshape(shape)
         s, a, b = _joined(ns, ls), _joined(self.n - ns, self.length - ls), _joined(nd - ns, ld - ls)
         r1 = np.where(a == 0, 100, _ratios(2 * s, 2 * s + 1 + a))
         r2 = np.where(b == 0, 100, _ratios(2 * s, 2 * s + 1 + b))
@@ -104,39 +126,43 @@ def _better(score, did, best, first):
     return (score > best) | ((score == best) & (score > 0) & (did < first))
 
 
-def _emit(passages: Passages, best, first) -> pd.DataFrame:
+def _emit(passages: Passages, best, first) -> pa.RecordBatch:
     at = np.flatnonzero(best > 0)
-    return pd.DataFrame({"pid": passages.pid[at], "score": best[at].astype("int32"), "did": first[at]})
+    return pa.RecordBatch.from_arrays([pa.array(passages.pid[at]), pa.array(best[at].astype("int32")), pa.array(first[at])],
+                                      names=["pid", "score", "did"])
 
 
 def _closed_pass(batches, shared):
     passages, _, _ = shared.value
     best, first = np.zeros(len(passages.pid), dtype=np.int64), np.full(len(passages.pid), np.iinfo(np.int64).max)
-    for pdf in batches:
-        for did, tokens in zip(pdf["did"], pdf["dtoks"]):
-            score = passages.shared([] if tokens is None else list(tokens))[3]
-            win = _better(score, did, best, first)
-            best[win], first[win] = score[win], did
+    for did, lists in passages.slices(batches):
+        scores = passages.shared(lists)[3]
+        score = scores.max(axis=0)
+        did = np.where(scores == score, did[:, None], np.iinfo(np.int64).max).min(axis=0)
+        win = _better(score, did, best, first)
+        best[win], first[win] = score[win], did[win]
     yield _emit(passages, best, first)
 
 
 def _exact_pass(batches, shared):
     passages, best, first = shared.value
     best, first = best.copy(), first.copy()  # thresholds rise with what this partition finds
-    for pdf in batches:
-        for did, tokens in zip(pdf["did"], pdf["dtoks"]):
-            tokens = [] if tokens is None else list(tokens)
-            s, a, b, _ = passages.shared(tokens)
-            some = (a > 0) & (b > 0)
-            bound = np.where(s > 0, _ratios(2 * (s + 1 + np.minimum(a, b)), 2 * s + 2 + a + b), _ratios(2 * np.minimum(a, b), a + b))
+    for dids, lists in passages.slices(batches):
+        s, a, b, _ = passages.shared(lists)
+        low = np.minimum(a, b)
+        bound = np.where(s > 0, _ratios(2 * (s + 1 + low), 2 * s + 2 + a + b), _ratios(2 * low, a + b))
+        able = (a > 0) & (b > 0) & _better(bound, dids[:, None], best, first)
+        for j in np.flatnonzero(able.any(axis=1)):
+            did, tokens = int(dids[j]), lists[int(j)].as_py() or []
             own = set(tokens)
-            for i in np.flatnonzero(some & _better(bound, did, best, first)):
+            for i in np.flatnonzero(able[j] & _better(bound[j], did, best, first)):
                 mine = set(passages.tokens[i])
                 left = " ".join(w for w in passages.tokens[i] if w not in own)
                 right = " ".join(w for w in tokens if w not in mine)
-                base, total = (s[i] + 1, 2 * s[i] + 2 + a[i] + b[i]) if s[i] > 0 else (0, a[i] + b[i])
+                sh, rest = s[j, i], a[j, i] + b[j, i]
+                base, total = (sh + 1, 2 * sh + 2 + rest) if sh > 0 else (0, rest)
                 # the character bound is cheap and prunes well only without shared tokens
-                if s[i] == 0 and not _better(fuzzy.ratio_from(fuzzy.char_bound(left, right), total), did, best[i], first[i]):
+                if sh == 0 and not _better(fuzzy.ratio_from(fuzzy.char_bound(left, right), total), did, best[i], first[i]):
                     continue
                 score = fuzzy.ratio_from(base + fuzzy.lcs_len(left, right), total)
                 if _better(score, did, best[i], first[i]):
@@ -176,13 +202,13 @@ def best_match(passages: DataFrame, articles: DataFrame, pid: str = "example_id"
         held = Passages([(r.pid, r.toks) for r in part.orderBy("pid").collect()])  # at most PASSAGE_BYTES
         none = np.zeros(len(held.pid), dtype=np.int64), np.full(len(held.pid), np.iinfo(np.int64).max)
         shared = spark.sparkContext.broadcast((held, *none))
-        found = _reduce(d.mapInPandas(lambda it, s=shared: _closed_pass(it, s), "pid long, score int, did long"))
+        found = _reduce(d.mapInArrow(lambda it, s=shared: _closed_pass(it, s), "pid long, score int, did long"))
         if exact:
             closed = {r.pid: (r.score, r.did) for r in found.collect()}  # one row per passage of the block
             at = [closed.get(x, (0, none[1][0])) for x in held.pid.tolist()]
             low = np.array([x[0] for x in at], dtype=np.int64), np.array([x[1] for x in at], dtype=np.int64)
             shared2 = spark.sparkContext.broadcast((held, *low))
-            found = _reduce(d.mapInPandas(lambda it, s=shared2: _exact_pass(it, s), "pid long, score int, did long"))
+            found = _reduce(d.mapInArrow(lambda it, s=shared2: _exact_pass(it, s), "pid long, score int, did long"))
         best = found if best is None else best.unionByName(found)
     ids = articles.select(F.col(order).alias("did"), F.col(id_col).cast("long").alias("best_match_id"), *keys)
     res = asked.select("pid", "key").join(best, "pid", "left").join(ids, "did", "left")

@@ -58,3 +58,25 @@ def test_fixed_windows_read_a_text_once(spark):
     for r in df.collect():
         want = [(r.t or "")[i:i + 3] for i in range(0, len(r.t or ""), 3)]
         assert [(x.chunk_no, x.text) for x in r.w] == list(enumerate(want))
+
+
+def test_best_match_pass_holds_a_slice_of_articles(spark):
+    from types import SimpleNamespace
+
+    from tessera.operators import match as M
+
+    held = M.Passages([(i, [f"w{j}" for j in range(i, i + 40)]) for i in range(200)])
+    none = np.zeros(200, dtype=np.int64), np.full(200, np.iinfo(np.int64).max)
+    tokens = pa.array([[f"w{j}" for j in range(i % 97, i % 97 + 300)] for i in range(5000)] + [None, []])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5002)), tokens], names=["did", "dtoks"])
+    found = []
+    peak = _peak_mb(lambda: found.extend(M._closed_pass([batch], SimpleNamespace(value=(held, *none)))))
+    assert peak < 150
+    best = {p: (s, d) for p, s, d in zip(*(c.to_pylist() for c in found[0].columns))}
+    assert best[0] == (100, 0) and best[199] == (100, 0)
+    # several slices and one give the same
+    step, M.SLICE_ARTICLES = M.SLICE_ARTICLES, 7
+    try:
+        assert next(iter(M._closed_pass([batch], SimpleNamespace(value=(held, *none))))).equals(found[0])
+    finally:
+        M.SLICE_ARTICLES = step
