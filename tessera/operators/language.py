@@ -28,9 +28,10 @@ Ties go to the greater language code; a text with no known trigram gets NULL
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +43,17 @@ SCALE = 1_000_000
 # (it is bounded by the trigram alphabet); larger ones use the relational path.
 BROADCAST_GRAMS = 2_000_000
 
-_NON_LETTERS = regex.compile(r"\P{L}+")
+#: Trigrams that training holds uncounted in a worker, and distinct ones it holds counted, at most about.
+HELD_GRAMS = 1 << 20
+
+
+@cache
+def _letters() -> np.ndarray:
+    """Whether each code point is a letter."""
+    table = np.zeros(0x110000, dtype=bool)
+    for m in regex.finditer(r"\p{L}+", "".join(map(chr, range(len(table))))):
+        table[m.start():m.end()] = True
+    return table
 
 
 def gram_keys(text: str) -> np.ndarray:
@@ -51,8 +62,12 @@ def gram_keys(text: str) -> np.ndarray:
     Same multiset as ``char_trigrams``: non-letter runs become one space, the
     text is padded, and every window whose middle code point is a letter counts.
     """
-    s = " " + _NON_LETTERS.sub(" ", text.lower()) + " "
-    a = np.frombuffer(s.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+    a = np.frombuffer(f" {text.lower()} ".encode("utf-32-le"), dtype=np.uint32)
+    letter = _letters()[a]
+    first = letter.copy()  # letters, and of each run of others the first
+    first[0] = True
+    first[1:] |= letter[:-1]
+    a = np.where(letter, a, 32)[first].astype(np.int64)
     if len(a) < 3:
         return np.zeros(0, dtype=np.int64)
     keys = (a[:-2] << 42) | (a[1:-1] << 21) | a[2:]
@@ -87,22 +102,55 @@ class LanguageProfile:
     languages: list[str]
 
 
-def _doc_gram_counts(it):
-    """Per Arrow batch and language: distinct trigram keys and their counts (pre-aggregated)."""
-    for pdf in it:
-        by_lang: dict[str, list[np.ndarray]] = {}
-        for lang, text in zip(pdf["lang"], pdf["text"]):
-            by_lang.setdefault(lang, []).append(gram_keys(text or ""))
-        for lang, parts in by_lang.items():
-            keys, counts = np.unique(np.concatenate(parts), return_counts=True)
-            yield pd.DataFrame({"lang": lang, "gram": [decode_gram(int(k)) for k in keys],
-                                "c": counts.astype("int64")})
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, counts) of several (keys, counts), each key once."""
+    keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    counts = np.zeros(len(keys), dtype=np.int64)
+    np.add.at(counts, at, np.concatenate([c for _, c in parts]))
+    return keys, counts
+
+
+def _doc_gram_counts(batches):
+    """Distinct trigrams and their counts per language, pre-aggregated over a partition.
+
+    A text is read out of its Arrow batch alone, its keys are counted once ``HELD_GRAMS`` are held, and counts are
+    returned when they have that many distinct keys: a worker's memory follows neither the batch nor the partition.
+    """
+    counted: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    held: dict[str, list[np.ndarray]] = {}
+    n_held = 0
+
+    def count():
+        for lang, parts in held.items():
+            new = np.unique(np.concatenate(parts), return_counts=True)
+            counted[lang] = _summed([counted[lang], new]) if lang in counted else new
+        held.clear()
+
+    def emit():
+        for lang, (keys, counts) in counted.items():
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), type=pa.string()),
+                                              pa.array([decode_gram(k) for k in keys.tolist()], type=pa.string()),
+                                              pa.array(counts, type=pa.int64())], names=["lang", "gram", "c"])
+        counted.clear()
+
+    for batch in batches:
+        for lang, text in zip(batch.column("lang"), batch.column("text")):
+            keys = gram_keys(text.as_py() or "")
+            held.setdefault(lang.as_py(), []).append(keys)
+            n_held += len(keys)
+            if n_held >= HELD_GRAMS:
+                count()
+                n_held = 0
+                if sum(len(k) for k, _ in counted.values()) >= HELD_GRAMS:
+                    yield from emit()
+    count()
+    yield from emit()
 
 
 def train_profile(df: DataFrame, text: str = "text", lang: str = "lang") -> LanguageProfile:
-    """Trigram counts per language (per-document counts in Python, then one partial-aggregated sum)."""
+    """Trigram counts per language (per-partition counts in Python, then one partial-aggregated sum)."""
     labelled = spread(df.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text")))
-    per_doc = labelled.mapInPandas(_doc_gram_counts, "lang string, gram string, c long")
+    per_doc = labelled.mapInArrow(_doc_gram_counts, "lang string, gram string, c long")
     counts = per_doc.groupBy("lang", "gram").agg(F.sum("c").alias("c")).checkpoint()
     languages = sorted(r[0] for r in counts.select("lang").distinct().collect())
     vocab = counts.agg(F.countDistinct("gram").alias("V"))
@@ -160,7 +208,7 @@ def language_scores(df: DataFrame, key: str | list[str], text: str, profile: Lan
 
 
 def _scorer(profile: LanguageProfile):
-    """Broadcast the (bounded) profile and return a pandas UDF: text -> best language."""
+    """Broadcast the (bounded) profile and return an Arrow UDF: text -> best language, one text in Python at a time."""
     langs = profile.languages
     rows = profile.weights.collect()  # size checked by the caller
     keys = np.array([encode_gram(r["gram"]) for r in rows], dtype=np.int64)
@@ -170,11 +218,12 @@ def _scorer(profile: LanguageProfile):
     k = np.array([int(norms[f"k_{l}"]) for l in langs], dtype=np.int64)
     bc = profile.weights.sparkSession.sparkContext.broadcast((keys[order], w[order], k, list(langs)))
 
-    @F.pandas_udf("string")
-    def best_language(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("string")
+    def best_language(texts: pa.Array) -> pa.Array:
         pk, pw, kk, ls = bc.value
         out = []
         for t in texts:
+            t = t.as_py()
             if t is None or len(pk) == 0:
                 out.append(None)
                 continue
@@ -188,7 +237,7 @@ def _scorer(profile: LanguageProfile):
             score = cnt[hit].astype(np.int64) @ pw[idx[hit]] - n * kk  # exact integer arithmetic
             j = len(ls) - 1 - int(np.argmax(score[::-1]))  # ties go to the greater language code
             out.append(ls[j])
-        return pd.Series(out, dtype=object)
+        return pa.array(out, type=pa.string())
 
     # Marked nondeterministic so Catalyst evaluates it once, where it is written: a deterministic
     # UDF would be duplicated into a filter pushed below the repartition that spreads the work.

@@ -80,3 +80,24 @@ def test_best_match_pass_holds_a_slice_of_articles(spark):
         assert next(iter(M._closed_pass([batch], SimpleNamespace(value=(held, *none))))).equals(found[0])
     finally:
         M.SLICE_ARTICLES = step
+
+
+def test_training_counts_trigrams_in_bounded_memory(monkeypatch):
+    from collections import Counter
+
+    from tessera.operators import language as L
+
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdeé"), 6)) for _ in range(400)]
+    texts = [" ".join(rng.choice(words, 300)) for _ in range(4000)] + [None, "", "1 2"]
+    batch = pa.RecordBatch.from_arrays([pa.array(["x", "y"] * 2000 + ["x"] * 3), pa.array(texts)], names=["lang", "text"])
+    found = []
+    L._letters()
+    assert _peak_mb(lambda: found.extend(L._doc_gram_counts([batch]))) < 100
+    want = Counter((lang, L.decode_gram(int(k))) for lang, t in zip(["x", "y"] * 50, texts[:100]) for k in L.gram_keys(t))
+    monkeypatch.setattr(L, "HELD_GRAMS", 500)  # many counts and several frames
+    got = Counter()
+    for b in L._doc_gram_counts([batch.slice(0, 60), batch.slice(60, 40)]):
+        for lang, gram, c in zip(*(x.to_pylist() for x in b.columns)):
+            got[lang, gram] += c
+    assert got == want
