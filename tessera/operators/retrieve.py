@@ -15,8 +15,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tessera.functions.plan import write_through
 from tessera.session import ship_package
@@ -24,6 +28,8 @@ from tessera.session import ship_package
 ROUND = 9
 #: Most values of a broadcast query matrix, of a grid cell, and of one block of scores (8 bytes each).
 BROADCAST_FLOATS, CELL_FLOATS, SCORE_BLOCK = 16 << 20, 8 << 20, 4 << 20
+#: Scores of a block that are rounded and cut at a time.
+CUT_SCORES = 1 << 18
 
 
 def _local_topk(qids, qmat, cids, cmat, k, metric):
@@ -37,17 +43,52 @@ def _local_topk(qids, qmat, cids, cmat, k, metric):
 
 def _block_topk(qids, qmat, cids, cmat, k, metric):
     dots = qmat @ cmat.T                                     # (q, c), at most SCORE_BLOCK values
+    qids, cids = np.asarray(qids), np.asarray(cids)
     if metric == "l2":
-        l2 = np.einsum("ij,ij->i", qmat, qmat)[:, None] + np.einsum("ij,ij->i", cmat, cmat)[None, :] - 2.0 * dots
-        key = np.round(l2, ROUND)
-    else:
-        key = -np.round(dots, ROUND)
-    # every vector tied with a query's k-th key stays, so the global tie-break sees them all
-    cut = np.partition(key, k - 1, axis=1)[:, k - 1:k] if k < len(cids) else np.full((len(qids), 1), np.inf)
-    qi, ci = np.nonzero(key <= cut)
-    out = pd.DataFrame({"qid": np.asarray(qids)[qi], "chunk_id": np.asarray(cids)[ci], "score": dots[qi, ci]})
-    out["l2_sq"] = l2[qi, ci] if metric == "l2" else np.nan
-    return out
+        qn, cn = np.einsum("ij,ij->i", qmat, qmat), np.einsum("ij,ij->i", cmat, cmat)
+    out = []
+    step = max(1, CUT_SCORES // len(cids))
+    for lo in range(0, len(qids), step):  # copies of scores are held for these rows alone
+        dot = dots[lo:lo + step]
+        if metric == "l2":
+            l2 = qn[lo:lo + step, None] + cn[None, :] - 2.0 * dot
+            key = np.round(l2, ROUND)
+        else:
+            key = -np.round(dot, ROUND)
+        # every vector tied with a query's k-th key stays, so the global tie-break sees them all
+        cut = np.partition(key, k - 1, axis=1)[:, k - 1:k] if k < len(cids) else np.full((len(dot), 1), np.inf)
+        qi, ci = np.nonzero(key <= cut)
+        out.append((qids[lo + qi], cids[ci], dot[qi, ci], l2[qi, ci] if metric == "l2" else np.full(len(qi), np.nan)))
+    return pd.DataFrame({n: np.concatenate(v) for n, v in zip(("qid", "chunk_id", "score", "l2_sq"), zip(*out))})
+
+
+def _matrix(vectors: pa.ChunkedArray) -> np.ndarray:
+    """Vectors of one length as rows of doubles, without a Python object for each."""
+    sizes = pc.unique(pc.list_value_length(vectors)).to_pylist()
+    if len(sizes) > 1:
+        raise ValueError(f"vectors of {sorted(sizes)} values")
+    values = [c.flatten().to_numpy(zero_copy_only=False) for c in vectors.chunks]
+    flat = np.concatenate(values, dtype=np.float64) if len(values) != 1 else values[0].astype(np.float64, copy=False)
+    return flat.reshape(len(vectors), -1) if len(vectors) else np.zeros((0, 0))
+
+
+def _met(qtab: pa.Table, vtab: pa.Table, k: int, metric: str, block_rows: int, schema: pa.Schema) -> pa.Table:
+    """Local top-k rows of the queries (qid, qv) and vectors (cid, cv) that meet in one cell."""
+    qids, qmat = qtab["qid"].to_numpy(), _matrix(qtab["qv"])
+    cids, cmat = vtab["cid"].to_numpy(), _matrix(vtab["cv"])
+    found = []
+    for i in range(0, len(cids) if len(qids) else 0, block_rows):
+        for hits in _local_topk(qids, qmat, cids[i:i + block_rows], cmat[i:i + block_rows], k, metric):
+            found.append(pa.Table.from_pandas(hits, schema=schema, preserve_index=False))
+    return pa.concat_tables(found) if found else schema.empty_table()
+
+
+def _hit_schema(q: DataFrame, v: DataFrame) -> tuple[T.StructType, pa.Schema]:
+    """The local top-k rows' schema, for Spark and for Arrow."""
+    kinds = [q.schema["qid"].dataType, v.schema["cid"].dataType, T.DoubleType(), T.DoubleType()]
+    names = ("qid", "chunk_id", "score", "l2_sq")
+    return (T.StructType([T.StructField(n, t) for n, t in zip(names, kinds)]),
+            pa.schema([(n, to_arrow_type(t)) for n, t in zip(names, kinds)]))
 
 
 def _stack(series) -> np.ndarray:

@@ -101,3 +101,29 @@ def test_training_counts_trigrams_in_bounded_memory(monkeypatch):
         for lang, gram, c in zip(*(x.to_pylist() for x in b.columns)):
             got[lang, gram] += c
     assert got == want
+
+
+def test_search_copies_no_whole_block_of_scores():
+    from tessera.operators import retrieve as R
+
+    rng = np.random.default_rng(5)
+    q, v = np.round(rng.normal(size=(1000, 8)), 1), np.round(rng.normal(size=(4000, 8)), 1)
+    for metric, scores in (("ip", q @ v.T), ("l2", -((q[:, None] - v[None]) ** 2).sum(-1))):
+        got = []
+        peak = _peak_mb(lambda: got.extend(R._local_topk(np.arange(1000), q, np.arange(4000), v, 3, metric)))
+        assert peak < 32 + 16  # the scores themselves are 32 MB
+        found = {(int(a), int(b)) for f in got for a, b in zip(f["qid"], f["chunk_id"])}
+        key = np.round(scores, R.ROUND)
+        cut = np.sort(key, axis=1)[:, -3:-2]
+        assert {(int(a), int(b)) for a, b in zip(*np.nonzero(key > cut + 1e-6))} <= found
+        assert found <= {(int(a), int(b)) for a, b in zip(*np.nonzero(key >= cut - 1e-6))}
+
+
+def test_cells_meet_without_an_object_for_each_vector():
+    import pytest
+    from tessera.operators import retrieve as R
+
+    many = pa.chunked_array([pa.array([[float(i), 1.0] for i in range(5)]), pa.array([[9.0, 9.0]])])
+    assert R._matrix(many).tolist() == [[float(i), 1.0] for i in range(5)] + [[9.0, 9.0]]
+    with pytest.raises(ValueError):
+        R._matrix(pa.chunked_array([pa.array([[1.0], [1.0, 2.0], [3.0, 4.0, 5.0]])]))
