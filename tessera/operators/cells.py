@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.plan import write_through
-from tessera.operators.retrieve import BROADCAST_FLOATS, CELL_FLOATS, ROUND, _global_topk, _local_topk, _stack
+from tessera.operators.retrieve import BROADCAST_FLOATS, CELL_FLOATS, ROUND, _global_topk, _hit_schema, _local_topk, _met, _stack
 from tessera.session import ship_package
 from tessera.sources.collections import collection_append, collection_drop, collections_append, read_collection, read_collections, store_state
 
@@ -28,6 +28,8 @@ from tessera.sources.collections import collection_append, collection_drop, coll
 FIT_ROWS, MOST_CENTRE_FLOATS = 200_000, 8 << 20
 #: Rows of a file of a cell.
 FILE_ROWS = 200_000
+#: Vectors of a slice that are scored at a time.
+MEET_ROWS = 4096
 #: Slack of the bounds, relative to the sizes of the vectors: far above the error of a double.
 SLACK = 1e-9
 
@@ -264,8 +266,9 @@ def _search_pairs(spark, q, wanted, store, prefix, listed, k, metric, broadcast_
     vx = (v.join(shares, "cell").withColumn("vb", F.pmod(F.xxhash64("cid"), F.col("vs")))
           .withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("qs") - 1))).select("cid", "cv", "cell", "qb", "vb"))
 
+    rows, held = _hit_schema(q, v)
+
     def meet(a, b):
-        found = list(_local_topk(a["qid"].to_numpy(), _stack(a["qv"]), b["cid"].to_numpy(), _stack(b["cv"]), k, metric)) if len(a) else []
-        return pd.concat(found) if found else pd.DataFrame({"qid": [], "chunk_id": [], "score": [], "l2_sq": []})
+        return _met(a, b, k, metric, MEET_ROWS, held)
 
-    return qx.groupBy("cell", "qb", "vb").cogroup(vx.groupBy("cell", "qb", "vb")).applyInPandas(meet, schema)
+    return qx.groupBy("cell", "qb", "vb").cogroup(vx.groupBy("cell", "qb", "vb")).applyInArrow(meet, rows)
