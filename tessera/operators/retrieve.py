@@ -3,7 +3,7 @@
 Top-k plan: vectors stay where they are. The query side is written once, its rows
 and values are counted by an aggregate, and only within ``broadcast_rows`` and
 ``broadcast_floats`` is it fetched and broadcast; each vector partition scores the
-queries block by block and keeps the top-k of each vector block, and a
+queries block by block, keeps one top-k over its blocks and returns that, and a
 ``row_number <= k`` window (planned as WindowGroupLimit) picks the global top-k.
 Beyond the budget, queries and vectors are hashed into a grid of cells of at most
 about ``cell_floats`` values and cogrouped per (query cell, vector cell), with the
@@ -30,6 +30,8 @@ ROUND = 9
 BROADCAST_FLOATS, CELL_FLOATS, SCORE_BLOCK = 16 << 20, 8 << 20, 4 << 20
 #: Scores of a block that are rounded and cut at a time.
 CUT_SCORES = 1 << 18
+#: A score this far beyond a rounded cut can still round to it.
+SLACK = 2 * 10.0 ** -ROUND
 
 
 def _local_topk(qids, qmat, cids, cmat, k, metric):
@@ -62,6 +64,63 @@ def _block_topk(qids, qmat, cids, cmat, k, metric):
     return pd.DataFrame({n: np.concatenate(v) for n, v in zip(("qid", "chunk_id", "score", "l2_sq"), zip(*out))})
 
 
+def _near(cut, qmat, cmat, k, metric):
+    """(query, vector, key, score, l2_sq) arrays of a vector block: what may be among a query's best k, given its cut so far."""
+    if metric == "l2":
+        qn, cn = np.einsum("ij,ij->i", qmat, qmat), np.einsum("ij,ij->i", cmat, cmat)
+    step = max(1, SCORE_BLOCK // len(cmat))
+    for top in range(0, len(qmat), step):
+        dots = qmat[top:top + step] @ cmat.T
+        rows = max(1, CUT_SCORES // len(cmat))
+        for lo in range(top, top + len(dots), rows):
+            dot = dots[lo - top:lo - top + rows]
+            far = -dot if metric != "l2" else qn[lo:lo + len(dot), None] + cn[None, :] - 2.0 * dot
+            limit = cut[lo:lo + len(dot)] + SLACK
+            able = far <= limit[:, None]
+            if k < len(cmat) and np.count_nonzero(able) > 4 * k * len(dot):  # no cut yet, or a much better block
+                limit = np.fmin(limit, np.partition(far, k - 1, axis=1)[:, k - 1] + SLACK)
+                able = far <= limit[:, None]
+            qi, ci = np.nonzero(able)
+            far = far[qi, ci]
+            yield lo + qi, ci, np.round(far, ROUND), dot[qi, ci], far if metric == "l2" else np.full(len(far), np.nan)
+
+
+def _cut_down(parts, cut, k):
+    """The best k of each query, with those tied with the k-th unless they are many; ``cut`` gets the k-th keys."""
+    q, cid, key, dot, l2 = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((key, q))
+    rank = np.arange(len(q)) - np.searchsorted(q[order], q[order])
+    kth = order[rank == k - 1]
+    cut[q[kth]] = key[kth]
+    keep = np.flatnonzero(key <= cut[q])
+    if len(keep) > 8 * k * len(cut):  # the least chunk ids win in the end: only they are held
+        by_id = pc.rank(pa.array(cid[keep]), "ascending", null_placement="at_start").to_numpy()
+        keep = keep[np.lexsort((by_id, key[keep], q[keep]))]
+        keep = keep[np.arange(len(keep)) - np.searchsorted(q[keep], q[keep]) < k]
+    return q[keep], cid[keep], key[keep], dot[keep], l2[keep]
+
+
+def _task_topk(batches, qids, qmat, k, metric, block_rows, schema):
+    """Top-k rows of each query among all vectors (cid, cv) of a task; a block's scores only meet the k-th found so far."""
+    cut, held, new = np.full(len(qids), np.inf), [], 0
+    for batch in batches:
+        for lo in range(0, batch.num_rows, block_rows):
+            part = pa.Table.from_batches([batch.slice(lo, block_rows)])
+            cids, cmat = part["cid"].to_numpy(), _matrix(part["cv"])
+            for q, c, *scores in _near(cut, qmat, cmat, k, metric):
+                held.append((q, cids[c], *scores))
+                new += len(q)
+                if new > 4 * k * len(qids):
+                    held, new = [_cut_down(held, cut, k)], 0
+            held, new = ([_cut_down(held, cut, k)], 0) if new else (held[:1], 0)
+    if held:
+        q, cid, _, dot, l2 = _cut_down(held, cut, k)
+        for lo in range(0, len(q), CUT_SCORES):
+            at = slice(lo, lo + CUT_SCORES)
+            yield pa.RecordBatch.from_arrays([pa.array(x, type=f.type) for x, f in zip((qids[q[at]], cid[at], dot[at], l2[at]), schema)],
+                                             schema=schema)
+
+
 def _matrix(vectors: pa.ChunkedArray) -> np.ndarray:
     """Vectors of one length as rows of doubles, without a Python object for each."""
     sizes = pc.unique(pc.list_value_length(vectors)).to_pylist()
@@ -143,14 +202,12 @@ def similarity_search(queries: DataFrame, vectors: DataFrame, k: int = 4, qid: s
         qpdf = q.toPandas()
         bq = spark.sparkContext.broadcast((qpdf["qid"].to_numpy(), _stack(qpdf["qv"])))
 
-        def score_part(it):
-            qids, qmat = bq.value
-            for pdf in it:
-                for i in range(0, len(pdf), block_rows):
-                    blk = pdf.iloc[i:i + block_rows]
-                    yield from _local_topk(qids, qmat, blk["cid"].to_numpy(), _stack(blk["cv"]), kk, metric)
+        arrow = _hit_schema(q, v)[1]
+
+        def score_part(batches):
+            return _task_topk(batches, *bq.value, kk, metric, block_rows, arrow)
 
-        local = v.mapInPandas(score_part, schema)
+        local = v.mapInArrow(score_part, schema)
     else:
         if grid is None:  # cells of a fixed number of values, however many vectors there are
             n_v = v.count()

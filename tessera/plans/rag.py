@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.plan import spread, write_through
@@ -91,11 +91,14 @@ def _search_texts(q: DataFrame, strategies: Sequence[str], generator: Callable |
 
 
 def _search(texts: DataFrame, vectors: DataFrame, chunks: DataFrame, k: int, encoder) -> tuple[DataFrame, DataFrame]:
-    """(hits, chunks hit): one scan of the vectors and one of the chunk texts for all search texts, both written."""
-    keyed = texts.select(F.concat_ws(":", "qn", "kind", "no").alias("qid"), "text")
-    part = F.split("qid", ":", 3)
-    hits = write_through(_hits_for(keyed, vectors, k, encoder).select(
-        part[0].cast("long").alias("qn"), part[1].alias("kind"), "rank", "chunk_id", "score"), "hits")
+    """(hits, chunks hit): one scan of the vectors and one of the chunk texts for all search texts, both written.
+
+    Equal texts (a question's variants repeat) are embedded and searched once.
+    """
+    keyed = texts.select("qn", "kind", F.concat_ws(":", "qn", "kind", "no").alias("own"), "text")
+    keyed = write_through(keyed.withColumn("qid", F.min("own").over(Window.partitionBy("text"))), "search-texts")
+    found = _hits_for(keyed.where(F.col("own") == F.col("qid")).select("qid", "text"), vectors, k, encoder)
+    hits = write_through(keyed.select("qn", "kind", "qid").join(found, "qid").select("qn", "kind", "rank", "chunk_id", "score"), "hits")
     return hits, write_through(chunks.join(hits.select("chunk_id").distinct(), "chunk_id", "left_semi"), "hit-chunks")
 
 
