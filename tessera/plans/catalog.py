@@ -635,8 +635,9 @@ def q_judge_metrics(spark, sf_dir):
 @query
 def q_run_evaluation(spark, sf_dir):
     """The cached evaluation run; the second call reads the stored result."""
-    chunks, vectors = _index(spark, sf_dir)
-    mapped = _mapped(spark, sf_dir).checkpoint()
+    clean = _clean(spark, sf_dir)  # one cleaning for the collection and the mapping
+    chunks, vectors = _index(spark, sf_dir, clean=clean)
+    mapped = _mapped(spark, sf_dir, clean).checkpoint()
     cache = scratch_path(spark, "evaluations")
 
     def answers(eval_df):

@@ -43,3 +43,11 @@ def test_equal_search_texts_are_encoded_once(spark, tmp_path):
     rows = rag.retrieve(q, vectors, chunks, "multi_query", k=2, encoder=encoder).collect()
     assert {r.example_id for r in rows} == set(range(6)) and len({tuple(r)[1:] for r in rows}) * 6 == len(rows)
     assert seen.value <= 8  # of 6 questions with 17 search texts each
+
+
+def test_run_evaluation_cleans_once(spark, sf_small, monkeypatch):
+    calls, plain = [], catalog._clean
+    monkeypatch.setattr(catalog, "_clean", lambda *a: calls.append(1) or plain(*a))
+    monkeypatch.setattr(catalog.coll, "collection_is_empty", lambda *a: True)
+    assert catalog.REGISTRY["run_evaluation"](spark, sf_small).count() == 40
+    assert len(calls) == 1
