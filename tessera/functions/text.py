@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 # Python's whitespace class, as a Java character-class body (needs (?U)).
 PY_WS = "\\s\\x1c-\\x1f"
+# The same characters one by one.
+PY_WS_CHARS = "".join(map(chr, (*range(0x9, 0xe), *range(0x1c, 0x21), 0x85, 0xa0, 0x1680, *range(0x2000, 0x200b),
+                                0x2028, 0x2029, 0x202f, 0x205f, 0x3000)))
 
 
 def _c(col) -> Column:
@@ -22,7 +25,7 @@ def _c(col) -> Column:
 
 def py_strip(col) -> Column:
     """``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(_c(col), f"(?U)^[{PY_WS}]+|[{PY_WS}]+$", "")
+    return F.btrim(_c(col), F.lit(PY_WS_CHARS))  # looks at the ends only
 
 
 def strip_tags(col) -> Column:
@@ -122,6 +125,11 @@ def word_tokens(col) -> Column:
     return F.regexp_extract_all(F.lower(_c(col)), F.lit("[\\p{L}\\p{N}]+"), 0)
 
 
+def spaced_tokens(col) -> Column:
+    """The text of which ``word_tokens`` are the parts between spaces (parts may be empty)."""
+    return F.regexp_replace(F.lower(_c(col)), "[^\\p{L}\\p{N}]", " ")
+
+
 def entities(col) -> Column:
     """Default entity extractor: distinct letter/digit runs that start upper-case (length >= 2)
     or are all digits."""

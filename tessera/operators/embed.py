@@ -2,8 +2,8 @@
 
 The default encoder is a hashed bag of words: token -> bucket
 ``int(sha256(token)[:8], 16) % dim``, term counts, L2-normalised, float32.
-Texts are cut into tokens JVM-side; an Arrow UDF hashes each distinct token of a
-slice of rows once and counts the whole slice with one ``np.bincount``. A user encoder (``Callable[[list[str]], np.ndarray]``) runs
+Spark lower-cases a text and puts spaces between its tokens; an Arrow UDF splits it there, hashes each distinct token of a
+slice of rows once (and keeps the hashes of recent ones) and counts the whole slice with one ``np.bincount``. A user encoder (``Callable[[list[str]], np.ndarray]``) runs
 through ``mapInPandas`` once per Arrow batch, loaded once per Python worker.
 """
 
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.plan import model_key, worker_model
-from tessera.functions.text import collection_name, word_tokens
+from tessera.functions.text import collection_name, spaced_tokens, word_tokens
 from tessera.sources.collections import collection_append
 
 DIM = 64
@@ -35,11 +35,25 @@ def bucket_ids(col, dim: int = DIM) -> Column:
                                               F.lit(dim)).cast("int"))
 
 
+#: Hashes of tokens that a worker keeps: of the first it meets, so of the frequent ones.
+KEPT_HASHES = 1 << 17
+_HASHES: dict[bytes, int] = {}
+
+
+def _token_hash(token: bytes) -> int:
+    h = _HASHES.get(token)
+    if h is None:
+        h = int.from_bytes(hashlib.sha256(token).digest()[:4], "big")
+        if len(_HASHES) < KEPT_HASHES:
+            _HASHES[token] = h
+    return h
+
+
 def _token_buckets(tokens: pa.Array, dim: int) -> np.ndarray:
     """Bucket of each token, as ``bucket_ids`` has it; a token that repeats is hashed once."""
     coded = tokens.dictionary_encode()
-    of = np.array([int.from_bytes(hashlib.sha256(t.encode()).digest()[:4], "big") % dim for t in coded.dictionary.to_pylist()],
-                  dtype=np.int64)
+    of = np.fromiter(map(_token_hash, coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)), dtype=np.int64,
+                     count=len(coded.dictionary)) % dim
     return of[coded.indices.to_numpy()]
 
 
@@ -48,6 +62,8 @@ def _count_vectors(rows: pa.Array, dim: int) -> np.ndarray:
     n_of = pc.fill_null(pc.list_value_length(rows), 0).to_numpy()
     at = np.repeat(np.arange(len(rows)) * dim, n_of)
     tokens = rows.flatten()
+    real = pc.not_equal(tokens, "")  # between two separators there is no token
+    at, tokens = at[real.to_numpy(zero_copy_only=False)], tokens.filter(real)
     if len(tokens):
         at += _token_buckets(tokens, dim)
     v = np.bincount(at, minlength=len(rows) * dim).reshape(-1, dim).astype(np.float64)
@@ -58,7 +74,7 @@ def _count_vectors(rows: pa.Array, dim: int) -> np.ndarray:
 def _count_udf(dim: int):
     @F.arrow_udf(T.ArrayType(T.FloatType()))
     def _vec(rows: pa.Array) -> pa.Array:
-        parts = [_count_vectors(rows.slice(lo, SLICE_ROWS), dim).ravel() for lo in range(0, len(rows), SLICE_ROWS)]
+        parts = [_count_vectors(pc.split_pattern(rows.slice(lo, SLICE_ROWS), " "), dim).ravel() for lo in range(0, len(rows), SLICE_ROWS)]
         values = np.concatenate(parts) if parts else np.zeros(0, dtype=np.float32)
         ends = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * dim, type=pa.int32())
         return pa.ListArray.from_arrays(ends, pa.array(values), mask=rows.is_null())
@@ -67,7 +83,7 @@ def _count_udf(dim: int):
 
 def hashed_embedding(col, dim: int = DIM) -> Column:
     """Column: default unit-length hashed bag-of-words vector (array<float>)."""
-    return _count_udf(dim)(word_tokens(col))
+    return _count_udf(dim)(spaced_tokens(col))
 
 
 def hashed_embeddings(texts: Column, dim: int = DIM) -> Column:

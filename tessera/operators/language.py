@@ -64,14 +64,46 @@ def gram_keys(text: str) -> np.ndarray:
     """
     a = np.frombuffer(f" {text.lower()} ".encode("utf-32-le"), dtype=np.uint32)
     letter = _letters()[a]
-    first = letter.copy()  # letters, and of each run of others the first
-    first[0] = True
-    first[1:] |= letter[:-1]
-    a = np.where(letter, a, 32)[first].astype(np.int64)
+    a = np.where(letter, a, 32).astype(np.int64)  # a run of others next to a letter counts as its first or last: one space
     if len(a) < 3:
         return np.zeros(0, dtype=np.int64)
     keys = (a[:-2] << 42) | (a[1:-1] << 21) | a[2:]
-    return keys[a[1:-1] != 32]
+    return keys[letter[1:-1]]
+
+
+class GramTable:
+    """Trigrams of a profile in a dense array over its own alphabet: a text's trigrams are found without sorting them."""
+
+    #: Most values of the array (4 bytes each); a larger alphabet has none.
+    MOST = 1 << 23
+
+    def __init__(self, keys: np.ndarray):
+        parts = (keys >> 42) & 0x1FFFFF, (keys >> 21) & 0x1FFFFF, keys & 0x1FFFFF
+        known = np.unique(np.concatenate(parts))
+        known = known[_letters()[known]]
+        self.base = len(known) + 2  # 0: no letter, 1: a letter that no trigram has
+        self.code = _letters().astype(np.int64)
+        self.code[known] = np.arange(2, self.base)
+        self.row = np.zeros(self.base ** 3, dtype=np.int32)  # 1 + place of the trigram, 0 without one
+        a, b, c = (self.code[p] for p in parts)
+        self.row[(a * self.base + b) * self.base + c] = np.arange(1, len(keys) + 1)
+
+    @classmethod
+    def of(cls, keys: np.ndarray) -> GramTable | None:
+        letters = np.unique(np.concatenate([(keys >> 42) & 0x1FFFFF, (keys >> 21) & 0x1FFFFF, keys & 0x1FFFFF]))
+        return cls(keys) if (len(letters) + 2) ** 3 <= cls.MOST else None
+
+    def places(self, text: str) -> np.ndarray:
+        """1 + place for every trigram occurrence of a text that the profile has; 0 for other windows."""
+        text = text.lower()
+        raw = text.encode("ascii") if text.isascii() else text.encode("utf-32-le")
+        a = np.zeros(len(text) + 2, dtype=np.int64)
+        self.code.take(np.frombuffer(raw, dtype=np.uint8 if text.isascii() else np.uint32), out=a[1:-1], mode="clip")
+        at = a[:-2] * self.base
+        at += a[1:-1]
+        at *= self.base
+        at += a[2:]
+        return self.row.take(at, mode="clip")
 
 
 def encode_gram(g: str) -> int:
@@ -216,25 +248,40 @@ def _scorer(profile: LanguageProfile):
     order = np.argsort(keys)
     norms = profile.norms.first()
     k = np.array([int(norms[f"k_{l}"]) for l in langs], dtype=np.int64)
-    bc = profile.weights.sparkSession.sparkContext.broadcast((keys[order], w[order], k, list(langs)))
+    keys, w = keys[order], w[order]
+    table = GramTable.of(keys)
+    by_lang = np.vstack([np.zeros_like(k), w]).T.copy()  # weights of each language, at 0 that of an unknown trigram
+    bc = profile.weights.sparkSession.sparkContext.broadcast((keys, w, by_lang, by_lang.astype(np.float64), k, list(langs), table))
+
+    def summed(text: str):
+        """(known trigram occurrences, their weights per language) of one text, in exact integers."""
+        pk, pw, by_lang, as_doubles, _, _, table = bc.value
+        if table is not None:
+            at = table.places(text)
+            if 4 * len(at) < len(pk) or len(at) >= 1 << 24:
+                return np.count_nonzero(at), np.array([v[at].sum() for v in by_lang])
+            cnt = np.bincount(at, minlength=len(pk) + 1)
+            # sums of integers below 2**53, as a weight is below 2**29: exact in doubles
+            return len(at) - int(cnt[0]), (as_doubles @ cnt.astype(np.float64)).astype(np.int64)
+        uk, cnt = np.unique(gram_keys(text), return_counts=True)
+        idx = np.minimum(np.searchsorted(pk, uk), len(pk) - 1)
+        hit = pk[idx] == uk
+        return int(cnt[hit].sum()), cnt[hit].astype(np.int64) @ pw[idx[hit]]
 
     @F.arrow_udf("string")
     def best_language(texts: pa.Array) -> pa.Array:
-        pk, pw, kk, ls = bc.value
+        pk, _, _, _, kk, ls, _ = bc.value
         out = []
         for t in texts:
             t = t.as_py()
             if t is None or len(pk) == 0:
                 out.append(None)
                 continue
-            uk, cnt = np.unique(gram_keys(t), return_counts=True)
-            idx = np.minimum(np.searchsorted(pk, uk), len(pk) - 1)
-            hit = pk[idx] == uk
-            n = int(cnt[hit].sum())
+            n, score = summed(t)
             if n == 0:
                 out.append(None)
                 continue
-            score = cnt[hit].astype(np.int64) @ pw[idx[hit]] - n * kk  # exact integer arithmetic
+            score = score - n * kk
             j = len(ls) - 1 - int(np.argmax(score[::-1]))  # ties go to the greater language code
             out.append(ls[j])
         return pa.array(out, type=pa.string())

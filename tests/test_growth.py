@@ -51,3 +51,50 @@ def test_run_evaluation_cleans_once(spark, sf_small, monkeypatch):
     monkeypatch.setattr(catalog.coll, "collection_is_empty", lambda *a: True)
     assert catalog.REGISTRY["run_evaluation"](spark, sf_small).count() == 40
     assert len(calls) == 1
+
+
+def test_detection_sorts_no_text(spark, monkeypatch):
+    """Same languages as by the sorted trigrams, which the dense table replaces."""
+    from tessera.operators import language as L
+
+    rows = [("the cat sat on the mat", "en"), ("le chat est là, très loin", "fr"), ("die Katze läuft über Straßen", "de")]
+    profile = L.train_profile(spark.createDataFrame(rows, "text string, lang string"))
+    texts = ["", None, "İstanbul the ΑΣ", "中文", "t", "a1b\x85c é", "le  chat -- 9 là", "x" * 40 + " Straßen", "the cat " * 900]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    fast = L.detect_language(df, "id", "text", profile).orderBy("id").collect()
+    table = L.GramTable.of(np.array(sorted(L.encode_gram(r["gram"]) for r in profile.weights.collect()), dtype=np.int64))
+    assert table is not None
+    monkeypatch.setattr(L.GramTable, "MOST", 0)
+    assert L.GramTable.of(np.array([L.encode_gram("the")])) is None
+    assert L.detect_language(df, "id", "text", profile).orderBy("id").collect() == fast
+    keys = np.array(sorted(L.encode_gram(r["gram"]) for r in profile.weights.collect()), dtype=np.int64)
+    for t in filter(None, texts):
+        at = table.places(t)
+        every = L.gram_keys(t)
+        assert sorted(keys[at[at > 0] - 1]) == sorted(every[np.isin(every, keys)])
+
+
+def test_a_strip_looks_at_the_ends_only(spark):
+    from tessera.functions import text as tx
+
+    texts = [" \x1c\x85a  b　\n", "᠎a​", "", "   ", "a\n", "\x1f  "]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    assert [r.s for r in df.select("id", tx.py_strip("t").alias("s")).orderBy("id").collect()] == [t.strip() for t in texts]
+    assert "regexp" not in df.select(tx.py_strip("t"))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_vectors_come_from_texts_split_in_arrow(spark, monkeypatch):
+    from tessera.operators import embed as EM
+
+    texts = ["b a  b, Ä é", "", None, " ,, ", "ΑΣ Σ İx_y 10", "x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    for r in df.select("id", EM.bucket_ids("t").alias("b"), EM.hashed_embedding("t").alias("v")).collect():
+        if r.b is None:
+            assert r.v is None
+            continue
+        n = np.bincount(r.b, minlength=EM.DIM).astype(float)
+        assert np.allclose(r.v, n / max(1, np.sqrt((n * n).sum())), atol=1e-6)
+    monkeypatch.setattr(EM, "_HASHES", {})
+    EM._count_vectors(pa.array([["a", "b"]]), EM.DIM)
+    EM._count_vectors(pa.array([["b", "", "a"]]), EM.DIM)
+    assert set(EM._HASHES) == {b"a", b"b"}
