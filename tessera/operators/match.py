@@ -36,6 +36,8 @@ from tessera.session import ship_package
 PASSAGE_BYTES = 32 << 20
 #: Most tokens that a slice of articles can share with the passages, and most articles in it.
 SLICE_HITS, SLICE_ARTICLES = 1 << 20, 1024
+#: Bytes of normalised articles that are split into tokens at a time, at most about.
+SPLIT_BYTES = 1 << 19
 
 
 def drop_duplicate_rows(df: DataFrame, required=()) -> DataFrame:
@@ -121,6 +123,25 @@ class Passages:
         return s, a, b, np.where(ns > 0, np.maximum(r1, r2), 0)
 
 
+def _tokenised(batches):
+    """(did, dtoks) batches from (did, normalised text) ones: each text's distinct tokens, those of ``token_set``."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(), dtype=np.int64)
+        cuts = [0, *(np.flatnonzero(np.diff(ends // SPLIT_BYTES)) + 1).tolist(), batch.num_rows]
+        for lo, hi in zip(cuts, cuts[1:]):
+            part = batch.slice(lo, hi - lo)
+            lists = pc.split_pattern(part.column("text"), " ")
+            words = lists.flatten().dictionary_encode()
+            n, code = max(1, len(words.dictionary)), words.indices.to_numpy()
+            real = pc.not_equal(words.dictionary, "").to_numpy(zero_copy_only=False)[code]
+            row = np.repeat(np.arange(hi - lo), pc.list_value_length(lists).to_numpy())
+            pairs = np.sort(row[real] * n + code[real])
+            pairs = pairs[np.diff(pairs, prepend=-1) > 0]
+            upto = np.cumsum([0, *np.bincount(pairs // n, minlength=hi - lo)], dtype=np.int32)
+            tokens = words.dictionary.take(pa.array(pairs % n))
+            yield pa.RecordBatch.from_arrays([part.column("did"), pa.ListArray.from_arrays(pa.array(upto), tokens)], names=["did", "dtoks"])
+
+
 def _better(score, did, best, first):
     """Where (score, did) beats (best, first): a higher score, or the same from an earlier article."""
     return (score > best) | ((score == best) & (score > 0) & (did < first))
@@ -153,7 +174,7 @@ def _exact_pass(batches, shared):
         bound = np.where(s > 0, _ratios(2 * (s + 1 + low), 2 * s + 2 + a + b), _ratios(2 * low, a + b))
         able = (a > 0) & (b > 0) & _better(bound, dids[:, None], best, first)
         for j in np.flatnonzero(able.any(axis=1)):
-            did, tokens = int(dids[j]), lists[int(j)].as_py() or []
+            did, tokens = int(dids[j]), sorted(lists[int(j)].as_py() or [])
             own = set(tokens)
             for i in np.flatnonzero(able[j] & _better(bound[j], did, best, first)):
                 mine = set(passages.tokens[i])
@@ -192,7 +213,7 @@ def best_match(passages: DataFrame, articles: DataFrame, pid: str = "example_id"
                           .withColumn("pid", F.monotonically_increasing_id()), "passages")
     p = asked.select("pid", token_set(fuzz_normalize(F.coalesce("text", F.lit("")))).alias("toks"))
     d = spread(articles.select(F.col(order).cast("long").alias("did"), F.col(content).alias("__c")), "did").select(
-        "did", token_set(fuzz_normalize(F.coalesce(F.col("__c"), F.lit("")))).alias("dtoks"))
+        "did", fuzz_normalize(F.coalesce(F.col("__c"), F.lit(""))).alias("text"))
     size = F.aggregate("toks", F.lit(0).cast("long"), lambda acc, t: acc + F.octet_length(t) + 64)
     n_bytes = p.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
     blocks = max(1, -(-n_bytes // PASSAGE_BYTES))
@@ -202,13 +223,13 @@ def best_match(passages: DataFrame, articles: DataFrame, pid: str = "example_id"
         held = Passages([(r.pid, r.toks) for r in part.orderBy("pid").collect()])  # at most PASSAGE_BYTES
         none = np.zeros(len(held.pid), dtype=np.int64), np.full(len(held.pid), np.iinfo(np.int64).max)
         shared = spark.sparkContext.broadcast((held, *none))
-        found = _reduce(d.mapInArrow(lambda it, s=shared: _closed_pass(it, s), "pid long, score int, did long"))
+        found = _reduce(d.mapInArrow(lambda it, s=shared: _closed_pass(_tokenised(it), s), "pid long, score int, did long"))
         if exact:
             closed = {r.pid: (r.score, r.did) for r in found.collect()}  # one row per passage of the block
             at = [closed.get(x, (0, none[1][0])) for x in held.pid.tolist()]
             low = np.array([x[0] for x in at], dtype=np.int64), np.array([x[1] for x in at], dtype=np.int64)
             shared2 = spark.sparkContext.broadcast((held, *low))
-            found = _reduce(d.mapInArrow(lambda it, s=shared2: _exact_pass(it, s), "pid long, score int, did long"))
+            found = _reduce(d.mapInArrow(lambda it, s=shared2: _exact_pass(_tokenised(it), s), "pid long, score int, did long"))
         best = found if best is None else best.unionByName(found)
     ids = articles.select(F.col(order).alias("did"), F.col(id_col).cast("long").alias("best_match_id"), *keys)
     res = asked.select("pid", "key").join(best, "pid", "left").join(ids, "did", "left")

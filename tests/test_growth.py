@@ -83,6 +83,19 @@ def test_a_strip_looks_at_the_ends_only(spark):
     assert "regexp" not in df.select(tx.py_strip("t"))._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_articles_are_split_in_arrow_slices(spark, monkeypatch):
+    from tessera.functions.text import fuzz_normalize, token_set
+    from tessera.operators import match as M
+
+    texts = ["b a  b, Ä é ß_ß", "", "  ", "a", "zé zz ΑΣ Σ İx", "c" * 50 + " d", "10 2 1"]
+    df = spark.createDataFrame(list(enumerate(texts)), "did long, c string")
+    want = [(r.did, r.t) for r in df.select("did", token_set(fuzz_normalize("c")).alias("t")).orderBy("did").collect()]
+    monkeypatch.setattr(M, "SPLIT_BYTES", 20)
+    batch = df.select("did", fuzz_normalize("c").alias("text")).orderBy("did").toArrow().to_batches()
+    got = [(d, sorted(t)) for b in M._tokenised(batch) for d, t in zip(b["did"].to_pylist(), b["dtoks"].to_pylist())]
+    assert got == want and len(list(M._tokenised(batch))) > 1
+
+
 def test_vectors_come_from_texts_split_in_arrow(spark, monkeypatch):
     from tessera.operators import embed as EM
 
