@@ -71,6 +71,30 @@ def gram_keys(text: str) -> np.ndarray:
     return keys[letter[1:-1]]
 
 
+@cache
+def _latin() -> tuple[bytes, np.ndarray]:
+    """For texts in Latin-1: the code of each byte's lower-cased letter (0: no letter), and the code points of the codes."""
+    low = [ord(chr(b).lower()) for b in range(256)]
+    known = sorted({c for c in low if _letters()[c]})
+    return bytes(known.index(c) + 1 if c in known else 0 for c in low), np.array([32, *known], dtype=np.int64)
+
+
+def _latin_counts(coded: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, counts) of the trigrams of padded texts in the codes of ``_latin``: fewer than 64, so they are counted in place."""
+    a, counts = np.frombuffer(coded, dtype=np.uint8), np.zeros(1 << 18, dtype=np.int64)
+    for lo in range(0, len(a) - 2, HELD_GRAMS):
+        part = a[lo:lo + HELD_GRAMS + 2]
+        at = part[:-2].astype(np.intp)
+        for x in (part[1:-1], part[2:]):
+            at <<= 6
+            at |= x
+        counts += np.bincount(at, minlength=len(counts))
+    cells = np.flatnonzero(counts)
+    cells = cells[(cells >> 6) & 63 > 0]
+    points = _latin()[1]
+    return (points[cells >> 12] << 42) | (points[(cells >> 6) & 63] << 21) | points[cells & 63], counts[cells]
+
+
 class GramTable:
     """Trigrams of a profile in a dense array over its own alphabet: a text's trigrams are found without sorting them."""
 
@@ -84,6 +108,7 @@ class GramTable:
         self.base = len(known) + 2  # 0: no letter, 1: a letter that no trigram has
         self.code = _letters().astype(np.int64)
         self.code[known] = np.arange(2, self.base)
+        self.latin = bytes(self.code[ord(chr(b).lower())] for b in range(256)) if self.base <= 256 else None
         self.row = np.zeros(self.base ** 3, dtype=np.int32)  # 1 + place of the trigram, 0 without one
         a, b, c = (self.code[p] for p in parts)
         self.row[(a * self.base + b) * self.base + c] = np.arange(1, len(keys) + 1)
@@ -95,11 +120,18 @@ class GramTable:
 
     def places(self, text: str) -> np.ndarray:
         """1 + place for every trigram occurrence of a text that the profile has; 0 for other windows."""
-        text = text.lower()
-        raw = text.encode("ascii") if text.isascii() else text.encode("utf-32-le")
-        a = np.zeros(len(text) + 2, dtype=np.int64)
-        self.code.take(np.frombuffer(raw, dtype=np.uint8 if text.isascii() else np.uint32), out=a[1:-1], mode="clip")
-        at = a[:-2] * self.base
+        try:
+            coded = self.latin and text.encode("latin-1").translate(self.latin)
+        except UnicodeEncodeError:
+            coded = None
+        if coded is None:
+            text = text.lower()
+            a = np.zeros(len(text) + 2, dtype=np.int64)
+            self.code.take(np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32), out=a[1:-1], mode="clip")
+        else:
+            a = np.frombuffer(b"\0%b\0" % coded, dtype=np.uint8)
+        at = a[:-2].astype(np.int64)
+        at *= self.base
         at += a[1:-1]
         at *= self.base
         at += a[2:]
@@ -147,14 +179,16 @@ def _doc_gram_counts(batches):
 
     A text is read out of its Arrow batch alone, its keys are counted once ``HELD_GRAMS`` are held, and counts are
     returned when they have that many distinct keys: a worker's memory follows neither the batch nor the partition.
+    Texts in Latin-1 are held as bytes and counted without sorting.
     """
+    codes = _latin()[0]
     counted: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-    held: dict[str, list[np.ndarray]] = {}
+    held: dict[tuple[str, type], list] = {}
     n_held = 0
 
     def count():
-        for lang, parts in held.items():
-            new = np.unique(np.concatenate(parts), return_counts=True)
+        for (lang, kind), parts in held.items():
+            new = _latin_counts(b"\0".join([b"", *parts, b""])) if kind is bytes else np.unique(np.concatenate(parts), return_counts=True)
             counted[lang] = _summed([counted[lang], new]) if lang in counted else new
         held.clear()
 
@@ -167,9 +201,13 @@ def _doc_gram_counts(batches):
 
     for batch in batches:
         for lang, text in zip(batch.column("lang"), batch.column("text")):
-            keys = gram_keys(text.as_py() or "")
-            held.setdefault(lang.as_py(), []).append(keys)
-            n_held += len(keys)
+            text = text.as_py() or ""
+            try:
+                part = text.encode("latin-1").translate(codes)
+            except UnicodeEncodeError:
+                part = gram_keys(text)
+            held.setdefault((lang.as_py(), type(part)), []).append(part)
+            n_held += len(part)
             if n_held >= HELD_GRAMS:
                 count()
                 n_held = 0

@@ -111,3 +111,35 @@ def test_vectors_come_from_texts_split_in_arrow(spark, monkeypatch):
     EM._count_vectors(pa.array([["a", "b"]]), EM.DIM)
     EM._count_vectors(pa.array([["b", "", "a"]]), EM.DIM)
     assert set(EM._HASHES) == {b"a", b"b"}
+
+
+def test_latin_texts_are_trained_without_sorting(monkeypatch):
+    from collections import Counter
+
+    from tessera.operators import language as L
+
+    texts = ["The cat, the CAT", "", None, "Über STRASSE ÿ ª÷×", "a", "x1y\nZ", "İx Σ", "ab " * 500]
+    want = Counter((lang, L.decode_gram(int(k))) for lang, t in zip("xy" * 4, texts) for k in L.gram_keys(t or ""))
+    for held in (1 << 20, 64):  # all at once, and many windows and counts
+        monkeypatch.setattr(L, "HELD_GRAMS", held)
+        got = Counter()
+        for b in L._doc_gram_counts([pa.RecordBatch.from_arrays([pa.array(list("xy" * 4)), pa.array(texts)], names=["lang", "text"])]):
+            for lang, gram, c in zip(*(x.to_pylist() for x in b.columns)):
+                got[lang, gram] += c
+        assert got == want
+    keys = L._latin_counts(L._latin()[0].join([b"\0", b"\0"]))[0]
+    assert len(keys) == len(set(keys.tolist())) and sorted(keys) == keys.tolist()
+    monkeypatch.setattr(L, "gram_keys", lambda t: pytest.fail(f"sorted: {t}"))
+    batch = pa.RecordBatch.from_arrays([pa.array(["x", "x"]), pa.array(["Über", "cat"])], names=["lang", "text"])
+    assert sum(b.num_rows for b in L._doc_gram_counts([batch])) == 7
+
+
+def test_latin_texts_are_detected_by_bytes():
+    from tessera.operators import language as L
+
+    keys = np.array(sorted({int(k) for t in ("the cat Über ÿ", "straße là ΣΑ") for k in L.gram_keys(t)}), dtype=np.int64)
+    table, plain = L.GramTable.of(keys), L.GramTable.of(keys)
+    plain.latin = None
+    for t in ("", "T", "The CAT ÜBER Ÿ ß", "là\x85×là", "ΣΑΣ the", "İ the", "".join(map(chr, range(256)))):
+        assert table.places(t).tolist() == plain.places(t).tolist()
+    assert table.latin is not None
