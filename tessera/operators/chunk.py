@@ -97,15 +97,19 @@ def recursive_chunk(col, size: int, overlap: int = 0) -> Column:
     return _chunks(F.col(col) if isinstance(col, str) else col)
 
 
+def _windows_of(c: Column, size: int) -> Column:
+    """Windows of ``size`` chars without overlap in one pass; a window by substring() would count the characters before it again."""
+    return F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(f"(?s).{{1,{size}}}"), 0)
+
+
 def fixed_chunk_col(col, size: int, overlap: int = 0) -> Column:
     """Column: array of (chunk_no, text) fixed windows of ``size`` chars stepping ``size - overlap``."""
     c = F.col(col) if isinstance(col, str) else col
     step = size - overlap
     if step <= 0:
         raise ValueError("overlap must be smaller than size")
-    if overlap == 0:  # one pass over the text; a window by substring() would count the characters before it again
-        return F.transform(F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(f"(?s).{{1,{size}}}"), 0),
-                           lambda t, i: F.struct(i.alias("chunk_no"), t.alias("text")))
+    if overlap == 0:
+        return F.transform(_windows_of(c, size), lambda t, i: F.struct(i.alias("chunk_no"), t.alias("text")))
     n = F.length(c)
     last = F.greatest(n - overlap - 1, F.lit(0))
     starts = F.when(n > 0, F.sequence(F.lit(0), last, F.lit(step))).otherwise(F.array().cast("array<int>"))
@@ -141,11 +145,13 @@ def create_documents(df: DataFrame, size: int, overlap: int = 0, none_as: str |
 
 def fixed_chunk(df: DataFrame, size: int, overlap: int = 0, none_as: str | None = "None") -> DataFrame:
     """CHUNK rows from native fixed windows."""
-    base = _documents(df, fixed_chunk_col("content", size, overlap), none_as)
-    rows = base.select("*", F.explode("__p").alias("w")).drop("__p")
-    return rows.select(F.concat(F.col("__key"), F.lit("-"), F.col("w.chunk_no").cast("string"))
-                       .alias("chunk_id"), "origin_doc_id", F.col("w.chunk_no").alias("chunk_no"),
-                       F.col("w.text").alias("page_content"), "url", "domain", "title", "author", "date")
+    plain = overlap == 0
+    base = _documents(df, _windows_of(F.col("content"), size) if plain else fixed_chunk_col("content", size, overlap), none_as)
+    # the outer form: for the inner one Spark adds a filter on the array's size, and that makes every window twice
+    rows = base.select("*", F.posexplode_outer("__p").alias("chunk_no", "__w")).drop("__p").where(F.col("__w").isNotNull())
+    return rows.select(F.concat(F.col("__key"), F.lit("-"), F.col("chunk_no").cast("string"))
+                       .alias("chunk_id"), "origin_doc_id", "chunk_no",
+                       (F.col("__w") if plain else F.col("__w.text")).alias("page_content"), "url", "domain", "title", "author", "date")
 
 
 def chunk_report(chunks: DataFrame, articles: DataFrame) -> DataFrame:

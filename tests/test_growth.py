@@ -143,3 +143,20 @@ def test_latin_texts_are_detected_by_bytes():
     for t in ("", "T", "The CAT ÜBER Ÿ ß", "là\x85×là", "ΣΑΣ the", "İ the", "".join(map(chr, range(256)))):
         assert table.places(t).tolist() == plain.places(t).tolist()
     assert table.latin is not None
+
+
+def test_windows_are_made_once(spark):
+    """Spark's filter on the size of an exploded array made every window a second time."""
+    from tessera.operators.chunk import fixed_chunk
+
+    texts = ["abcdefg", "", None, "é\nxyz", "abc"]
+    df = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "row_id long, id long, content string")
+    df = df.select("*", *[F.lit(None).cast("string").alias(c) for c in ("url", "domain", "title", "author", "date")])
+    for overlap in (0, 1):
+        chunks = fixed_chunk(df, 3, overlap)
+        plan = chunks._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_extract_all") == (overlap == 0) and plan.count("sequence(") == (overlap == 1)
+        got = sorted((r.chunk_id, r.origin_doc_id, r.chunk_no, r.page_content) for r in chunks.collect())
+        want = [(i, n, t[at:at + 3]) for i, t in enumerate(texts) if t
+                for n, at in enumerate(range(0, max(1, len(t) - overlap), 3 - overlap))]
+        assert got == sorted((f"{i}-{n}", i, n, w) for i, n, w in want)
