@@ -99,6 +99,37 @@ def parse_list_literal(col) -> Column:
     })
 
 
+# --- texts whose characters are looked up byte by byte in Arrow tasks -----------
+
+def unless_ascii(col, otherwise: Column) -> Column:
+    """An ASCII text as it is, ``otherwise`` for any other: what ``byte_table`` does is left to the task that reads it."""
+    c = _c(col)
+    return F.when((F.octet_length(c) == F.length(c)) & F.is_valid_utf8(c), c).otherwise(otherwise)
+
+
+def byte_table(also: str = "") -> bytes:
+    """For ``bytes.translate``: A-Z lower-cased, ASCII beside letters, digits and ``also`` to a space, other bytes as they are.
+
+    A text that is lower-cased and spaced already stays the same.
+    """
+    kept = {*map(ord, also), *range(0x30, 0x3a), *range(0x61, 0x7b), *range(0x80, 0x100)}
+    return bytes(b + 32 if 0x41 <= b <= 0x5a else b if b in kept else 0x20 for b in range(256))
+
+
+def translated(texts, table: bytes):
+    """An Arrow array of texts, nulls as empty texts, each byte through ``table``."""
+    import numpy as np
+    import pyarrow as pa
+
+    texts = texts.cast(pa.string()).fill_null("")
+    _, ends, data = texts.buffers()
+    if data is None or not len(texts):
+        return texts
+    at = np.frombuffer(ends, dtype=np.int32, count=len(texts) + 1, offset=4 * texts.offset)
+    held = data.slice(int(at[0]), int(at[-1] - at[0])).to_pybytes().translate(table)
+    return pa.StringArray.from_buffers(len(texts), pa.py_buffer(at - at[0]), pa.py_buffer(held))
+
+
 # --- fuzzy-matching normalisation (token-set ratio, D3) --------------------------
 
 def fuzz_normalize(col) -> Column:

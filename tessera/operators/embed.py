@@ -2,8 +2,8 @@
 
 The default encoder is a hashed bag of words: token -> bucket
 ``int(sha256(token)[:8], 16) % dim``, term counts, L2-normalised, float32.
-Spark lower-cases a text and puts spaces between its tokens; an Arrow UDF splits it there, hashes each distinct token of a
-slice of rows once (and keeps the hashes of recent ones) and counts the whole slice with one ``np.bincount``. A user encoder (``Callable[[list[str]], np.ndarray]``) runs
+An ASCII text goes to an Arrow UDF as it is, which lower-cases it and puts spaces between its tokens by a table of bytes; Spark
+does so for other texts. The UDF splits a text there, hashes each distinct token of a slice of rows once (and keeps the hashes of recent ones) and counts the whole slice with one ``np.bincount``. A user encoder (``Callable[[list[str]], np.ndarray]``) runs
 through ``mapInPandas`` once per Arrow batch, loaded once per Python worker.
 """
 
@@ -21,12 +21,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.plan import model_key, worker_model
-from tessera.functions.text import collection_name, spaced_tokens, word_tokens
+from tessera.functions.text import byte_table, collection_name, spaced_tokens, translated, unless_ascii, word_tokens
 from tessera.sources.collections import collection_append
 
 DIM = 64
-#: Rows whose tokens are hashed and counted at a time.
-SLICE_ROWS = 1024
+#: Rows whose tokens are hashed and counted at a time, at most, and their bytes, at most about.
+SLICE_ROWS, SLICE_BYTES = 8192, 1 << 20
+_SPACED = byte_table()
 
 
 def bucket_ids(col, dim: int = DIM) -> Column:
@@ -41,40 +42,49 @@ _HASHES: dict[bytes, int] = {}
 
 
 def _token_hash(token: bytes) -> int:
-    h = _HASHES.get(token)
-    if h is None:
-        h = int.from_bytes(hashlib.sha256(token).digest()[:4], "big")
-        if len(_HASHES) < KEPT_HASHES:
-            _HASHES[token] = h
+    h = int.from_bytes(hashlib.sha256(token).digest()[:4], "big")
+    if len(_HASHES) < KEPT_HASHES:
+        _HASHES[token] = h
     return h
 
 
 def _token_buckets(tokens: pa.Array, dim: int) -> np.ndarray:
-    """Bucket of each token, as ``bucket_ids`` has it; a token that repeats is hashed once."""
+    """Bucket of each token, as ``bucket_ids`` has it, -1 for an empty one; a token that repeats is hashed once."""
     coded = tokens.dictionary_encode()
-    of = np.fromiter(map(_token_hash, coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)), dtype=np.int64,
-                     count=len(coded.dictionary)) % dim
-    return of[coded.indices.to_numpy()]
+    words = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)
+    found = list(map(_HASHES.get, words))
+    for i, h in enumerate(found):
+        if h is None:
+            found[i] = _token_hash(words[i]) if words[i] else -1
+    of = np.array(found, dtype=np.int64)
+    return np.where(of < 0, -1, of % dim)[coded.indices.to_numpy()]
 
 
 def _count_vectors(rows: pa.Array, dim: int) -> np.ndarray:
     """Unit-length bucket counts (n, dim) of n token lists; a list without tokens gives zeros."""
     n_of = pc.fill_null(pc.list_value_length(rows), 0).to_numpy()
     at = np.repeat(np.arange(len(rows)) * dim, n_of)
-    tokens = rows.flatten()
-    real = pc.not_equal(tokens, "")  # between two separators there is no token
-    at, tokens = at[real.to_numpy(zero_copy_only=False)], tokens.filter(real)
-    if len(tokens):
-        at += _token_buckets(tokens, dim)
-    v = np.bincount(at, minlength=len(rows) * dim).reshape(-1, dim).astype(np.float64)
+    of = _token_buckets(rows.flatten(), dim)
+    real = of >= 0  # between two separators there is no token
+    v = np.bincount(at[real] + of[real], minlength=len(rows) * dim).reshape(-1, dim).astype(np.float64)
     norm = np.sqrt((v * v).sum(axis=1, keepdims=True))  # counts: exact in any order
     return np.divide(v, norm, out=v, where=norm > 0).astype(np.float32)
 
 
+def _slices(rows: pa.Array):
+    ends = np.cumsum(pc.fill_null(pc.binary_length(rows), 0).to_numpy(), dtype=np.int64)
+    lo = 0
+    while lo < len(rows):
+        upto = ends[lo - 1] if lo else 0
+        hi = min(max(lo + 1, int(np.searchsorted(ends, upto + SLICE_BYTES, side="right"))), lo + SLICE_ROWS, len(rows))
+        yield rows.slice(lo, hi - lo)
+        lo = hi
+
+
 def _count_udf(dim: int):
     @F.arrow_udf(T.ArrayType(T.FloatType()))
     def _vec(rows: pa.Array) -> pa.Array:
-        parts = [_count_vectors(pc.split_pattern(rows.slice(lo, SLICE_ROWS), " "), dim).ravel() for lo in range(0, len(rows), SLICE_ROWS)]
+        parts = [_count_vectors(pc.split_pattern(translated(part, _SPACED), " "), dim).ravel() for part in _slices(rows)]
         values = np.concatenate(parts) if parts else np.zeros(0, dtype=np.float32)
         ends = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * dim, type=pa.int32())
         return pa.ListArray.from_arrays(ends, pa.array(values), mask=rows.is_null())
@@ -83,7 +93,7 @@ def _count_udf(dim: int):
 
 def hashed_embedding(col, dim: int = DIM) -> Column:
     """Column: default unit-length hashed bag-of-words vector (array<float>)."""
-    return _count_udf(dim)(spaced_tokens(col))
+    return _count_udf(dim)(unless_ascii(col, spaced_tokens(col)))
 
 
 def hashed_embeddings(texts: Column, dim: int = DIM) -> Column:

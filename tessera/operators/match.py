@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from tessera.functions import fuzzy
 from tessera.functions.plan import spread, write_through
-from tessera.functions.text import fuzz_normalize, parse_list_literal, token_set
+from tessera.functions.text import byte_table, fuzz_normalize, parse_list_literal, token_set, translated, unless_ascii
 from tessera.session import ship_package
 
 #: Most bytes of passage tokens in one broadcast block.
@@ -38,6 +38,7 @@ PASSAGE_BYTES = 32 << 20
 SLICE_HITS, SLICE_ARTICLES = 1 << 20, 1024
 #: Bytes of normalised articles that are split into tokens at a time, at most about.
 SPLIT_BYTES = 1 << 19
+_NORMAL = byte_table("_")
 
 
 def drop_duplicate_rows(df: DataFrame, required=()) -> DataFrame:
@@ -124,13 +125,13 @@ class Passages:
 
 
 def _tokenised(batches):
-    """(did, dtoks) batches from (did, normalised text) ones: each text's distinct tokens, those of ``token_set``."""
+    """(did, dtoks) batches from (did, normalised or ASCII text) ones: each text's distinct tokens, those of ``token_set``."""
     for batch in batches:
         ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(), dtype=np.int64)
         cuts = [0, *(np.flatnonzero(np.diff(ends // SPLIT_BYTES)) + 1).tolist(), batch.num_rows]
         for lo, hi in zip(cuts, cuts[1:]):
             part = batch.slice(lo, hi - lo)
-            lists = pc.split_pattern(part.column("text"), " ")
+            lists = pc.split_pattern(translated(part.column("text"), _NORMAL), " ")
             words = lists.flatten().dictionary_encode()
             n, code = max(1, len(words.dictionary)), words.indices.to_numpy()
             real = pc.not_equal(words.dictionary, "").to_numpy(zero_copy_only=False)[code]
@@ -212,8 +213,9 @@ def best_match(passages: DataFrame, articles: DataFrame, pid: str = "example_id"
     asked = write_through(passages.select(F.col(pid).alias("key"), F.col(ptext).alias("text"))
                           .withColumn("pid", F.monotonically_increasing_id()), "passages")
     p = asked.select("pid", token_set(fuzz_normalize(F.coalesce("text", F.lit("")))).alias("toks"))
+    text = F.coalesce(F.col("__c"), F.lit(""))
     d = spread(articles.select(F.col(order).cast("long").alias("did"), F.col(content).alias("__c")), "did").select(
-        "did", fuzz_normalize(F.coalesce(F.col("__c"), F.lit(""))).alias("text"))
+        "did", unless_ascii(text, fuzz_normalize(text)).alias("text"))
     size = F.aggregate("toks", F.lit(0).cast("long"), lambda acc, t: acc + F.octet_length(t) + 64)
     n_bytes = p.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
     blocks = max(1, -(-n_bytes // PASSAGE_BYTES))

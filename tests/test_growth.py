@@ -160,3 +160,30 @@ def test_windows_are_made_once(spark):
         want = [(i, n, t[at:at + 3]) for i, t in enumerate(texts) if t
                 for n, at in enumerate(range(0, max(1, len(t) - overlap), 3 - overlap))]
         assert got == sorted((f"{i}-{n}", i, n, w) for i, n, w in want)
+
+
+def test_ascii_texts_are_looked_up_by_bytes(spark):
+    from tessera.functions import text as tx
+    from tessera.operators import embed as EM
+    from tessera.operators import match as M
+
+    texts = ["".join(map(chr, range(128))), "", None, "A_b C-9", "É Über_x", "İstanbul ΣΑΣ", "a\x85b", "﻿Q", "  Two  words "]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    for also, normal in (("", tx.spaced_tokens("t")), ("_", tx.fuzz_normalize("t"))):
+        rows = df.select("id", tx.unless_ascii("t", normal).alias("sent"), normal.alias("want")).orderBy("id").toArrow()
+        got = tx.translated(rows["sent"].combine_chunks(), tx.byte_table(also))
+        assert [t.split() for t in got.to_pylist()] == [(t or "").split() for t in rows["want"].to_pylist()]
+        part = tx.translated(rows["sent"].combine_chunks().slice(3, 2), tx.byte_table(also))
+        assert part.to_pylist() == got.to_pylist()[3:5]
+    ascii_only = rows["sent"].to_pylist()
+    assert ascii_only[3] == "A_b C-9" and ascii_only[2] is None
+    bad = spark.sql("SELECT cast(x'41ff42' AS string) AS t")  # not UTF-8: Spark's expressions see it, not the table
+    assert bad.select(tx.unless_ascii("t", tx.spaced_tokens("t")).alias("s")).first().s == "a b"
+    rows = pa.array(["ab cd", None, "x" * 30, "", "y"])
+    EM_BYTES, EM.SLICE_BYTES = EM.SLICE_BYTES, 6
+    try:
+        assert [s.to_pylist() for s in EM._slices(rows)] == [["ab cd", None], ["x" * 30], ["", "y"]]
+    finally:
+        EM.SLICE_BYTES = EM_BYTES
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["Beta alpha, BETA_x"])], names=["did", "text"])
+    assert sorted(next(M._tokenised([batch]))["dtoks"][0].as_py()) == ["alpha", "beta", "beta_x"]
